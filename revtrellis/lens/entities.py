@@ -294,7 +294,7 @@ def crm_lead(q: Dialect) -> str:
 @entity
 def crm_lead_raw(q: Dialect) -> str:
     day = q.add_days(_LEAD_DAY, "event_id % 240")
-    return f"""SELECT event_id AS lead_id, user_id AS owner_id, {_role('event_id')} AS owner_role,
+    return f"""SELECT event_id AS lead_id, user_id AS owner_id, CASE WHEN event_id % 16 = 7 THEN 'Forecasting Role' ELSE {_role('event_id')} END AS owner_role,
       CASE WHEN user_id % 6 = 0 THEN 'Website' ELSE 'Webinar' END AS lead_source,
       CASE WHEN event_id % 2 = 0 THEN 'Open' ELSE 'Working' END AS status,
       {_BAND} AS offline_revenue_band, value * 2000000 AS enriched_revenue,
