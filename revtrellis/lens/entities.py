@@ -519,7 +519,7 @@ def fin_deal(q: Dialect) -> str:
 
 @entity
 def fin_agreement(q: Dialect) -> str:
-    return f"""SELECT l_orderkey - l_linenumber AS deal_id, CASE WHEN l_linenumber = 6 AND l_quantity > 49 THEN NULL ELSE l_orderkey END AS shop_id,
+    return f"""SELECT l_orderkey - l_linenumber AS deal_id, l_orderkey AS shop_id,
       CASE WHEN l_returnflag IN ('R', 'A') THEN CAST(l_shipdate AS DATE) END AS terminated_on, l_linenumber = 7 AS is_deleted,
       CASE WHEN l_linestatus = 'O' THEN 'Development/Staging shop' ELSE 'Standard' END AS reason FROM {q.t('lineitem')}"""
 
