@@ -424,8 +424,7 @@ def _(s):
 
 @query("sc_points", f"WITH rep AS MATERIALIZED ({REP}) {POINTS}")
 def _(s):
-    rep = S.scorecard_rows(s, AS_OF, FROM, SNAPSHOT, TIERS)
-    return S.points(rep, S.quartile_bands(rep))
+    return S.points(S.scorecard_rows(s, AS_OF, FROM, SNAPSHOT, TIERS))
 
 
 @query("sc_group_totals", SCORECARD)

@@ -6,15 +6,16 @@ meet the worker-month grid in one join; the reports' form has one outer join per
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from revtrellis.functions.dates import as_date, days_between, minutes_between, month_end, period_month, quarter_end, quarter_start
 from revtrellis.functions.numbers import count_if, coverage, inverse_mean, lookup, safe_divide, sum_if, zero_if_null
 from revtrellis.functions.text import any_like
-from revtrellis.operators.joins import join_group_or_global
+from revtrellis.operators.joins import join_group_or_global, left_join_nullable
 from revtrellis.operators.sets import union_all
 from revtrellis.operators.windows import latest_per_key
 from revtrellis.params import fixed_values as V
@@ -340,61 +341,214 @@ def manager_accepted(meetings: DataFrame, users: DataFrame) -> DataFrame:
     return rows.groupBy(month_end("start_time").alias("month_date"), "rep_name").agg(F.count("*").alias("value"))
 
 
+# ---------------------------------------------------------------- one pass over the metric fact
+
+
+@dataclass(frozen=True)
+class FactPart:
+    """What one key takes from the metric fact: which rows, for which period, and what of them."""
+
+    metric: tuple[str, ...]
+    value_type: str
+    dataset: str = "Actuals"
+    period: str = "month"
+    where: Column | None = None
+    hit: Column | None = None
+    value: Column | None = None
+
+    def row_filter(self) -> Column:
+        return (F.col("dataset") == self.dataset) & F.col("metric").isin(*self.metric) & (F.col("value_type") == self.value_type)
+
+    def applies(self) -> Column:
+        return self.row_filter() if self.where is None else self.row_filter() & self.where
+
+    def struct(self, key: str) -> Column:
+        period = {"month": month_end("full_date"), "quarter": quarter_end("full_date"), "qualified": month_end("qualified_date")}[self.period]
+        value = F.col("value") if self.value is None else self.value.cast("double")
+        hit = F.lit(0) if self.hit is None else F.when(self.hit, 1).otherwise(0)
+        return F.when(self.applies(), F.struct(F.lit(key).alias("key"), period.alias("month_date"), value.alias("value"), hit.alias("hit")))
+
+
+def fact_parts(as_of: date, snapshot: date) -> dict[str, FactPart]:
+    """Every use the scorecard makes of the metric fact."""
+    count, product, term = "Opportunity Deal Count", "Product Deal Count", F.col("term_length").cast("double")
+    won, sal, owned = ("Closed Won",), ("Open Pipe SAL",), F.col("opportunity_owner") != ""
+    snap = owned & (F.col("snapshot_date") == F.lit(snapshot))
+    parts = {
+        "created": FactPart(("Created",), count),
+        "created_revenue": FactPart(("Created",), VALUE_KINDS["revenue"]),
+        "created_profit": FactPart(("Created",), VALUE_KINDS["profit"]),
+        "demos": FactPart(("Activity Subtype Count",), "Demo", "Activity"),
+        "multi_open": FactPart(sal, count, where=F.col("term_length").isNotNull(), hit=term > 1),
+        "multi_won": FactPart(won, count, where=F.col("term_length").isNotNull(), hit=term > 1),
+        "next_steps": FactPart(("Open Pipe",), count, where=F.col("full_date") >= as_date(as_of), hit=F.col("next_step").isNotNull()),
+        "open_age": FactPart(sal, count, period="qualified", value=days_between(as_date(as_of), "qualified_date")),
+        "win_rate": FactPart(("Closed Won", "Closed Lost"), count, hit=F.col("metric") == "Closed Won"),
+        "unified": FactPart(won, count, hit=F.col("is_unified")),
+        "partner": FactPart(won, count, hit=F.col("_partner").isNotNull()),
+        "contract": FactPart(won, count, value=term),
+    }
+    for k, v in PRODUCTS.items():
+        parts[f"mix_{k}"] = FactPart(won, product, hit=F.col("product_name") == v)
+    for k, v in VALUE_KINDS.items():
+        parts[f"actual_month_{k}"] = FactPart(won, v, where=owned)
+        parts[f"actual_{k}"] = FactPart(won, v, period="quarter", where=owned)
+        parts[f"open_{k}"] = FactPart(sal, v, period="quarter", where=owned)
+        parts[f"past_actual_{k}"] = FactPart(won, v, "Snapshots", "quarter", snap)
+        parts[f"past_open_{k}"] = FactPart(sal, v, "Snapshots", "quarter", snap)
+    return parts
+
+
+def fact_keys(fact: DataFrame, relationships: DataFrame, as_of: date, snapshot: date) -> DataFrame:
+    """Sums, means and distinct shares of all keys, from a single read of the metric fact.
+
+    A row is expanded to the keys it belongs to and reduced per opportunity first: distinct counts
+    become sums, and an owner with very many rows is spread over many tasks.
+    """
+    parts = fact_parts(as_of, snapshot)
+    coselling = relationships.filter("is_coselling").select("opportunity_id").distinct().withColumn("_partner", F.lit(True))
+    used = F.lit(False)
+    for p in parts.values():
+        used = used | p.row_filter()
+    rows = left_join_nullable(fact.filter(used), coselling, ["opportunity_id"], ["opportunity_owner", "full_date", "value"])
+    tags = F.array_compact(F.array(*[p.struct(k) for k, p in parts.items()]))
+    rows = rows.select(F.col("opportunity_owner").alias("rep_name"), "opportunity_id", F.explode(tags).alias("_t")).select("rep_name", "opportunity_id", "_t.*")
+    per_opp = rows.groupBy("rep_name", "month_date", "key", "opportunity_id").agg(
+        F.sum("value").alias("total"), F.count("value").alias("n"), F.max("hit").alias("hit")
+    )
+    known = F.col("opportunity_id").isNotNull()
+    return per_opp.groupBy("rep_name", "month_date", "key").agg(
+        F.sum("total").alias("total"), F.sum("n").alias("n"), F.sum(F.when(known, F.col("hit"))).alias("hits"), F.count(F.when(known, 1)).alias("opps")
+    )
+
+
+def quota_keys(attainment_rows: DataFrame, workers: DataFrame) -> DataFrame:
+    """Quotas by month and by quarter in the form of ``fact_keys``."""
+    names = workers.select(F.col("worker_id").alias("payee_id"), F.col("worker_name").alias("rep_name")).filter(F.col("rep_name").isNotNull())
+    kinds = {V.QUOTA_PROFIT: "profit", V.QUOTA_REVENUE: "revenue", V.QUOTA_ACTIVATIONS: "activations"}
+    first, kind = period_month("period"), lookup(F.col("attribute_id"), kinds)
+    both = F.array(
+        F.struct(F.last_day(first).alias("month_date"), F.concat(F.lit("quota_month_"), kind).alias("key")),
+        F.struct(quarter_end(first).alias("month_date"), F.concat(F.lit("quota_"), kind).alias("key")),
+    )
+    rows = attainment_rows.filter(F.col("attribute_id").isin(*kinds)).join(names, "payee_id")
+    rows = rows.select("rep_name", "quota", F.explode(both).alias("_k")).select("rep_name", "quota", "_k.*")
+    none = F.lit(None).cast("long")
+    return rows.groupBy("rep_name", "month_date", "key").agg(F.sum("quota").alias("total"), none.alias("n"), none.alias("hits"), none.alias("opps"))
+
+
+def fact_values(keys: DataFrame, as_of: date, snapshot: date) -> DataFrame:
+    """Metric values per rep and period from the keys of that period.
+
+    The keys of a period are a fixed list of a few dozen, so they are folded into one map per (rep, period).
+    """
+    entry = F.struct("total", "n", "hits", "opps")
+    folded = keys.groupBy("rep_name", "month_date").agg(F.map_from_entries(F.collect_list(F.struct("key", entry))).alias("k"))
+
+    def part(key: str, field: str) -> Column:
+        return F.try_element_at("k", F.lit(key)).getField(field)
+
+    def total(key: str) -> Column:
+        return part(key, "total")
+
+    def share(key: str) -> Column:
+        return safe_divide(part(key, "hits"), part(key, "opps"))
+
+    def mean(key: str) -> Column:
+        return safe_divide(total(key), part(key, "n"))
+
+    this_quarter, this_month = quarter_end(as_date(as_of)), F.last_day(as_date(as_of))
+    past_quarter = quarter_end(F.lit(snapshot))
+    month = F.col("month_date")
+    out: list[tuple[str, Column, Column]] = [
+        ("1g. Created Opps", month, total("created")),
+        ("2c. Multi vs Single Yr Deals - Open Pipe", month, share("multi_open")),
+        ("2d. # of Demos Scheduled", month, total("demos")),
+        ("2g. % of Pipe w/ Next steps", month, share("next_steps")),
+        ("2h. Average Age - Open Pipe", month, inverse_mean(mean("open_age"))),
+        ("3a. Win Rate", month, share("win_rate")),
+        ("3d. Unified Commerce Exposure", month, share("unified")),
+        ("3e. Partner attach", month, share("partner")),
+        ("3g. Multi vs Single Yr Deals - Closed Won", month, share("multi_won")),
+        ("3h. Contract Length", month, F.round(mean("contract"), 2)),
+        ("3i. Product Mix Capital", month, share("mix_capital")),
+        ("3j. Product Mix Payments", month, share("mix_payments")),
+        ("3k. Product Mix Retail Payments", month, share("mix_retail_payments")),
+        ("3l. Product Mix Installments", month, share("mix_installments")),
+        ("99b. Created LTR", month, total("created_revenue")),
+        ("99b. Created IPP", month, total("created_profit")),
+    ]
+    now, past = F.col("month_date") == this_quarter, F.col("month_date") == past_quarter
+    today = as_date(as_of)
+    days = days_between(quarter_end(today), quarter_start(today)) + 1
+    elapsed = days - days_between(quarter_end(today), today)
+    for kind, label in {"revenue": "LTR", "profit": "IPP", "activations": "SA"}.items():
+        quota, actual = total(f"quota_{kind}"), total(f"actual_{kind}")
+        gap = quota - zero_if_null(actual)
+        past_gap = quota - zero_if_null(total(f"past_actual_{kind}"))
+        out += [
+            (f"1j. Pipe Coverage {label}", this_month, F.when(now, coverage(total(f"open_{kind}"), gap))),
+            (f"3m. Attainment {label}", month, safe_divide(total(f"actual_month_{kind}"), total(f"quota_month_{kind}"))),
+            (f"3n. Pacing {label}", this_month, F.when(now, safe_divide(actual, quota * elapsed / days))),
+            (f"99h. 25Q1 Attainment {'SAU' if label == 'SA' else label}", this_month, F.when(now, safe_divide(actual, quota))),
+        ]
+        if kind != "activations":
+            out += [
+                (f"1l. LQ Pipe Coverage {label}", month, F.when(past, coverage(total(f"past_open_{kind}"), past_gap))),
+                (f"99e. Targets - Actuals {label}", this_month, F.when(now, F.when(gap < 0, F.lit(0.0)).otherwise(gap))),
+                (f"99i. {label} Targets", this_month, F.when(now, quota)),
+                (f"99k. Open Pipe {label}", this_month, F.when(now & quota.isNotNull(), total(f"open_{kind}"))),
+            ]
+    pairs = [F.struct(F.lit(m).alias("metric"), p.alias("month_date"), v.cast("double").alias("value")) for m, p, v in out]
+    rows = folded.select("rep_name", F.explode(F.array(*pairs)).alias("_v")).select("rep_name", "_v.*")
+    return rows.filter(F.col("value").isNotNull()).select(*LONG)
+
+
 # ---------------------------------------------------------------- assembly
 
 
+def stage_values(stages: DataFrame, opportunities: DataFrame) -> DataFrame:
+    """Stage progression and cycle length in one pass over the stage facts."""
+    rows = _staged(stages, opportunities)
+    steps = [F.struct(F.lit(m).alias("metric"), month_end(a).alias("month_date"), days_between(b, a).alias("days")) for m, (a, b) in STAGES.items()]
+    cycle = F.struct(F.lit("3c. Cycle Length").alias("metric"), month_end("_close").alias("month_date"), days_between("_close", "envision_at").alias("days"))
+    tags = F.array_compact(F.array(*steps, F.when(F.col("stage_name").like("%Closed%"), cycle)))
+    rows = rows.select("rep_name", F.explode(tags).alias("_s")).select("rep_name", "_s.*").filter(F.col("days").isNotNull())
+    return rows.groupBy("rep_name", "month_date", "metric").agg(inverse_mean(F.avg("days")).alias("value")).select(*LONG)
+
+
+def book_values(snapshots: DataFrame, territory_reps: DataFrame, activity: DataFrame, tiers: list[str]) -> DataFrame:
+    """Book contacted and accounts contacted in one pass over the account snapshots."""
+    rows = _book(snapshots, territory_reps, activity).withColumn("_tiered", F.col("tier").isin(*tiers))
+    per_account = rows.groupBy("rep_name", "month_date", "snapshot_date", "account_id").agg(
+        F.max("_hit").alias("hit"), F.max(F.when(F.col("_tiered"), 1)).alias("tiered"), F.max(F.when(F.col("_tiered"), F.col("_hit"))).alias("tiered_hit")
+    )
+    per_day = per_account.groupBy("rep_name", "month_date", "snapshot_date").agg(F.sum("tiered").alias("book"), F.count("tiered_hit").alias("reached"), F.count("hit").alias("contacted"))
+    wide = per_day.groupBy("rep_name", "month_date").agg(
+        F.max_by(safe_divide(F.col("reached"), F.col("book")), F.when(F.col("book") > 0, F.col("snapshot_date"))).alias("share"),
+        F.max_by("contacted", F.when(F.col("contacted") > 0, F.col("snapshot_date"))).alias("contacted"),
+    )
+    return to_long(wide, {"share": "1h. % Book Contacted", "contacted": "1i. # Accounts Contacted"})
+
+
 def all_facts(source, as_of: date, snapshot: date, tiers: list[str]) -> DataFrame:
     """Every metric of the sheet as long rows. One row per (rep, month, metric)."""
     t = source.table
-    fact, users, workers = t("fact_metric"), t("crm_user"), t("hr_worker")
-    stages, opps, activity = t("fact_stage"), t("crm_opportunity"), t("account_activity")
-    created_opps = created(fact)
-    by_quarter, by_month = quotas(t("hr_quota"), workers), quotas(t("hr_quota"), workers, quarterly=False)
-    won_q, won_m = value_sums(fact, "Closed Won", "actual", True), value_sums(fact, "Closed Won", "actual", False)
-    open_q = value_sums(fact, "Open Pipe SAL", "open", True)
-    this_quarter, this_month = quarter_end(as_date(as_of)), F.last_day(as_date(as_of))
-    cover = pipe_coverage(by_quarter, won_q, open_q, this_quarter).withColumn("month_date", this_month)
-    past = pipe_coverage(
-        by_quarter,
-        value_sums(fact, "Closed Won", "actual", True, "Snapshots", snapshot),
-        value_sums(fact, "Open Pipe SAL", "open", True, "Snapshots", snapshot),
-        quarter_end(F.lit(snapshot)),
-    )
-    quarter_attainment = attainment(by_quarter.filter(F.col("month_date") == this_quarter), won_q).withColumn("month_date", this_month)
-    recorded = meetings_recorded(t("act_recorded_meeting"))
+    users, workers, activity = t("crm_user"), t("hr_worker"), t("account_activity")
+    keys = fact_keys(t("fact_metric"), t("partner_relationship"), as_of, snapshot).unionByName(quota_keys(t("hr_quota"), workers))
     parts = [
+        fact_values(keys, as_of, snapshot),
         to_long(emails(t("act_email"), users), {"emails_sent": "1a. Emails Sent", "email_open_rate": "1b. Email Open Rate", "email_response_rate": "1c. Response Rate - Email"}),
         to_long(calls(t("act_call"), users), {"calls_sent": "1a. Calls Sent", "calls_response_rate": "1c. Response Rate - Call", "calls_interested": "1k. Total Call interested", "call_interest_rate": "1k. Call Interest Rate"}),
         to_long(appointments(t("act_cadence"), users), {"value": "1d. Appointments booked responses"}),
         to_long(show_rate(t("act_meeting"), users), {"value": "1e. Show rate"}),
         to_long(meeting_minutes(t("act_meeting"), t("act_cadence"), users), {"value": "1f. Average meeting time (hr)"}),
-        to_long(created_opps, {"value": "1g. Created Opps"}),
-        to_long(book_contacted(t("account_snapshot"), t("territory_rep"), activity, tiers), {"value": "1h. % Book Contacted"}),
-        to_long(accounts_contacted(t("account_snapshot"), t("territory_rep"), activity), {"value": "1i. # Accounts Contacted"}),
-        to_long(cover, {"revenue_coverage": "1j. Pipe Coverage LTR", "profit_coverage": "1j. Pipe Coverage IPP", "activations_coverage": "1j. Pipe Coverage SA",
-                        "profit_gap": "99e. Targets - Actuals IPP", "revenue_gap": "99e. Targets - Actuals LTR", "profit_quota": "99i. IPP Targets",
-                        "revenue_quota": "99i. LTR Targets", "open_revenue": "99k. Open Pipe LTR", "open_profit": "99k. Open Pipe IPP"}),
-        to_long(past, {"revenue_coverage": "1l. LQ Pipe Coverage LTR", "profit_coverage": "1l. LQ Pipe Coverage IPP"}),
-        to_long(recorded, {"recorded": "2a. Total Meetings Recorded", "meetings": "99f. Total Meetings"}),
-        to_long(talk_conversion(t("act_conversation"), users, created_opps), {"value": "2b. Talk-to-Meeting Conversion Rate"}),
-        to_long(multi_year(fact, "Open Pipe SAL"), {"value": "2c. Multi vs Single Yr Deals - Open Pipe"}),
-        to_long(demos(fact), {"value": "2d. # of Demos Scheduled"}),
+        book_values(t("account_snapshot"), t("territory_rep"), activity, tiers),
+        to_long(meetings_recorded(t("act_recorded_meeting")), {"recorded": "2a. Total Meetings Recorded", "meetings": "99f. Total Meetings"}),
+        to_long(talk_conversion(t("act_conversation"), users, created(t("fact_metric"))), {"value": "2b. Talk-to-Meeting Conversion Rate"}),
         to_long(follow_up(activity), {"value": "2e. Follow-Up Rate"}),
-        stage_progress(stages, opps).filter(F.col("value").isNotNull()).select(*LONG),
-        to_long(next_steps(fact, as_of), {"value": "2g. % of Pipe w/ Next steps"}),
-        to_long(open_age(fact, as_of), {"value": "2h. Average Age - Open Pipe"}),
+        stage_values(t("fact_stage"), t("crm_opportunity")),
         to_long(manager_accepted(t("act_meeting"), users), {"value": "2i. Meetings Accepted by Manager"}),
-        to_long(win_rate(fact), {"value": "3a. Win Rate"}),
-        to_long(cycle_length(stages, opps), {"value": "3c. Cycle Length"}),
-        to_long(unified_partner(fact, t("partner_relationship")), {"unified_share": "3d. Unified Commerce Exposure", "partner_share": "3e. Partner attach"}),
-        to_long(multi_year(fact, "Closed Won"), {"value": "3g. Multi vs Single Yr Deals - Closed Won"}),
-        to_long(contract_length(fact), {"value": "3h. Contract Length"}),
-        to_long(product_mix(fact), {"capital": "3i. Product Mix Capital", "payments": "3j. Product Mix Payments",
-                                    "retail_payments": "3k. Product Mix Retail Payments", "installments": "3l. Product Mix Installments"}),
-        to_long(attainment(by_month, won_m), {"revenue_attainment": "3m. Attainment LTR", "profit_attainment": "3m. Attainment IPP", "activations_attainment": "3m. Attainment SA"}),
-        to_long(pacing(by_quarter, won_q, as_of), {"profit_pacing": "3n. Pacing IPP", "revenue_pacing": "3n. Pacing LTR", "activations_pacing": "3n. Pacing SA"}),
-        to_long(created_value(fact), {"created_revenue": "99b. Created LTR", "created_profit": "99b. Created IPP"}),
-        to_long(quarter_attainment, {"revenue_attainment": "99h. 25Q1 Attainment LTR", "profit_attainment": "99h. 25Q1 Attainment IPP", "activations_attainment": "99h. 25Q1 Attainment SAU"}),
     ]
     return union_all(parts)
 
@@ -413,43 +567,48 @@ def assemble(grid: DataFrame, facts: DataFrame) -> DataFrame:
     return grid.join(facts, ["rep_name", "month_date", "metric"])
 
 
+BAND_KEYS = ["team_group", "region_compare", "metric", "month_date"]
+
+
+def _bands(top: Column, low: Column) -> dict[str, Column]:
+    return {"min_value": low, "max_value": top, "quarter_1": top / 4, "quarter_2": top / 4 * 2, "quarter_3": top / 4 * 3}
+
+
 def quartile_bands(rep: DataFrame) -> DataFrame:
     """Quarters of the maximum per group, region, metric and month."""
-    top = F.max("value")
-    return rep.groupBy("team_group", "region_compare", "metric", "month_date").agg(
-        F.min("value").alias("min_value"), top.alias("max_value"), (top / 4).alias("quarter_1"), (top / 4 * 2).alias("quarter_2"), (top / 4 * 3).alias("quarter_3")
-    )
+    return rep.groupBy(*BAND_KEYS).agg(*[v.alias(k) for k, v in _bands(F.max("value"), F.min("value")).items()])
 
 
-def points(rep: DataFrame, bands: DataFrame) -> DataFrame:
-    """Points by the band a value falls in. Rows without a team group meet no band and drop out."""
+def points(rep: DataFrame) -> DataFrame:
+    """Points by the band a value falls in. Rows without a team group meet no band and drop out.
+
+    The bands are taken over the reps of one group, metric and month (a headcount, not a data
+    volume), in place, so the rep rows are computed once.
+    """
+    w = Window.partitionBy(*BAND_KEYS)
+    rows = rep.filter(F.col("team_group").isNotNull() & F.col("region_compare").isNotNull())
+    rows = rows.withColumns(_bands(F.max("value").over(w), F.min("value").over(w)))
     v, p = F.col("value"), F.col("points")
     earned = F.when(v >= F.col("quarter_3"), p).when(v >= F.col("quarter_2"), p / 4 * 3).when(v >= F.col("quarter_1"), p / 4 * 2).otherwise(p / 4)
-    joined = rep.filter(~F.col("team").like("%DNU%")).join(bands, ["team_group", "region_compare", "metric", "month_date"])
-    return joined.filter(F.col("quarter_3") > 0).withColumn("rep_points", F.round(earned, 0))
+    return rows.filter(~F.col("team").like("%DNU%") & (F.col("quarter_3") > 0)).withColumn("rep_points", F.round(earned, 0))
 
 
 def group_totals(final: DataFrame, sheet: DataFrame) -> DataFrame:
     """Group and subgroup totals, on the first metric of each group only.
 
-    The first metric is the minimum name of the group, so the totals and the place to show them come
-    from one aggregation per grouping instead of a window over all rows.
+    A window holds the metrics of one rep, month and group: at most the length of the sheet.
     """
-    keys = ["rep_name", "team_group", "month_date"]
-    g, s = [*keys, "metric_group"], [*keys, "metric_subgroup"]
-    by_group = final.groupBy(*g).agg(F.sum("rep_points").alias("_g_points"), F.min("metric").alias("_g_first"))
+    keys = ["rep_name", "month_date", "team_group"]
     possible = sheet.groupBy("metric_subgroup", "team_group").agg(F.sum("points").alias("_possible"))
-    by_subgroup = final.groupBy(*s).agg(F.sum("rep_points").alias("_s_points"), F.min("metric").alias("_s_first"))
-    by_subgroup = by_subgroup.join(possible, ["metric_subgroup", "team_group"], "left")
-    rows = final.join(by_group, g).join(by_subgroup, s)
-    g_first, s_first = F.col("metric") == F.col("_g_first"), F.col("metric") == F.col("_s_first")
-    return rows.withColumns(
-        {
-            "group_points": F.when(g_first, F.col("_g_points")),
-            "subgroup_points": F.when(s_first, F.col("_s_points")),
-            "subgroup_possible": F.when(s_first, F.col("_possible")),
-        }
-    ).drop("_g_points", "_g_first", "_s_points", "_s_first", "_possible")
+    rows = final.join(possible, ["metric_subgroup", "team_group"], "left")
+    out = {}
+    for name, col in {"group": "metric_group", "subgroup": "metric_subgroup"}.items():
+        w = Window.partitionBy(*keys, col)
+        first = F.row_number().over(w.orderBy("metric")) == 1
+        out[f"{name}_points"] = F.when(first, F.sum("rep_points").over(w))
+        if name == "subgroup":
+            out["subgroup_possible"] = F.when(first, F.col("_possible"))
+    return rows.withColumns(out).drop("_possible")
 
 
 def scorecard_rows(source, as_of: date, from_date: date, snapshot: date, tiers: list[str]) -> DataFrame:
@@ -461,4 +620,4 @@ def scorecard_rows(source, as_of: date, from_date: date, snapshot: date, tiers:
 
 def scorecard(source, as_of: date, from_date: date, snapshot: date, tiers: list[str]) -> DataFrame:
     rep = scorecard_rows(source, as_of, from_date, snapshot, tiers)
-    return group_totals(points(rep, quartile_bands(rep)), source.table("scorecard_metric"))
+    return group_totals(points(rep), source.table("scorecard_metric"))
