@@ -90,6 +90,14 @@ def outsourced_segment(fact: DataFrame, pattern: str = "%N3 Retail%", label: str
 KEYS = ["measure", "segment", "label", "yr_qtr", "value_type", "sales_region"]
 
 
+def _coarse_filter(measures: list[Measure]) -> Column:
+    """Rows that may feed a measure, as IN lists on plain columns, which a parquet scan can use."""
+    cond = F.col("dataset").isin(*sorted({d for m in measures for d in m.datasets})) & F.col("metric").isin(*sorted({x for m in measures for x in m.metrics}))
+    if all(m.value_types is not None for m in measures):
+        cond = cond & F.col("value_type").isin(*sorted({v for m in measures for v in m.value_types}))
+    return cond
+
+
 def _per_opportunity(fact: DataFrame, measures: list[Measure], with_global: bool) -> DataFrame:
     tags = [
         F.when(
@@ -103,10 +111,7 @@ def _per_opportunity(fact: DataFrame, measures: list[Measure], with_global: bool
         for m in measures
     ]
     hits = F.filter(F.array(*tags), lambda t: t.isNotNull())
-    any_hit = F.lit(False)
-    for m in measures:
-        any_hit = any_hit | m.applies()
-    rows = fact.filter(any_hit).withColumn("_hit", F.explode(hits))
+    rows = fact.filter(_coarse_filter(measures)).withColumn("_hit", F.explode(hits))
     base = ["_hit.measure", "segment", "_hit.label", F.concat(F.col("year").cast("string"), F.lit("-"), F.col("quarter")).alias("yr_qtr"), "value_type"]
     region = F.explode(F.array("sales_region", F.lit(GLOBAL))) if with_global else F.col("sales_region")
     rows = rows.select(*base, region.alias("sales_region"), "opportunity_id", "lead_group", "value", F.col("_hit.days").alias("days"), (F.col("metric") == "Closed Won").alias("won"))

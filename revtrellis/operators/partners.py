@@ -166,78 +166,89 @@ def _common_columns(source, leads: DataFrame) -> DataFrame:
     ).drop("_raw_locations", "number_of_locations", "_raw_company", "_legacy_company", "winning_partner_id", "region_label")
 
 
-def partner_lead_rows(source, leads: DataFrame | None = None) -> DataFrame:
-    """Enriched row per lead, referral and partner membership."""
+def _by_partner() -> Column:
+    return F.coalesce(F.col("lead_source_original").isin(*V.PARTNER_LEAD_SOURCES), F.lit(False))
+
+
+def lead_rows(source, leads: DataFrame, through_partner: Column) -> DataFrame:
+    """Enriched rows of both kinds of leads in one chain of joins.
+
+    Leads that came through a partner get one row per referral and membership, and the partner's attributes;
+    for the others those join keys are null, so they keep one row.
+    """
     ids = consolidated_ids(source.table("crm_lead"), source.table("partner_referral"))
-    leads = source.table("crm_lead").join(ids, "lead_id", "left_semi") if leads is None else leads
     referrals = referring_partners(source.table("partner_referral")).select(
-        "lead_id", F.col("partner_id").alias("_referred"), F.col("referred_on").cast("string").alias("referral_timestamp"),
+        F.col("lead_id").alias("_referral_key"), F.col("partner_id").alias("_referred"), F.col("referred_on").cast("string").alias("referral_timestamp"),
         F.col("referral_index").cast("string").alias("referral_index"),
     )
-    records = partner_lead_latest(source.table("partner_lead"), ids).select(
-        "lead_id", F.col("partner_id").alias("_recorded"), F.col("shop_id").cast("string").alias("shop_id"), F.col("country_code").alias("_country")
+    countries = source.table("geo_country").select("country_code", "sub_region", "market_maturity")
+    records = partner_lead_latest(source.table("partner_lead"), ids).join(countries, "country_code", "left").select(
+        F.col("lead_id").alias("_referral_key"), F.col("partner_id").alias("_recorded"), F.col("shop_id").cast("string").alias("shop_id"), "sub_region", "market_maturity"
     )
-    countries = source.table("geo_country").select(F.col("country_code").alias("_country"), "sub_region", "market_maturity")
     partners = source.table("partner").select(
-        F.col("partner_id"), "partner_name", F.col("sub_region").alias("partner_sub_region"), "management_model", "partner_type", F.lit(True).alias("_known")
+        F.col("partner_id").alias("_pid"), "partner_name", F.col("sub_region").alias("partner_sub_region"), "management_model", "partner_type", F.lit(True).alias("_known")
     )
-    managers = manager_asof(source.table("partner_manager_daily")).withColumnRenamed("on_date", "current_status_date")
-    rows = _common_columns(source, leads).join(records.join(countries, "_country", "left"), "lead_id", "left").join(referrals, "lead_id", "left")
+    managers = manager_asof(source.table("partner_manager_daily")).select(
+        F.col("partner_id").alias("_managed"), F.col("on_date").alias("current_status_date"), F.col("programme_manager").alias("partner_manager"), "in_plus_programme"
+    )
+    accounts = source.table("crm_account").select(F.col("account_id").alias("_segment_key"), "market_segment")
+    rows = _common_columns(source, leads).withColumn("_through", through_partner)
+    rows = rows.withColumn("_referral_key", F.when(F.col("_through"), F.col("lead_id")))
+    rows = left_join_nullable(rows, records, ["_referral_key"], ["lead_id"])
+    rows = left_join_nullable(rows, referrals, ["_referral_key"], ["lead_id"])
     rows = rows.withColumn("partner_id", F.coalesce("_referred", "_recorded", "winning_partner"))
-    rows = left_join_nullable(rows, partners, ["partner_id"], ["lead_id"])
-    rows = rows.withColumn("_managed", F.when(F.col("_known"), F.col("partner_id")))
-    rows = left_join_nullable(rows, managers.withColumnRenamed("partner_id", "_managed"), ["_managed", "current_status_date"], ["lead_id"])
+    rows = rows.withColumn("_pid", F.when(F.col("_through"), F.col("partner_id")))
+    rows = left_join_nullable(rows, partners, ["_pid"], ["lead_id"])
+    rows = rows.withColumn("_managed", F.when(F.col("_known"), F.col("_pid")))
+    rows = left_join_nullable(rows, managers, ["_managed", "current_status_date"], ["lead_id"])
+    rows = rows.withColumn("_segment_key", F.when(~F.col("_through"), F.col("converted_account_id")))
+    rows = left_join_nullable(rows, accounts, ["_segment_key"], ["lead_id"])
+    through = F.col("_through")
     return rows.withColumns(
         {
-            "partner_manager": F.col("programme_manager"),
-            "plus_program": F.when(F.col("in_plus_programme"), "Yes").otherwise("No"),
-            "sales_assistance": F.col("partner_involvement"),
-            "gmv_band": F.lit(None).cast("string"),
-            "market_segment": F.lit(None).cast("string"),
-            "mql_date": F.lit(None).cast("date"),
+            "plus_program": F.when(through, F.when(F.col("in_plus_programme"), "Yes").otherwise("No")),
+            "sales_assistance": F.when(through, F.col("partner_involvement")).otherwise(F.when(F.col("mql_date").isNotNull(), "Yes").otherwise("No")),
+            "gmv_band": F.when(~through, gmv_band(F.col("online_revenue_verified"))),
+            "mql_date": F.when(~through, F.col("mql_date")),
         }
-    ).drop("_referred", "_recorded", "_country", "_known", "_managed", "programme_manager", "in_plus_programme", "winning_partner", "partner_involvement", "online_revenue_verified")
+    ).drop("_referral_key", "_referred", "_recorded", "_pid", "_known", "_managed", "_segment_key", "in_plus_programme", "winning_partner", "partner_involvement", "online_revenue_verified")
+
+
+def partner_lead_rows(source, leads: DataFrame | None = None) -> DataFrame:
+    """Enriched row per lead, referral and partner membership."""
+    ids = consolidated_ids(source.table("crm_lead"), source.table("partner_referral"))
+    leads = source.table("crm_lead").join(ids, "lead_id", "left_semi") if leads is None else leads
+    return lead_rows(source, leads, F.lit(True)).drop("_through")
 
 
 def marketing_lead_rows(source, leads: DataFrame | None = None) -> DataFrame:
     """Enriched row per lead that did not come through a partner or outbound work."""
     leads = source.table("crm_lead") if leads is None else leads
     leads = leads.filter(~F.col("lead_source_original").isin(*V.NON_MARKETING_LEAD_SOURCES))
-    accounts = source.table("crm_account").select(F.col("account_id").alias("converted_account_id"), "market_segment")
-    rows = left_join_nullable(_common_columns(source, leads), accounts, ["converted_account_id"], ["lead_id"])
-    absent = ["sub_region", "market_maturity", "partner_manager", "partner_name", "plus_program", "referral_timestamp", "referral_index", "shop_id",
-              "partner_sub_region", "management_model", "partner_type"]
-    return rows.withColumns(
-        {
-            "partner_id": F.col("winning_partner"),
-            "gmv_band": gmv_band(F.col("online_revenue_verified")),
-            "sales_assistance": F.when(F.col("mql_date").isNotNull(), "Yes").otherwise("No"),
-            **{c: F.lit(None).cast("string") for c in absent},
-        }
-    ).drop("winning_partner", "partner_involvement", "online_revenue_verified")
+    return lead_rows(source, leads, F.lit(False)).drop("_through")
 
 
-def lead_partner_report(rows: DataFrame, source, label: str, as_of: date, bounded: bool = True) -> DataFrame:
-    """Type-2 owners, programme flags and outcomes; one row per lead and partner."""
-    dimension = source.table("partner").select(
-        "partner_id", F.col("partner_name").alias("_dim_name"), "partner_account_id", F.col("recruiter").alias("_dim_recruiter")
-    )
+def lead_partner_report(rows: DataFrame, source, as_of: date, bounded: bool = True) -> DataFrame:
+    """Type-2 owners, programme flags and outcomes; one row per lead and partner.
+
+    The row is picked before the histories are joined, because they depend on the lead and partner only;
+    of several overlapping periods the first name in order is kept.
+    """
+    one_per = ["lead_id", "partner_id"]
+    rows = latest_per_key(rows, one_per, [F.asc_nulls_last("referral_index"), F.asc_nulls_last("shop_id")])
     payment = payment_partners(source.table("partner")).withColumn("_payment", F.lit(True))
-    rows = left_join_nullable(rows, dimension.join(payment, "partner_id", "left"), ["partner_id"], ["lead_id"])
-    developer, recruiter = source.table("partner_developer_history"), source.table("partner_recruiter_history")
-    if not bounded:
-        always = {"start_date": F.lit(date(1900, 1, 1)), "end_date": F.lit(date(9999, 12, 31))}
-        developer, recruiter = developer.withColumns(always), recruiter.withColumns(always)
-    # Only the first name in order survives below, so each history is reduced to it per row first.
-    rows = rows.withColumn("_row", F.struct("referral_index", "shop_id"))
-    for history, out in ((developer, "_developer"), (recruiter, "_recruiter")):
-        wanted = rows.select("lead_id", "partner_account_id", "created_date").filter(F.col("partner_account_id").isNotNull()).distinct()
-        matched = type2_asof(wanted, history, "partner_account_id", "created_date", out, as_of)
-        named = matched.groupBy("lead_id", "partner_account_id").agg(F.min(out).alias(out))
-        rows = left_join_nullable(rows, named, ["lead_id", "partner_account_id"], ["lead_id"])
-    rows = rows.withColumns(
+    dimension = source.table("partner").join(payment, "partner_id", "left").select(
+        "partner_id", F.col("partner_name").alias("_dim_name"), "partner_account_id", F.col("recruiter").alias("_dim_recruiter"), "_payment"
+    )
+    rows = left_join_nullable(rows, dimension, ["partner_id"], ["lead_id"])
+    always = {"start_date": F.lit(date(1900, 1, 1)), "end_date": F.lit(date(9999, 12, 31))}
+    for table, out in (("partner_developer_history", "_developer"), ("partner_recruiter_history", "_recruiter")):
+        history = source.table(table) if bounded else source.table(table).withColumns(always)
+        rows = type2_asof(rows, history, "partner_account_id", "created_date", out, as_of)
+        rows = latest_per_key(rows, one_per, [F.asc_nulls_last(out)])
+    return rows.withColumns(
         {
-            "metric_name": F.lit(label),
+            "metric_name": F.when(F.col("_through"), "PQL").otherwise("MQL"),
             **outcome_ids(),
             "days_in_current_status": days_between(as_date(as_of), "current_status_date"),
             "opp_offline_revenue": zero_if_null(F.col("opp_offline_revenue")),
@@ -249,25 +260,27 @@ def lead_partner_report(rows: DataFrame, source, label: str, as_of: date, bounde
             "partner_region": F.col("region"),
             "partner_country": F.col("country_name"),
         }
-    )
-    order = [F.asc_nulls_last("referral_index"), F.asc_nulls_last("shop_id")]
-    picked = latest_per_key(rows, ["lead_id", "partner_id"], order)
-    return picked.drop("_row", "_dim_name", "_dim_recruiter", "_payment", "_developer", "_recruiter")
+    ).drop("_through", "_dim_name", "_dim_recruiter", "_payment", "_developer", "_recruiter")
+
+
+def _marketing_leads() -> Column:
+    return ~F.col("lead_source_original").isin(*V.NON_MARKETING_LEAD_SOURCES)
 
 
 def partner_qualified_leads(source, as_of: date, bounded: bool = True) -> DataFrame:
-    ids = consolidated_ids(source.table("crm_lead"), source.table("partner_referral"))
-    leads = source.table("crm_lead").filter(F.col("lead_source_original").isin(*V.PARTNER_LEAD_SOURCES)).join(ids, "lead_id", "left_semi")
-    return lead_partner_report(partner_lead_rows(source, leads), source, "PQL", as_of, bounded)
+    rows = lead_rows(source, source.table("crm_lead").filter(_by_partner()), F.lit(True))
+    return lead_partner_report(rows, source, as_of, bounded)
 
 
 def marketing_qualified_leads(source, as_of: date, bounded: bool = True) -> DataFrame:
-    return lead_partner_report(marketing_lead_rows(source), source, "MQL", as_of, bounded)
+    rows = lead_rows(source, source.table("crm_lead").filter(_marketing_leads()), F.lit(False))
+    return lead_partner_report(rows, source, as_of, bounded)
 
 
 def leads_with_role(source, as_of: date) -> DataFrame:
-    """Both kinds of leads by column name, with the attributes of the owner's role."""
-    both = partner_qualified_leads(source, as_of).unionByName(marketing_qualified_leads(source, as_of))
+    """Both kinds of leads in one table, with the attributes of the owner's role."""
+    leads = source.table("crm_lead").filter(_by_partner() | _marketing_leads())
+    both = lead_partner_report(lead_rows(source, leads, _by_partner()), source, as_of)
     roles = source.table("crm_role_attribute").select(
         F.col("rep_role").alias("lead_owner_role"), "team_segment", F.col("market_segment").alias("owner_market_segment")
     )

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from revtrellis.functions.dates import as_date, days_between, minutes_between, month_end, period_month, quarter_end, quarter_start
 from revtrellis.functions.numbers import count_if, coverage, inverse_mean, lookup, safe_divide, sum_if, zero_if_null
 from revtrellis.functions.text import any_like
-from revtrellis.operators.joins import join_group_or_global, left_join_nullable
+from revtrellis.operators.joins import join_group_or_global
 from revtrellis.operators.sets import union_all
 from revtrellis.operators.windows import latest_per_key
 from revtrellis.params import fixed_values as V
@@ -356,17 +356,11 @@ class FactPart:
     hit: Column | None = None
     value: Column | None = None
 
-    def row_filter(self) -> Column:
-        return (F.col("dataset") == self.dataset) & F.col("metric").isin(*self.metric) & (F.col("value_type") == self.value_type)
-
-    def applies(self) -> Column:
-        return self.row_filter() if self.where is None else self.row_filter() & self.where
-
     def struct(self, key: str) -> Column:
-        period = {"month": month_end("full_date"), "quarter": quarter_end("full_date"), "qualified": month_end("qualified_date")}[self.period]
         value = F.col("value") if self.value is None else self.value.cast("double")
         hit = F.lit(0) if self.hit is None else F.when(self.hit, 1).otherwise(0)
-        return F.when(self.applies(), F.struct(F.lit(key).alias("key"), period.alias("month_date"), value.alias("value"), hit.alias("hit")))
+        made = F.struct(F.lit(key).alias("key"), F.col(f"_{self.period}").alias("month_date"), value.alias("value"), hit.alias("hit"))
+        return made if self.where is None else F.when(self.where, made)
 
 
 def fact_parts(as_of: date, snapshot: date) -> dict[str, FactPart]:
@@ -385,7 +379,6 @@ def fact_parts(as_of: date, snapshot: date) -> dict[str, FactPart]:
         "open_age": FactPart(sal, count, period="qualified", value=days_between(as_date(as_of), "qualified_date")),
         "win_rate": FactPart(("Closed Won", "Closed Lost"), count, hit=F.col("metric") == "Closed Won"),
         "unified": FactPart(won, count, hit=F.col("is_unified")),
-        "partner": FactPart(won, count, hit=F.col("_partner").isNotNull()),
         "contract": FactPart(won, count, value=term),
     }
     for k, v in PRODUCTS.items():
@@ -399,20 +392,27 @@ def fact_parts(as_of: date, snapshot: date) -> dict[str, FactPart]:
     return parts
 
 
-def fact_keys(fact: DataFrame, relationships: DataFrame, as_of: date, snapshot: date) -> DataFrame:
+def fact_keys(fact: DataFrame, as_of: date, snapshot: date) -> DataFrame:
     """Sums, means and distinct shares of all keys, from a single read of the metric fact.
 
     A row is expanded to the keys it belongs to and reduced per opportunity first: distinct counts
     become sums, and an owner with very many rows is spread over many tasks.
     """
-    parts = fact_parts(as_of, snapshot)
-    coselling = relationships.filter("is_coselling").select("opportunity_id").distinct().withColumn("_partner", F.lit(True))
-    used = F.lit(False)
-    for p in parts.values():
-        used = used | p.row_filter()
-    rows = left_join_nullable(fact.filter(used), coselling, ["opportunity_id"], ["opportunity_owner", "full_date", "value"])
-    tags = F.array_compact(F.array(*[p.struct(k) for k, p in parts.items()]))
-    rows = rows.select(F.col("opportunity_owner").alias("rep_name"), "opportunity_id", F.explode(tags).alias("_t")).select("rep_name", "opportunity_id", "_t.*")
+    families: dict[tuple[str, str, str], list[Column]] = {}
+    for key, part in fact_parts(as_of, snapshot).items():
+        for metric in part.metric:
+            families.setdefault((part.dataset, metric, part.value_type), []).append(part.struct(key))
+    # One branch per kind of row, so that a row builds only the few entries of its own kind.
+    tags = None
+    for (dataset, metric, value_type), entries in families.items():
+        here = (F.col("dataset") == dataset) & (F.col("metric") == metric) & (F.col("value_type") == value_type)
+        tags = F.when(here, F.array(*entries)) if tags is None else tags.when(here, F.array(*entries))
+    used = F.lit(True)
+    for column, values in zip(("dataset", "metric", "value_type"), zip(*families)):
+        used = used & F.col(column).isin(*sorted(set(values)))
+    periods = {"_month": month_end("full_date"), "_quarter": quarter_end("full_date"), "_qualified": month_end("qualified_date")}
+    rows = fact.filter(used).withColumns(periods).select(F.col("opportunity_owner").alias("rep_name"), "opportunity_id", F.explode(tags).alias("_t")).filter(F.col("_t").isNotNull())
+    rows = rows.select("rep_name", "opportunity_id", "_t.*")
     per_opp = rows.groupBy("rep_name", "month_date", "key", "opportunity_id").agg(
         F.sum("value").alias("total"), F.count("value").alias("n"), F.max("hit").alias("hit")
     )
@@ -437,6 +437,15 @@ def quota_keys(attainment_rows: DataFrame, workers: DataFrame) -> DataFrame:
     return rows.groupBy("rep_name", "month_date", "key").agg(F.sum("quota").alias("total"), none.alias("n"), none.alias("hits"), none.alias("opps"))
 
 
+def talk_keys(conversations: DataFrame, users: DataFrame) -> DataFrame:
+    """Conversation minutes in the form of ``fact_keys``."""
+    names = users.select(F.col("guid").cast("string").alias("user_guid"), F.col("name").alias("rep_name"))
+    none = F.lit(None).cast("long")
+    return conversations.join(names, "user_guid").groupBy("rep_name", month_end("created_date").alias("month_date"), F.lit("talk").alias("key")).agg(
+        F.sum(F.col("duration_ms") / 60000).alias("total"), F.count("*").alias("n"), none.alias("hits"), none.alias("opps")
+    )
+
+
 def fact_values(keys: DataFrame, as_of: date, snapshot: date) -> DataFrame:
     """Metric values per rep and period from the keys of that period.
 
@@ -462,13 +471,13 @@ def fact_values(keys: DataFrame, as_of: date, snapshot: date) -> DataFrame:
     month = F.col("month_date")
     out: list[tuple[str, Column, Column]] = [
         ("1g. Created Opps", month, total("created")),
+        ("2b. Talk-to-Meeting Conversion Rate", month, safe_divide(total("talk"), total("created") * part("talk", "n"))),
         ("2c. Multi vs Single Yr Deals - Open Pipe", month, share("multi_open")),
         ("2d. # of Demos Scheduled", month, total("demos")),
         ("2g. % of Pipe w/ Next steps", month, share("next_steps")),
         ("2h. Average Age - Open Pipe", month, inverse_mean(mean("open_age"))),
         ("3a. Win Rate", month, share("win_rate")),
         ("3d. Unified Commerce Exposure", month, share("unified")),
-        ("3e. Partner attach", month, share("partner")),
         ("3g. Multi vs Single Yr Deals - Closed Won", month, share("multi_won")),
         ("3h. Contract Length", month, F.round(mean("contract"), 2)),
         ("3i. Product Mix Capital", month, share("mix_capital")),
@@ -535,7 +544,7 @@ def all_facts(source, as_of: date, snapshot: date, tiers: list[str]) -> DataFram
     """Every metric of the sheet as long rows. One row per (rep, month, metric)."""
     t = source.table
     users, workers, activity = t("crm_user"), t("hr_worker"), t("account_activity")
-    keys = fact_keys(t("fact_metric"), t("partner_relationship"), as_of, snapshot).unionByName(quota_keys(t("hr_quota"), workers))
+    keys = union_all([fact_keys(t("fact_metric"), as_of, snapshot), quota_keys(t("hr_quota"), workers), talk_keys(t("act_conversation"), users)])
     parts = [
         fact_values(keys, as_of, snapshot),
         to_long(emails(t("act_email"), users), {"emails_sent": "1a. Emails Sent", "email_open_rate": "1b. Email Open Rate", "email_response_rate": "1c. Response Rate - Email"}),
@@ -545,7 +554,7 @@ def all_facts(source, as_of: date, snapshot: date, tiers: list[str]) -> DataFram
         to_long(meeting_minutes(t("act_meeting"), t("act_cadence"), users), {"value": "1f. Average meeting time (hr)"}),
         book_values(t("account_snapshot"), t("territory_rep"), activity, tiers),
         to_long(meetings_recorded(t("act_recorded_meeting")), {"recorded": "2a. Total Meetings Recorded", "meetings": "99f. Total Meetings"}),
-        to_long(talk_conversion(t("act_conversation"), users, created(t("fact_metric"))), {"value": "2b. Talk-to-Meeting Conversion Rate"}),
+        to_long(unified_partner(t("fact_metric"), t("partner_relationship")), {"partner_share": "3e. Partner attach"}),
         to_long(follow_up(activity), {"value": "2e. Follow-Up Rate"}),
         stage_values(t("fact_stage"), t("crm_opportunity")),
         to_long(manager_accepted(t("act_meeting"), users), {"value": "2i. Meetings Accepted by Manager"}),
