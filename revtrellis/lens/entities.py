@@ -157,24 +157,27 @@ def crm_opportunity(q: Dialect) -> str:
 
 @entity
 def fact_metric(q: Dialect) -> str:
-    types = ["Opportunity Deal Count", "Product Deal Count", "Total Revenue", "Incremental Product Profit", "Solution Activations"]
     created = "CAST(o_orderdate AS DATE)"
-    return f"""SELECT dataset,
-      CASE dataset WHEN 'Head Count' THEN 'Head Count Capacity' WHEN 'Activity' THEN 'Activity Subtype Count' ELSE stage_metric END AS metric,
-      CASE WHEN dataset = 'Activity' AND raw_type = 'Opportunity Deal Count' THEN 'Demo' ELSE raw_type END AS value_type,
-      CASE raw_type WHEN 'Total Revenue' THEN revenue WHEN 'Incremental Product Profit' THEN floor(revenue / 4) * 1e0
-        WHEN 'Solution Activations' THEN opp_key % 5 * 1e0 ELSE 1e0 END AS value,
-      CASE WHEN dataset NOT IN ('Targets', 'Head Count') THEN opp_key END AS opportunity_id,
-      account_id, opportunity_owner, owner_manager, market_segment, team_segment, sales_region, sales_sub_region, lead_group,
-      full_date, CAST(year(full_date) AS INT) AS year, 'Q' || CAST(quarter(full_date) AS STRING) AS quarter,
-      CASE WHEN dataset = 'Snapshots' THEN DATE '1998-05-04' END AS snapshot_date,
-      term_length, product_name, next_step, is_unified, qualified_date, created_date, close_date, campaign, platform_group
-    FROM (SELECT o_orderkey AS opp_key, {_account('o_custkey')} AS account_id, CAST(floor(o_totalprice) AS DOUBLE) AS revenue,
+    values = {
+        "CASE WHEN dataset = 'Activity' THEN 'Demo' ELSE 'Opportunity Deal Count' END": "1e0",
+        "'Product Deal Count'": "1e0",
+        "'Total Revenue'": "revenue",
+        "'Incremental Product Profit'": "floor(revenue / 4) * 1e0",
+        "'Solution Activations'": "opp_key % 5 * 1e0",
+    }
+    entries = q.explode(*[q.struct(value_type=t, value=v) for t, v in values.items()])
+    kept = """account_id, opportunity_owner, owner_manager, market_segment, team_segment, sales_region, sales_sub_region, lead_group, full_date,
+      term_length, product_name, next_step, is_unified, qualified_date, created_date, close_date, campaign, platform_group"""
+    return f"""SELECT dataset, metric, e.value_type AS value_type, e.value AS value, opportunity_id, year, quarter, snapshot_date, {kept}
+    FROM (SELECT dataset, CASE dataset WHEN 'Head Count' THEN 'Head Count Capacity' WHEN 'Activity' THEN 'Activity Subtype Count' ELSE stage_metric END AS metric,
+        {entries} AS e, CASE WHEN dataset NOT IN ('Targets', 'Head Count') THEN opp_key END AS opportunity_id,
+        CAST(year(full_date) AS INT) AS year, 'Q' || CAST(quarter(full_date) AS STRING) AS quarter,
+        CASE WHEN dataset = 'Snapshots' THEN DATE '1998-05-04' END AS snapshot_date, {kept}
+      FROM (SELECT o_orderkey AS opp_key, {_account('o_custkey')} AS account_id, CAST(floor(o_totalprice) AS DOUBLE) AS revenue,
         CASE o_orderkey % 10 WHEN 6 THEN 'Head Count' WHEN 7 THEN 'Targets' WHEN 8 THEN 'Snapshots' WHEN 9 THEN 'Activity' ELSE 'Actuals' END AS dataset,
         CASE WHEN o_orderstatus = 'F' AND o_orderkey % 3 = 0 THEN 'Closed Lost' WHEN o_orderstatus = 'F' THEN 'Closed Won'
           WHEN o_orderstatus = 'O' THEN CASE o_custkey % 4 WHEN 0 THEN 'Open Pipe' WHEN 1 THEN 'Pipeline SAL' ELSE 'Open Pipe SAL' END
           ELSE CASE o_custkey % 4 WHEN 0 THEN 'Qualified SAL' WHEN 1 THEN 'Created SAL' ELSE 'Created' END END AS stage_metric,
-        {q.explode(*[f"'{t}'" for t in types])} AS raw_type,
         CASE WHEN o_custkey % 37 = 0 THEN '' ELSE {_rep_name(f'o_custkey % {OWNERS}')} END AS opportunity_owner,
         {_rep_name(f'o_custkey % {OWNERS} - o_custkey % 10')} AS owner_manager,
         CASE c_mktsegment WHEN 'HOUSEHOLD' THEN 'Enterprise' WHEN 'MACHINERY' THEN 'Large Accounts' WHEN 'FURNITURE' THEN 'Mid Market'
@@ -190,7 +193,7 @@ def fact_metric(q: Dialect) -> str:
         CASE WHEN o_custkey % 6 = 1 THEN 'Winter switch' WHEN o_custkey % 6 = 2 THEN 'Summer switch' END AS campaign,
         CASE WHEN c_custkey % 3 = 0 THEN 'Hosted' ELSE 'Self-built' END AS platform_group
       FROM {q.t('orders')} JOIN {q.t('customer')} ON o_custkey = c_custkey JOIN {q.t('nation')} ON c_nationkey = n_nationkey
-        JOIN {q.t('region')} ON n_regionkey = r_regionkey) b"""
+        JOIN {q.t('region')} ON n_regionkey = r_regionkey) b) x"""
 
 
 @entity

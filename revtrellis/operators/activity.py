@@ -64,21 +64,17 @@ def _range(as_of: date) -> tuple[date, date]:
     return date(as_of.year - 10, 1, 1), date(as_of.year + 5, 12, 31)
 
 
-def attribute_activities(activities: DataFrame, intervals: DataFrame, day: str, as_of: date, prefix: int | None = None, how: str = "left") -> DataFrame:
+def attribute_activities(activities: DataFrame, intervals: DataFrame, day: str, as_of: date) -> DataFrame:
     """Activities with the opportunity of the same account whose interval holds their day.
 
-    ``prefix`` compares that many first characters of the account ids, which differ in their
-    suffix between systems.
+    An activity that names its opportunity needs no interval: its key is null, so it matches none.
     """
     low, high = _range(as_of)
-    spans = intervals.select(F.col("account_id"), F.col("opportunity_id").alias("interval_opportunity_id"), "interval_start", F.col("close_date").alias("interval_end"))
-    if prefix is None:
-        acts = activities.withColumn("_account", F.col("account_id"))
-        spans = spans.withColumnRenamed("account_id", "_account")
-    else:
-        acts = activities.withColumn("_account", first_chars("account_id", prefix))
-        spans = spans.withColumn("_account", first_chars("account_id", prefix)).withColumnRenamed("account_id", "opportunity_account_id")
-    joined = interval_join(acts, spans, ["_account"], day, "interval_start", "interval_end", how=how, low=low, high=high, spread_on=["task_id"])
+    spans = intervals.select(
+        F.col("account_id").alias("_account"), F.col("opportunity_id").alias("interval_opportunity_id"), "interval_start", F.col("close_date").alias("interval_end")
+    )
+    acts = activities.withColumn("_account", F.when(F.col("related_id").isNull(), F.col("account_id")))
+    joined = interval_join(acts, spans, ["_account"], day, "interval_start", "interval_end", how="left", low=low, high=high, spread_on=["task_id"])
     return joined.drop("_account", "interval_start", "interval_end")
 
 
@@ -183,9 +179,8 @@ def attributed_activities(source, as_of: date, campaign_pattern: str = "incubati
     """Activity rows with opportunity (an explicit link wins), campaign and influence flag."""
     acts = unify(source.table("act_event"), source.table("act_task")).filter(F.col("account_id").isNotNull() & ~F.col("is_deleted"))
     intervals = opportunity_intervals(source.table("crm_account"), source.table("crm_opportunity"))
-    linked = acts.filter(F.col("related_id").isNotNull()).withColumn("opportunity_id", F.col("related_id"))
-    open_rows = attribute_activities(acts.filter(F.col("related_id").isNull()), intervals, "created_date", as_of)
-    rows = linked.unionByName(open_rows.withColumnRenamed("interval_opportunity_id", "opportunity_id"))
+    rows = attribute_activities(acts, intervals, "created_date", as_of)
+    rows = rows.withColumn("opportunity_id", F.coalesce("related_id", "interval_opportunity_id")).drop("interval_opportunity_id")
     campaigns = latest_campaign(source.table("crm_campaign_member"), source.table("crm_campaign"), campaign_pattern).select(
         "account_id", F.col("campaign_name").alias("account_campaign"), "start_date", "end_date"
     )

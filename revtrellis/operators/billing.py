@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from revtrellis.functions.dates import as_date
 from revtrellis.functions.text import record_url
-from revtrellis.operators.joins import anti_join_null_aware, semi_join
-from revtrellis.operators.sets import tag
+from revtrellis.operators.joins import anti_join_null_aware
 
 DEAD_DEALS = "Something is wrong"
 NO_DEAL = "No billing deal at all"
@@ -64,14 +63,34 @@ def paying_shops(source, plan_name: str, internal_pattern: str) -> DataFrame:
     return shops.join(accounts.select("billing_account_id", "base_price"), "billing_account_id").select("shop_id", "name", "base_price")
 
 
+def shop_plan_flags(deals: DataFrame, agreements: DataFrame, as_of) -> DataFrame:
+    """Per shop: has it an ended plan, a live plan, any live agreement. One join, combined before the shuffle."""
+    deal_cols = deals.select("deal_id", F.col("terminated_on").alias("deal_terminated_on"), F.col("is_deleted").alias("deal_deleted"), F.lit(True).alias("_deal"))
+    both = agreements.select("deal_id", "shop_id", "terminated_on", "is_deleted").join(deal_cols, "deal_id", "left")
+    ended = F.col("deal_terminated_on").isNotNull() & F.col("terminated_on").isNotNull() & ~F.col("is_deleted") & ~F.col("deal_deleted")
+    live_agreement = live_on(F.col("terminated_on"), as_of, True)
+    live_plan = F.col("_deal") & live_on(F.col("deal_terminated_on"), as_of, True) & live_agreement
+    any_of = lambda cond: F.max(F.when(cond, 1).otherwise(0)) == 1
+    return both.groupBy("shop_id").agg(any_of(ended).alias("has_ended"), any_of(live_plan).alias("has_live"), any_of(live_agreement).alias("has_any"))
+
+
 def orphan_shops(source, as_of, plan_name: str, internal_pattern: str, base_url: str) -> DataFrame:
-    """Paying shops whose deals all ended, and paying shops without any live agreement."""
-    sets = plan_sets(source.table("fin_deal"), source.table("fin_agreement"), as_of)
-    paying = paying_shops(source, plan_name, internal_pattern)
-    dead = anti_join_null_aware(semi_join(paying, sets["inactive"], ["shop_id"]), sets["active"], "shop_id")
-    none = anti_join_null_aware(paying, sets["any"], "shop_id")
-    both = tag(dead, reason=DEAD_DEALS).unionByName(tag(none, reason=NO_DEAL))
-    return both.select("reason", "shop_id", record_url(base_url, F.col("shop_id")).alias("shop_url"), "name", "base_price")
+    """Paying shops whose deals all ended, and paying shops without any live agreement.
+
+    The three shop lists are flags of one aggregate. ``NOT IN`` keeps no shop at all when the list holds a
+    null shop, which two scalar subqueries over the null rows tell.
+    """
+    flags = shop_plan_flags(source.table("fin_deal"), source.table("fin_agreement"), as_of)
+    unknown = flags.filter(F.col("shop_id").isNull())
+    null_in_live = unknown.agg(F.count(F.when(F.col("has_live"), 1)).alias("n")).scalar()
+    null_in_any = unknown.agg(F.count(F.when(F.col("has_any"), 1)).alias("n")).scalar()
+    known = flags.filter(F.col("shop_id").isNotNull())
+    rows = paying_shops(source, plan_name, internal_pattern).join(known, "shop_id", "left")
+    dead = F.col("has_ended") & ~F.col("has_live") & (null_in_live == 0)
+    none = ~F.coalesce("has_any", F.lit(False)) & (null_in_any == 0)
+    reasons = F.array_compact(F.array(F.when(dead, DEAD_DEALS), F.when(none, NO_DEAL)))
+    rows = rows.withColumn("_reasons", reasons).withColumn("reason", F.explode("_reasons"))
+    return rows.select("reason", "shop_id", record_url(base_url, F.col("shop_id")).alias("shop_url"), "name", "base_price")
 
 
 def orphan_reasons(orphans: DataFrame, shop_dimension: DataFrame, accounts: DataFrame) -> DataFrame:

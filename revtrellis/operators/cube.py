@@ -70,21 +70,32 @@ OUTSOURCED_CHANGES = {
 
 def outsourced_measures(measures: list[Measure] | None = None) -> list[Measure]:
     out = []
-    for m in measures or MEASURES:
+    for m in MEASURES if measures is None else measures:
         change = OUTSOURCED_CHANGES.get(m.name, {})
         if change is not None:
             out.append(Measure(**{**m.__dict__, **change}))
     return out
 
 
-def review_segments(fact: DataFrame, outsourced_pattern: str = "%N3%") -> DataFrame:
-    """Facts of the reviewed in-house segments. A null team is left out, as NOT LIKE does."""
-    kept = fact.filter(F.col("market_segment").isin(*REVIEW_SEGMENTS) & ~F.col("team_segment").like(outsourced_pattern))
-    return kept.withColumn("segment", F.replace("market_segment", F.lit("SMB"), F.lit("Cross-Sell")))
-
-
-def outsourced_segment(fact: DataFrame, pattern: str = "%N3 Retail%", label: str = "N3 Retail") -> DataFrame:
-    return fact.filter(F.col("team_segment").like(pattern)).withColumn("segment", F.lit(label))
+@dataclass(frozen=True)
+class Team:
+    """Rows of one side of the review, how they are labelled, and whether they also count towards GLOBAL."""
+
+    rows: Column
+    segment: Column
+    measures: list[Measure]
+    with_global: bool
+
+
+def teams(measures: list[Measure] | None = None, outsourced: str = "%N3%", outsourced_retail: str = "%N3 Retail%", label: str = "N3 Retail") -> list[Team]:
+    """In-house segments (a null team is left out, as NOT LIKE does) and the outsourced team. No row is in both."""
+    measures = MEASURES if measures is None else measures
+    inhouse = F.col("market_segment").isin(*REVIEW_SEGMENTS) & ~F.col("team_segment").like(outsourced)
+    renamed = F.replace("market_segment", F.lit("SMB"), F.lit("Cross-Sell"))
+    return [
+        Team(inhouse, renamed, measures, True),
+        Team(F.col("team_segment").like(outsourced_retail), F.lit(label), outsourced_measures(measures), False),
+    ]
 
 
 KEYS = ["measure", "segment", "label", "yr_qtr", "value_type", "sales_region"]
@@ -98,23 +109,31 @@ def _coarse_filter(measures: list[Measure]) -> Column:
     return cond
 
 
-def _per_opportunity(fact: DataFrame, measures: list[Measure], with_global: bool) -> DataFrame:
-    tags = [
-        F.when(
-            m.applies(),
-            F.struct(
-                F.lit(m.name).alias("measure"),
-                (F.col("dataset") if m.dataset_label else F.lit("*")).alias("label"),
-                (days_between(*m.days) if m.days else F.lit(None).cast("int")).alias("days"),
-            ),
-        )
-        for m in measures
-    ]
-    hits = F.filter(F.array(*tags), lambda t: t.isNotNull())
-    rows = fact.filter(_coarse_filter(measures)).withColumn("_hit", F.explode(hits))
+def _hit(m: Measure) -> Column:
+    """Entry for a measure the row feeds, null otherwise."""
+    entry = F.struct(
+        F.lit(m.name).alias("measure"),
+        (F.col("dataset") if m.dataset_label else F.lit("*")).alias("label"),
+        (days_between(*m.days) if m.days else F.lit(None).cast("int")).alias("days"),
+    )
+    return F.when(m.applies(), entry)
+
+
+def _per_opportunity(fact: DataFrame, sides: list[Team]) -> DataFrame:
+    hits = segment = regions = None
+    for t in sides:
+        entries = F.array(*[_hit(m) for m in t.measures]) if t.measures else None
+        where = F.array("sales_region", F.lit(GLOBAL)) if t.with_global else F.array("sales_region")
+        if entries is None:
+            continue
+        hits = F.when(t.rows, entries) if hits is None else hits.when(t.rows, entries)
+        segment = F.when(t.rows, t.segment) if segment is None else segment.when(t.rows, t.segment)
+        regions = F.when(t.rows, where) if regions is None else regions.when(t.rows, where)
+    used = [m for t in sides for m in t.measures]
+    rows = fact.filter(_coarse_filter(used)).withColumns({"segment": segment, "_regions": regions, "_hits": hits})
+    rows = rows.withColumn("_hit", F.explode("_hits")).filter(F.col("_hit").isNotNull())
     base = ["_hit.measure", "segment", "_hit.label", F.concat(F.col("year").cast("string"), F.lit("-"), F.col("quarter")).alias("yr_qtr"), "value_type"]
-    region = F.explode(F.array("sales_region", F.lit(GLOBAL))) if with_global else F.col("sales_region")
-    rows = rows.select(*base, region.alias("sales_region"), "opportunity_id", "lead_group", "value", F.col("_hit.days").alias("days"), (F.col("metric") == "Closed Won").alias("won"))
+    rows = rows.select(*base, F.explode("_regions").alias("sales_region"), "opportunity_id", "lead_group", "value", F.col("_hit.days").alias("days"), (F.col("metric") == "Closed Won").alias("won"))
     sums = []
     for name, group in {"total": None, **SPLITS}.items():
         inside = F.lit(True) if group is None else F.coalesce(F.col("lead_group") == group, F.lit(False))
@@ -146,9 +165,10 @@ def _measure_value(name: str, kind_of: dict[str, list[str]]) -> Column:
     return out
 
 
-def quarterly_cube(fact: DataFrame, measures: list[Measure], with_global: bool) -> DataFrame:
-    """Long table of all measures by segment, quarter, value type and region."""
-    per_opp = _per_opportunity(fact, measures, with_global)
+def quarterly_cube(fact: DataFrame, sides: list[Team]) -> DataFrame:
+    """Long table of all measures by segment, quarter, value type and region, from one read of the fact."""
+    per_opp = _per_opportunity(fact, sides)
+    measures = sides[0].measures
     counted = F.col("opportunity_id").isNotNull()
     sums = []
     for name in ["total", *SPLITS]:
@@ -181,14 +201,9 @@ def quarterly_cube(fact: DataFrame, measures: list[Measure], with_global: bool)
 
 def measure_block(fact: DataFrame, name: str) -> DataFrame:
     """One measure for the reviewed segments (regional and GLOBAL) and the outsourced team (regional)."""
-    inhouse = quarterly_cube(review_segments(fact), [m for m in MEASURES if m.name == name], with_global=True)
-    outsourced = [m for m in outsourced_measures() if m.name == name]
-    if not outsourced:
-        return inhouse
-    return inhouse.unionByName(quarterly_cube(outsourced_segment(fact), outsourced, with_global=False))
+    return quarterly_cube(fact, teams([m for m in MEASURES if m.name == name]))
 
 
 def quarterly_review(fact: DataFrame) -> DataFrame:
     """All measures of the review."""
-    inhouse = quarterly_cube(review_segments(fact), MEASURES, with_global=True)
-    return inhouse.unionByName(quarterly_cube(outsourced_segment(fact), outsourced_measures(), with_global=False))
+    return quarterly_cube(fact, teams())

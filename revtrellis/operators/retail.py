@@ -309,27 +309,49 @@ def inbound_call_mql(base: DataFrame) -> DataFrame:
 def long_funnel(source, spec: RetailSpec, as_of) -> DataFrame:
     """All stages in one long table, from 14 months back to the end of the quarter ahead.
 
-    The stages are grouping variants of one base, so the base is expanded by stage
-    and aggregated once; dates outside the window never reach the aggregation.
+    The stages and the inbound calls are variants of one base row, so the base is expanded once and
+    aggregated once; dates outside the window never reach the aggregation. Inbound calls are grouped by their
+    locations and amount instead of summing them.
     """
     base = retail_opportunities(source, spec)
     org = last_closed_per_org(base, source.table("org_shop"), first_active(source.table("org_daily")))
     activated = org.filter(F.col("first_active_date").isNotNull()).select("opportunity_id", "first_active_date")
-    stages = F.array(
-        F.struct(F.lit("02. Sales qualified lead").alias("metric"), F.col("created_date").alias("event_date")),
-        F.when(F.col("sal") == 1, F.struct(F.lit("03. Sales accepted lead").alias("metric"), F.col("closed_date").alias("event_date"))),
-        F.when(F.col("current_stage") == "Closed Won", F.struct(F.lit("04. Closed won").alias("metric"), F.col("closed_date").alias("event_date"))),
-        F.when(F.col("first_active_date").isNotNull(), F.struct(F.lit("05. Activated").alias("metric"), F.col("first_active_date").alias("event_date"))),
+    own = ["current_stage", "opportunity_type", "product_name", "programme", "created_by", "owned_by", "market_segment", "lead_source", "team_segment"]
+    stage_texts = {**{c: F.col(c) for c in own}, "location_band": F.lit("Not Applicable"), "revenue_band": F.lit("Not Applicable")}
+    call_texts = {
+        **{k: F.lit(v) for k, v in NOT_FOR_MQL.items() if k != "metric"},
+        "lead_source": F.lit("inbound call"),
+        "team_segment": F.lit("Not Applicable for MQLs"),
+        "location_band": location_band_number(F.col("number_of_locations")),
+        "revenue_band": F.lit("Not Available for Inbound Calls"),
+    }
+    names = [*own, "location_band", "revenue_band"]
+
+    def variant(metric: str, day: str, texts: dict[str, Column], by_size: bool) -> Column:
+        size = {
+            "_locations": F.when(F.lit(by_size), F.coalesce("number_of_locations", F.lit(0.0))),
+            "_amount": F.when(F.lit(by_size), F.coalesce("payments_amount", F.lit(0.0))),
+        }
+        parts = {"metric": F.lit(metric), "event_date": F.col(day), **{n: texts[n] for n in names}, **size}
+        return F.struct(*[v.alias(k) for k, v in parts.items()])
+
+    variants = F.array(
+        variant("02. Sales qualified lead", "created_date", stage_texts, False),
+        F.when(F.col("sal") == 1, variant("03. Sales accepted lead", "closed_date", stage_texts, False)),
+        F.when(F.col("current_stage") == "Closed Won", variant("04. Closed won", "closed_date", stage_texts, False)),
+        F.when(F.col("first_active_date").isNotNull(), variant("05. Activated", "first_active_date", stage_texts, False)),
+        F.when(F.col("lead_source") == "inbound sales inquiry", variant(NOT_FOR_MQL["metric"], "created_date", call_texts, True)),
     )
     window = whole_months_window(F.col("event_date"), as_of, 14, 3)
-    rows = base.join(activated, "opportunity_id", "left").withColumn("_stage", F.explode(stages)).select("*", "_stage.*").filter(window)
-    rows = tag(rows, location_band="Not Applicable", revenue_band="Not Applicable")
-    staged = rows.groupBy(*FUNNEL_KEYS).agg(
-        F.sum("number_of_locations").alias("total_locations"),
-        F.sum("payments_amount").alias("total_payments_amount"),
+    kept = ["region_code", "country_name", "country_code", "lead_source_bucket", "opportunity_id", "number_of_locations", "payments_amount"]
+    rows = base.join(activated, "opportunity_id", "left").select(*kept, F.explode(variants).alias("_v")).filter(F.col("_v").isNotNull())
+    rows = rows.select(*kept, "_v.*").filter(window)
+    staged = rows.groupBy(*FUNNEL_KEYS, "_locations", "_amount").agg(
+        F.coalesce("_locations", F.sum("number_of_locations")).alias("total_locations"),
+        F.coalesce("_amount", F.sum("payments_amount")).alias("total_payments_amount"),
         F.count("opportunity_id").alias("total_leads"),
     )
-    return union_all([mql_counts(source, spec).filter(window), inbound_call_mql(base).filter(window), staged])
+    return union_all([mql_counts(source, spec).filter(window), staged.select(*FUNNEL_KEYS, *FUNNEL_MEASURES)])
 
 
 def opportunity_revenue_max(revenue: DataFrame) -> DataFrame:
