@@ -32,7 +32,7 @@ def bucket_sql(col: str, inbound) -> str:
 
 def actor_sql(role: str, day: str) -> str:
     return f"""CASE WHEN {day} < DATE '1997-06-01' THEN 'N/A' WHEN {role} IS NULL THEN 'OTHER'
-      WHEN strpos({role}, 'N3') > 0 THEN CASE WHEN strpos({role}, 'SC') > 0 THEN 'Outsourced SC' ELSE 'Outsourced Rep' END
+      WHEN strpos({role}, 'N3') > 0 THEN CASE WHEN strpos({role}, 'SC') > 0 THEN 'N3 SC' ELSE 'N3 Rep' END
       ELSE CASE WHEN strpos({role}, 'SC') > 0 THEN 'In-house SC' ELSE 'In-house Rep' END END"""
 
 
@@ -88,7 +88,7 @@ def stage_sql(metric: str, day: str, where: str, extra: str = "") -> str:
 _SQLS = stage_sql("02. Sales qualified lead", "created_date", "true")
 _SALS = stage_sql("03. Sales accepted lead", "closed_date", "sal = 1")
 _WONS = stage_sql("04. Closed won", "closed_date", "current_stage = 'Closed Won'")
-_ACTIVE = stage_sql("05. Activated", "first_active_date", "true", f"JOIN ({_LAST}) x ON x.opportunity_id = b.opportunity_id")
+_ACTIVE = stage_sql("05. Retail FWAS", "first_active_date", "true", f"JOIN ({_LAST}) x ON x.opportunity_id = b.opportunity_id")
 _NA = "'Not Applicable for MQLs'"
 _LOCATION = """CASE WHEN r.retail_locations = '1' THEN '01. 1' WHEN r.retail_locations = '2-5' THEN '02. 2-5' WHEN r.retail_locations = '6-10' THEN '03. 6-10'
    WHEN r.retail_locations = 'More than 10' THEN '04. 10+' WHEN r.retail_locations = 'Opening location soon' THEN '05. Opening soon'
@@ -99,7 +99,7 @@ _MQLS = f"""SELECT CASE WHEN region IN ('AMER', 'APAC', 'EMEA', 'LATAM') THEN re
      0::DOUBLE AS total_locations, 0::DOUBLE AS total_payments_amount, count(*) AS total_leads
    FROM (SELECT string_split(l.region_label, ' - ')[1] AS region, string_split(l.region_label, ' - ')[2] AS country_name, n.country_code, l.sales_ready_date, l.lead_source, b.bucket,
        {_LOCATION} AS location_band, {midpoint_sql('r.offline_revenue_band', True)} AS revenue_band, coalesce(r.offline_revenue_band, g.revenue_band) AS band,
-       CASE WHEN r.owner_role LIKE 'AMER-%N3%' THEN 'Outsourced Retail for MQL only' ELSE 'Internal for MQL only' END AS team_segment
+       CASE WHEN r.owner_role LIKE 'AMER-%N3%' THEN 'N3 Retail for MQL only' ELSE 'Internal for MQL only' END AS team_segment
      FROM crm_lead l JOIN crm_lead_raw r ON r.lead_id = l.lead_id AND NOT r.is_deleted LEFT JOIN legacy_lead g ON g.legacy_id = l.lead_id
        LEFT JOIN geo_country n ON n.country_name = string_split(l.region_label, ' - ')[2]
        LEFT JOIN (SELECT DISTINCT lower(lead_source) AS k, {bucket_sql('lead_source', V.INBOUND_SOURCES_FUNNEL)} AS bucket FROM crm_opportunity) b ON b.k = lower(l.lead_source)
@@ -161,7 +161,7 @@ def _(s):
     return retail.retail_opportunities(s, FUNNEL)
 
 
-@query("dom_mql_team", "SELECT lead_id, CASE WHEN owner_role LIKE 'AMER-%N3%' THEN 'Outsourced Retail for MQL only' ELSE 'Internal for MQL only' END AS team FROM crm_lead_raw")
+@query("dom_mql_team", "SELECT lead_id, CASE WHEN owner_role LIKE 'AMER-%N3%' THEN 'N3 Retail for MQL only' ELSE 'Internal for MQL only' END AS team FROM crm_lead_raw")
 def _(s):
     return s.table("crm_lead_raw").select("lead_id", retail.mql_team(c("owner_role"), FUNNEL).alias("team"))
 
@@ -194,7 +194,7 @@ def _(s):
 
 @query("dom_last_closed_per_org", _LAST)
 def _(s):
-    return retail.last_closed_per_org(retail.retail_opportunities(s, FUNNEL), s.table("org_shop"), retail.first_active(s.table("org_daily")))
+    return retail.last_closed_per_org(retail.won_retail_opportunities(s, FUNNEL), s.table("org_shop"), retail.first_active(s.table("org_daily")))
 
 
 @query("dom_stage_counts", f"SELECT * FROM ({_SQLS}) a UNION ALL SELECT * FROM ({_SALS}) b UNION ALL SELECT * FROM ({_WONS}) c")
@@ -251,7 +251,8 @@ _CONV = """count(opportunity_id) AS total_opportunities, count(*) FILTER (is_clo
    sum(CASE WHEN is_won THEN number_of_locations ELSE 0 END) AS locations_won, sum(CASE WHEN is_won THEN product_profit ELSE 0 END) AS product_profit_won,
    count(*) FILTER (is_won AND product_name = 'Point of Sale + Retail Payments') AS both_products_won,
    count(*) FILTER (is_won AND product_name IN ('Point of Sale + Retail Payments', 'Point of Sale')) AS location_product_won"""
-_IPP = """SELECT opportunity_id, max(total_revenue) AS total_revenue, max(product_profit) AS product_profit, max(product_attach_count) AS product_attach_count
+_IPP = """SELECT opportunity_id, max(total_revenue) AS total_revenue, max(product_profit) AS product_profit, max(product_attach_count) AS product_attach_count,
+   max(subscription_revenue) AS subscription_revenue, max(sales_accepted) AS sales_accepted
    FROM fact_opportunity_revenue GROUP BY 1"""
 
 

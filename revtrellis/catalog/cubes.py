@@ -44,7 +44,7 @@ _BLOCKS = {
     "win_rate": ("won_ratio", 6, "Win Rate", "dataset = 'Actuals' AND metric IN ('Closed Won', 'Closed Lost') AND value_type = 'Opportunity Deal Count'", "", "'*'", None),
     "closed_won": ("sum", 7, "Closed Won", "dataset IN ('Targets', 'Actuals') AND metric = 'Closed Won' AND value_type IN ('Total Revenue', 'Incremental Product Profit')", "dataset IN ('Targets', 'Actuals') AND metric = 'Closed Won' AND value_type = 'Incremental Product Profit'", "dataset", None),
     "closed_won_avg": ("sum_per_count", 8, "Closed Won Avg", "dataset IN ('Targets', 'Actuals') AND metric = 'Closed Won' AND value_type IN ('Total Revenue', 'Incremental Product Profit')", "dataset IN ('Targets', 'Actuals') AND metric = 'Closed Won' AND value_type = 'Incremental Product Profit'", "dataset", None),
-    "head_count": ("capacity", 9, "Head Count Capacity", "dataset = 'Head Count' AND metric = 'Head Count Capacity'", None, "dataset", None),
+    "head_count": ("capacity", 9, "Heat Count Capacity", "dataset = 'Head Count' AND metric = 'Head Count Capacity'", None, "dataset", None),
 }
 
 

@@ -319,10 +319,11 @@ def _(s):
     return partners.status_latest(s.table("lead_status_history")).select("lead_id", days_between(as_date(AS_OF), "current_status_date").alias("days"))
 
 
-_COMMON = f"""SELECT l.lead_id, l.lead_source, l.lead_source_original, l.status, l.disqualified_reason, l.product_interest, l.created_date, l.sales_ready_date,
+_COMMON = f"""SELECT l.lead_id, l.lead_source, l.lead_source_original, l.status, l.disqualified_reason, l.product_interest, l.product_interest_at_creation, l.enriched_revenue,
+     l.converted_contact_id, l.sales_accepted_date, l.created_date, l.sales_ready_date,
      l.disqualified_date, l.nurture_date, l.opportunity_date, l.converted_opportunity_id, l.converted_account_id, l.online_revenue, l.offline_revenue, l.owner_role,
      w.lead_owner_role, w.lead_owner_name, b.routing_segment, b.is_customer, b.organization_id, b.partner_involvement, b.online_revenue_verified, b.lead_grade,
-     b.mql_date AS raw_mql_date, b.referrer_name, st.current_status_date, cp.campaign_name, o.stage_name AS current_stage_name,
+     b.mql_date AS raw_mql_date, b.referrer_name, b.referrer_email, coalesce(b.last_activity_date, g.last_activity_date) AS last_activity_date, st.current_status_date, cp.campaign_name, o.stage_name AS current_stage_name,
      o.offline_revenue AS opp_offline_revenue, o.online_revenue_verified AS opp_online_revenue, o.total_revenue AS opp_total_revenue, cw.closed_won_date,
      coalesce(b.retail_locations, g.number_of_locations) AS retail_locations, coalesce(b.company, g.company) AS company,
      {_COUNTRY.replace('region_label', 'l.region_label')} AS country_name, {_REGION.replace('region_label', 'l.region_label')} AS region,

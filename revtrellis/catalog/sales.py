@@ -175,7 +175,7 @@ def _(s):
 @query(
     "pipe_influenced_opps",
     f"""SELECT i.account_id, r.name AS task_assigned_to, r.role AS task_assigned_to_role, a.task_id, a.completed_date AS task_completed_date, i.created_date AS opportunity_created_date,
-          CAST(i.created_date - a.completed_date AS INT) AS days_before, 'Yes' AS influenced, i.opportunity_id, i.opportunity_name, i.opportunity_type, i.stage_name, i.total_revenue,
+          CAST(i.created_date - a.completed_date AS INT) AS days_before, 'Yes' AS influenced, i.opportunity_id, i.opportunity_name, i.opportunity_type, i.stage_name, i.total_revenue, i.contract_value, i.product_profit,
           i.sales_region AS region, i.sales_rep_role, a.k AS activity_class, r.market_segment, r.team_segment, r.sales_region
         FROM (SELECT DISTINCT task_id, account_id, owner_id, completed_date, {_CLASS} AS k, activity_type, dialler_type FROM ({_ACTS}) u WHERE is_deleted = false) a
           JOIN ({_INTERVALS}) i ON left(i.account_id, 15) = left(a.account_id, 15) AND a.completed_date BETWEEN {_SPAN}

@@ -65,7 +65,7 @@ def crm_user(q: Dialect) -> str:
 @entity
 def crm_role(q: Dialect) -> str:
     return f"""SELECT DISTINCT s_suppkey % 8 AS user_role_id, {_role('s_suppkey')} AS role_name
-    FROM {q.t('supplier')} WHERE s_suppkey % 8 < 7"""
+    FROM {q.t('supplier')} WHERE {_role('s_suppkey')} IS NOT NULL"""
 
 
 @entity
@@ -150,6 +150,7 @@ def crm_opportunity(q: Dialect) -> str:
       CASE WHEN o_orderkey % 5 > 0 THEN CAST(o_orderkey % 2500 AS DOUBLE) END AS online_revenue_verified,
       CASE WHEN o_orderkey % 3 = 0 THEN CAST(floor(o_totalprice) AS DOUBLE) END AS committed_revenue,
       CAST(floor(o_totalprice) AS DOUBLE) * 2 AS verified_revenue,
+      CAST(floor(o_totalprice / 4) AS DOUBLE) AS product_profit, CAST(floor(o_totalprice / 2) AS DOUBLE) AS contract_value,
       CASE WHEN o_orderkey % 4 = 1 THEN 'none' ELSE CAST(o_custkey % {OWNERS} AS STRING) END AS winning_partner_id,
       o_orderkey % 61 = 0 AS is_deleted
     FROM {q.t('orders')}"""
@@ -218,7 +219,8 @@ def fact_stage(q: Dialect) -> str:
 @entity
 def fact_opportunity_revenue(q: Dialect) -> str:
     return f"""SELECT l_orderkey AS opportunity_id, CAST(floor(l_extendedprice) AS DOUBLE) AS total_revenue,
-      CAST(floor(l_extendedprice / 4) AS DOUBLE) AS product_profit, CAST(l_linenumber AS BIGINT) AS product_attach_count
+      CAST(floor(l_extendedprice / 4) AS DOUBLE) AS product_profit, CAST(l_linenumber AS BIGINT) AS product_attach_count,
+      CAST(floor(l_extendedprice / 8) AS DOUBLE) AS subscription_revenue, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS sales_accepted
     FROM {q.t('lineitem')}"""
 
 
@@ -241,13 +243,13 @@ def geo_country(q: Dialect) -> str:
 @entity
 def programme_merchant(q: Dialect) -> str:
     return f"""SELECT CASE WHEN c_custkey % 3 = 0 THEN CAST(c_custkey AS STRING) ELSE 'x' || CAST(c_custkey AS STRING) END AS shop_id,
-      'P' || CAST(c_custkey % 20 AS STRING) AS promo_code FROM {q.t('customer')}"""
+      'P' || CAST(c_nationkey AS STRING) AS promo_code FROM {q.t('customer')}"""
 
 
 @entity
 def programme_list(q: Dialect) -> str:
-    return f"""SELECT DISTINCT 'P' || CAST(c_custkey % 20 AS STRING) AS promo_code,
-      CASE WHEN c_custkey % 20 < 5 THEN 'Y' ELSE 'N' END AS must_win FROM {q.t('customer')} WHERE c_custkey % 20 < 15"""
+    return f"""SELECT 'P' || CAST(n_nationkey AS STRING) AS promo_code,
+      CASE WHEN n_nationkey % 4 = 0 THEN 'Y' ELSE 'N' END AS must_win FROM {q.t('nation')} WHERE n_regionkey <> 3"""
 
 
 @entity
@@ -282,6 +284,8 @@ def crm_lead(q: Dialect) -> str:
       CASE WHEN event_id % 6 = 0 THEN 'No budget' END AS disqualified_reason,
       {_LABEL} AS region_label,
       CASE WHEN user_id % 2 = 0 THEN 'Point of Sale' ELSE 'Online' END AS product_interest,
+      CASE WHEN user_id % 3 = 0 THEN 'Point of Sale' ELSE 'Online' END AS product_interest_at_creation, value * 2000000 AS enriched_revenue,
+      CASE WHEN event_id % 3 = 0 THEN event_id * 7 END AS converted_contact_id, CASE WHEN value > 30 THEN {q.add_days(day, '6')} END AS sales_accepted_date,
       {day} AS created_date,
       CASE WHEN value > 15 THEN {q.add_days(day, '5')} END AS sales_ready_date,
       CASE WHEN event_id % 6 = 0 THEN {q.add_days(day, '9')} END AS disqualified_date,
@@ -289,7 +293,7 @@ def crm_lead(q: Dialect) -> str:
       CASE WHEN event_id % 3 = 0 THEN {q.add_days(day, '7')} END AS opportunity_date,
       CASE WHEN event_id % 3 = 0 THEN event_id END AS converted_opportunity_id,
       CASE WHEN event_id % 3 = 0 THEN {_account('user_id')} END AS converted_account_id,
-      CASE WHEN event_id % 4 = 0 THEN event_id END AS legacy_id,
+      CASE WHEN value < 25 THEN event_id END AS legacy_id,
       CAST(event_id % 900 AS DOUBLE) AS online_revenue, CAST(event_id % 700 AS DOUBLE) AS offline_revenue
     FROM {q.t('events')} WHERE {_SIGNUP}"""
 
@@ -315,7 +319,9 @@ def crm_lead_raw(q: Dialect) -> str:
       CASE WHEN event_id % 3 = 1 THEN 'Joint call' END AS partner_involvement,
       CASE WHEN event_id % 9 > 0 THEN CAST(user_id AS DOUBLE) * 1000000 END AS online_revenue_verified,
       'Grade ' || CAST(event_id % 4 AS STRING) AS lead_grade,
-      CASE WHEN event_id % 5 = 0 THEN 'Ref ' || CAST(user_id AS STRING) END AS referrer_name
+      CASE WHEN event_id % 5 = 0 THEN 'Ref ' || CAST(user_id AS STRING) END AS referrer_name,
+      CASE WHEN event_id % 5 = 0 THEN {_email('user_id')} END AS referrer_email,
+      CASE WHEN event_id % 4 > 0 THEN {q.add_days(day, '20')} END AS last_activity_date
     FROM {q.t('events')} WHERE {_SIGNUP}"""
 
 
@@ -323,8 +329,8 @@ def crm_lead_raw(q: Dialect) -> str:
 def legacy_lead(q: Dialect) -> str:
     return f"""SELECT event_id AS legacy_id, CASE WHEN event_id % 8 = 0 THEN 'Retail' WHEN event_id % 12 = 4 THEN 'Other' END AS eligibility_segment,
       CASE WHEN event_id % 5 = 4 THEN '$500k - $1M' END AS revenue_band, 'Legacy ' || CAST(event_id AS STRING) AS company,
-      CAST(event_id % 12 AS STRING) AS number_of_locations
-    FROM {q.t('events')} WHERE {_SIGNUP} AND event_id % 4 = 0"""
+      CAST(event_id % 12 AS STRING) AS number_of_locations, {q.add_days(_LEAD_DAY, 'event_id % 300')} AS last_activity_date
+    FROM {q.t('events')} WHERE {_SIGNUP} AND value < 25"""
 
 
 @entity
@@ -332,8 +338,8 @@ def partner_lead(q: Dialect) -> str:
     return f"""SELECT event_id AS reference_id, CASE WHEN event_id % 10 = 9 THEN 'Account' ELSE 'Lead' END AS reference_object,
       event_id % 3 AS membership_id, (user_id + version) % {OWNERS} AS partner_id, event_id * 2 + version AS shop_id,
       'C' || CAST(user_id % 26 AS STRING) AS country_code, {q.add_days(_LEAD_DAY, 'event_id % 100 + version')} AS updated_on
-    FROM (SELECT event_id, user_id, event_type, {q.explode('0', '1')} AS version FROM {q.t('events')}) v
-    WHERE {_SIGNUP} AND user_id % 3 = 0"""
+    FROM (SELECT event_id, user_id, event_type, value, {q.explode('0', '1')} AS version FROM {q.t('events')}) v
+    WHERE {_SIGNUP} AND value < 60"""
 
 
 @entity
@@ -380,7 +386,7 @@ def partner_recruiter_history(q: Dialect) -> str:
 @entity
 def lead_status_history(q: Dialect) -> str:
     return f"""SELECT event_id AS lead_id, 'S' || CAST(step AS STRING) AS status, {q.add_days("DATE '1998-03-01'", 'event_id % 45 + step * 10')} AS end_date
-    FROM (SELECT event_id, event_type, {q.explode('0', '1', '2')} AS step FROM {q.t('events')}) s WHERE {_SIGNUP} AND event_id % 10 < 9"""
+    FROM (SELECT event_id, event_type, value, {q.explode('0', '1', '2')} AS step FROM {q.t('events')}) s WHERE {_SIGNUP} AND value > 4"""
 
 
 # ---------------------------------------------------------------- activities and campaigns

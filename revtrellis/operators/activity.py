@@ -116,7 +116,7 @@ def influenced_opportunities(source, as_of: date) -> DataFrame:
     acts = acts.select("task_id", "account_id", "owner_id", "completed_date", "activity_type", "dialler_type").distinct()
     reps = rep_attributes(source).filter(F.col("role").isNotNull()).withColumnRenamed("user_id", "owner_id")
     opps = source.table("crm_opportunity").select(
-        "account_id", "opportunity_id", "opportunity_name", "opportunity_type", "stage_name", "total_revenue", "sales_rep_role",
+        "account_id", "opportunity_id", "opportunity_name", "opportunity_type", "stage_name", "total_revenue", "contract_value", "product_profit", "sales_rep_role",
         F.col("sales_region").alias("region"), F.col("created_date").alias("opportunity_created_date"), "close_date", "is_deleted",
     )
     intervals = opportunity_intervals(source.table("crm_account"), opps)
@@ -125,7 +125,8 @@ def influenced_opportunities(source, as_of: date) -> DataFrame:
     low, high = _range(as_of)
     spans = intervals.select(
         first_chars("account_id", 15).alias("_account"), F.col("account_id").alias("opportunity_account_id"), "opportunity_id", "opportunity_name",
-        "opportunity_type", "stage_name", "total_revenue", "sales_rep_role", "region", "opportunity_created_date", "interval_start", "close_date",
+        "opportunity_type", "stage_name", "total_revenue", "contract_value", "product_profit", "sales_rep_role", "region", "opportunity_created_date",
+        "interval_start", "close_date",
     )
     acts = acts.withColumn("_account", first_chars("account_id", 15)).drop("account_id")
     hits = interval_join(acts, spans, ["_account"], "completed_date", "interval_start", "close_date", low=low, high=high)
@@ -133,7 +134,7 @@ def influenced_opportunities(source, as_of: date) -> DataFrame:
     return rows.select(
         F.col("opportunity_account_id").alias("account_id"), F.col("name").alias("task_assigned_to"), F.col("role").alias("task_assigned_to_role"),
         "task_id", F.col("completed_date").alias("task_completed_date"), "opportunity_created_date", "days_before", "influenced", "opportunity_id",
-        "opportunity_name", "opportunity_type", "stage_name", "total_revenue", "region", "sales_rep_role", "activity_class", "market_segment",
+        "opportunity_name", "opportunity_type", "stage_name", "total_revenue", "contract_value", "product_profit", "region", "sales_rep_role", "activity_class", "market_segment",
         "team_segment", "sales_region",
     )
 

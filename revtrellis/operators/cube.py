@@ -45,6 +45,7 @@ _COUNT, _PRODUCT = ("Opportunity Deal Count",), ("Product Deal Count",)
 _REVENUE, _MONEY = ("Total Revenue",), ("Total Revenue", "Incremental Product Profit")
 _BOTH = ("Actuals", "Targets")
 
+# Measure labels, spelled as the review spells them.
 MEASURES = [
     Measure("created_count", 1, "Created Opp Volume", "count_per_week", ("Actuals",), ("Created",), _COUNT),
     Measure("created_target", 1, "Created Opp Volume", "sum_per_week", ("Targets",), ("Created",), _PRODUCT),
@@ -56,7 +57,7 @@ MEASURES = [
     Measure("win_rate", 6, "Win Rate", "won_ratio", ("Actuals",), ("Closed Won", "Closed Lost"), _COUNT, None, False),
     Measure("closed_won", 7, "Closed Won", "sum", _BOTH, ("Closed Won",), _MONEY),
     Measure("closed_won_avg", 8, "Closed Won Avg", "sum_per_count", _BOTH, ("Closed Won",), _MONEY),
-    Measure("head_count", 9, "Head Count Capacity", "capacity", ("Head Count",), ("Head Count Capacity",)),
+    Measure("head_count", 9, "Heat Count Capacity", "capacity", ("Head Count",), ("Head Count Capacity",)),
 ]
 
 # The outsourced team's blocks differ in one metric name, count profit only, and have no capacity block.

@@ -141,8 +141,9 @@ def _common_columns(source, leads: DataFrame) -> DataFrame:
     raw_cols = raw.select(
         "lead_id", "routing_segment", "is_customer", "organization_id", F.col("retail_locations").alias("_raw_locations"),
         F.col("company").alias("_raw_company"), "partner_involvement", "online_revenue_verified", "lead_grade", "mql_date", "referrer_name",
+        "referrer_email", F.col("last_activity_date").alias("_raw_activity"),
     )
-    legacy = source.table("legacy_lead").select(F.col("legacy_id").alias("lead_id"), F.col("company").alias("_legacy_company"), "number_of_locations")
+    legacy = source.table("legacy_lead").select(F.col("legacy_id").alias("lead_id"), F.col("company").alias("_legacy_company"), "number_of_locations", F.col("last_activity_date").alias("_legacy_activity"))
     opps = source.table("crm_opportunity").select(
         F.col("opportunity_id").alias("converted_opportunity_id"), F.col("stage_name").alias("current_stage_name"),
         F.col("offline_revenue").alias("opp_offline_revenue"), F.col("online_revenue_verified").alias("opp_online_revenue"),
@@ -158,12 +159,13 @@ def _common_columns(source, leads: DataFrame) -> DataFrame:
         {
             "retail_locations": F.coalesce("_raw_locations", "number_of_locations"),
             "company": F.coalesce("_raw_company", "_legacy_company"),
+            "last_activity_date": F.coalesce("_raw_activity", "_legacy_activity"),
             "country_name": country_of(F.col("region_label")),
             "region": region_of(F.col("region_label")),
             "opp_total_revenue_verified": revenue_total(F.col("opp_online_revenue"), F.col("opp_offline_revenue")),
             "winning_partner": F.expr("try_cast(winning_partner_id AS BIGINT)"),
         }
-    ).drop("_raw_locations", "number_of_locations", "_raw_company", "_legacy_company", "winning_partner_id", "region_label")
+    ).drop("_raw_locations", "number_of_locations", "_raw_company", "_legacy_company", "_raw_activity", "_legacy_activity", "winning_partner_id", "region_label")
 
 
 def _by_partner() -> Column:

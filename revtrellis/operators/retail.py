@@ -27,7 +27,10 @@ class RetailSpec:
     actors_from: date = date(2023, 6, 1)
     solution_team_pattern: str = "SC"
     outsourced_pattern: str = "N3"
+    inhouse_label: str = "In-house"
+    outsourced_label: str = "N3"
     campaign_pattern: str = "%migration%"
+    programme_labels: tuple[str, str, str] = ("Must Win", "Other", "None")
     rest_of_world: str = "Rest of the World"
     inbound_sources: Sequence[str] = tuple(V.INBOUND_SOURCES_FUNNEL)
     low_band_countries: Sequence[str] = tuple(V.LOW_BAND_COUNTRIES)
@@ -59,20 +62,17 @@ def actor_class(role: Column, created: Column, spec: RetailSpec) -> Column:
     solution, outsourced = role.rlike(spec.solution_team_pattern), role.rlike(spec.outsourced_pattern)
     return (
         F.when(created < F.lit(spec.actors_from), "N/A")
-        .when(~solution & ~outsourced, "In-house Rep")
-        .when(solution & ~outsourced, "In-house SC")
-        .when(outsourced & ~solution, "Outsourced Rep")
-        .when(outsourced & solution, "Outsourced SC")
+        .when(~solution & ~outsourced, f"{spec.inhouse_label} Rep")
+        .when(solution & ~outsourced, f"{spec.inhouse_label} SC")
+        .when(outsourced & ~solution, f"{spec.outsourced_label} Rep")
+        .when(outsourced & solution, f"{spec.outsourced_label} SC")
         .otherwise("OTHER")
     )
 
 
 def programme_tag(must_win: Column, campaign: Column, merchant: Column, spec: RetailSpec) -> Column:
-    return (
-        F.when(must_win == "Y", "Must Win")
-        .when(F.lower(campaign).like(spec.campaign_pattern) | merchant.isNotNull(), "Other")
-        .otherwise("None")
-    )
+    first, other, none = spec.programme_labels
+    return F.when(must_win == "Y", first).when(F.lower(campaign).like(spec.campaign_pattern) | merchant.isNotNull(), other).otherwise(none)
 
 
 def normalise_region(region: Column) -> Column:
@@ -219,12 +219,17 @@ def first_active(daily: DataFrame) -> DataFrame:
     return daily.filter(F.col("ending_active") >= 1).groupBy("organization_id").agg(F.min("snapshot_date").alias("first_active"))
 
 
-def last_closed_per_org(base: DataFrame, shops: DataFrame, active: DataFrame) -> DataFrame:
+def won_retail_opportunities(source, spec: RetailSpec) -> DataFrame:
+    """Won opportunities with a retail product, with only what the organisation lookup needs."""
+    retail = source.table("fact_stage").filter(F.col("product").isin(spec.location_product, spec.payment_product))
+    won = source.table("crm_opportunity").filter(F.col("stage_name") == "Closed Won").join(retail, "opportunity_id", "left_semi")
+    return won.select("opportunity_id", F.col("close_date").alias("closed_date"), F.col("primary_shop_id").alias("shop_id"))
+
+
+def last_closed_per_org(won: DataFrame, shops: DataFrame, active: DataFrame) -> DataFrame:
     """Latest won opportunity of each organisation, with the organisation's first active day."""
-    won = base.filter(F.col("current_stage") == "Closed Won").select("opportunity_id", "closed_date", F.col("primary_shop_id").alias("shop_id"))
-    won = won.join(shops, "shop_id", "left").groupBy("organization_id").agg(
-        F.max_by("opportunity_id", F.struct("closed_date", "opportunity_id")).alias("opportunity_id")
-    )
+    latest = F.max_by("opportunity_id", F.struct("closed_date", "opportunity_id")).alias("opportunity_id")
+    won = won.join(shops, "shop_id", "left").groupBy("organization_id").agg(latest)
     return won.join(active, "organization_id", "left").withColumnRenamed("first_active", "first_active_date")
 
 
@@ -244,7 +249,7 @@ def location_band_number(n: Column) -> Column:
 
 
 def mql_team(owner_role: Column, spec: RetailSpec) -> Column:
-    return F.when(owner_role.like(f"AMER-%{spec.outsourced_pattern}%"), "Outsourced Retail for MQL only").otherwise("Internal for MQL only")
+    return F.when(owner_role.like(f"AMER-%{spec.outsourced_pattern}%"), f"{spec.outsourced_label} Retail for MQL only").otherwise("Internal for MQL only")
 
 
 NOT_FOR_MQL = {
@@ -314,7 +319,7 @@ def long_funnel(source, spec: RetailSpec, as_of) -> DataFrame:
     locations and amount instead of summing them.
     """
     base = retail_opportunities(source, spec)
-    org = last_closed_per_org(base, source.table("org_shop"), first_active(source.table("org_daily")))
+    org = last_closed_per_org(won_retail_opportunities(source, spec), source.table("org_shop"), first_active(source.table("org_daily")))
     activated = org.filter(F.col("first_active_date").isNotNull()).select("opportunity_id", "first_active_date")
     own = ["current_stage", "opportunity_type", "product_name", "programme", "created_by", "owned_by", "market_segment", "lead_source", "team_segment"]
     stage_texts = {**{c: F.col(c) for c in own}, "location_band": F.lit("Not Applicable"), "revenue_band": F.lit("Not Applicable")}
@@ -339,7 +344,7 @@ def long_funnel(source, spec: RetailSpec, as_of) -> DataFrame:
         variant("02. Sales qualified lead", "created_date", stage_texts, False),
         F.when(F.col("sal") == 1, variant("03. Sales accepted lead", "closed_date", stage_texts, False)),
         F.when(F.col("current_stage") == "Closed Won", variant("04. Closed won", "closed_date", stage_texts, False)),
-        F.when(F.col("first_active_date").isNotNull(), variant("05. Activated", "first_active_date", stage_texts, False)),
+        F.when(F.col("first_active_date").isNotNull(), variant("05. Retail FWAS", "first_active_date", stage_texts, False)),
         F.when(F.col("lead_source") == "inbound sales inquiry", variant(NOT_FOR_MQL["metric"], "created_date", call_texts, True)),
     )
     window = whole_months_window(F.col("event_date"), as_of, 14, 3)
@@ -359,6 +364,8 @@ def opportunity_revenue_max(revenue: DataFrame) -> DataFrame:
         F.max("total_revenue").alias("total_revenue"),
         F.max("product_profit").alias("product_profit"),
         F.max("product_attach_count").alias("product_attach_count"),
+        F.max("subscription_revenue").alias("subscription_revenue"),
+        F.max("sales_accepted").alias("sales_accepted"),
     )
 
 

@@ -8,8 +8,10 @@ from pyspark.sql import SparkSession
 
 
 def ensure_settings(spark: SparkSession) -> SparkSession:
-    """Pin the settings that affect results; leave sizing to the cluster."""
+    """Pin the settings that affect results or skew handling; leave sizing to the cluster."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # Split a skewed join even where that costs one more shuffle of its output.
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     return spark
 
 
