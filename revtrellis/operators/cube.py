@@ -2,8 +2,8 @@
 
 Every measure is a filter on the metric fact and a way to aggregate it, split in Total /
 Marketing / Partner / Sales by lead group. One row of the fact can feed several measures, so it is
-expanded to (measure, region) and reduced in two steps: first per opportunity, which turns
-distinct counts into plain sums and spreads a hot group over its opportunities, then per group.
+expanded to (measure, region) and reduced in two steps: first per opportunity where a measure counts
+them, which turns distinct counts into plain sums and spreads a hot group over its opportunities, then per group.
 """
 
 from __future__ import annotations
@@ -110,42 +110,70 @@ def _coarse_filter(measures: list[Measure]) -> Column:
     return cond
 
 
-def _hit(m: Measure) -> Column:
-    """Entry for a measure the row feeds, null otherwise."""
-    entry = F.struct(
+def _entry(m: Measure) -> Column:
+    return F.struct(
         F.lit(m.name).alias("measure"),
         (F.col("dataset") if m.dataset_label else F.lit("*")).alias("label"),
         (days_between(*m.days) if m.days else F.lit(None).cast("int")).alias("days"),
+        F.lit(m.kind in COUNTING_KINDS).alias("counting"),
+        # Plain sums and means need no opportunity: without it they shrink to few rows before the shuffle.
+        (F.col("opportunity_id") if m.kind in COUNTING_KINDS else F.lit(None).cast("long")).alias("opportunity_id"),
     )
-    return F.when(m.applies(), entry)
+
+
+def _hits(measures: list[Measure]) -> Column:
+    """Entries of the measures a row feeds: one branch per kind of row, so only its own entries are built."""
+    kinds: dict[tuple[str, str, str | None], list[Measure]] = {}
+    for m in measures:
+        for dataset in m.datasets:
+            for metric in m.metrics:
+                for value_type in m.value_types or (None,):
+                    kinds.setdefault((dataset, metric, value_type), []).append(m)
+    out = None
+    for (dataset, metric, value_type), members in kinds.items():
+        here = (F.col("dataset") == dataset) & (F.col("metric") == metric)
+        if value_type is not None:
+            here = here & (F.col("value_type") == value_type)
+        entries = F.array(*[_entry(m) for m in members])
+        out = F.when(here, entries) if out is None else out.when(here, entries)
+    return out
+
+
+COUNTING_KINDS = ("count_per_week", "sum_per_count", "won_ratio")
+MARKS = {name: 1 << i for i, name in enumerate(["total", *SPLITS])}
+
+
+def _regions(here: Column) -> Column:
+    """The row's own region, and GLOBAL where the row counts towards it at this step."""
+    return F.when(F.col("to_global") & here, F.array("sales_region", F.lit(GLOBAL))).otherwise(F.array("sales_region"))
 
 
 def _per_opportunity(fact: DataFrame, sides: list[Team]) -> DataFrame:
-    hits = segment = regions = None
+    """One row per key, measure and opportunity; ``marks`` holds in which splits it was seen, and won, as bits."""
+    sides = [t for t in sides if t.measures]
+    hits = segment = spread = None
     for t in sides:
-        entries = F.array(*[_hit(m) for m in t.measures]) if t.measures else None
-        where = F.array("sales_region", F.lit(GLOBAL)) if t.with_global else F.array("sales_region")
-        if entries is None:
-            continue
+        entries = _hits(t.measures)
         hits = F.when(t.rows, entries) if hits is None else hits.when(t.rows, entries)
         segment = F.when(t.rows, t.segment) if segment is None else segment.when(t.rows, t.segment)
-        regions = F.when(t.rows, where) if regions is None else regions.when(t.rows, where)
+        spread = F.when(t.rows, F.lit(t.with_global)) if spread is None else spread.when(t.rows, F.lit(t.with_global))
     used = [m for t in sides for m in t.measures]
-    rows = fact.filter(_coarse_filter(used)).withColumns({"segment": segment, "_regions": regions, "_hits": hits})
-    rows = rows.withColumn("_hit", F.explode("_hits")).filter(F.col("_hit").isNotNull())
+    rows = fact.filter(_coarse_filter(used)).withColumns({"segment": segment, "to_global": spread, "_hits": hits})
+    rows = rows.withColumn("_hit", F.explode("_hits"))
     base = ["_hit.measure", "segment", "_hit.label", F.concat(F.col("year").cast("string"), F.lit("-"), F.col("quarter")).alias("yr_qtr"), "value_type"]
-    rows = rows.select(*base, F.explode("_regions").alias("sales_region"), "opportunity_id", "lead_group", "value", F.col("_hit.days").alias("days"), (F.col("metric") == "Closed Won").alias("won"))
-    sums = []
-    for name, group in {"total": None, **SPLITS}.items():
-        inside = F.lit(True) if group is None else F.coalesce(F.col("lead_group") == group, F.lit(False))
-        sums += [
-            F.sum(F.when(inside, F.col("value"))).alias(f"{name}_value"),
-            F.max(F.when(inside, 1).otherwise(0)).alias(f"{name}_seen"),
-            F.max(F.when(inside & F.col("won"), 1).otherwise(0)).alias(f"{name}_won"),
-            F.sum(F.when(inside, F.col("days"))).alias(f"{name}_days"),
-            F.count(F.when(inside, F.col("days"))).alias(f"{name}_days_n"),
-        ]
-    return rows.groupBy(*KEYS, "opportunity_id").agg(*sums)
+    rows = rows.select(*base, "to_global", F.explode(_regions(F.col("_hit.counting"))).alias("sales_region"), F.col("_hit.opportunity_id").alias("opportunity_id"), "lead_group", "value", F.col("_hit.days").alias("days"), F.col("_hit.counting").alias("_counting"), (F.col("metric") == "Closed Won").alias("won"))
+    groups = {name: F.coalesce(F.col("lead_group") == group, F.lit(False)) for name, group in SPLITS.items()}
+    seen = F.lit(MARKS["total"])
+    for name, inside in groups.items():
+        seen = seen + F.when(inside, MARKS[name]).otherwise(0)
+    rows = rows.withColumn("_marks", seen + F.when(F.col("won"), seen * 16).otherwise(0))
+    sums = [F.bit_or("_marks").alias("marks")]
+    for name, inside in {"total": None, **groups}.items():
+        value, days = (F.col(c) if inside is None else F.when(inside, F.col(c)) for c in ("value", "days"))
+        sums += [F.sum(value).alias(f"{name}_value"), F.sum(days).alias(f"{name}_days"), F.count(days).alias(f"{name}_days_n")]
+    per_opp = rows.groupBy(*KEYS, "to_global", "_counting", "opportunity_id").agg(*sums)
+    # Counts were spread to GLOBAL row by row above; sums are spread here, after they shrank.
+    return per_opp.withColumn("sales_region", F.explode(_regions(~F.col("_counting")))).drop("to_global", "_counting")
 
 
 def _measure_value(name: str, kind_of: dict[str, list[str]]) -> Column:
@@ -175,8 +203,8 @@ def quarterly_cube(fact: DataFrame, sides: list[Team]) -> DataFrame:
     for name in ["total", *SPLITS]:
         sums += [
             F.sum(f"{name}_value").alias(f"{name}_value"),
-            F.sum(F.when(counted, F.col(f"{name}_seen")).otherwise(0)).alias(f"{name}_seen"),
-            F.sum(F.when(counted, F.col(f"{name}_won")).otherwise(0)).alias(f"{name}_won"),
+            F.count(F.when(counted & (F.col("marks").bitwiseAND(MARKS[name]) > 0), 1)).alias(f"{name}_seen"),
+            F.count(F.when(counted & (F.col("marks").bitwiseAND(MARKS[name] * 16) > 0), 1)).alias(f"{name}_won"),
             F.sum(f"{name}_days").alias(f"{name}_days"),
             F.sum(f"{name}_days_n").alias(f"{name}_days_n"),
         ]

@@ -359,7 +359,11 @@ class FactPart:
     def struct(self, key: str) -> Column:
         value = F.col("value") if self.value is None else self.value.cast("double")
         hit = F.lit(0) if self.hit is None else F.when(self.hit, 1).otherwise(0)
-        made = F.struct(F.lit(key).alias("key"), F.col(f"_{self.period}").alias("month_date"), value.alias("value"), hit.alias("hit"))
+        # Only shares of distinct opportunities need the opportunity; sums shrink to few rows before the shuffle without it.
+        counted = F.lit(None).cast("long") if self.hit is None else F.col("opportunity_id")
+        made = F.struct(
+            F.lit(key).alias("key"), F.col(f"_{self.period}").alias("month_date"), value.alias("value"), hit.alias("hit"), counted.alias("opportunity_id")
+        )
         return made if self.where is None else F.when(self.where, made)
 
 
@@ -411,8 +415,8 @@ def fact_keys(fact: DataFrame, as_of: date, snapshot: date) -> DataFrame:
     for column, values in zip(("dataset", "metric", "value_type"), zip(*families)):
         used = used & F.col(column).isin(*sorted(set(values)))
     periods = {"_month": month_end("full_date"), "_quarter": quarter_end("full_date"), "_qualified": month_end("qualified_date")}
-    rows = fact.filter(used).withColumns(periods).select(F.col("opportunity_owner").alias("rep_name"), "opportunity_id", F.explode(tags).alias("_t")).filter(F.col("_t").isNotNull())
-    rows = rows.select("rep_name", "opportunity_id", "_t.*")
+    rows = fact.filter(used).withColumns(periods).select(F.col("opportunity_owner").alias("rep_name"), F.explode(tags).alias("_t"))
+    rows = rows.filter(F.col("_t").isNotNull()).select("rep_name", "_t.*")
     per_opp = rows.groupBy("rep_name", "month_date", "key", "opportunity_id").agg(
         F.sum("value").alias("total"), F.count("value").alias("n"), F.max("hit").alias("hit")
     )
