@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from revtrellis.functions.dates import OPEN_START, as_date, days_between, week_number_sunday, week_start_monday
 from revtrellis.functions.numbers import lookup
-from revtrellis.functions.text import any_like, first_chars
+from revtrellis.functions.text import first_chars
 from revtrellis.operators.joins import interval_join, left_join_nullable
 from revtrellis.operators.sets import rename_to, union_all
 from revtrellis.operators.windows import latest_per_key, previous_day
@@ -154,7 +154,7 @@ def activity_calendar(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def outbound_activity(source, as_of: date, from_date: date, campaign_pattern: str = "incubation-b2b%") -> DataFrame:
+def outbound_activity(source, as_of: date, from_date: date) -> DataFrame:
     """Tasks per rep, day and class; segment and region come from the creator's role.
 
     The opportunity, campaign and influence columns of an activity do not reach this output and

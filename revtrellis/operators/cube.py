@@ -110,33 +110,21 @@ def _coarse_filter(measures: list[Measure]) -> Column:
     return cond
 
 
-def _entry(m: Measure) -> Column:
-    return F.struct(
-        F.lit(m.name).alias("measure"),
-        (F.col("dataset") if m.dataset_label else F.lit("*")).alias("label"),
-        (days_between(*m.days) if m.days else F.lit(None).cast("int")).alias("days"),
-        F.lit(m.kind in COUNTING_KINDS).alias("counting"),
-        # Plain sums and means need no opportunity: without it they shrink to few rows before the shuffle.
-        (F.col("opportunity_id") if m.kind in COUNTING_KINDS else F.lit(None).cast("long")).alias("opportunity_id"),
-    )
-
-
 def _hits(measures: list[Measure]) -> Column:
-    """Entries of the measures a row feeds: one branch per kind of row, so only its own entries are built."""
-    kinds: dict[tuple[str, str, str | None], list[Measure]] = {}
+    """Names of the measures a row feeds, looked up by the kind of row.
+
+    A constant map keeps the generated code small; a branch per measure would make one method that the JVM
+    no longer compiles.
+    """
+    kinds: dict[str, list[str]] = {}
     for m in measures:
         for dataset in m.datasets:
             for metric in m.metrics:
-                for value_type in m.value_types or (None,):
-                    kinds.setdefault((dataset, metric, value_type), []).append(m)
-    out = None
-    for (dataset, metric, value_type), members in kinds.items():
-        here = (F.col("dataset") == dataset) & (F.col("metric") == metric)
-        if value_type is not None:
-            here = here & (F.col("value_type") == value_type)
-        entries = F.array(*[_entry(m) for m in members])
-        out = F.when(here, entries) if out is None else out.when(here, entries)
-    return out
+                for value_type in m.value_types or ("*",):
+                    kinds.setdefault(f"{dataset}|{metric}|{value_type}", []).append(m.name)
+    table = F.create_map(*[x for kind, names in kinds.items() for x in (F.lit(kind), F.array(*[F.lit(n) for n in names]))])
+    of = lambda last: F.try_element_at(table, F.concat_ws("|", "dataset", "metric", last))
+    return F.coalesce(of(F.col("value_type")), of(F.lit("*")))
 
 
 COUNTING_KINDS = ("count_per_week", "sum_per_count", "won_ratio")
@@ -159,9 +147,28 @@ def _per_opportunity(fact: DataFrame, sides: list[Team]) -> DataFrame:
         spread = F.when(t.rows, F.lit(t.with_global)) if spread is None else spread.when(t.rows, F.lit(t.with_global))
     used = [m for t in sides for m in t.measures]
     rows = fact.filter(_coarse_filter(used)).withColumns({"segment": segment, "to_global": spread, "_hits": hits})
-    rows = rows.withColumn("_hit", F.explode("_hits"))
-    base = ["_hit.measure", "segment", "_hit.label", F.concat(F.col("year").cast("string"), F.lit("-"), F.col("quarter")).alias("yr_qtr"), "value_type"]
-    rows = rows.select(*base, "to_global", F.explode(_regions(F.col("_hit.counting"))).alias("sales_region"), F.col("_hit.opportunity_id").alias("opportunity_id"), "lead_group", "value", F.col("_hit.days").alias("days"), F.col("_hit.counting").alias("_counting"), (F.col("metric") == "Closed Won").alias("won"))
+    rows = rows.withColumn("measure", F.explode("_hits"))
+    plain_label = F.col("measure").isin(*[m.name for m in used if not m.dataset_label])
+    counting = F.col("measure").isin(*[m.name for m in used if m.kind in COUNTING_KINDS])
+    days = F.lit(None).cast("int")
+    for m in {m.name: m for m in used if m.days}.values():
+        days = F.when(F.col("measure") == m.name, days_between(*m.days)).otherwise(days)
+    rows = rows.withColumn("_counting", counting).select(
+        "measure",
+        "segment",
+        F.when(plain_label, "*").otherwise(F.col("dataset")).alias("label"),
+        F.concat(F.col("year").cast("string"), F.lit("-"), F.col("quarter")).alias("yr_qtr"),
+        "value_type",
+        F.explode(_regions(F.col("_counting"))).alias("sales_region"),
+        # Plain sums and means need no opportunity: without it they shrink to few rows before the shuffle.
+        F.when(F.col("_counting"), F.col("opportunity_id")).alias("opportunity_id"),
+        "lead_group",
+        "value",
+        days.alias("days"),
+        (F.col("metric") == "Closed Won").alias("won"),
+        "_counting",
+        "to_global",
+    )
     groups = {name: F.coalesce(F.col("lead_group") == group, F.lit(False)) for name, group in SPLITS.items()}
     seen = F.lit(MARKS["total"])
     for name, inside in groups.items():
