@@ -352,34 +352,33 @@ class FactPart:
     value_type: str
     dataset: str = "Actuals"
     period: str = "month"
-    where: Column | None = None
+    where: str | None = None
     hit: Column | None = None
     value: Column | None = None
 
-    def struct(self, key: str) -> Column:
-        value = F.col("value") if self.value is None else self.value.cast("double")
-        hit = F.lit(0) if self.hit is None else F.when(self.hit, 1).otherwise(0)
-        # Only shares of distinct opportunities need the opportunity; sums shrink to few rows before the shuffle without it.
-        counted = F.lit(None).cast("long") if self.hit is None else F.col("opportunity_id")
-        made = F.struct(
-            F.lit(key).alias("key"), F.col(f"_{self.period}").alias("month_date"), value.alias("value"), hit.alias("hit"), counted.alias("opportunity_id")
-        )
-        return made if self.where is None else F.when(self.where, made)
+
+def row_conditions(as_of: date, snapshot: date) -> dict[str, Column]:
+    owned = F.col("opportunity_owner") != ""
+    return {
+        "owned": owned,
+        "snapshot": owned & (F.col("snapshot_date") == F.lit(snapshot)),
+        "has_term": F.col("term_length").isNotNull(),
+        "from_today": F.col("full_date") >= as_date(as_of),
+    }
 
 
-def fact_parts(as_of: date, snapshot: date) -> dict[str, FactPart]:
+def fact_parts(as_of: date) -> dict[str, FactPart]:
     """Every use the scorecard makes of the metric fact."""
     count, product, term = "Opportunity Deal Count", "Product Deal Count", F.col("term_length").cast("double")
-    won, sal, owned = ("Closed Won",), ("Open Pipe SAL",), F.col("opportunity_owner") != ""
-    snap = owned & (F.col("snapshot_date") == F.lit(snapshot))
+    won, sal = ("Closed Won",), ("Open Pipe SAL",)
     parts = {
         "created": FactPart(("Created",), count),
         "created_revenue": FactPart(("Created",), VALUE_KINDS["revenue"]),
         "created_profit": FactPart(("Created",), VALUE_KINDS["profit"]),
         "demos": FactPart(("Activity Subtype Count",), "Demo", "Activity"),
-        "multi_open": FactPart(sal, count, where=F.col("term_length").isNotNull(), hit=term > 1),
-        "multi_won": FactPart(won, count, where=F.col("term_length").isNotNull(), hit=term > 1),
-        "next_steps": FactPart(("Open Pipe",), count, where=F.col("full_date") >= as_date(as_of), hit=F.col("next_step").isNotNull()),
+        "multi_open": FactPart(sal, count, where="has_term", hit=term > 1),
+        "multi_won": FactPart(won, count, where="has_term", hit=term > 1),
+        "next_steps": FactPart(("Open Pipe",), count, where="from_today", hit=F.col("next_step").isNotNull()),
         "open_age": FactPart(sal, count, period="qualified", value=days_between(as_date(as_of), "qualified_date")),
         "win_rate": FactPart(("Closed Won", "Closed Lost"), count, hit=F.col("metric") == "Closed Won"),
         "unified": FactPart(won, count, hit=F.col("is_unified")),
@@ -388,11 +387,11 @@ def fact_parts(as_of: date, snapshot: date) -> dict[str, FactPart]:
     for k, v in PRODUCTS.items():
         parts[f"mix_{k}"] = FactPart(won, product, hit=F.col("product_name") == v)
     for k, v in VALUE_KINDS.items():
-        parts[f"actual_month_{k}"] = FactPart(won, v, where=owned)
-        parts[f"actual_{k}"] = FactPart(won, v, period="quarter", where=owned)
-        parts[f"open_{k}"] = FactPart(sal, v, period="quarter", where=owned)
-        parts[f"past_actual_{k}"] = FactPart(won, v, "Snapshots", "quarter", snap)
-        parts[f"past_open_{k}"] = FactPart(sal, v, "Snapshots", "quarter", snap)
+        parts[f"actual_month_{k}"] = FactPart(won, v, where="owned")
+        parts[f"actual_{k}"] = FactPart(won, v, period="quarter", where="owned")
+        parts[f"open_{k}"] = FactPart(sal, v, period="quarter", where="owned")
+        parts[f"past_actual_{k}"] = FactPart(won, v, "Snapshots", "quarter", "snapshot")
+        parts[f"past_open_{k}"] = FactPart(sal, v, "Snapshots", "quarter", "snapshot")
     return parts
 
 
@@ -402,21 +401,40 @@ def fact_keys(fact: DataFrame, as_of: date, snapshot: date) -> DataFrame:
     A row is expanded to the keys it belongs to and reduced per opportunity first: distinct counts
     become sums, and an owner with very many rows is spread over many tasks.
     """
-    families: dict[tuple[str, str, str], list[Column]] = {}
-    for key, part in fact_parts(as_of, snapshot).items():
+    parts = fact_parts(as_of)
+    kinds: dict[tuple[str, str, str], list[str]] = {}
+    for key, part in parts.items():
         for metric in part.metric:
-            families.setdefault((part.dataset, metric, part.value_type), []).append(part.struct(key))
-    # One branch per kind of row, so that a row builds only the few entries of its own kind.
-    tags = None
-    for (dataset, metric, value_type), entries in families.items():
-        here = (F.col("dataset") == dataset) & (F.col("metric") == metric) & (F.col("value_type") == value_type)
-        tags = F.when(here, F.array(*entries)) if tags is None else tags.when(here, F.array(*entries))
+            kinds.setdefault((part.dataset, metric, part.value_type), []).append(key)
     used = F.lit(True)
-    for column, values in zip(("dataset", "metric", "value_type"), zip(*families)):
+    for column, values in zip(("dataset", "metric", "value_type"), zip(*kinds)):
         used = used & F.col(column).isin(*sorted(set(values)))
+    # The keys of a row come from a constant map, what each key takes from short chains: the generated code stays small
+    # enough for the JVM to compile.
+    table = F.create_map(*[x for kind, keys in kinds.items() for x in (F.lit("|".join(kind)), F.array(*[F.lit(k) for k in keys]))])
+    keys = F.try_element_at(table, F.concat_ws("|", "dataset", "metric", "value_type"))
     periods = {"_month": month_end("full_date"), "_quarter": quarter_end("full_date"), "_qualified": month_end("qualified_date")}
-    rows = fact.filter(used).withColumns(periods).select(F.col("opportunity_owner").alias("rep_name"), F.explode(tags).alias("_t"))
-    rows = rows.filter(F.col("_t").isNotNull()).select("rep_name", "_t.*")
+    rows = fact.filter(used).withColumns(periods).withColumn("key", F.explode(keys))
+    key = F.col("key")
+
+    def named(test) -> list[str]:
+        return [k for k, p in parts.items() if test(p)]
+
+    for name, condition in row_conditions(as_of, snapshot).items():
+        rows = rows.filter(~key.isin(*named(lambda p, name=name: p.where == name)) | condition)
+    period, value, hit = F.col("_month"), F.col("value"), F.lit(0)
+    for name in ("quarter", "qualified"):
+        period = F.when(key.isin(*named(lambda p, name=name: p.period == name)), F.col(f"_{name}")).otherwise(period)
+    for k, p in parts.items():
+        if p.value is not None:
+            value = F.when(key == k, p.value.cast("double")).otherwise(value)
+        if p.hit is not None:
+            hit = F.when(key == k, p.hit.cast("int")).otherwise(hit)
+    # Only shares of distinct opportunities need the opportunity; sums shrink to few rows before the shuffle without it.
+    counted = F.when(key.isin(*named(lambda p: p.hit is not None)), F.col("opportunity_id"))
+    rows = rows.select(
+        F.col("opportunity_owner").alias("rep_name"), "key", period.alias("month_date"), value.alias("value"), F.coalesce(hit, F.lit(0)).alias("hit"), counted.alias("opportunity_id")
+    )
     per_opp = rows.groupBy("rep_name", "month_date", "key", "opportunity_id").agg(
         F.sum("value").alias("total"), F.count("value").alias("n"), F.max("hit").alias("hit")
     )
@@ -450,71 +468,90 @@ def talk_keys(conversations: DataFrame, users: DataFrame) -> DataFrame:
     )
 
 
+def _value_forms() -> list[tuple[str, str, str]]:
+    """(metric, key or value kind, form) of every metric that comes from the keys."""
+    out = [
+        ("1g. Created Opps", "created", "total"),
+        ("2b. Talk-to-Meeting Conversion Rate", "talk", "talk"),
+        ("2c. Multi vs Single Yr Deals - Open Pipe", "multi_open", "share"),
+        ("2d. # of Demos Scheduled", "demos", "total"),
+        ("2g. % of Pipe w/ Next steps", "next_steps", "share"),
+        ("2h. Average Age - Open Pipe", "open_age", "inverse_mean"),
+        ("3a. Win Rate", "win_rate", "share"),
+        ("3d. Unified Commerce Exposure", "unified", "share"),
+        ("3g. Multi vs Single Yr Deals - Closed Won", "multi_won", "share"),
+        ("3h. Contract Length", "contract", "rounded_mean"),
+        ("3i. Product Mix Capital", "mix_capital", "share"),
+        ("3j. Product Mix Payments", "mix_payments", "share"),
+        ("3k. Product Mix Retail Payments", "mix_retail_payments", "share"),
+        ("3l. Product Mix Installments", "mix_installments", "share"),
+        ("99b. Created LTR", "created_revenue", "total"),
+        ("99b. Created IPP", "created_profit", "total"),
+    ]
+    for kind, label in {"revenue": "LTR", "profit": "IPP", "activations": "SA"}.items():
+        out += [
+            (f"1j. Pipe Coverage {label}", kind, "coverage"),
+            (f"3m. Attainment {label}", kind, "attainment"),
+            (f"3n. Pacing {label}", kind, "pacing"),
+            (f"99h. 25Q1 Attainment {'SAU' if label == 'SA' else label}", kind, "attained"),
+        ]
+        if kind != "activations":
+            out += [
+                (f"1l. LQ Pipe Coverage {label}", kind, "past_coverage"),
+                (f"99e. Targets - Actuals {label}", kind, "gap"),
+                (f"99i. {label} Targets", kind, "quota"),
+                (f"99k. Open Pipe {label}", kind, "open"),
+            ]
+    return out
+
+
 def fact_values(keys: DataFrame, as_of: date, snapshot: date) -> DataFrame:
     """Metric values per rep and period from the keys of that period.
 
     The keys of a period are a fixed list of a few dozen, so they are folded into one map per (rep, period).
+    Each metric names its key and its form, and one short expression per form computes it.
     """
     entry = F.struct("total", "n", "hits", "opps")
     folded = keys.groupBy("rep_name", "month_date").agg(F.map_from_entries(F.collect_list(F.struct("key", entry))).alias("k"))
+    wanted = [F.struct(F.lit(m).alias("metric"), F.lit(key).alias("key"), F.lit(form).alias("form")) for m, key, form in _value_forms()]
+    rows = folded.withColumn("_w", F.explode(F.array(*wanted))).select("rep_name", "month_date", "k", "_w.*")
 
-    def part(key: str, field: str) -> Column:
-        return F.try_element_at("k", F.lit(key)).getField(field)
-
-    def total(key: str) -> Column:
-        return part(key, "total")
-
-    def share(key: str) -> Column:
-        return safe_divide(part(key, "hits"), part(key, "opps"))
-
-    def mean(key: str) -> Column:
-        return safe_divide(total(key), part(key, "n"))
-
-    this_quarter, this_month = quarter_end(as_date(as_of)), F.last_day(as_date(as_of))
-    past_quarter = quarter_end(F.lit(snapshot))
-    month = F.col("month_date")
-    out: list[tuple[str, Column, Column]] = [
-        ("1g. Created Opps", month, total("created")),
-        ("2b. Talk-to-Meeting Conversion Rate", month, safe_divide(total("talk"), total("created") * part("talk", "n"))),
-        ("2c. Multi vs Single Yr Deals - Open Pipe", month, share("multi_open")),
-        ("2d. # of Demos Scheduled", month, total("demos")),
-        ("2g. % of Pipe w/ Next steps", month, share("next_steps")),
-        ("2h. Average Age - Open Pipe", month, inverse_mean(mean("open_age"))),
-        ("3a. Win Rate", month, share("win_rate")),
-        ("3d. Unified Commerce Exposure", month, share("unified")),
-        ("3g. Multi vs Single Yr Deals - Closed Won", month, share("multi_won")),
-        ("3h. Contract Length", month, F.round(mean("contract"), 2)),
-        ("3i. Product Mix Capital", month, share("mix_capital")),
-        ("3j. Product Mix Payments", month, share("mix_payments")),
-        ("3k. Product Mix Retail Payments", month, share("mix_retail_payments")),
-        ("3l. Product Mix Installments", month, share("mix_installments")),
-        ("99b. Created LTR", month, total("created_revenue")),
-        ("99b. Created IPP", month, total("created_profit")),
-    ]
-    now, past = F.col("month_date") == this_quarter, F.col("month_date") == past_quarter
+    def total(prefix: str) -> Column:
+        return F.try_element_at("k", F.concat(F.lit(prefix), F.col("key"))).getField("total")
+
+    rows = rows.withColumn("e", F.try_element_at("k", F.col("key"))).withColumns(
+        {name: total(f"{name}_") for name in ("quota", "actual", "open", "quota_month", "actual_month", "past_actual", "past_open")}
+    )
     today = as_date(as_of)
-    days = days_between(quarter_end(today), quarter_start(today)) + 1
-    elapsed = days - days_between(quarter_end(today), today)
-    for kind, label in {"revenue": "LTR", "profit": "IPP", "activations": "SA"}.items():
-        quota, actual = total(f"quota_{kind}"), total(f"actual_{kind}")
-        gap = quota - zero_if_null(actual)
-        past_gap = quota - zero_if_null(total(f"past_actual_{kind}"))
-        out += [
-            (f"1j. Pipe Coverage {label}", this_month, F.when(now, coverage(total(f"open_{kind}"), gap))),
-            (f"3m. Attainment {label}", month, safe_divide(total(f"actual_month_{kind}"), total(f"quota_month_{kind}"))),
-            (f"3n. Pacing {label}", this_month, F.when(now, safe_divide(actual, quota * elapsed / days))),
-            (f"99h. 25Q1 Attainment {'SAU' if label == 'SA' else label}", this_month, F.when(now, safe_divide(actual, quota))),
-        ]
-        if kind != "activations":
-            out += [
-                (f"1l. LQ Pipe Coverage {label}", month, F.when(past, coverage(total(f"past_open_{kind}"), past_gap))),
-                (f"99e. Targets - Actuals {label}", this_month, F.when(now, F.when(gap < 0, F.lit(0.0)).otherwise(gap))),
-                (f"99i. {label} Targets", this_month, F.when(now, quota)),
-                (f"99k. Open Pipe {label}", this_month, F.when(now & quota.isNotNull(), total(f"open_{kind}"))),
-            ]
-    pairs = [F.struct(F.lit(m).alias("metric"), p.alias("month_date"), v.cast("double").alias("value")) for m, p, v in out]
-    rows = folded.select("rep_name", F.explode(F.array(*pairs)).alias("_v")).select("rep_name", "_v.*")
-    return rows.filter(F.col("value").isNotNull()).select(*LONG)
+    this_quarter, past_quarter = quarter_end(today), quarter_end(F.lit(snapshot))
+    days = days_between(this_quarter, quarter_start(today)) + 1
+    elapsed = days - days_between(this_quarter, today)
+    quota, actual, form, e = F.col("quota"), F.col("actual"), F.col("form"), F.col("e")
+    gap, mean = quota - zero_if_null(actual), safe_divide(e.getField("total"), e.getField("n"))
+    created_total = F.try_element_at("k", F.lit("created")).getField("total")
+    current = {
+        "coverage": coverage(F.col("open"), gap),
+        "pacing": safe_divide(actual, quota * elapsed / days),
+        "attained": safe_divide(actual, quota),
+        "gap": F.when(gap < 0, F.lit(0.0)).otherwise(gap),
+        "quota": quota,
+        "open": F.when(quota.isNotNull(), F.col("open")),
+    }
+    others = {
+        "total": e.getField("total"),
+        "share": safe_divide(e.getField("hits"), e.getField("opps")),
+        "inverse_mean": inverse_mean(mean),
+        "rounded_mean": F.round(mean, 2),
+        "talk": safe_divide(e.getField("total"), created_total * e.getField("n")),
+        "attainment": safe_divide(F.col("actual_month"), F.col("quota_month")),
+        "past_coverage": F.when(F.col("month_date") == past_quarter, coverage(F.col("past_open"), quota - zero_if_null(F.col("past_actual")))),
+    }
+    value = None
+    for name, v in {**others, **{k: F.when(F.col("month_date") == this_quarter, v) for k, v in current.items()}}.items():
+        value = F.when(form == name, v.cast("double")) if value is None else value.when(form == name, v.cast("double"))
+    # Figures of the running quarter are shown in the as-of month.
+    month = F.when(form.isin(*current), F.last_day(today)).otherwise(F.col("month_date"))
+    return rows.select("rep_name", month.alias("month_date"), "metric", value.alias("value")).filter(F.col("value").isNotNull())
 
 
 # ---------------------------------------------------------------- assembly
