@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import os
 
 from pyspark.sql import SparkSession
 
@@ -16,9 +16,16 @@ def ensure_settings(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder that every executor can reach, as named by the cluster.
+    """Folder that the driver and every executor can reach: the one in spark.checkpoint.dir, else one in the warehouse.
 
-    Only where the cluster names none (tests, a laptop) a temporary one is used.
+    A warehouse on a local disk is only accepted where driver and executors run in one process. Elsewhere each machine
+    would write to its own disk and a later read would miss rows, so a cluster must name the folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", "")
-    return configured or tempfile.mkdtemp(prefix="revtrellis-")
+    if configured:
+        return configured
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    local = "://" not in warehouse and not warehouse.startswith("hdfs:") or warehouse.startswith("file:")
+    if local and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return os.path.join(warehouse, "_revtrellis_intermediate")
