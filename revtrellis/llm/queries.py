@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revtrellis.llm import bpe_stream, pii, token_files, topk
+from revtrellis.llm import bpe_stream, decontaminate, licenses, pii, token_files, topk
 from revtrellis.llm.common import read, ship
 from revtrellis.session import ensure_settings
 
@@ -69,3 +69,13 @@ def _(spark, path):
 @query("op8_pii")
 def _(spark, path):
     return pii.digests(read(spark, path, "documents", "doc_id", "text"))
+
+
+@query("op6_decontaminate")
+def _(spark, path):
+    return decontaminate.digests(read(spark, path, "documents", "doc_id", "text"), read(spark, path, "benchmark", "item_id", "text"))
+
+
+@query("op9_licenses")
+def _(spark, path):
+    return licenses.digests(read(spark, path, "documents", "doc_id", "text"))
