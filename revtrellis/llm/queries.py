@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revtrellis.llm import bpe_stream, decontaminate, licenses, pii, token_files, topk
+from revtrellis.llm import bpe_stream, decontaminate, licenses, phrase_dedup, pii, token_files, topk
 from revtrellis.llm.common import read, ship
 from revtrellis.session import ensure_settings
 
@@ -79,3 +79,8 @@ def _(spark, path):
 @query("op9_licenses")
 def _(spark, path):
     return licenses.digests(read(spark, path, "documents", "doc_id", "text"))
+
+
+@query("op1_phrase_dedup")
+def _(spark, path):
+    return phrase_dedup.remove_repeats(read(spark, path, "documents", "doc_id", "text"), digest=True).withColumnRenamed("kept", "kept_sha256")
