@@ -53,21 +53,24 @@ def shards_of(values: np.ndarray, n: int) -> np.ndarray:
     return ((values >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
 
 
-def ask(dealt_docs: DataFrame, question: Callable[[Block], dict[str, np.ndarray]], shards: int, answers: DataFrame | None = None) -> DataFrame:
+def ask(dealt_docs: DataFrame, question: Callable[..., dict], shards: int, answers: DataFrame | None = None) -> DataFrame:
     """Rows (shard, block, one binary column per array) with what each block asks.
 
-    question gives arrays of one length sorted by `hash`, which decides the shard. With answers of an earlier question
-    it is called with the block and the answers' rows.
+    question.columns names each array and the array of hashes, sorted, that decides the shard of its entries; an array is
+    of fixed-width values or a list of byte strings. With answers of an earlier question it is called with the block and
+    the answers' rows.
     """
-    columns = question.columns  # type: ignore[attr-defined]
+    columns: dict[str, str] = question.columns  # type: ignore[attr-defined]
 
-    def pack(block: Block, asked: dict[str, np.ndarray]) -> pa.Table:
-        edges = np.searchsorted(shards_of(asked["hash"], shards), np.arange(shards + 1))
+    def pack(block: Block, asked: dict) -> pa.Table:
         out = {"shard": pa.array(np.arange(shards, dtype=np.int32)), "block": pa.array(np.full(shards, block.number, np.int32))}
-        for c in columns:
-            raw = np.ascontiguousarray(asked[c])
-            out[c] = pa.array([raw[a:b].tobytes() for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())], pa.binary())
-        return pa.table(out).filter(pa.array(np.diff(edges) > 0))
+        full = np.zeros(shards, bool)
+        for c, by in columns.items():
+            edges = np.searchsorted(shards_of(asked[by], shards), np.arange(shards + 1))
+            full |= np.diff(edges) > 0
+            raw, cuts = asked[c], list(zip(edges[:-1].tolist(), edges[1:].tolist()))
+            out[c] = pa.array([b"".join(raw[a:b]) if isinstance(raw, list) else raw[a:b].tobytes() for a, b in cuts], pa.binary())
+        return pa.table(out).filter(pa.array(full))
 
     schema = "shard int, block int, " + ", ".join(f"{c} binary" for c in columns)
     empty = pa.table({"shard": pa.array([], pa.int32()), "block": pa.array([], pa.int32()), **{c: pa.array([], pa.binary()) for c in columns}})
@@ -119,10 +122,12 @@ def bits_by_row(bits: np.ndarray, sizes: np.ndarray) -> list[bytes]:
     return [np.packbits(bits[a:b], bitorder="little").tobytes() for a, b in zip((ends - sizes).tolist(), ends.tolist())]
 
 
-def bits_told(told: pa.Table, column: str, asked_hashes: np.ndarray, shards: int) -> np.ndarray:
-    """The answered bits in the order of the (sorted) hashes asked."""
-    out = np.zeros(len(asked_hashes), bool)
+def bits_told(told: pa.Table, column: str, asked_hashes: np.ndarray, shards: int, sizes: np.ndarray | None = None) -> np.ndarray:
+    """The answered bits in the order of the (sorted) hashes asked: one per hash, or sizes[i] of them."""
     edges = np.searchsorted(shards_of(asked_hashes, shards), np.arange(shards + 1))
+    if sizes is not None:
+        edges = np.append(0, np.cumsum(sizes))[edges]
+    out = np.zeros(int(edges[-1]), bool)
     for shard, raw in zip(told.column("shard").to_pylist(), told.column(column).to_pylist()):
         a, b = int(edges[shard]), int(edges[shard + 1])
         out[a:b] = np.unpackbits(np.frombuffer(raw, np.uint8), count=b - a, bitorder="little").astype(bool)

@@ -55,7 +55,7 @@ def _anchors(w: Words, length: int, phrase: int) -> tuple[np.ndarray, np.ndarray
 
 
 class AskAnchors:
-    columns = ("hash", "count")
+    columns = {"hash": "hash", "count": "hash"}
 
     def __init__(self, length: int, phrase: int):
         self.length, self.phrase = length, phrase
@@ -102,7 +102,7 @@ class Candidates:
 
 
 class AskWindows:
-    columns = ("hash", "check", "first", "more")
+    columns = {"hash": "hash", "check": "hash", "first": "hash", "more": "hash"}
 
     def __init__(self, length: int, phrase: int, shards: int):
         self.settings = (length, phrase, shards)
