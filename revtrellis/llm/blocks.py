@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from revtrellis.llm.common import bucket, partitions
+from revtrellis.llm.common import bucket, partitions, ship
 
 LAST = np.iinfo(np.int64).max
 MANY = 255
@@ -27,7 +27,7 @@ MANY = 255
 
 def dealt(docs: DataFrame, id_col: str, text_col: str, per_partition: int = 4) -> DataFrame:
     """doc_id, text, block."""
-    n = per_partition * partitions(docs.sparkSession)
+    n = per_partition * partitions(ship(docs.sparkSession))
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).withColumn("block", bucket("doc_id", n))
 
 

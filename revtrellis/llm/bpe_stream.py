@@ -28,7 +28,8 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from revtrellis.llm.common import ship
 
 #: Fixed value: the pattern by which byte-level BPE cuts texts.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -200,6 +201,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
             ids = [b"".join(encoder.encode(t)) if t else b"" for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.large_binary()).cast(pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())], names=[id_col, "ids", "n_tokens"])
 
+    ship(docs.sparkSession)
     picked = docs.select(id_col, text_col)
     return picked.mapInArrow(run, f"{id_col} {picked.schema[id_col].dataType.simpleString()}, ids binary, n_tokens bigint")
 
@@ -213,6 +215,7 @@ def decode(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
             texts = ["".join(decoder.decode([x or b""])) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=[id_col, "text"])
 
+    ship(tokens.sparkSession)
     picked = tokens.select(id_col, ids_col)
     return picked.mapInArrow(run, f"{id_col} {picked.schema[id_col].dataType.simpleString()}, text string")
 
@@ -253,6 +256,7 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                 names=[id_col, "n_tokens", "ids_sha256" if digest else "ids", "decoded_sha256" if digest else "decoded"],
             )
 
+    ship(docs.sparkSession)
     picked = docs.select(id_col, text_col)
     kind = picked.schema[id_col].dataType.simpleString()
     return picked.mapInArrow(run, f"{id_col} {kind}, n_tokens bigint, " + ("ids_sha256 string, decoded_sha256 string" if digest else "ids binary, decoded string"))

@@ -21,7 +21,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revtrellis.llm.common import bucket
+from revtrellis.llm.common import bucket, ship
 from revtrellis.llm.suffix_automaton import ItemIndex
 from revtrellis.llm.wordhash import LOWER, PUNCTUATION, words_of
 
@@ -83,6 +83,7 @@ def item_shards(items: DataFrame, id_col: str = "item_id", text_col: str = "text
 
 def scan(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """One row per document: id, n_words, n_hit, `items` (ids of the items with occurring windows, sorted) and `spans` (maximal hit runs as [first byte, last byte) in UTF-8)."""
+    ship(docs.sparkSession)
     shards = item_shards(items)
     picked = docs.select(F.col(id_col), F.col(text_col))
     kind = picked.schema[id_col].dataType.simpleString()

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revtrellis.llm.common import ship
 from revtrellis.llm.suffix_automaton import ItemIndex
 from revtrellis.llm.wordhash import LOWER, PUNCTUATION, words_of
 
@@ -135,6 +136,7 @@ def _index(phrases: tuple, templates: tuple) -> LicenceIndex:
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases: tuple = PHRASES, templates: tuple = TEMPLATES, spec: ScanSpec = ScanSpec()) -> DataFrame:
     """One row per document: id, n_words, phrase places (first_word, label) in order, covered template spans (label, first word, last word exclusive, coverage)."""
+    ship(docs.sparkSession)
     picked = docs.select(F.col(id_col), F.col(text_col))
     kind = picked.schema[id_col].dataType.simpleString()
     place_type = pa.struct([("first_word", pa.int64()), ("label", pa.string())])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revtrellis.llm import bpe_stream, decontaminate, licenses, phrase_dedup, pii, suffix_dedup, token_files, topk
+from revtrellis.llm import bpe_stream, decontaminate, licenses, minhash, phrase_dedup, pii, suffix_dedup, token_files, topk
 from revtrellis.llm.common import read, ship
 from revtrellis.session import ensure_settings
 
@@ -89,3 +89,8 @@ def _(spark, path):
 @query("op4_suffix_dedup")
 def _(spark, path):
     return suffix_dedup.remove_repeats(read(spark, path, "documents", "doc_id", "text"), digest=True).withColumnRenamed("kept", "kept_sha256")
+
+
+@query("op7_near_duplicates")
+def _(spark, path):
+    return minhash.near_duplicates(read(spark, path, "documents", "doc_id", "text"))

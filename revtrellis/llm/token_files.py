@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from revtrellis.llm.common import partitions, written
+from revtrellis.llm.common import partitions, ship, written
 
 BLOCK = 256
 SEGMENT = 1 << 16
@@ -176,7 +176,7 @@ def _tokens(path: str) -> WordTokens:
 
 def write_token_files(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", name: str = "tokens") -> DataFrame:
     """Encode all documents and write them; returns the written table: file, segment, ids before it in the file, documents, payload."""
-    spark = docs.sparkSession
+    spark = ship(docs.sparkSession)
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     ordered = picked.repartitionByRange(partitions(spark), "doc_id").sortWithinPartitions("doc_id", "text")
     kind = picked.schema["doc_id"].dataType
@@ -242,5 +242,6 @@ def read_documents(files: DataFrame, digest: bool = False) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids_crc32" if digest else "ids"],
                 )
 
+    ship(files.sparkSession)
     picked = with_starts(files).select("doc_ids", "start", "payload")
     return picked.mapInArrow(run, f"doc_id {kind}, start bigint, n_tokens bigint, " + ("ids_crc32 bigint" if digest else "ids array<bigint>"))

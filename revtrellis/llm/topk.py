@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from revtrellis.llm.common import bucket
+from revtrellis.llm.common import bucket, ship
 
 SLICES = 4
 BLOCK_ROWS = 4096
@@ -77,6 +77,7 @@ def _best(rows: DataFrame, k: int) -> DataFrame:
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, slices: int = SLICES) -> DataFrame:
     """query_id, rank, vec_id, score: the k best candidates of every query row of integer vectors (see integer_vectors)."""
+    ship(vectors.sparkSession)
     rows = vectors.count()
     width = vectors.agg(F.max(F.size("vec")).alias("width")).first()["width"] or 0
     usable = vectors.filter(F.size("vec") == width)
