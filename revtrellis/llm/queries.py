@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revtrellis.llm import bpe_stream, decontaminate, licenses, minhash, phrase_dedup, pii, suffix_dedup, token_files, topk
+from revtrellis.llm import bpe_stream, decontaminate, licenses, minhash, phrase_dedup, pii, quality, suffix_dedup, token_files, topk
 from revtrellis.llm.common import read, ship
 from revtrellis.session import ensure_settings
 
@@ -94,3 +94,8 @@ def _(spark, path):
 @query("op7_near_duplicates")
 def _(spark, path):
     return minhash.near_duplicates(read(spark, path, "documents", "doc_id", "text"))
+
+
+@query("op10_quality")
+def _(spark, path):
+    return quality.classify(read(spark, path, "documents", "doc_id", "text", "lang", "source", "n_chars"), read(spark, path, "labels", "doc_id", "quality"))
