@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,7 @@ from revtrellis.llm.wordhash import LOWER, PUNCTUATION, words_of
 
 WINDOW = 10
 SHARD_WORDS = 500_000
+MAX_COVERAGE = 0.5
 
 
 class TestItems:
@@ -81,6 +83,47 @@ def item_shards(items: DataFrame, id_col: str = "item_id", text_col: str = "text
     return [spark.sparkContext.broadcast([(r["item"], r["text"]) for r in numbered.filter(F.col("shard") == i).orderBy("item", "text").collect()]) for i in range(n)]
 
 
+@dataclass
+class Found:
+    """Hits of one text: words, hit words, items, and the hit runs as [first byte, last byte)."""
+
+    n_words: int
+    n_hit: int
+    items: list[str]
+    spans: list[list[int]]
+
+
+def _find(texts: list[bytes], shards: list[Broadcast], window: int) -> Iterator[Found]:
+    for w in words_of(texts, PUNCTUATION, LOWER):
+        difference = np.zeros(len(w.hashes) + 1, np.int64)
+        met: dict[int, set[str]] = {}
+        for shard in shards:
+            mine = _built(shard, window)
+            ids, starts, stops = mine.index.stretches(w)
+            checked: dict[tuple[int, ...], bool] = {}
+            for a, b in zip(starts.tolist(), stops.tolist()):
+                part = ids[a:b].tolist()
+                for first, last, k in mine.hits(part):
+                    key = (k, *part[first:last])
+                    if key not in checked:
+                        checked[key] = mine.confirmed(k, [w.data[s:e].tobytes() for s, e in zip(w.starts[a + first : a + last], w.ends[a + first : a + last])])
+                    if checked[key]:
+                        difference[a + first] += 1
+                        difference[a + last] -= 1
+                        doc = int(np.searchsorted(w.first, a, "right")) - 1
+                        met.setdefault(doc, set()).add(mine.names[k])
+        hit = np.cumsum(difference[:-1]) > 0
+        sums = np.append(0, np.cumsum(hit))
+        hits = np.diff(sums[w.first]).tolist()
+        for i, n_words in enumerate(np.diff(w.first).tolist()):
+            spans: list[list[int]] = []
+            if hits[i]:
+                a, b = w.first[i], w.first[i + 1]
+                edges = np.diff(np.concatenate([[0], hit[a:b].view(np.int8), [0]]))
+                spans = [[int(w.starts[a + s] - w.offsets[i]), int(w.ends[a + e - 1] - w.offsets[i])] for s, e in zip(np.flatnonzero(edges == 1), np.flatnonzero(edges == -1))]
+            yield Found(n_words, hits[i], sorted(x for x in met.get(i, ()) if x is not None), spans)
+
+
 def scan(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """One row per document: id, n_words, n_hit, `items` (ids of the items with occurring windows, sorted) and `spans` (maximal hit runs as [first byte, last byte) in UTF-8)."""
     ship(docs.sparkSession)
@@ -90,45 +133,36 @@ def scan(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t.encode() if t else b"" for t in batch.column(1).to_pylist()]
-            n_words, n_hit, named, spans = [], [], [], []
-            for w in words_of(texts, PUNCTUATION, LOWER):
-                raw = w.data
-                difference = np.zeros(len(w.hashes) + 1, np.int64)
-                met: dict[int, set[str]] = {}
-                for shard in shards:
-                    mine = _built(shard, window)
-                    ids, starts, stops = mine.index.stretches(w)
-                    checked: dict[tuple[int, ...], bool] = {}
-                    for a, b in zip(starts.tolist(), stops.tolist()):
-                        part = ids[a:b].tolist()
-                        for first, last, k in mine.hits(part):
-                            key = (k, *part[first:last])
-                            if key not in checked:
-                                checked[key] = mine.confirmed(k, [raw[s:e].tobytes() for s, e in zip(w.starts[a + first : a + last], w.ends[a + first : a + last])])
-                            if checked[key]:
-                                difference[a + first] += 1
-                                difference[a + last] -= 1
-                                doc = int(np.searchsorted(w.first, a, "right")) - 1
-                                met.setdefault(doc, set()).add(mine.names[k])
-                hit = np.cumsum(difference[:-1]) > 0
-                sums = np.append(0, np.cumsum(hit))
-                n_words += np.diff(w.first).tolist()
-                n_hit += np.diff(sums[w.first]).tolist()
-                for i in range(len(w.first) - 1):
-                    named.append(sorted(x for x in met.get(i, ()) if x is not None))
-                    a, b = w.first[i], w.first[i + 1]
-                    edges = np.diff(np.concatenate([[0], hit[a:b].view(np.int8), [0]]))
-                    base = w.offsets[i]
-                    spans.append([[int(w.starts[a + s] - base), int(w.ends[a + e - 1] - base)] for s, e in zip(np.flatnonzero(edges == 1), np.flatnonzero(edges == -1))])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(named, pa.list_(pa.string())), pa.array(spans, pa.list_(pa.list_(pa.int64())))],
-                names=[id_col, "n_words", "n_hit", "items", "spans"],
-            )
+            found = list(_find([t.encode() if t else b"" for t in batch.column(1).to_pylist()], shards, window))
+            columns = [pa.array([getattr(f, c) for f in found], t) for c, t in (("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("spans", pa.list_(pa.list_(pa.int64()))))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=[id_col, "n_words", "n_hit", "items", "spans"])
 
     return picked.mapInArrow(run, f"{id_col} {kind}, n_words bigint, n_hit bigint, items array<string>, spans array<array<bigint>>")
 
 
+def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", window: int = WINDOW, max_coverage: float = MAX_COVERAGE) -> DataFrame:
+    """The rows, with all their columns, without the hit spans in their texts; rows with more than max_coverage of their words hit are left out."""
+    ship(docs.sparkSession)
+    shards = item_shards(items)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = [None if t is None else t.encode() for t in batch.column(at).to_pylist()]
+            texts, stay = [], []
+            for text, found in zip(raw, _find([t or b"" for t in raw], shards, window)):
+                stay.append(found.n_hit <= max_coverage * found.n_words)
+                if found.spans:
+                    edges = [0, *(x for span in found.spans for x in span), len(text)]
+                    text = b" ".join(text[a:b].strip() for a, b in zip(edges[0::2], edges[1::2])).strip()
+                texts.append(None if text is None else text.decode())
+            columns = list(batch.columns)
+            columns[at] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names).filter(pa.array(stay, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def digests(docs: DataFrame, items: DataFrame) -> DataFrame:
     return scan(docs, items).select(
         "doc_id",
