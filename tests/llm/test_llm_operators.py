@@ -1,0 +1,318 @@
+"""The operators on small tables with nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
+
+import random
+import zlib
+
+import brute_force as brute
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from revtrellis.llm import bpe_stream, decontaminate, graph, licenses, minhash, phrase_dedup, pii, quality, suffix_dedup, token_files, topk
+from revtrellis.llm.queries import tokenizer_path
+
+tokenizers = pytest.importorskip("tokenizers")
+
+
+def key(row):
+    return tuple((v is None, v if v is not None else 0) for v in row)
+
+
+def same(got, expected):
+    got, expected = sorted(map(tuple, got), key=key), sorted(expected, key=key)
+    assert len(got) == len(expected)
+    assert not [(a, b) for a, b in zip(got, expected) if a != b][:3]
+
+
+def table(spark, rows):
+    """documents with the edge rows' columns and some that clash with names the operators use."""
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    return df.withColumns({"block": F.lit(7), "n_words": F.lit("x"), "keys": F.lit(None).cast("string"), "shard": F.lit(1), "score": F.lit("s"), "spans": F.lit(0)})
+
+
+EDGES = [(None, "a b c d e f g " * 9), (None, "a b c d e f g " * 9), (5, None), (900, ""), (901, " \n\t"), (902, "q " * 3000), (903, "x" * 9000), (904, "é ñ 日本 " * 40), (903, "x" * 9000)]
+
+
+def random_texts(seed, letters, n=120, longest=70):
+    rng = random.Random(seed)
+    return [(i, " ".join(rng.choice(letters) for _ in range(rng.randint(0, longest)))) for i in range(n)]
+
+
+@pytest.mark.parametrize("letters", ["ad", "abd", "abcdefg"])
+def test_repeated_words(spark, letters):
+    rows = random_texts(1, letters) + EDGES
+    got = phrase_dedup.remove_repeats(table(spark, rows), length=6, phrase=3, shard_words=50, digest=True).collect()
+    same(got, brute.repeated_words(rows, 6))
+
+
+def test_repeated_words_texts(spark):
+    rows = [(1, "a b c d e"), (2, "x a  b c d\ny")]
+    got = {r.doc_id: r.kept for r in phrase_dedup.remove_repeats(table(spark, rows), length=4, phrase=2).collect()}
+    assert got == {1: "a b c d e", 2: "x y"}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_repeated_bytes(spark, seed, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "PART", 300 * seed)
+    rows = random_texts(seed, ["a", "bé", "c", "d"][: seed + 1]) + EDGES
+    # one string stands in very many places with ever other neighbours
+    rows += [(2000 + i, f"{i * 7919 % 99991} a common passage {random.Random(i).random()}") for i in range(300)]
+    got = suffix_dedup.remove_repeats(table(spark, rows), length=20, gram=8, digest=True).collect()
+    same(got, brute.repeated_bytes(rows, 20))
+
+
+def test_bucket_pointers():
+    rng = random.Random(4)
+    for _ in range(60):
+        texts = [bytes(rng.choice(b"abc") for _ in range(rng.randint(12, 60))) for _ in range(rng.randint(1, 20))]
+        for length in (9, 10, 12):
+            seen, expected = set(), []
+            for t in texts:
+                for j in range(len(t) - length + 1):
+                    expected.append(t[j : j + length] in seen)
+                    seen.add(t[j : j + length])
+            assert suffix_dedup.later_windows(texts, [len(t) - length + 1 for t in texts], length).tolist() == expected
+
+
+def test_near_duplicates(spark):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(3000)]
+    rows = []
+    for group in range(8):
+        base = [rng.choice(words) for _ in range(90)]
+        for _ in range(40 if group < 2 else 5):
+            text = list(base)
+            for _ in range(rng.randint(0, 5)):
+                text[rng.randrange(len(text))] = rng.choice(words)
+            rows.append((len(rows), " ".join(text)))
+    chain = [rng.choice(words) for _ in range(120)]
+    for _ in range(40):
+        rows.append((len(rows), " ".join(chain)))
+        chain = chain[3:] + [rng.choice(words) for _ in range(3)]
+    rows += [(5000, ""), (5001, None), (5002, " \n"), (5003, "A b"), (5004, "a B"), (5005, "a b c")]
+    # parts of eight make both large groups go the way of large candidate sets
+    same(minhash.near_duplicates(table(spark, rows), part=8).collect(), brute.near_groups(rows))
+
+
+def test_near_duplicates_edges(spark):
+    rows = [(None, "a b c"), (None, "a b c"), (1, "a b c"), (1, "a b c"), (2, "A b\tc")]
+    got = minhash.near_duplicates(table(spark, rows)).collect()
+    same(got, [(None, 1, None, True), (None, 1, None, True), (1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False)])
+
+
+def test_signature_estimate():
+    rng = np.random.default_rng(1)
+    shared, own = rng.integers(0, 2**63, 600, dtype=np.uint64), rng.integers(0, 2**63, 200, dtype=np.uint64)
+    one, two = minhash.minima(shared), minhash.minima(np.concatenate([shared, own]))
+    packed = [np.frombuffer(minhash.signature(x), "<u8") for x in (one, two)]
+    assert abs(minhash.estimates(packed[0], packed[1][None, :])[0] - 0.75) < 0.12
+    assert minhash.estimate_floor() < 0.6
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(1, 40)] + [(100, 90), (90, 100), (7, 7), (200, 201), (201, 202), (202, 200)]
+    got = dict(map(tuple, graph.components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    assert got == {i: 1 for i in range(1, 41)} | {90: 90, 100: 90} | {200: 200, 201: 200, 202: 200}
+    assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_benchmark(spark, seed):
+    rng = random.Random(seed)
+    letters = ["the", "of", "É", "X1", "a"][: 3 + seed % 3]
+    rows = random_texts(seed, letters) + EDGES
+    items = [(i, " ".join(rng.choice(letters) for _ in range(rng.choice([3, 10, 12] if seed == 0 else [0, 1, 2, 9, 10, 11, 30])))) for i in range(12)] + [(77, None), (78, "!!")]
+    items += items[:1]
+    got = decontaminate.digests(table(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    same(got, brute.benchmark_hits(rows, items))
+
+
+def test_benchmark_in_shards(spark, monkeypatch):
+    rows = random_texts(9, ["the", "of", "x"])
+    items = [(i, f"the of x {'the ' * i} of") for i in range(9)]
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    assert len(decontaminate.item_shards(frame, shard_words=20)) > 1
+    monkeypatch.setattr(decontaminate.item_shards, "__defaults__", ("item_id", "text", 20))
+    same(decontaminate.digests(table(spark, rows), frame).collect(), brute.benchmark_hits(rows, items))
+
+
+def test_benchmark_clean(spark):
+    item = "one two three four five six seven eight nine ten"
+    long = "begin " + "word " * 30
+    rows = [(1, f"{long}, One two; three four five six seven eight nine TEN! end é"), (2, item), (3, None), (4, "")]
+    frame = table(spark, rows)
+    got = decontaminate.clean(frame, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert got.columns == frame.columns
+    assert {r.doc_id: r.text for r in got.collect()} == {1: f"{long}, ! end é", 3: None, 4: ""}
+
+
+def test_licences(spark):
+    rows = random_texts(6, ["cc", "by", "mit", "license", "apache", "gnu", "general", "public", "É"]) + EDGES
+    got = [tuple(r)[:6] for r in licenses.digests(table(spark, rows)).collect()]
+    same(got, brute.licence_places(rows, licenses.PHRASES))
+
+
+def test_licence_template(spark):
+    notice = licenses.TEMPLATES[0][0].replace("software and", "Software, and ZZZ")
+    got = licenses.scan(table(spark, [(1, f"intro {notice}"), (2, "clean text of the software")])).collect()
+    one, two = sorted(got, key=lambda r: r.doc_id)
+    assert [s.label for s in one.spans] == ["mit-notice"] and one.spans[0].first_word == 1 and one.spans[0].coverage > 0.8
+    assert not two.spans and not two.places
+    row = licenses.digests(table(spark, [(1, notice + " MIT License")])).first()
+    assert row.labels == "mit,mit-notice" and row.base_labels == "mit" and 0.8 < row.score <= 1
+
+
+PRIVATE = [
+    "a.b%c@d-e.f.g@h.i, x@y z@.w a@b.c_d@e.f @@ a@b..c",
+    "1.2.3.4.5.6.7.8 256.1.1.1 001.002.003.0255 1.2.3 1.2.3.4.",
+    "4111 1111 1111 1111 4111-1111-1111-1111  4111111111111112 5 5 41111111111111110000000 79927398713",
+    "+49 (30) 1234-567. +1 +123456789 +1234567890123456 ++12345678901-",
+    "é日 x@y.zé +12 345 678 9 😀 4111111111111111 1.1.1.1",
+    "IBAN DE89 3704 0044 0532 0130 00 and GB82WEST12345698765432, not DE89 3704 0044 0532 0130 01",
+    "9" * 3000 + " " + "1-" * 2000 + "a" * 3000 + "@" + "b." * 500,
+]
+
+
+def test_personal_data(spark):
+    rng = random.Random(8)
+    rows = list(enumerate(PRIVATE, 3000)) + EDGES + [(1000 + i, "".join(rng.choice("a1 -.@+(4é") for _ in range(rng.randint(0, 60)))) for i in range(300)]
+    got = pii.digests(table(spark, rows)).collect()
+    same([tuple(r)[:6] for r in got], brute.personal(rows))
+    spans = {r.doc_id: r.spans for r in got}
+    assert "iban:5:32" in spans[3005] and "iban:37:59" in spans[3005] and spans[3005].count("iban") == 2
+    assert spans[900] == "" and "email" in spans[3000]
+
+
+def test_personal_data_score_and_redaction(spark):
+    rows = [(1, "call +49 30 1234567 or a@b.cd"), (2, "number +49 30 1234567"), (3, None), (4, "none")]
+    found = {r.doc_id: r._s for r in pii.find_spans(table(spark, rows), out="_s").collect()}
+    assert found[1][0].score > found[2][0].score and found[3] == []
+    clean = {r.doc_id: r.text for r in pii.redact(table(spark, rows)).collect()}
+    assert clean == {1: "call <phone> or <email>", 2: "number <phone>", 3: None, 4: "none"}
+
+
+def test_personal_data_is_native(spark):
+    plan = pii.redact(table(spark, EDGES))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.fixture(scope="module")
+def byte_bpe():
+    return tokenizers.Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
+
+
+BPE_TEXTS = ["", "<|endoftext|>a <|endoftext|>", "  \n\n x\t\t y ", "it's 'S ſ's", "a" * 9000, "ab" * 3000 + "!", " " * 9000 + "y", "日本é😀" * 300, "\x00\x1c\x1f\x85\xa0 x", "1234567890" * 30]
+
+
+def test_bpe_equals_library(spark, byte_bpe):
+    rng = random.Random(5)
+    texts = BPE_TEXTS + ["".join(rng.choice([" ", "a", "b", "\n", "'s", "é", "1", "!", "日", "th"]) for _ in range(rng.randint(1, 60))) for _ in range(500)]
+    path = tokenizer_path("byte_bpe_50k.json")
+    rows = list(enumerate(texts)) + [(None, None), (7, "again"), (7, "again")]
+    frame = table(spark, rows)
+    expected = [(i, byte_bpe.encode(t or "", add_special_tokens=False).ids) for i, t in rows]
+    coded = bpe_stream.encode(frame, path)
+    same([(r.doc_id, r.n_tokens, bytes(r.ids)) for r in coded.collect()], [(i, len(x), np.array(x, "<u4").tobytes()) for i, x in expected])
+    same([(r.doc_id, r.text) for r in bpe_stream.decode(coded, path).collect()], [(i, byte_bpe.decode(x, skip_special_tokens=False)) for i, x in expected])
+
+
+def test_bpe_streaming_equals_whole(monkeypatch):
+    vocabulary = bpe_stream.Vocabulary(tokenizer_path("byte_bpe_50k.json"))
+    monkeypatch.setattr(bpe_stream, "WINDOW", 64)
+    monkeypatch.setattr(bpe_stream, "SLAB", 50)
+    encoder, rng = bpe_stream.Encoder(vocabulary), random.Random(6)
+    for _ in range(60):
+        raw = "".join(rng.choice("etaoinshr") for _ in range(2000)).encode()
+        assert list(encoder.stable_tokens(raw)) == bpe_stream.merge_piece(raw, vocabulary.ranks)
+    text = " ".join("".join(rng.choice("ab é\n1!") for _ in range(9)) for _ in range(300))
+    whole = encoder.find(text)
+    assert [p for part in encoder.pieces(text) for p in part] == whole
+
+
+def test_bpe_decodes_broken_bytes(byte_bpe):
+    decoder = bpe_stream.Decoder(bpe_stream.Vocabulary(tokenizer_path("byte_bpe_50k.json")))
+    rng = random.Random(7)
+    for _ in range(300):
+        ids = [rng.randrange(256) if rng.random() < 0.7 else rng.randrange(50257) for _ in range(rng.randint(0, 12))]
+        parts = [np.array([i], "<u4").tobytes() for i in ids]
+        assert "".join(decoder.decode(parts)) == byte_bpe.decode(ids, skip_special_tokens=False)
+
+
+def test_lookahead_of_a_small_merge_list():
+    # "ab" forms unless "bc" takes its b first, and "bc" unless "cd" takes its c.
+    assert bpe_stream.lookahead([(b"c", b"d"), (b"b", b"c"), (b"a", b"b")]) >= 2
+    assert bpe_stream.lookahead([]) == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 255, 256, 257, 3000])
+def test_packed_blocks(n):
+    rng = np.random.default_rng(n)
+    ids = rng.integers(0, 60000, n).astype(np.uint32)
+    ids[rng.random(n) < 0.8] %= 500
+    if n:
+        ids[0] = 2**32 - 1
+    payload = token_files.pack(ids, np.array([n], np.uint32))
+    counts, back = token_files.unpack(payload)
+    assert counts.tolist() == [n] and (back == ids).all()
+    assert (token_files.unpack(payload, 200, 700)[1] == ids[200:700]).all()
+    with pytest.raises(ValueError):
+        token_files.unpack(b"none" + payload[4:])
+
+
+def test_token_files(spark, monkeypatch):
+    path = tokenizer_path("word_bpe_49k.json")
+    library = tokenizers.Tokenizer.from_file(path)
+    rows = [(i * 3 % 101, t) for i, t in enumerate(BPE_TEXTS + ["İ ΑΣ é", "<|startoftext|>x", "y​z　k"])] + EDGES[2:]
+    files = token_files.write_token_files(table(spark, rows), path, end_id=1)
+    got = token_files.read_documents(files, digest=True).collect()
+    at, expected = 0, []
+    for i, text in brute.in_order(rows):
+        ids = np.array(library.encode(text or "", add_special_tokens=False).ids + [1], "<u4")
+        expected.append((i, at, len(ids), zlib.crc32(ids.tobytes())))
+        at += len(ids)
+    same(got, expected)
+    whole = {(r.doc_id, r.start): r.ids for r in token_files.read_documents(files).collect()}
+    assert whole[(5, expected[[e[0] for e in expected].index(5)][1])] == [1]
+
+
+def test_top_k(spark):
+    rng = random.Random(2)
+    rows = [(i, [rng.choice([-1.5, 0.25, 0.26, 3.0]) for _ in range(6)]) for i in range(120)]
+    rows += [(300, None), (350, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (400, [float("nan")] * 6), (450, [float("inf")] * 6), (None, [1.0] * 6), (500, [-9.0] * 6), (501, [-9.0] * 6)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit("x"))
+    for k in (1, 5, 500):
+        got = topk.top_k(topk.integer_vectors(frame), F.col("vec_id") % 50 == 0, k=k)
+        same([(r.query_id, r["rank"], r.vec_id, r.score) for r in got.collect()], brute.top_scores(rows, k, 50))
+
+
+def test_top_k_large_components(spark):
+    rows = [(i, [float(2**31 - i), -float(2**30 + i), 7.0]) for i in range(12)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.top_k(topk.integer_vectors(frame, scale=1), F.col("vec_id") % 5 == 0, k=3).collect()
+    expected = []
+    for i, v in rows:
+        if i % 5 == 0:
+            scores = sorted((-sum(int(a) * int(b) for a, b in zip(v, w)), j) for j, w in rows if j != i)[:3]
+            expected += [(i, r, j, -s) for r, (s, j) in enumerate(scores, 1)]
+    same([tuple(r) for r in got], expected)
+
+
+def test_empty_tables(spark):
+    empty = table(spark, [])
+    items = spark.createDataFrame([], "item_id long, text string")
+    for df in (
+        phrase_dedup.remove_repeats(empty),
+        suffix_dedup.remove_repeats(empty),
+        minhash.near_duplicates(empty),
+        decontaminate.digests(empty, items),
+        decontaminate.clean(empty, items),
+        licenses.digests(empty),
+        pii.digests(empty),
+        pii.redact(empty),
+        bpe_stream.round_trip(empty, tokenizer_path("byte_bpe_50k.json")),
+        token_files.read_documents(token_files.write_token_files(empty, tokenizer_path("word_bpe_49k.json"), 1)),
+        quality.classify(empty, spark.createDataFrame([], "doc_id long, quality int")),
+        topk.top_k(topk.integer_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")), F.col("vec_id") % 50 == 0),
+    ):
+        assert df.count() == 0
+    assert decontaminate.digests(table(spark, EDGES), items).filter("contaminated").count() == 0
