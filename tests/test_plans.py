@@ -2,9 +2,9 @@
 
 import pytest
 
-import __spark_entry__ as entry_module
+from revtrellis.catalog.registry import spark_queries
 
-QUERIES = entry_module.queries()
+QUERIES = spark_queries()
 REPORTS = sorted(n for n in QUERIES if n.startswith("pipe_"))
 
 
