@@ -14,7 +14,7 @@ from revtrellis.functions import dates as D
 from revtrellis.functions import numbers as N
 from revtrellis.functions import text as X
 from revtrellis.operators import joins, sets, windows
-from revtrellis.session import shared_folder
+from revtrellis.session import scratch_path
 from revtrellis.sources import sheets, sinks
 from revtrellis.sources.tables import scan
 
@@ -33,7 +33,7 @@ def _(s):
     "SELECT s_name AS metric, s_acctbal AS points FROM supplier",
 )
 def _(s):
-    path = f"{shared_folder(s.spark)}/sheet-{uuid.uuid4().hex}"
+    path = scratch_path(s.spark, "sheet")
     sheet = s.table("supplier").select(c("s_name").alias("metric"), c("s_acctbal").alias("points"))
     sinks.replace_folder(sheet, path, file_format="csv", header=True)
     schema = T.StructType([T.StructField("metric", T.StringType()), T.StructField("points", T.DoubleType())])
@@ -61,11 +61,13 @@ def _(s):
 
 @query("snk_replace_table", "SELECT market_segment, count(*) AS accounts FROM crm_account GROUP BY market_segment")
 def _(s):
-    path = f"{shared_folder(s.spark)}/table-{uuid.uuid4().hex}"
+    path, name = scratch_path(s.spark, "table"), f"account_counts_{uuid.uuid4().hex}"
     rows = s.table("crm_account").groupBy("market_segment").agg(F.count("*").alias("accounts"))
-    sinks.replace_folder(rows, path)
-    sinks.replace_folder(rows, path)
-    return s.spark.read.schema(rows.schema).parquet(path)
+    # The second refresh replaces all partitions of the first, also those it has no rows for.
+    sinks.replace_table(rows.withColumn("market_segment", F.concat(F.lit("old "), "market_segment")), name, partition_by=["market_segment"], path=path)
+    sinks.replace_table(rows, name, partition_by=["market_segment"], path=path)
+    s.spark.sql(f"DROP TABLE {name}")  # the name; the files stay until the application ends
+    return s.spark.read.schema(rows.schema).parquet(path).select("market_segment", "accounts")
 
 
 # ---------------------------------------------------------------- projections and filters
@@ -288,7 +290,8 @@ def _(s):
 def _(s):
     left = s.table("crm_lead_raw").select("lead_id", "converted_opportunity_id")
     right = s.table("crm_opportunity").select("opportunity_id")
-    return left.join(right, c("converted_opportunity_id") == c("opportunity_id"), "full_outer").select("lead_id", "opportunity_id")
+    rows = joins.full_outer_nullable(left, right, "converted_opportunity_id", "opportunity_id", ["lead_id"], ["opportunity_id"])
+    return rows.select("lead_id", "opportunity_id")
 
 
 @query(
@@ -769,7 +772,7 @@ def _(s):
 
 @query("srt_order_desc", "SELECT deal_id, name, end_date FROM fin_deal ORDER BY end_date DESC")
 def _(s):
-    return s.table("fin_deal").select("deal_id", "name", "end_date").orderBy(F.desc("end_date"))
+    return s.table("fin_deal").select("deal_id", "name", "end_date").orderBy(F.desc("end_date"), "deal_id")
 
 
 @query("srt_order_multi", "SELECT opportunity_id, account_id, created_date FROM crm_opportunity ORDER BY created_date, opportunity_id")
@@ -955,11 +958,12 @@ def _(s):
 
 @query(
     "dt_current_date_tz",
-    "SELECT opportunity_id, DATE '1998-06-17' - created_date AS age FROM crm_opportunity WHERE created_date <= DATE '1998-06-17'",
+    """SELECT opportunity_id, DATE '1998-06-16' - created_date AS age FROM crm_opportunity WHERE created_date <= DATE '1998-06-16'""",
 )
 def _(s):
-    rows = s.table("crm_opportunity").filter(c("created_date") <= D.as_date(AS_OF))
-    return rows.select("opportunity_id", D.days_between(D.as_date(AS_OF), "created_date").cast("long").alias("age"))
+    # Five in the morning of the 17th, universal time, is still the 16th in Los Angeles.
+    today = D.today_in("America/Los_Angeles", now=F.lit("1998-06-17 05:00:00").cast("timestamp"))
+    return s.table("crm_opportunity").filter(c("created_date") <= today).select("opportunity_id", D.days_between(today, "created_date").cast("long").alias("age"))
 
 
 # ---------------------------------------------------------------- nested data

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from revtrellis.catalog.registry import AS_OF, query
 from revtrellis.operators import funnel, partners
+from revtrellis.operators.joins import full_outer_nullable
 from revtrellis.operators.windows import key_maximum
 from revtrellis.params.fixed_values import REVENUE_BAND_MIDPOINT
 from revtrellis.plans import reports
@@ -163,7 +164,7 @@ def _(s):
 def _(s):
     left = s.table("crm_lead_raw").select("lead_id", "mql_date", "converted_opportunity_id")
     right = s.table("crm_opportunity").select("opportunity_id", c("stage_name").alias("opp_stage_name"))
-    rows = left.join(right, c("converted_opportunity_id") == c("opportunity_id"), "full_outer")
+    rows = full_outer_nullable(left, right, "converted_opportunity_id", "opportunity_id", ["lead_id"], ["opportunity_id"])
     return rows.select("lead_id", "opportunity_id", *[v.alias(k) for k, v in funnel.funnel_flags(c("mql_date")).items()])
 
 

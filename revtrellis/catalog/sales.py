@@ -15,7 +15,8 @@ c = F.col
 TODAY = f"DATE '{AS_OF}'"
 
 _SHARED = """id AS task_id, account_ref AS account_id, activity_day AS activity_date, created_by AS created_by_id, created_day AS created_date, deleted AS is_deleted,
-   owner AS owner_id, type AS activity_type, dialler_type, related_id, subject, click_count"""
+   owner AS owner_id, type AS activity_type, dialler_type, related_id, subject, click_count, sub_type AS activity_sub_type, call_disposition, call_minutes, call_sentiment,
+   cadence_name, connected_count, email_template, replies_count, unique_click_count, unique_reply_count, unique_view_count, view_count"""
 _ACTS = f"""SELECT {_SHARED}, event_day AS completed_date FROM act_event UNION ALL SELECT {_SHARED}, completed_day AS completed_date FROM act_task WHERE deleted = false"""
 _CLASS = """CASE WHEN lower(coalesce(dialler_type, activity_type)) IN ('email', 'reply') THEN 'Email' WHEN lower(coalesce(dialler_type, activity_type)) LIKE 'linkedin - %' THEN 'LinkedIn'
    WHEN lower(coalesce(dialler_type, activity_type)) IN ('call', 'message') THEN 'Call' WHEN lower(coalesce(dialler_type, activity_type)) IN ('meeting', 'in-person meeting') THEN 'Meeting'
@@ -73,34 +74,31 @@ _ATTRIBUTED = f"""SELECT a.*, coalesce(a.related_id, i.opportunity_id) AS attrib
 
 @query("dom_activity_attribution", f"SELECT task_id, account_id, created_date, attributed_id AS opportunity_id FROM ({_ATTRIBUTED}) x")
 def _(s):
-    return activity.attributed_activities(s, AS_OF).select("task_id", "account_id", "created_date", "opportunity_id")
+    return activity.attributed_activities(s, flag_pattern="incubation-b2b%", marker="%ENTER%").select("task_id", "account_id", "created_date", "opportunity_id")
 
 
 @query(
     "dom_influence_window",
-    f"""SELECT task_id, completed_date, opportunity_id, CAST(opportunity_created_date - completed_date AS INT) AS days_before FROM (
-        SELECT a.task_id, a.completed_date, {_CLASS} AS k, o.opportunity_id, o.created_date AS opportunity_created_date
-        FROM ({_ACTS}) a JOIN crm_opportunity o ON o.opportunity_id = a.related_id) x
-        WHERE k IN ('Call', 'Meeting') AND opportunity_created_date - completed_date BETWEEN 0 AND 90""",
+    f"""SELECT a.task_id, a.completed_date, i.opportunity_id, CAST(i.created_date - a.completed_date AS INT) AS days_before
+        FROM (SELECT DISTINCT task_id, account_id, owner_id, completed_date, {_CLASS} AS k, activity_type, dialler_type FROM ({_ACTS}) u WHERE is_deleted = false) a
+          JOIN ({_INTERVALS}) i ON left(i.account_id, 15) = left(a.account_id, 15) AND a.completed_date BETWEEN {_SPAN}
+        WHERE i.created_date - a.completed_date BETWEEN 0 AND 90 AND a.k IN ('Call', 'Meeting')""",
 )
 def _(s):
-    acts = activity.unify(s.table("act_event"), s.table("act_task")).filter(c("related_id").isNotNull())
-    acts = acts.withColumn("activity_class", activity.activity_class(c("dialler_type"), c("activity_type")))
-    opps = s.table("crm_opportunity").select("opportunity_id", c("created_date").alias("opportunity_created_date"))
-    rows = acts.join(opps, c("related_id") == c("opportunity_id"))
-    return activity.influence_window(rows).select("task_id", "completed_date", "opportunity_id", "days_before")
+    return activity.opportunity_meetings(s).select("task_id", "completed_date", "opportunity_id", "days_before")
 
 
 @query(
     "dom_influence_flag",
     f"""SELECT x.task_id, x.created_date, x.attributed_id AS opportunity_id, CASE WHEN lower(k.campaign_name) LIKE 'incubation-b2b%' OR lower(g.campaign_name) LIKE 'incubation-b2b%'
-          OR upper(rc.role) LIKE '%SDR%' OR upper(ro.role) LIKE '%SDR%' OR upper(rc.market_segment) LIKE '%SDR%' THEN 1 END AS incubation_influenced
+          OR upper(rc.role) LIKE '%ENTER%' OR upper(ro.role) LIKE '%ENTER%'
+          OR x.attributed_id IN (SELECT opportunity_id FROM fact_metric WHERE opportunity_id IS NOT NULL AND upper(market_segment) LIKE '%ENTER%') THEN 1 END AS incubation_influenced
         FROM ({_ATTRIBUTED}) x LEFT JOIN ({latest_campaign_sql('incubation-b2b%')}) k ON k.account_id = x.account_id AND x.created_date BETWEEN k.start_date AND k.end_date
           LEFT JOIN crm_opportunity o ON o.opportunity_id = x.attributed_id LEFT JOIN crm_campaign g ON g.campaign_id = o.campaign_id
           LEFT JOIN ({_REPS}) rc ON rc.user_id = x.created_by_id LEFT JOIN ({_REPS}) ro ON ro.user_id = x.owner_id""",
 )
 def _(s):
-    return activity.attributed_activities(s, AS_OF).select("task_id", "created_date", "opportunity_id", "incubation_influenced")
+    return activity.attributed_activities(s, flag_pattern="incubation-b2b%", marker="%ENTER%").select("task_id", "created_date", "opportunity_id", "incubation_influenced")
 
 
 @query("dom_rep_attributes", _REPS)
@@ -122,14 +120,14 @@ def _(s):
 
 def campaign_sql(members: str, member_cols: str, fact_where: str, fact_cols: str) -> str:
     return f"""SELECT DISTINCT m.account_id, m.campaign_id, {member_cols} a.name, a.named_account_code, a.platform_group, {fact_cols}, t.type AS task_type,
-         t.activity_day AS task_date, t.subject AS task_subject, t.click_count AS task_click_count, t.dialler_type AS task_cadence
+         t.activity_day AS task_date, t.subject AS task_subject, t.unique_click_count AS task_click_count, t.cadence_name AS task_cadence, t.description AS task_description
        FROM crm_campaign_member m LEFT JOIN crm_account a ON a.account_id = m.account_id
          LEFT JOIN (SELECT * FROM fact_metric WHERE {fact_where}) f ON f.account_id = a.account_id LEFT JOIN act_task t ON t.account_ref = m.account_id WHERE {members}"""
 
 
 _ALL_FACTS = "f.owner_manager, f.sales_region, f.sales_sub_region, f.market_segment, f.campaign"
 _MORE_FACTS = _ALL_FACTS + ", " + ", ".join(
-    f"f.{x}" for x in "product_name lead_group close_date value opportunity_owner created_date metric value_type dataset snapshot_date".split()
+    f"f.{x}" for x in "product_name lead_group close_date value opportunity_owner created_date metric value_type dataset snapshot_date age current_stage verified_online_revenue annual_revenue created_by_function created_by sales_owner_role account_name account_campaign opportunity_url opportunity_name fact_product_name".split()
 )
 _CAA = campaign_sql(
     "m.joined_date >= DATE '1998-01-01'",
@@ -183,7 +181,7 @@ def _(s):
         WHERE i.created_date - a.completed_date BETWEEN 0 AND 90 AND a.k IN ('Call', 'Meeting')""",
 )
 def _(s):
-    return reports.influenced_opportunities(s, AS_OF)
+    return reports.influenced_opportunities(s)
 
 
 # ---------------------------------------------------------------- billing

@@ -104,7 +104,10 @@ def coverage_sql(actuals: str, opened: str, quarter: str) -> str:
          LEFT JOIN ({opened}) o ON o.rep_name = q.rep_name AND o.month_date = q.month_date WHERE q.month_date = {quarter}"""
 
 
-COVERAGE = coverage_sql(sums_sql("Closed Won", "actual", True), sums_sql("Open Pipe SAL", "open", True), "DATE '1998-06-30'")
+# As of 20 April 1998, the first month of the quarter: the quarter ends in June, the rows are of April.
+EARLY = date(1998, 4, 20)
+_EARLY_MONTH = "SELECT * REPLACE (DATE '1998-04-30' AS month_date) FROM ({}) x"
+COVERAGE = _EARLY_MONTH.format(coverage_sql(sums_sql("Closed Won", "actual", True), sums_sql("Open Pipe SAL", "open", True), "DATE '1998-06-30'"))
 PAST_COVERAGE = coverage_sql(
     sums_sql("Closed Won", "actual", True, "Snapshots", "1998-05-04"), sums_sql("Open Pipe SAL", "open", True, "Snapshots", "1998-05-04"), "DATE '1998-06-30'"
 )
@@ -297,7 +300,8 @@ def _(s):
 def _(s):
     fact = s.table("fact_metric")
     return S.pipe_coverage(
-        S.quotas(s.table("hr_quota"), s.table("hr_worker")), S.value_sums(fact, "Closed Won", "actual", True), S.value_sums(fact, "Open Pipe SAL", "open", True), S.quarter_end(F.lit(AS_OF))
+        S.quotas(s.table("hr_quota"), s.table("hr_worker")), S.value_sums(fact, "Closed Won", "actual", True), S.value_sums(fact, "Open Pipe SAL", "open", True),
+        S.quarter_end(F.lit(EARLY)), F.last_day(F.lit(EARLY)),
     )
 
 
@@ -308,7 +312,7 @@ def _(s):
         S.quotas(s.table("hr_quota"), s.table("hr_worker")),
         S.value_sums(fact, "Closed Won", "actual", True, "Snapshots", SNAPSHOT),
         S.value_sums(fact, "Open Pipe SAL", "open", True, "Snapshots", SNAPSHOT),
-        S.quarter_end(F.lit(SNAPSHOT)),
+        S.quarter_end(F.lit(SNAPSHOT)), S.quarter_end(F.lit(SNAPSHOT)),
     )
 
 
@@ -317,9 +321,9 @@ def _(s):
     return S.attainment(S.quotas(s.table("hr_quota"), s.table("hr_worker"), quarterly=False), S.value_sums(s.table("fact_metric"), "Closed Won", "actual", False))
 
 
-@query("sc_attainment_quarter", attainment_sql(True))
+@query("sc_attainment_quarter", _EARLY_MONTH.format(attainment_sql(True, "q.month_date = DATE '1998-06-30'")))
 def _(s):
-    return S.attainment(S.quotas(s.table("hr_quota"), s.table("hr_worker")), S.value_sums(s.table("fact_metric"), "Closed Won", "actual", True))
+    return S.attainment_to_date(S.quotas(s.table("hr_quota"), s.table("hr_worker")), S.value_sums(s.table("fact_metric"), "Closed Won", "actual", True), EARLY)
 
 
 @query("sc_pacing", PACING)

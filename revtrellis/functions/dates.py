@@ -17,9 +17,9 @@ def as_date(as_of: date | Column | None) -> Column:
     return as_of if isinstance(as_of, Column) else F.lit(as_of)
 
 
-def today_in(zone: str) -> Column:
-    """Current calendar date in another time zone (session zone UTC)."""
-    return F.to_date(F.from_utc_timestamp(F.current_timestamp(), zone))
+def today_in(zone: str, now: Column | None = None) -> Column:
+    """Calendar date in another time zone (session zone UTC), now or at a given instant."""
+    return F.to_date(F.from_utc_timestamp(F.current_timestamp() if now is None else now, zone))
 
 
 def month_end(day: Column | str) -> Column:

@@ -168,7 +168,9 @@ def fact_metric(q: Dialect) -> str:
     }
     entries = q.explode(*[q.struct(value_type=t, value=v) for t, v in values.items()])
     kept = """account_id, opportunity_owner, owner_manager, market_segment, team_segment, sales_region, sales_sub_region, lead_group, full_date,
-      term_length, product_name, next_step, is_unified, qualified_date, created_date, close_date, campaign, platform_group"""
+      term_length, product_name, next_step, is_unified, qualified_date, created_date, close_date, campaign, platform_group, age, current_stage,
+      verified_online_revenue, annual_revenue, created_by_function, created_by, sales_owner_role, account_name, account_campaign, opportunity_url,
+      opportunity_name, fact_product_name"""
     return f"""SELECT dataset, metric, e.value_type AS value_type, e.value AS value, opportunity_id, year, quarter, snapshot_date, {kept}
     FROM (SELECT dataset, CASE dataset WHEN 'Head Count' THEN 'Head Count Capacity' WHEN 'Activity' THEN 'Activity Subtype Count' ELSE stage_metric END AS metric,
         {entries} AS e, CASE WHEN dataset NOT IN ('Targets', 'Head Count') THEN opp_key END AS opportunity_id,
@@ -192,7 +194,12 @@ def fact_metric(q: Dialect) -> str:
         CASE o_custkey % 5 WHEN 0 THEN 'Capital' WHEN 1 THEN 'Payments' WHEN 2 THEN 'Retail Payments' WHEN 3 THEN 'Installments' ELSE 'Point of Sale' END AS product_name,
         CASE WHEN o_orderkey % 3 = 1 THEN 'call back' END AS next_step, o_orderkey % 4 = 2 AS is_unified,
         CASE WHEN o_custkey % 6 = 1 THEN 'Winter switch' WHEN o_custkey % 6 = 2 THEN 'Summer switch' END AS campaign,
-        CASE WHEN c_custkey % 3 = 0 THEN 'Hosted' ELSE 'Self-built' END AS platform_group
+        CASE WHEN c_custkey % 3 = 0 THEN 'Hosted' ELSE 'Self-built' END AS platform_group, CAST(o_orderkey % 90 AS BIGINT) AS age,
+        CASE o_orderstatus WHEN 'F' THEN 'Closed' WHEN 'O' THEN 'Open' END AS current_stage, CAST(o_orderkey % 2500 AS DOUBLE) AS verified_online_revenue,
+        CAST(floor(c_acctbal) AS DOUBLE) AS annual_revenue, CASE WHEN o_orderkey % 2 = 0 THEN 'Sales' ELSE 'Marketing' END AS created_by_function,
+        {_rep_name(f'o_orderkey % {OWNERS}')} AS created_by, 'Role ' || CAST(o_custkey % 7 AS STRING) AS sales_owner_role, c_name AS account_name,
+        CASE WHEN c_custkey % 4 = 1 THEN 'Account switch' END AS account_campaign, 'https://crm.example/' || CAST(o_orderkey AS STRING) AS opportunity_url,
+        'Deal ' || CAST(o_orderkey AS STRING) AS opportunity_name, CASE WHEN o_orderkey % 2 = 1 THEN 'Bundle' END AS fact_product_name
       FROM {q.t('orders')} JOIN {q.t('customer')} ON o_custkey = c_custkey JOIN {q.t('nation')} ON c_nationkey = n_nationkey
         JOIN {q.t('region')} ON n_regionkey = r_regionkey) b) x"""
 
@@ -401,7 +408,14 @@ def _activity(q: Dialect, completed: str, where: str) -> str:
       CASE l_returnflag WHEN 'A' THEN 'Call' WHEN 'N' THEN 'Meeting' ELSE 'Email' END AS type,
       CASE WHEN l_discount > 0.08 THEN 'LinkedIn - InMail' WHEN l_discount < 0.01 THEN 'Reply' END AS dialler_type,
       'Subject ' || CAST(l_linenumber AS STRING) AS subject, CAST(l_linenumber AS BIGINT) AS click_count,
-      CASE WHEN l_quantity > 45 THEN l_orderkey END AS related_id
+      CASE WHEN l_quantity > 45 THEN l_orderkey END AS related_id,
+      CASE WHEN l_linenumber = 2 THEN 'Demo' ELSE 'Follow-up' END AS sub_type, CASE WHEN l_quantity < 20 THEN 'Connected' END AS call_disposition,
+      floor(l_quantity) * 1e0 AS call_minutes, CASE WHEN l_tax > 0.04 THEN 'Positive' END AS call_sentiment,
+      CASE WHEN l_suppkey % 3 > 0 THEN 'Cadence ' || CAST(l_suppkey % 3 AS STRING) END AS cadence_name, CAST(l_linenumber % 3 AS BIGINT) AS connected_count,
+      CASE WHEN l_returnflag = 'R' THEN 'Template ' || CAST(l_partkey % 5 AS STRING) END AS email_template, CAST(l_partkey % 4 AS BIGINT) AS replies_count,
+      CAST(l_linenumber % 2 AS BIGINT) AS unique_click_count, CAST(l_partkey % 2 AS BIGINT) AS unique_reply_count,
+      CAST(l_suppkey % 2 AS BIGINT) AS unique_view_count, CAST(l_suppkey % 7 AS BIGINT) AS view_count,
+      CASE WHEN l_linenumber % 4 = 0 THEN 'Notes ' || CAST(l_partkey % 9 AS STRING) END AS description
     FROM {q.t('lineitem')} JOIN {q.t('orders')} ON l_orderkey = o_orderkey WHERE {where}"""
 
 

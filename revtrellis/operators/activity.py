@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revtrellis.functions.dates import OPEN_START, as_date, days_between, week_number_sunday, week_start_monday
+from revtrellis.functions.dates import OPEN_START, as_date, days_between, today_in, week_number_sunday, week_start_monday
 from revtrellis.functions.numbers import lookup
 from revtrellis.functions.text import first_chars
 from revtrellis.operators.joins import interval_join, left_join_nullable
@@ -29,6 +29,18 @@ COMMON = {
     "related_id": "related_id",
     "subject": "subject",
     "click_count": "click_count",
+    "sub_type": "activity_sub_type",
+    "call_disposition": "call_disposition",
+    "call_minutes": "call_minutes",
+    "call_sentiment": "call_sentiment",
+    "cadence_name": "cadence_name",
+    "connected_count": "connected_count",
+    "email_template": "email_template",
+    "replies_count": "replies_count",
+    "unique_click_count": "unique_click_count",
+    "unique_reply_count": "unique_reply_count",
+    "unique_view_count": "unique_view_count",
+    "view_count": "view_count",
 }
 EVENT_VOCABULARY = {**COMMON, "event_day": "completed_date"}
 TASK_VOCABULARY = {**COMMON, "completed_day": "completed_date"}
@@ -60,21 +72,22 @@ def opportunity_intervals(accounts: DataFrame, opportunities: DataFrame) -> Data
     return with_previous.withColumn("interval_start", F.coalesce(F.date_add("previous_close", 1), F.lit(OPEN_START)))
 
 
-def _range(as_of: date) -> tuple[date, date]:
-    return date(as_of.year - 10, 1, 1), date(as_of.year + 5, 12, 31)
+def _days(activities: DataFrame, day: str) -> dict[str, Column]:
+    """The first and last day of the activities: intervals are only laid over the years between."""
+    days = activities.select(F.to_date(day).alias("d"))
+    return {"unit": "year", "low": days.agg(F.min("d").alias("d")).scalar(), "high": days.agg(F.max("d").alias("d")).scalar()}
 
 
-def attribute_activities(activities: DataFrame, intervals: DataFrame, day: str, as_of: date) -> DataFrame:
+def attribute_activities(activities: DataFrame, intervals: DataFrame, day: str) -> DataFrame:
     """Activities with the opportunity of the same account whose interval holds their day.
 
     An activity that names its opportunity needs no interval: its key is null, so it matches none.
     """
-    low, high = _range(as_of)
     spans = intervals.select(
         F.col("account_id").alias("_account"), F.col("opportunity_id").alias("interval_opportunity_id"), "interval_start", F.col("close_date").alias("interval_end")
     )
     acts = activities.withColumn("_account", F.when(F.col("related_id").isNull(), F.col("account_id")))
-    joined = interval_join(acts, spans, ["_account"], day, "interval_start", "interval_end", how="left", low=low, high=high, spread_on=["task_id"])
+    joined = interval_join(acts, spans, ["_account"], day, "interval_start", "interval_end", how="left", spread_on=["task_id"], **_days(activities, day))
     return joined.drop("_account", "interval_start", "interval_end")
 
 
@@ -109,12 +122,14 @@ def influence_flag(texts: list[Column], campaign_pattern: str, campaigns: list[C
     return F.when(cond, 1)
 
 
-def influenced_opportunities(source, as_of: date) -> DataFrame:
-    """Calls and meetings that preceded an opportunity of the same account."""
+def opportunity_meetings(source) -> DataFrame:
+    """Calls and meetings whose completion lies in an opportunity's interval of the same account, and their days before its creation.
+
+    Only keys and bounds are laid over the years; the opportunity's columns are joined to the hits.
+    """
     events = source.table("act_event").filter(~F.col("deleted") & (F.col("type") == "Meeting"))
     acts = unify(events, source.table("act_task"))
     acts = acts.select("task_id", "account_id", "owner_id", "completed_date", "activity_type", "dialler_type").distinct()
-    reps = rep_attributes(source).filter(F.col("role").isNotNull()).withColumnRenamed("user_id", "owner_id")
     opps = source.table("crm_opportunity").select(
         "account_id", "opportunity_id", "opportunity_name", "opportunity_type", "stage_name", "total_revenue", "contract_value", "product_profit", "sales_rep_role",
         F.col("sales_region").alias("region"), F.col("created_date").alias("opportunity_created_date"), "close_date", "is_deleted",
@@ -122,15 +137,20 @@ def influenced_opportunities(source, as_of: date) -> DataFrame:
     intervals = opportunity_intervals(source.table("crm_account"), opps)
     acts = acts.withColumn("activity_class", activity_class(F.col("dialler_type"), F.col("activity_type")))
     acts = acts.filter(F.col("activity_class").isin("Call", "Meeting"))
-    low, high = _range(as_of)
-    spans = intervals.select(
-        first_chars("account_id", 15).alias("_account"), F.col("account_id").alias("opportunity_account_id"), "opportunity_id", "opportunity_name",
-        "opportunity_type", "stage_name", "total_revenue", "contract_value", "product_profit", "sales_rep_role", "region", "opportunity_created_date",
-        "interval_start", "close_date",
-    )
+    spans = intervals.select(first_chars("account_id", 15).alias("_account"), "opportunity_id", "opportunity_created_date", "interval_start", "close_date")
     acts = acts.withColumn("_account", first_chars("account_id", 15)).drop("account_id")
-    hits = interval_join(acts, spans, ["_account"], "completed_date", "interval_start", "close_date", low=low, high=high)
-    rows = influence_window(hits).join(reps, "owner_id")
+    hits = interval_join(acts, spans, ["_account"], "completed_date", "interval_start", "close_date", **_days(acts, "completed_date"))
+    details = opps.select(
+        F.col("account_id").alias("opportunity_account_id"), "opportunity_id", "opportunity_name", "opportunity_type", "stage_name", "total_revenue", "contract_value",
+        "product_profit", "sales_rep_role", "region",
+    )
+    return influence_window(hits).join(details, "opportunity_id")
+
+
+def influenced_opportunities(source) -> DataFrame:
+    """Calls and meetings that preceded an opportunity of the same account, with the assignee's attributes."""
+    reps = rep_attributes(source).filter(F.col("role").isNotNull()).withColumnRenamed("user_id", "owner_id")
+    rows = opportunity_meetings(source).join(reps, "owner_id")
     return rows.select(
         F.col("opportunity_account_id").alias("account_id"), F.col("name").alias("task_assigned_to"), F.col("role").alias("task_assigned_to_role"),
         "task_id", F.col("completed_date").alias("task_completed_date"), "opportunity_created_date", "days_before", "influenced", "opportunity_id",
@@ -154,15 +174,16 @@ def activity_calendar(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def outbound_activity(source, as_of: date, from_date: date) -> DataFrame:
+def outbound_activity(source, as_of: date | None, from_date: date, zone: str = "America/Los_Angeles") -> DataFrame:
     """Tasks per rep, day and class; segment and region come from the creator's role.
 
-    The opportunity, campaign and influence columns of an activity do not reach this output and
-    cannot change its counts (each activity has one creator, one assignee, at most one interval), so
-    they are separate operators and not joined here.
+    Without an as-of date the last day is today in the zone. The opportunity, campaign and influence columns of an
+    activity do not reach this output and are not joined here: an activity counts once, however many segments its
+    opportunity has (see README, differences).
     """
+    last = as_date(as_of) if as_of is not None else today_in(zone)
     acts = unify(source.table("act_event"), source.table("act_task")).filter(
-        F.col("account_id").isNotNull() & ~F.col("is_deleted") & (F.col("completed_date") >= F.lit(from_date)) & (F.col("completed_date") <= as_date(as_of))
+        F.col("account_id").isNotNull() & ~F.col("is_deleted") & (F.col("completed_date") >= F.lit(from_date)) & (F.col("completed_date") <= last)
     )
     creators = rep_attributes(source).filter(F.col("market_segment").isNotNull())
     creators = creators.select(F.col("user_id").alias("created_by_id"), "market_segment", "team_segment", "sales_region")
@@ -176,11 +197,15 @@ def outbound_activity(source, as_of: date, from_date: date) -> DataFrame:
     return activity_calendar(rows, keys)
 
 
-def attributed_activities(source, as_of: date, campaign_pattern: str = "incubation-b2b%", marker: str = "%SDR%") -> DataFrame:
-    """Activity rows with opportunity (an explicit link wins), campaign and influence flag."""
+def attributed_activities(source, campaign_pattern: str = "incubation-b2b%", flag_pattern: str = "incubation-smb%", marker: str = "%INC%") -> DataFrame:
+    """Activity rows with opportunity (an explicit link wins), campaign and influence flag.
+
+    One pattern picks the account's campaign, another one and the marker make the flag. An opportunity with several
+    segments is flagged if any of them carries the marker; it does not multiply its activities.
+    """
     acts = unify(source.table("act_event"), source.table("act_task")).filter(F.col("account_id").isNotNull() & ~F.col("is_deleted"))
     intervals = opportunity_intervals(source.table("crm_account"), source.table("crm_opportunity"))
-    rows = attribute_activities(acts, intervals, "created_date", as_of)
+    rows = attribute_activities(acts, intervals, "created_date")
     rows = rows.withColumn("opportunity_id", F.coalesce("related_id", "interval_opportunity_id")).drop("interval_opportunity_id")
     campaigns = latest_campaign(source.table("crm_campaign_member"), source.table("crm_campaign"), campaign_pattern).select(
         "account_id", F.col("campaign_name").alias("account_campaign"), "start_date", "end_date"
@@ -191,12 +216,15 @@ def attributed_activities(source, as_of: date, campaign_pattern: str = "incubati
     opps = source.table("crm_opportunity").select("opportunity_id", F.col("campaign_id").alias("_campaign"), F.col("lead_source").alias("opportunity_source"))
     names = source.table("crm_campaign").select(F.col("campaign_id").alias("_campaign"), F.col("campaign_name").alias("opportunity_campaign"))
     rows = left_join_nullable(rows, opps.join(names, "_campaign", "left").drop("_campaign"), ["opportunity_id"], ["task_id"])
+    segments = source.table("fact_metric").filter(F.col("opportunity_id").isNotNull()).groupBy("opportunity_id")
+    marked = segments.agg(F.max(F.when(F.upper("market_segment").like(marker), F.col("market_segment"))).alias("marked_segment"))
+    rows = left_join_nullable(rows, marked, ["opportunity_id"], ["task_id"])
     reps = rep_attributes(source)
-    creators = reps.select(F.col("user_id").alias("created_by_id"), F.col("role").alias("creator_role"), "market_segment")
+    creators = reps.select(F.col("user_id").alias("created_by_id"), F.col("role").alias("creator_role"))
     owners = reps.select(F.col("user_id").alias("owner_id"), F.col("role").alias("owner_role"))
     rows = rows.join(creators, "created_by_id", "left").join(owners, "owner_id", "left")
     flag = influence_flag(
-        [F.col("creator_role"), F.col("owner_role"), F.col("market_segment")], campaign_pattern, [F.col("account_campaign"), F.col("opportunity_campaign")], marker
+        [F.col("creator_role"), F.col("owner_role"), F.col("marked_segment")], flag_pattern, [F.col("account_campaign"), F.col("opportunity_campaign")], marker
     )
     return rows.withColumn("incubation_influenced", flag)
 
@@ -216,13 +244,17 @@ def campaign_accounts(source, joined_from: date | None = None, campaign_ids: lis
     fact_cols = ["owner_manager", "sales_region", "sales_sub_region", "market_segment", "campaign"]
     if fact_campaigns is not None:
         facts = facts.filter(F.col("campaign").isin(*fact_campaigns))
-        fact_cols += ["product_name", "lead_group", "close_date", "value", "opportunity_owner", "created_date", "metric", "value_type", "dataset", "snapshot_date"]
+        fact_cols += [
+            "product_name", "lead_group", "close_date", "value", "opportunity_owner", "created_date", "metric", "value_type", "dataset", "snapshot_date", "age",
+            "current_stage", "verified_online_revenue", "annual_revenue", "created_by_function", "created_by", "sales_owner_role", "account_name", "account_campaign",
+            "opportunity_url", "opportunity_name", "fact_product_name",
+        ]
     members = members.select("account_id", "campaign_id", "joined_date").distinct()
     accounts = source.table("crm_account").select("account_id", "name", "named_account_code", "platform_group")
     facts = facts.select("account_id", *fact_cols).distinct()
     tasks = source.table("act_task").select(
         F.col("account_ref").alias("account_id"), F.col("type").alias("task_type"), F.col("activity_day").alias("task_date"), F.col("subject").alias("task_subject"),
-        F.col("click_count").alias("task_click_count"), F.col("dialler_type").alias("task_cadence"),
+        F.col("unique_click_count").alias("task_click_count"), F.col("cadence_name").alias("task_cadence"), F.col("description").alias("task_description"),
     ).distinct()
     rows = members.join(accounts, "account_id", "left").join(facts, "account_id", "left").join(tasks, "account_id", "left")
     if campaign_ids is None:

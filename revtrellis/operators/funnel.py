@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from revtrellis.functions.numbers import cap, lookup
 from revtrellis.functions.text import any_like
+from revtrellis.operators.joins import full_outer_nullable, left_join_nullable
 from revtrellis.params.fixed_values import ENRICHED_REVENUE_CAP, REVENUE_BAND_MIDPOINT
 
 
@@ -172,11 +173,11 @@ def enrich_leads(source, spec: FunnelSpec) -> DataFrame:
 
 def lead_opportunity_outer(leads: DataFrame, opps: DataFrame, spec: FunnelSpec) -> DataFrame:
     """Both sides kept; a lead filter afterwards makes it a plain left join."""
-    on = F.col("converted_opportunity_id") == F.col("opportunity_id")
     if spec.leads_only:
-        joined = leads.join(opps, on, "left")
+        joined = left_join_nullable(leads.withColumn("opportunity_id", F.col("converted_opportunity_id")), opps.withColumn("_found", F.col("opportunity_id")), ["opportunity_id"], ["lead_id"])
+        joined = joined.withColumn("opportunity_id", F.col("_found")).drop("_found").select(*leads.columns, *opps.columns)
     else:
-        joined = leads.join(opps, on, "full_outer")
+        joined = full_outer_nullable(leads, opps, "converted_opportunity_id", "opportunity_id", ["lead_id"], ["opportunity_id"])
         if spec.kept_role_patterns:
             p = spec.kept_role_patterns
             joined = joined.filter(F.col("lead_id").isNotNull() | role_filter(F.col("sdr_role"), p, F.col("opp_owner_role"), p))

@@ -10,15 +10,16 @@ from pyspark.sql import functions as F
 from revtrellis.functions.dates import OPEN_START
 
 SPREAD = 256
+GLOBAL_COPIES = 64
 
 
-def _bucket(day: Column, unit: str, low: date, high: date) -> Column:
+def _bucket(day: Column, unit: str, low: date | Column, high: date | Column) -> Column:
     """Calendar bucket of a day after clamping to [low, high]; null stays null.
 
     Clamping keeps order, so a day inside an interval always lies between the
     interval's first and last bucket: no match is lost whatever the bounds are.
     """
-    clamped = F.least(F.greatest(day, F.lit(low)), F.lit(high))
+    clamped = F.least(F.greatest(day, F.lit(low)), F.lit(high))  # F.lit leaves columns as they are
     return F.when(day.isNotNull(), F.trunc(clamped, unit))
 
 
@@ -31,8 +32,8 @@ def interval_join(
     end: str,
     how: str = "inner",
     unit: str = "month",
-    low: date = OPEN_START,
-    high: date = date(2100, 1, 1),
+    low: date | Column = OPEN_START,
+    high: date | Column = date(2100, 1, 1),
     spread_on: list[str] | None = None,
 ) -> DataFrame:
     """Rows of ``left`` with every row of ``right`` whose [start, end] holds ``point``.
@@ -76,6 +77,21 @@ def left_join_nullable(left: DataFrame, right: DataFrame, keys: list[str], sprea
     return a.join(b, on, "left").drop("_spread")
 
 
+def full_outer_nullable(left: DataFrame, right: DataFrame, left_key: str, right_key: str, left_spread: list[str], right_spread: list[str]) -> DataFrame:
+    """Full outer join on keys that are often null.
+
+    Rows with a null key match nothing and are scattered by a salt; rows with a key carry salt 0 on both sides, so
+    they meet as they would without it. The salts of the two sides never agree, as a null key matches none.
+    """
+
+    def salted(df: DataFrame, key: str, spread: list[str], name: str) -> DataFrame:
+        return df.withColumn(name, F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*spread), F.lit(SPREAD))).otherwise(F.lit(0)).cast("int"))
+
+    a, b = salted(left, left_key, left_spread, "_left_spread"), salted(right, right_key, right_spread, "_right_spread")
+    on = (F.col(left_key) == F.col(right_key)) & (F.col("_left_spread") == F.col("_right_spread"))
+    return a.join(b, on, "full_outer").drop("_left_spread", "_right_spread")
+
+
 def semi_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     return left.join(right.select(*keys), keys, "left_semi")
 
@@ -95,17 +111,15 @@ def anti_join_null_aware(left: DataFrame, right: DataFrame, key: str) -> DataFra
     return kept.join(right.select(key).filter(F.col(key).isNotNull()), key, "left_anti").select(*left.columns)
 
 
-def join_group_or_global(
-    left: DataFrame, right: DataFrame, key: str, is_group_row: Column, left_side_extra: list[str] | None = None
-) -> DataFrame:
+def join_group_or_global(left: DataFrame, right: DataFrame, key: str, is_group_row: Column) -> DataFrame:
     """Join on ``key`` for group rows of ``right``, and with every left row for its global rows.
 
-    An OR condition would be a nested loop over both sides. The group branch is an
-    equality join. The global rows are the parameters that apply to everybody:
-    they are gathered into one array by a scalar subquery and exploded per left row.
+    An OR condition would be a nested loop over both sides. The group branch is an equality join. So is the global one:
+    left rows are dealt over salts and the global rows, the parameters that apply to everybody, stand under each salt.
     """
     grouped = left.join(right.filter(is_group_row), key)
-    value_cols = [c for c in right.columns if c != key]
-    everyone = right.filter(~is_group_row).agg(F.collect_list(F.struct(*value_cols)).alias("x"))
-    spread = left.withColumn("_g", F.explode(everyone.scalar())).select(*left.columns, *[F.col(f"_g.{c}").alias(c) for c in value_cols])
-    return grouped.select(*left.columns, *value_cols).unionByName(spread)
+    values = [c for c in right.columns if c != key]
+    everyone = right.filter(~F.coalesce(is_group_row, F.lit(False))).select(*values).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(GLOBAL_COPIES - 1))))
+    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(GLOBAL_COPIES)).cast("int"))
+    spread = salted.join(everyone, "_salt").select(*left.columns, *values)
+    return grouped.select(*left.columns, *values).unionByName(spread)

@@ -196,8 +196,8 @@ def value_sums(fact: DataFrame, metric: str, prefix: str, quarterly: bool, datas
     return _per_owner(rows, period).agg(*[sum_if(F.col("value_type") == v, F.col("value")).alias(f"{prefix}_{k}") for k, v in VALUE_KINDS.items()])
 
 
-def pipe_coverage(quota: DataFrame, actuals: DataFrame, open_pipe: DataFrame, quarter: Column) -> DataFrame:
-    """Open pipeline ÷ what is left of the quota, for one quarter."""
+def pipe_coverage(quota: DataFrame, actuals: DataFrame, open_pipe: DataFrame, quarter: Column, month: Column) -> DataFrame:
+    """Open pipeline ÷ what is left of the quota, for one quarter; reported in the as-of month."""
     keys = ["rep_name", "month_date"]
     rows = quota.filter(F.col("month_date") == quarter).join(actuals, keys, "left").join(open_pipe, keys, "left")
     cols = {}
@@ -205,7 +205,14 @@ def pipe_coverage(quota: DataFrame, actuals: DataFrame, open_pipe: DataFrame, qu
         gap = F.col(f"{k}_quota") - zero_if_null(F.col(f"actual_{k}"))
         cols[f"{k}_coverage"] = coverage(F.col(f"open_{k}"), gap)
         cols[f"{k}_gap"] = F.when(gap < 0, F.lit(0.0)).otherwise(gap)
-    return rows.withColumns(cols)
+    return rows.withColumns({**cols, "month_date": month})
+
+
+def attainment_to_date(quota: DataFrame, actuals: DataFrame, as_of: date) -> DataFrame:
+    """Attainment of the running quarter, reported in the as-of month."""
+    today = F.lit(as_of)
+    running = quota.filter(F.col("month_date") == quarter_end(today))
+    return attainment(running, actuals).withColumn("month_date", F.last_day(today))
 
 
 def attainment(quota: DataFrame, actuals: DataFrame) -> DataFrame:

@@ -119,17 +119,19 @@ def campaign_accounts(source, campaign_ids: list[str], fact_campaigns: list[str]
     return activity.campaign_accounts(source, campaign_ids=campaign_ids, fact_campaigns=fact_campaigns)
 
 
-def outbound_activity(source, as_of: date, from_date: date = date(2023, 1, 1)) -> DataFrame:
-    return activity.outbound_activity(source, as_of, from_date).orderBy("completed_date")
+def outbound_activity(source, as_of: date | None, from_date: date = date(2023, 1, 1)) -> DataFrame:
+    return activity.outbound_activity(source, as_of, from_date).orderBy(
+        "completed_date", "task_assigned_to", "task_assigned_to_role", "market_segment", "team_segment", "sales_region", "activity_class", "on_watchlist"
+    )
 
 
-def influenced_opportunities(source, as_of: date) -> DataFrame:
-    return activity.influenced_opportunities(source, as_of).orderBy("task_completed_date", "opportunity_id")
+def influenced_opportunities(source) -> DataFrame:
+    return activity.influenced_opportunities(source).orderBy("task_completed_date", "opportunity_id", "task_id")
 
 
 def expired_deals(source, as_of: date, spec: BillingSpec = BillingSpec()) -> DataFrame:
     rows = billing.expired_deals(source.table("fin_deal"), source.table("fin_agreement"), as_of, spec.deal_url)
-    return rows.orderBy(F.desc("active_shops"))
+    return rows.orderBy(F.desc("active_shops"), *[c for c in rows.columns if c != "active_shops"])
 
 
 def nondev_stores(source) -> DataFrame:
@@ -138,7 +140,7 @@ def nondev_stores(source) -> DataFrame:
 
 def orphans(source, as_of: date, spec: BillingSpec = BillingSpec()) -> DataFrame:
     rows = billing.orphan_shops(source, as_of, spec.plan_name, spec.internal_pattern, spec.shop_url)
-    return rows.select("reason", "shop_url", "name", "base_price").orderBy(F.desc("base_price"))
+    return rows.select("reason", "shop_url", "name", "base_price").orderBy(F.desc("base_price"), "shop_url", "reason", "name")
 
 
 def orphans_managed(source, as_of: date, spec: BillingSpec = BillingSpec()) -> DataFrame:

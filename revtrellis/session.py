@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -29,3 +30,12 @@ def shared_folder(spark: SparkSession) -> str:
     if local and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return os.path.join(warehouse, "_revtrellis_intermediate")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder. What is written there is deleted when the application ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
