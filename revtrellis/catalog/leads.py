@@ -333,13 +333,14 @@ _COMMON = f"""SELECT l.lead_id, l.lead_source, l.lead_source_original, l.status,
      LEFT JOIN ({_STATUS}) st ON st.lead_id = l.lead_id LEFT JOIN ({_CAMPAIGN}) cp ON cp.lead_id = l.lead_id
      LEFT JOIN crm_opportunity o ON o.opportunity_id = l.converted_opportunity_id LEFT JOIN ({_WON}) cw ON cw.opportunity_id = o.opportunity_id"""
 
+_ALL_IDS = _COMMON.replace("FROM crm_lead l LEFT JOIN", f"FROM (SELECT i.lead_id, c.* EXCLUDE (lead_id) FROM ({_IDS}) i LEFT JOIN crm_lead c ON c.lead_id = i.lead_id) l LEFT JOIN", 1)
 _DROP = "EXCLUDE (winning_partner, partner_involvement, online_revenue_verified, raw_mql_date)"
 PARTNER_ROWS = f"""SELECT x.* {_DROP}, p.partner_name, p.sub_region AS partner_sub_region, p.management_model, p.partner_type, m.programme_manager AS partner_manager,
      CASE WHEN m.in_plus_programme THEN 'Yes' ELSE 'No' END AS plus_program, x.partner_involvement AS sales_assistance, NULL::VARCHAR AS gmv_band,
      NULL::VARCHAR AS market_segment, NULL::DATE AS mql_date
    FROM (SELECT k.*, CAST(pl.shop_id AS VARCHAR) AS shop_id, gc.sub_region, gc.market_maturity, CAST(rf.referred_on AS VARCHAR) AS referral_timestamp,
        CAST(rf.referral_index AS VARCHAR) AS referral_index, coalesce(rf.partner_id, pl.partner_id, k.winning_partner) AS partner_id
-     FROM ({_COMMON}) k LEFT JOIN ({_PARTNER_LEADS}) pl ON pl.lead_id = k.lead_id LEFT JOIN geo_country gc ON gc.country_code = pl.country_code
+     FROM ({_ALL_IDS}) k LEFT JOIN ({_PARTNER_LEADS}) pl ON pl.lead_id = k.lead_id LEFT JOIN geo_country gc ON gc.country_code = pl.country_code
        LEFT JOIN ({_REFERRALS}) rf ON rf.lead_id = k.lead_id) x
      LEFT JOIN partner p ON p.partner_id = x.partner_id LEFT JOIN ({_MANAGERS}) m ON m.partner_id = p.partner_id AND m.on_date = x.current_status_date"""
 _NOT_MARKETING = "('Partner POS Referral', 'Partner Referral', 'ZoomInfo', 'LinkedIn Sales Navigator', 'Outbound', 'Business Development Rep', 'Lead List')"

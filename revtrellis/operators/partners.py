@@ -176,16 +176,16 @@ def lead_rows(source, leads: DataFrame, through_partner: Column) -> DataFrame:
     """Enriched rows of both kinds of leads in one chain of joins.
 
     Leads that came through a partner get one row per referral and membership, and the partner's attributes;
-    for the others those join keys are null, so they keep one row.
+    the others meet none of these and keep one row.
     """
     ids = consolidated_ids(source.table("crm_lead"), source.table("partner_referral"))
     referrals = referring_partners(source.table("partner_referral")).select(
-        F.col("lead_id").alias("_referral_key"), F.col("partner_id").alias("_referred"), F.col("referred_on").cast("string").alias("referral_timestamp"),
+        "lead_id", F.col("partner_id").alias("_referred"), F.col("referred_on").cast("string").alias("referral_timestamp"),
         F.col("referral_index").cast("string").alias("referral_index"),
     )
     countries = source.table("geo_country").select("country_code", "sub_region", "market_maturity")
     records = partner_lead_latest(source.table("partner_lead"), ids).join(countries, "country_code", "left").select(
-        F.col("lead_id").alias("_referral_key"), F.col("partner_id").alias("_recorded"), F.col("shop_id").cast("string").alias("shop_id"), "sub_region", "market_maturity"
+        "lead_id", F.col("partner_id").alias("_recorded"), F.col("shop_id").cast("string").alias("shop_id"), "sub_region", "market_maturity"
     )
     partners = source.table("partner").select(
         F.col("partner_id").alias("_pid"), "partner_name", F.col("sub_region").alias("partner_sub_region"), "management_model", "partner_type", F.lit(True).alias("_known")
@@ -194,10 +194,11 @@ def lead_rows(source, leads: DataFrame, through_partner: Column) -> DataFrame:
         F.col("partner_id").alias("_managed"), F.col("on_date").alias("current_status_date"), F.col("programme_manager").alias("partner_manager"), "in_plus_programme"
     )
     accounts = source.table("crm_account").select(F.col("account_id").alias("_segment_key"), "market_segment")
-    rows = _common_columns(source, leads).withColumn("_through", through_partner)
-    rows = rows.withColumn("_referral_key", F.when(F.col("_through"), F.col("lead_id")))
-    rows = left_join_nullable(rows, records, ["_referral_key"], ["lead_id"])
-    rows = left_join_nullable(rows, referrals, ["_referral_key"], ["lead_id"])
+    rows = leads.withColumn("_through", through_partner)
+    through = rows.filter("_through").select("lead_id").distinct()
+    # All joins by lead follow each other, so the rows are dealt by lead once.
+    rows = rows.join(records.join(through, "lead_id", "left_semi"), "lead_id", "left").join(referrals.join(through, "lead_id", "left_semi"), "lead_id", "left")
+    rows = _common_columns(source, rows)
     rows = rows.withColumn("partner_id", F.coalesce("_referred", "_recorded", "winning_partner"))
     rows = rows.withColumn("_pid", F.when(F.col("_through"), F.col("partner_id")))
     rows = left_join_nullable(rows, partners, ["_pid"], ["lead_id"])
@@ -213,13 +214,13 @@ def lead_rows(source, leads: DataFrame, through_partner: Column) -> DataFrame:
             "gmv_band": F.when(~through, gmv_band(F.col("online_revenue_verified"))),
             "mql_date": F.when(~through, F.col("mql_date")),
         }
-    ).drop("_referral_key", "_referred", "_recorded", "_pid", "_known", "_managed", "_segment_key", "in_plus_programme", "winning_partner", "partner_involvement", "online_revenue_verified")
+    ).drop("_referred", "_recorded", "_pid", "_known", "_managed", "_segment_key", "in_plus_programme", "winning_partner", "partner_involvement", "online_revenue_verified")
 
 
 def partner_lead_rows(source, leads: DataFrame | None = None) -> DataFrame:
-    """Enriched row per lead, referral and partner membership."""
+    """Enriched row per lead, referral and partner membership; ids known from a referral alone have a row too."""
     ids = consolidated_ids(source.table("crm_lead"), source.table("partner_referral"))
-    leads = source.table("crm_lead").join(ids, "lead_id", "left_semi") if leads is None else leads
+    leads = ids.join(source.table("crm_lead"), "lead_id", "left") if leads is None else leads
     return lead_rows(source, leads, F.lit(True)).drop("_through")
 
 

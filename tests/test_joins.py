@@ -6,7 +6,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from revtrellis.operators.joins import anti_join_null_aware, interval_join, join_group_or_global, left_join_nullable, semi_join
+from revtrellis.operators.joins import anti_join_null_aware, full_outer_nullable, interval_join, join_group_or_global, left_join_nullable, semi_join
 
 
 def _rows(df):
@@ -90,3 +90,34 @@ def test_group_or_global_join(spark):
     sheet = spark.createDataFrame([("g1", "core", "m1"), ("g2", "core", "m2"), (None, "other", "x"), ("g1", "other", "y")], "g string, kind string, metric string")
     got = _rows(join_group_or_global(left, sheet, "g", F.col("kind") == "core").select("rep", "metric"))
     assert got == sorted([("r1", "m1"), ("r2", "m2")] + [(r, m) for r in ("r1", "r2", "r3") for m in ("x", "y")])
+
+
+def test_full_outer_join_scatters_null_keys(spark):
+    rng = random.Random(5)
+    left = [(i, None if rng.random() < 0.9 else rng.randrange(60)) for i in range(3000)]
+    right = [(None if i % 3 == 0 else i % 80, f"r{i}") for i in range(300)]
+    expected = [(i, k, r) for i, k in left for x, r in right if k is not None and x == k]
+    met = {i for i, _, _ in expected}, {r for _, _, r in expected}
+    expected += [(i, k, None) for i, k in left if i not in met[0]] + [(None, None, r) for _, r in right if r not in met[1]]
+    a, b = spark.createDataFrame(left, "id long, k long"), spark.createDataFrame(right, "x long, r string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = full_outer_nullable(a, b, "k", "x", ["id"], ["r"])
+        got = sorted(((r.id, r.k, r.r) for r in joined.collect()), key=repr)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == sorted(expected, key=repr)
+    assert max(sizes) < 2 * sum(sizes) / len(sizes)
+
+
+def test_interval_join_with_bounds_from_the_data(spark):
+    start = date(1995, 1, 1)
+    points = [(i, "a" if i % 3 else "b", start + timedelta(days=37 * i % 1500)) for i in range(200)]
+    spans = [(i, "a" if i % 2 else "b", date(1900, 1, 1) if i < 4 else start + timedelta(days=40 * i), start + timedelta(days=60 * i)) for i in range(40)]
+    p, s = spark.createDataFrame(points, "pid long, k string, d date"), spark.createDataFrame(spans, "sid long, k string, a date, b date")
+    low, high = p.agg(F.min("d")).scalar(), p.agg(F.max("d")).scalar()
+    got = _rows(interval_join(p, s, ["k"], "d", "a", "b", unit="year", low=low, high=high).select("pid", "sid"))
+    assert got == _brute(points, spans, "inner")
