@@ -107,7 +107,8 @@ def coverage_sql(actuals: str, opened: str, quarter: str) -> str:
 # As of 20 April 1998, the first month of the quarter: the quarter ends in June, the rows are of April.
 EARLY = date(1998, 4, 20)
 _EARLY_MONTH = "SELECT * REPLACE (DATE '1998-04-30' AS month_date) FROM ({}) x"
-COVERAGE = _EARLY_MONTH.format(coverage_sql(sums_sql("Closed Won", "actual", True), sums_sql("Open Pipe SAL", "open", True), "DATE '1998-06-30'"))
+COVERAGE = coverage_sql(sums_sql("Closed Won", "actual", True), sums_sql("Open Pipe SAL", "open", True), "DATE '1998-06-30'")
+EARLY_COVERAGE = _EARLY_MONTH.format(COVERAGE)
 PAST_COVERAGE = coverage_sql(
     sums_sql("Closed Won", "actual", True, "Snapshots", "1998-05-04"), sums_sql("Open Pipe SAL", "open", True, "Snapshots", "1998-05-04"), "DATE '1998-06-30'"
 )
@@ -296,7 +297,7 @@ def _(s):
     return S.value_sums(s.table("fact_metric"), "Open Pipe SAL", "open", True)
 
 
-@query("sc_pipe_coverage", COVERAGE)
+@query("sc_pipe_coverage", EARLY_COVERAGE)
 def _(s):
     fact = s.table("fact_metric")
     return S.pipe_coverage(

@@ -119,7 +119,7 @@ def join_group_or_global(left: DataFrame, right: DataFrame, key: str, is_group_r
     """
     grouped = left.join(right.filter(is_group_row), key)
     values = [c for c in right.columns if c != key]
-    everyone = right.filter(~F.coalesce(is_group_row, F.lit(False))).select(*values).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(GLOBAL_COPIES - 1))))
+    everyone = right.filter(~is_group_row).select(*values).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(GLOBAL_COPIES - 1))))
     salted = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(GLOBAL_COPIES)).cast("int"))
     spread = salted.join(everyone, "_salt").select(*left.columns, *values)
     return grouped.select(*left.columns, *values).unionByName(spread)

@@ -145,13 +145,20 @@ def created_value(fact: DataFrame) -> DataFrame:
     )
 
 
-def _book(snapshots: DataFrame, territory_reps: DataFrame, activity: DataFrame) -> DataFrame:
-    """Accounts of each rep's territory on each snapshot day, with whether sales contacted them that month."""
-    reps = territory_reps.select("rep_name", F.upper("territory_name").alias("_territory"), F.col("quarter_end").alias("_quarter")).distinct()
+def _territory_reps(territory_reps: DataFrame) -> DataFrame:
+    return territory_reps.select("rep_name", F.upper("territory_name").alias("_territory"), F.col("quarter_end").alias("_quarter")).distinct()
+
+
+def _territory_days(snapshots: DataFrame, activity: DataFrame) -> DataFrame:
+    """Accounts of each territory on each snapshot day, with whether sales contacted them that month."""
     contacted = activity.filter(F.col("activity_group") == "Sales").select("account_id", month_end("activity_date").alias("month_date")).distinct()
     rows = snapshots.withColumns({"_territory": F.upper("territory_name"), "_quarter": quarter_end("snapshot_date"), "month_date": month_end("snapshot_date")})
-    rows = rows.join(contacted.withColumn("_hit", F.lit(1)), ["account_id", "month_date"], "left")
-    return rows.join(reps, ["_territory", "_quarter"])
+    return rows.join(contacted.withColumn("_hit", F.lit(1)), ["account_id", "month_date"], "left")
+
+
+def _book(snapshots: DataFrame, territory_reps: DataFrame, activity: DataFrame) -> DataFrame:
+    """The same for each rep's territory."""
+    return _territory_days(snapshots, activity).join(_territory_reps(territory_reps), ["_territory", "_quarter"])
 
 
 def _last_snapshot(counts: DataFrame) -> DataFrame:
@@ -575,12 +582,19 @@ def stage_values(stages: DataFrame, opportunities: DataFrame) -> DataFrame:
 
 
 def book_values(snapshots: DataFrame, territory_reps: DataFrame, activity: DataFrame, tiers: list[str]) -> DataFrame:
-    """Book contacted and accounts contacted in one pass over the account snapshots."""
-    rows = _book(snapshots, territory_reps, activity).withColumn("_tiered", F.col("tier").isin(*tiers))
-    per_account = rows.groupBy("rep_name", "month_date", "snapshot_date", "account_id").agg(
+    """Book contacted and accounts contacted in one pass over the account snapshots.
+
+    Accounts are counted per territory and day before the reps are joined, so a territory of many accounts is not
+    multiplied by its reps. An account is in one territory on a day.
+    """
+    rows = _territory_days(snapshots, activity).withColumn("_tiered", F.col("tier").isin(*tiers))
+    day = ["_territory", "_quarter", "month_date", "snapshot_date"]
+    per_account = rows.groupBy(*day, "account_id").agg(
         F.max("_hit").alias("hit"), F.max(F.when(F.col("_tiered"), 1)).alias("tiered"), F.max(F.when(F.col("_tiered"), F.col("_hit"))).alias("tiered_hit")
     )
-    per_day = per_account.groupBy("rep_name", "month_date", "snapshot_date").agg(F.sum("tiered").alias("book"), F.count("tiered_hit").alias("reached"), F.count("hit").alias("contacted"))
+    per_day = per_account.groupBy(*day).agg(F.sum("tiered").alias("book"), F.count("tiered_hit").alias("reached"), F.count("hit").alias("contacted"))
+    of_rep = per_day.join(_territory_reps(territory_reps), ["_territory", "_quarter"]).groupBy("rep_name", "month_date", "snapshot_date")
+    per_day = of_rep.agg(*[F.sum(c).alias(c) for c in ("book", "reached", "contacted")])
     wide = per_day.groupBy("rep_name", "month_date").agg(
         F.max_by(safe_divide(F.col("reached"), F.col("book")), F.when(F.col("book") > 0, F.col("snapshot_date"))).alias("share"),
         F.max_by("contacted", F.when(F.col("contacted") > 0, F.col("snapshot_date"))).alias("contacted"),
