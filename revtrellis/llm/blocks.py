@@ -17,12 +17,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
 from revtrellis.llm.common import bucket, partitions, ship
 
 LAST = np.iinfo(np.int64).max
 MANY = 255
+ARROW = {"bigint": pa.int64(), "string": pa.string(), "binary": pa.binary()}
 
 
 def dealt(docs: DataFrame, id_col: str, text_col: str, per_partition: int = 4) -> DataFrame:
@@ -92,15 +92,12 @@ def ask(dealt_docs: DataFrame, question: Callable[..., dict], shards: int, answe
 
 
 def finish(dealt_docs: DataFrame, answers: DataFrame, result: Callable[[Block, pa.Table], dict[str, list]], columns: list[tuple[str, str]]) -> DataFrame:
-    """One row per document from its block and the answers; result gives the columns after doc_id, in the order of the block's documents."""
-    id_type = dealt_docs.schema["doc_id"].dataType
-    ddl = ", ".join(f"{n} {t}" for n, t in [("doc_id", id_type.simpleString()), *columns])
-    from pyspark.sql.types import _parse_datatype_string
-
-    kinds = [(n, to_arrow_type(_parse_datatype_string(t))) for n, t in columns]
-    arrow_id = to_arrow_type(id_type)
+    """One row per document from its block and the answers; result gives the columns after doc_id (of the kinds in ARROW), in the order of the block's documents."""
+    ddl = ", ".join(f"{n} {t}" for n, t in [("doc_id", dealt_docs.schema["doc_id"].dataType.simpleString()), *columns])
+    kinds = [(n, ARROW[t]) for n, t in columns]
 
     def run(table: pa.Table, told: pa.Table) -> pa.Table:
+        arrow_id = table.schema.field("doc_id").type
         if not len(table):
             return pa.table({"doc_id": pa.array([], arrow_id), **{n: pa.array([], t) for n, t in kinds}})
         block = Block(table)

@@ -4,20 +4,24 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 import zipfile
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revtrellis.session import shared_folder
+from revtrellis.session import scratch_path
 
 PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Give the Python workers this package (once per application), so that tasks can import it on any node."""
+    """Give the Python workers this package (once per application), so that tasks can import it on any node.
+
+    The archive is made on the driver, and Spark hands it out; no executor reads the driver's folder.
+    """
     context = spark.sparkContext
     if context.applicationId not in _SHIPPED:
         folder = tempfile.mkdtemp(prefix="revtrellis-package-")
@@ -45,7 +49,7 @@ def read(spark: SparkSession, path: str, table: str, *columns: str) -> DataFrame
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of df from a table written to the shared folder: computed once, and not lost with an executor."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, f"llm-{name}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -53,3 +57,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def bucket(column: str | Column, n: int) -> Column:
     """Bucket 0..n-1 of a value; null has one as well."""
     return F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in small batches, so that a worker holds few texts in several forms at a time."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
