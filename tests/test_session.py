@@ -1,6 +1,5 @@
 """Shared folders, table sources and the order of sorted reports."""
 
-from datetime import date
 from types import SimpleNamespace
 
 import pytest
