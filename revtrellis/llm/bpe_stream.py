@@ -29,7 +29,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from revtrellis.llm.common import ship
+from revtrellis.llm.common import ship, slices
 
 #: Fixed value: the pattern by which byte-level BPE cuts texts.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -197,7 +197,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, _ = _machines(path)
-        for batch in batches:
+        for batch in slices(batches):
             ids = [b"".join(encoder.encode(t)) if t else b"" for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.large_binary()).cast(pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())], names=[id_col, "ids", "n_tokens"])
 
@@ -211,7 +211,7 @@ def decode(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, decoder = _machines(path)
-        for batch in batches:
+        for batch in slices(batches):
             texts = ["".join(decoder.decode([x or b""])) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=[id_col, "text"])
 
@@ -228,7 +228,7 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = _machines(path)
-        for batch in batches:
+        for batch in slices(batches):
             rows: list[tuple] = []
             for text in batch.column(1).to_pylist():
                 n, ids, decoded = 0, hashlib.sha256(), hashlib.sha256()

@@ -22,7 +22,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revtrellis.llm.common import bucket, ship
+from revtrellis.llm.common import bucket, ship, slices
 from revtrellis.llm.suffix_automaton import ItemIndex
 from revtrellis.llm.wordhash import LOWER, PUNCTUATION, words_of
 
@@ -132,7 +132,7 @@ def scan(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
     kind = picked.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = list(_find([t.encode() if t else b"" for t in batch.column(1).to_pylist()], shards, window))
             columns = [pa.array([getattr(f, c) for f in found], t) for c, t in (("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("spans", pa.list_(pa.list_(pa.int64()))))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=[id_col, "n_words", "n_hit", "items", "spans"])
@@ -147,7 +147,7 @@ def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", window: int
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             raw = [None if t is None else t.encode() for t in batch.column(at).to_pylist()]
             texts, stay = [], []
             for text, found in zip(raw, _find([t or b"" for t in raw], shards, window)):

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revtrellis.llm.common import ship
+from revtrellis.llm.common import ship, slices
 from revtrellis.llm.suffix_automaton import ItemIndex
 from revtrellis.llm.wordhash import LOWER, PUNCTUATION, words_of
 
@@ -145,7 +145,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = _index(phrases, templates)
         items = mine.index.words
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t.encode() if t else b"" for t in batch.column(1).to_pylist()]
             n_words, places, spans = [], [], []
             for w in words_of(texts, PUNCTUATION, LOWER):

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revtrellis.llm.common import ship, written
-from revtrellis.llm.wordhash import LOWER, SPACE, words_of
+from revtrellis.llm.wordhash import SPACE, words_of
 
 HASHED_WORDS = 64
 HASHED_SOURCES = 32
