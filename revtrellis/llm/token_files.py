@@ -20,6 +20,7 @@ Defined results: a null text counts as empty, an empty document has the end id a
 from __future__ import annotations
 
 import functools
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -36,7 +37,9 @@ BLOCK = 256
 SEGMENT = 1 << 16
 PERCENTILE = 90
 MAGIC = b"PFR1"
-KEPT_WORDS = 300_000
+KEPT_RUNS = 900_000
+#: Fixed value: how the word vocabulary cuts lower-case Latin-1 text; superscripts and fractions are numbers.
+RUNS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\\sa-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
 
 
 # ---------------------------------------------------------------- blocks
@@ -130,7 +133,12 @@ def _packed(ids: list[int]) -> bytes:
 
 
 class WordTokens(dict):
-    """White-space-free part of a text -> its packed ids. The vocabulary drops white space, so the parts of a text do not affect each other."""
+    """Run of letters, of other characters, or one digit -> its packed ids.
+
+    The vocabulary drops white space and case and encodes each run by itself, so a text's ids are those of its runs, and
+    only runs not met before go to the library. White-space-free parts with characters beyond Latin-1, which may be
+    composed or cut otherwise, stand for themselves.
+    """
 
     def __init__(self, path: str):
         super().__init__()
@@ -146,24 +154,33 @@ class WordTokens(dict):
     def whole(self, text: str) -> bytes:
         return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def __missing__(self, part: str) -> bytes:
-        out = self.whole(part)
-        if len(self) < KEPT_WORDS and len(part) < 64:
-            self[part] = out
-        return out
+    def runs(self, text: str) -> list[str]:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return [r for part in text.split() for r in (RUNS.findall(part.lower()) if part.isascii() or max(part) <= "\xff" else [part])]
+        return RUNS.findall(text.lower())
 
     def learn(self, texts: list[list[str]]) -> None:
-        """Encode the parts not met yet in one call."""
-        room = KEPT_WORDS - len(self)
-        if room > 0:
-            new = [x for x in {x for parts in texts for x in parts}.difference(self) if len(x) < 64][:room]
-            for part, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                self[part] = _packed(found.ids)
+        """Encode the runs not met yet, those within Latin-1 all in one text: the library tells which run a token is of."""
+        if len(self) > KEPT_RUNS:
+            for x in list(self)[KEPT_RUNS // 2 :]:
+                del self[x]
+        new = set().union(*texts).difference(self)
+        plain = [x for x in new if x.isascii() or max(x) <= "\xff"]
+        if plain:
+            found = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
+            raw, edges = _packed(found.ids), np.flatnonzero(np.diff(np.array(found.word_ids), prepend=-1, append=-1)) * 4
+            if len(edges) != len(plain) + 1:
+                raise ValueError("the vocabulary cuts texts otherwise than RUNS")
+            self.update(zip(plain, [raw[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]))
+        for x in new.difference(plain):
+            self[x] = self.whole(x)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [None if any(x in t for x in self.odd) else t.split() for t in texts]
-        self.learn([p for p in parts if p])
-        return [self.whole(t) if p is None else b"".join(map(self.__getitem__, p)) for t, p in zip(texts, parts)]
+        runs = [None if any(x in t for x in self.odd) else self.runs(t) for t in texts]
+        self.learn([r for r in runs if r])
+        return [self.whole(t) if r is None else b"".join(map(self.__getitem__, r)) for t, r in zip(texts, runs)]
 
 
 @functools.lru_cache(maxsize=2)
@@ -187,7 +204,7 @@ def write_token_files(docs: DataFrame, path: str, end_id: int, id_col: str = "do
         ids: list = []
         kept: list[bytes] = []
         size = 0
-        schema = pa.schema([("file", pa.int32()), ("segment", pa.int32()), ("ids_before", pa.int64()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(id_type)), ("payload", pa.binary())])
+        schema = None
 
         def flush() -> pa.RecordBatch:
             counts = np.array([len(x) // 4 for x in kept], np.uint32)
@@ -195,9 +212,10 @@ def write_token_files(docs: DataFrame, path: str, end_id: int, id_col: str = "do
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((file, segment, before, size, ids, payload), schema.types)], schema=schema)
 
         for batch in batches:
+            schema = pa.schema([("file", pa.int32()), ("segment", pa.int32()), ("ids_before", pa.int64()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(batch.schema.field(0).type)), ("payload", pa.binary())])
             all_ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            for lo in range(0, len(all_ids), 256):
-                for doc, packed in zip(all_ids[lo : lo + 256], tokens.encode([t or "" for t in texts[lo : lo + 256].to_pylist()])):
+            for lo in range(0, len(all_ids), 512):
+                for doc, packed in zip(all_ids[lo : lo + 512], tokens.encode([t or "" for t in texts[lo : lo + 512].to_pylist()])):
                     ids.append(doc)
                     kept.append(packed + tail)
                     size += len(packed) // 4 + 1
@@ -208,9 +226,6 @@ def write_token_files(docs: DataFrame, path: str, end_id: int, id_col: str = "do
         if ids:
             yield flush()
 
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    id_type = to_arrow_type(kind)
     return written(ordered.mapInArrow(run, f"file int, segment int, ids_before bigint, n_ids bigint, doc_ids array<{kind.simpleString()}>, payload binary"), name)
 
 
@@ -218,7 +233,8 @@ def with_starts(files: DataFrame) -> DataFrame:
     """The segments with `start`: the ids of all segments before. The window runs over one row per file."""
     ahead = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     bases = files.groupBy("file").agg(F.sum("n_ids").alias("file_ids")).select("file", F.coalesce(F.sum("file_ids").over(ahead), F.lit(0)).alias("base"))
-    return files.join(bases, "file").withColumn("start", F.col("base") + F.col("ids_before"))
+    # One row of two numbers per file: as few as there are shuffle partitions.
+    return files.join(F.broadcast(bases), "file").withColumn("start", F.col("base") + F.col("ids_before"))
 
 
 def read_documents(files: DataFrame, digest: bool = False) -> DataFrame:
