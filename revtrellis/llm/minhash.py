@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from revtrellis.llm.common import bucket, partitions, ship, written
+from revtrellis.llm.common import bucket, partitions, ship, slices, written
 from revtrellis.llm.graph import components
 from revtrellis.llm.wordhash import LOWER, SPACE, mix, run_hashes, words_of
 
@@ -108,7 +108,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS)
     second = np.uint64(0x9FB21C651E98DF25)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sizes, a, b, keys, packed = [], [], [], [], []
             for s in shingle_sets([t.encode() if t else b"" for t in batch.column(1).to_pylist()], words):
                 sizes.append(len(s))
@@ -203,7 +203,7 @@ def _with_sets(docs: DataFrame, words: int) -> DataFrame:
     schema = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in keep) + ", shingles binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sets = [s.tobytes() for s in shingle_sets([t.encode() for t in batch.column(at).to_pylist()], words)]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array(sets, pa.binary())], names=[*keep, "shingles"])
 
@@ -222,7 +222,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     chosen = full.join(representatives, ["doc_id", "print_a", "print_b"], "left_semi").select("doc_id", F.explode("keys").alias("key"))
     shared = written(chosen.groupBy("key").agg(F.min("doc_id").alias("smallest"), F.count("*").alias("n"), F.max("doc_id").alias("largest")).filter("smallest < largest"), "buckets")
     ties = written(chosen.join(shared, "key").groupBy("doc_id", "smallest").agg(F.sum("n").alias("weight")), "ties")
-    candidates = components(ties.select(F.col("doc_id").alias("a"), F.col("smallest").alias("b")))
+    # A document is tied to the lowest of its smallest ones and these to each other: the latter ties are few, as near
+    # copies share them.
+    low = ties.withColumn("low", F.min("smallest").over(Window.partitionBy("doc_id")))
+    chain = low.filter("low < smallest").select(F.col("low").alias("a"), F.col("smallest").alias("b"))
+    candidates = components(low.select(F.col("doc_id").alias("a"), F.col("low").alias("b")).unionByName(chain).distinct())
 
     # Parts of at most about `part` documents; the documents that share most with others are guests of all parts.
     sizes = candidates.groupBy("component").agg(F.count("*").alias("size")).withColumn("parts", F.ceil(F.col("size") / part).cast("int"))
@@ -262,8 +266,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         counts = joined.groupBy("component", "joined").agg(F.count("*").alias("members"))
         main = counts.groupBy("component").agg(F.max_by("joined", F.struct("members", "joined")).alias("main"))
         left_over = joined.join(main, "component").filter(F.col("joined") != F.col("main"))
-        # As many left-over documents in one round as a part holds.
-        numbered = left_over.withColumn("round", 1 + F.floor((F.row_number().over(Window.partitionBy("component").orderBy("doc_id")) - 1) / part).cast("int"))
+        # About as many left-over documents in one round as a part holds.
+        many = left_over.groupBy("component").agg(F.ceil(F.count("*") / part).alias("rounds"))
+        numbered = left_over.join(many, "component").withColumn("round", 1 + F.pmod(F.xxhash64("doc_id", F.lit(2)), "rounds").cast("int"))
         numbered = written(numbered, "left-over")
         rounds = numbered.select("component", "round").distinct()
         visitors = numbered.withColumn("part", every_part()).withColumn("guest", F.lit(True))
