@@ -5,8 +5,9 @@ values in a fixed order); a shard sees what all blocks asked about its hashes an
 order asked. A block computes its questions again when it reads the answers, so only bits travel back. A value that
 stands in very many documents is asked once per block, whatever its count, and so is no hot key.
 
-Blocks and shards follow spark.sql.shuffle.partitions: a block holds a quarter of a partition's documents, a shard the
-hashes of a partition's share. Everything is lineage over the documents: a lost executor costs only its own work again.
+Blocks and shards follow spark.sql.shuffle.partitions: a block holds half a partition's documents, a shard the hashes of
+two partitions' share. So there are as many packed rows as a shuffle has map outputs for its reducers, the square of
+the number of partitions, however large the groups of copies are. Everything is lineage over the documents: a lost executor costs only its own work again.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revtrellis.llm.common import bucket, partitions, ship
@@ -25,7 +26,11 @@ MANY = 255
 ARROW = {"bigint": pa.int64(), "string": pa.string(), "binary": pa.binary()}
 
 
-def dealt(docs: DataFrame, id_col: str, text_col: str, per_partition: int = 4) -> DataFrame:
+def shard_count(spark: SparkSession) -> int:
+    return max(1, partitions(spark) // 2)
+
+
+def dealt(docs: DataFrame, id_col: str, text_col: str, per_partition: int = 2) -> DataFrame:
     """doc_id, text, block."""
     n = per_partition * partitions(ship(docs.sparkSession))
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).withColumn("block", bucket("doc_id", n))

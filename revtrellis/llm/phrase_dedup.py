@@ -25,13 +25,12 @@ import hashlib
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from revtrellis.llm import blocks
-from revtrellis.llm.blocks import LAST, MANY, Block
-from revtrellis.llm.common import partitions
-from revtrellis.llm.wordhash import SPACE, Words, run_hashes, sliding_max, sliding_min, words_of
+from revtrellis.llm.blocks import MANY, Block
+from revtrellis.llm.wordhash import SPACE, Words, mix, run_hashes, sliding_max, sliding_min, words_of
 
 LENGTH = 20
 PHRASE = 10
@@ -65,7 +64,8 @@ class AskAnchors:
         for w in words_of(block.texts, SPACE):
             hashes, _, _, is_anchor = _anchors(w, self.length, self.phrase)
             found.append(hashes[is_anchor])
-        values, counts = np.unique(np.concatenate(found), return_counts=True)
+        # Anchors are small hashes; mixed once more they spread evenly over the shards.
+        values, counts = np.unique(mix(np.concatenate(found)), return_counts=True)
         return {"hash": values, "count": np.minimum(counts, MANY).astype(np.uint8)}
 
 
@@ -82,8 +82,9 @@ class Candidates:
                 continue
             # Neighbours mostly share their anchor, so each run of one value is looked up once.
             edge = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
-            at = np.minimum(np.searchsorted(again, anchor[edge]), len(again) - 1)
-            keep = np.flatnonzero(np.repeat(again[at] == anchor[edge], np.diff(np.append(edge, len(anchor)))) & inside)
+            value = mix(anchor[edge])
+            at = np.minimum(np.searchsorted(again, value), len(again) - 1)
+            keep = np.flatnonzero(np.repeat(again[at] == value, np.diff(np.append(edge, len(anchor)))) & inside)
             if len(keep):
                 docs.append(w.lo + np.searchsorted(w.first, keep, "right") - 1)
                 places.append(keep - w.first[docs[-1] - w.lo])
@@ -248,7 +249,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per document: doc_id, n_words, n_removed and `kept`, the words that stay joined by one space (or their SHA-256)."""
     if not 0 < phrase <= length:
         raise ValueError("a phrase is a part of a window")
-    shards = partitions(docs.sparkSession)
+    shards = blocks.shard_count(docs.sparkSession)
     dealt = blocks.dealt(docs, id_col, text_col)
     anchors = blocks.recurring(blocks.ask(dealt, AskAnchors(length, phrase), shards))
     windows = _confirm(blocks.ask(dealt, AskWindows(length, phrase, shards), shards, anchors))
@@ -258,6 +259,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def result(block: Block, told: pa.Table) -> dict[str, list]:
         is_window = told.column("mine").is_valid()
-        return remove(block, told.filter(pa.compute.invert(is_window)), told.filter(is_window))
+        return remove(block, told.filter(pc.invert(is_window)), told.filter(is_window))
 
     return blocks.finish(dealt, both, result, [("n_words", "bigint"), ("n_removed", "bigint"), ("kept", "string")])

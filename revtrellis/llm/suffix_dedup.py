@@ -29,13 +29,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from revtrellis.llm import blocks
 from revtrellis.llm.blocks import MANY, Block
-from revtrellis.llm.common import partitions
-from revtrellis.llm.wordhash import byte_values, run_hashes, sliding_max, sliding_min
+from revtrellis.llm.wordhash import byte_values, mix, run_hashes, sliding_max, sliding_min
 
 LENGTH = 100
 GRAM = 32
@@ -105,7 +104,8 @@ class AskAnchors:
             hashes, anchor = _anchors(p, self.length, self.gram)
             pad = np.zeros(width - 1, np.uint64)
             found.append(hashes[sliding_max(np.concatenate([pad, anchor, pad]), width) == hashes])
-        values, counts = np.unique(np.concatenate(found), return_counts=True)
+        # Anchors are small hashes; mixed once more they spread evenly over the shards.
+        values, counts = np.unique(mix(np.concatenate(found)), return_counts=True)
         return {"hash": values, "count": np.minimum(counts, MANY).astype(np.uint8)}
 
 
@@ -123,7 +123,7 @@ class Segments:
                 break
             _, anchor = _anchors(p, length, gram)
             edge = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
-            value = anchor[edge]
+            value = mix(anchor[edge])
             size = np.diff(np.append(edge, len(anchor)))
             at = np.minimum(np.searchsorted(known, value), len(known) - 1)
             good = known[at] == value
@@ -324,7 +324,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per document: doc_id, n_bytes, n_removed, n_spans (maximal removed runs) and `kept`, the bytes that stay (or their SHA-256)."""
     if not 8 <= gram <= length or length < 9:
         raise ValueError("windows have 9 bytes or more, strings for anchors 8 to the window's length")
-    shards = partitions(docs.sparkSession)
+    shards = blocks.shard_count(docs.sparkSession)
     dealt = blocks.dealt(docs, id_col, text_col)
     anchors = blocks.recurring(blocks.ask(dealt, AskAnchors(length, gram), shards))
     judged = _judge(blocks.ask(dealt, AskSegments(length, gram, shards), shards, anchors), length)
@@ -333,6 +333,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def result(block: Block, told: pa.Table) -> dict[str, list]:
         is_judged = told.column("mine").is_valid()
-        return remove(block, told.filter(pa.compute.invert(is_judged)), told.filter(is_judged))
+        return remove(block, told.filter(pc.invert(is_judged)), told.filter(is_judged))
 
     return blocks.finish(dealt, both, result, [("n_bytes", "bigint"), ("n_removed", "bigint"), ("n_spans", "bigint"), ("kept", "string" if digest else "binary")])
