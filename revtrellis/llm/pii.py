@@ -10,7 +10,10 @@ match ended), and repeats do not give back. They match what the plain forms woul
 
 Base kinds and plain forms: email `[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+`; ip, four numbers of at most 255;
 card, 12 to 19 digits with single spaces or dashes between, passing Luhn; phone `\\+[0-9][ ().0-9-]+[0-9]`, 9 to 15 digits.
-Further kind: iban. Base spans are never dropped; of the further ones only those that their checksum confirms stay.
+Further kind: iban, as long as its country's numbers are (where a code has no length, up to the end of the run of capitals
+and digits or the next number), so that what follows a number is not taken for a part of it. Its spans are looked ahead at:
+every start of a word is tried, whatever the words before it look like. Of iban spans that overlap the first stays. Base
+spans are never dropped; of the further ones only those that their checksum confirms stay.
 
 Defined results: a null text counts as empty and has no spans; repeated rows are scanned each.
 """
@@ -35,6 +38,35 @@ class Kind:
     #: words that make a span near them more likely
     context: tuple[str, ...]
     prior: float
+    #: characters a match takes if its span is looked ahead at, as group 1
+    takes: int | None = None
+
+
+#: Characters of an account number by country: the IBAN registry, and countries that use the form without being in it.
+_IBAN_LENGTHS = {
+    15: "NO",
+    16: "BE",
+    18: "DK FI FK FO GL NL SD",
+    19: "MK SI",
+    20: "AT BA EE KZ LT LU MN XK",
+    21: "CH CR HR LI LV",
+    22: "BG BH DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES HN MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST",
+    26: "DZ IR IS TR",
+    27: "BF BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BJ BY CI CY DO GT HU LB ML MA NE NI PL SN SV TG",
+    29: "BR EG PS QA UA",
+    30: "JO KW MU YE",
+    31: "MT SC",
+    32: "LC",
+    33: "RU",
+}
+_IBAN_FORMS = [f"(?:{c.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" for n, c in _IBAN_LENGTHS.items()]
+_IBAN_CODES = "|".join(_IBAN_LENGTHS.values()).replace(" ", "|")
+#: Codes without a length; the run ends where a number of a country starts.
+_IBAN_OTHERS = f"(?!{_IBAN_CODES})[A-Z]{{2}}[0-9]{{2}}(?:(?: (?!(?:{_IBAN_CODES})[0-9]{{2}}))?[A-Z0-9]){{11,30}}+"
 
 
 KINDS = (
@@ -42,7 +74,7 @@ KINDS = (
     Kind("ip", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", ".", True, ("ip", "host", "server", "address"), 0.6),
     Kind("card", r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){11,18}+(?![ -]?[0-9])", "", True, ("card", "visa", "credit", "payment"), 0.6),
     Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", "+", True, ("phone", "tel", "call", "mobile"), 0.7),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", "", False, ("iban", "account", "bank", "transfer"), 0.8),
+    Kind("iban", rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?=((?:{'|'.join([*_IBAN_FORMS, _IBAN_OTHERS])})(?![A-Za-z0-9])))[A-Z]{{2}}", "", False, ("iban", "account", "bank", "transfer"), 0.8, 2),
 )
 CONTEXT_WINDOW = 48
 CONTEXT_GAIN = 0.15
@@ -92,21 +124,26 @@ def _valid(kind: str, match: Column) -> Column:
 
 def spans_of(text: Column, kind: Kind) -> Column:
     """Array of (start, end, kind, rank, score) of one kind, in text order; null text: null."""
-    matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
+    ahead = kind.takes is not None
+    matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(int(ahead)))
     gaps = F.split(text, kind.pattern, -1)
     pair = F.zip_with(F.slice(gaps, 1, F.size(gaps) - 1), matches, lambda g, m: F.struct(F.length(g).alias("gap"), m.alias("match")))
     none = F.array().cast("array<struct<start:int,match:string>>")
-    state = F.struct(F.lit(0).alias("at"), none.alias("found"))
-    placed = F.aggregate(
-        pair,
-        state,
-        lambda s, p: F.struct(
-            (s["at"] + p["gap"] + F.length(p["match"])).alias("at"),
+    state = F.struct(F.lit(0).alias("at"), F.lit(0).alias("free"), none.alias("found"))
+
+    def place(s: Column, p: Column) -> Column:
+        start = s["at"] + p["gap"]
+        good = _valid(kind.name, p["match"])
+        if ahead:
+            good = (start >= s["free"]) & good
+        return F.struct(
+            (start + (F.lit(kind.takes) if ahead else F.length(p["match"]))).alias("at"),
+            F.when(good, start + F.length(p["match"])).otherwise(s["free"]).alias("free") if ahead else s["free"].alias("free"),
             # only what the validator confirms is kept, so the array stays as short as the answer
-            F.when(_valid(kind.name, p["match"]), F.concat(s["found"], F.array(F.struct((s["at"] + p["gap"]).alias("start"), p["match"].alias("match"))))).otherwise(s["found"]).alias("found"),
-        ),
-        lambda s: s["found"],
-    )
+            F.when(good, F.concat(s["found"], F.array(F.struct(start.alias("start"), p["match"].alias("match"))))).otherwise(s["found"]).alias("found"),
+        )
+
+    placed = F.aggregate(pair, state, place, lambda s: s["found"])
     rank = KINDS.index(kind)
 
     def span(m: Column) -> Column:

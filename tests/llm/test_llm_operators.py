@@ -183,6 +183,26 @@ def test_personal_data(spark):
     assert spans[900] == "" and "email" in spans[3000]
 
 
+IBANS = ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "NO93 8601 1117 947", "MT84MALT011000012345MTLCAST001S"]
+BEHIND = ["", " BIC COBADEFFXXX", " By", " EUR 250 due", " USA", " 250", " 1", " A1 B2 C3", ".", " DE89 3704 0044 0532 0130 01", " INTERNATIONALLY KNOWN AS"]
+BEFORE = ["", "IBAN ", "DE12 ", "XX12 3456 7890 1234 ", "é AB12 "]
+
+
+def test_account_numbers_end_with_their_country_length(spark):
+    cases = [(a + i + b, f"iban:{len(a)}:{len(a + i)}", f"{a}<iban>{b}") for i in IBANS for a in BEFORE for b in BEHIND]
+    frame = table(spark, [(n, t) for n, (t, _, _) in enumerate(cases)])
+    spans = {r.doc_id: r.spans.split(",") for r in pii.digests(frame).collect()}
+    for n, (text, span, _) in enumerate(cases):
+        assert [s for s in spans[n] if s.startswith("iban")] == [span], text
+    clean = {r.doc_id: r.text for r in pii.redact(frame).collect()}
+    for n, (text, _, redacted) in enumerate(cases):
+        if all(s.startswith("iban") for s in spans[n]):
+            assert clean[n] == redacted
+    both = " ".join(IBANS)
+    got = pii.digests(table(spark, [(1, both), (2, IBANS[0] + "A"), (3, "x" + IBANS[0]), (4, "XK05 1212 0123 4567 8906 QQ05 1212")])).collect()
+    assert {r.doc_id: sum(s.startswith("iban") for s in r.spans.split(",")) for r in got} == {1: len(IBANS), 2: 0, 3: 0, 4: 1}
+
+
 def test_personal_data_score_and_redaction(spark):
     rows = [(1, "call +49 30 1234567 or a@b.cd"), (2, "number +49 30 1234567"), (3, None), (4, "none")]
     found = {r.doc_id: r._s for r in pii.find_spans(table(spark, rows), out="_s").collect()}
