@@ -27,7 +27,7 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.accepted(docs, read(spark, sf_dir, "labels", "doc_id", "quality"))
+    return quality.accepted(docs, read(spark, sf_dir, "labels", "doc_id", "quality", "toxic"), toxic_col="toxic")
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,13 +7,19 @@
    `sure`) join the training rows of the other view with the class it gives them, and both views are fitted again.
 4. On the held-out labelled documents each view's log-odds are calibrated (Platt); the combined score adds both
    calibrated log-odds and takes the prior off once.
-5. All documents are scored; those below `accept` are rejected.
+5. With labels of toxicity a second target is learned. Each word (a bucket of its hash) of the labelled documents that are
+   not held out has as evidence the log of how much more often it stands in toxic ones, less a standard error. A logistic
+   regression on the held-out ones turns the three strongest words of a document and its number of words into its
+   probability to be toxic; the score is the probability of good quality times that of not being toxic.
+6. All documents are scored; those below `accept` are rejected.
 
-The fits are Spark ML jobs over the written features, so nothing of the corpus's size reaches the driver.
+The fits are Spark ML jobs over the written features, so nothing of the corpus's size reaches the driver; of the words those
+with evidence do, at most one for each bucket.
 
 Defined results: a null text counts as empty, null metadata as a value of its own; labels without a document, or null
 ones, are ignored; a document with contradicting labels counts once for each. Without labelled documents of both
-classes there is nothing to learn from, and all documents are accepted with score 1.
+classes there is nothing to learn from, and all documents are accepted with score 1. Without toxic and other documents among
+both the held-out labels and the rest, none counts as toxic.
 """
 
 from __future__ import annotations
@@ -30,11 +36,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revtrellis.llm.common import ship, written
-from revtrellis.llm.wordhash import SPACE, words_of
+from revtrellis.llm.wordhash import LOWER, PUNCTUATION, SPACE, words_of
 
 HASHED_WORDS = 64
 HASHED_SOURCES = 32
 HASHED_LANGUAGES = 8
+TOXIC_BUCKETS = 1 << 20
+TOXIC_LEAST = 3  # toxic documents with a word
+STRONGEST = 3
 LINES = np.zeros(256, bool)
 LINES[0x0A] = True
 
@@ -127,6 +136,18 @@ def meta_features(languages: list, sources: list, sizes: list) -> np.ndarray:
     return out
 
 
+def word_buckets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct buckets of each text's lower-cased words, and where each text's begin."""
+    found, counts = [], np.zeros(len(texts), np.int64)
+    for w in words_of(texts, PUNCTUATION, LOWER):
+        n = len(w.first) - 1
+        owner = np.repeat(np.arange(n, dtype=np.int64), np.diff(w.first))
+        both = np.unique(owner * TOXIC_BUCKETS + (w.hashes % np.uint64(TOXIC_BUCKETS)).astype(np.int64))
+        counts[w.lo : w.lo + n] = np.bincount(both // TOXIC_BUCKETS, minlength=n)
+        found.append((both % TOXIC_BUCKETS).astype(np.int32))
+    return np.append(0, np.cumsum(counts)), np.concatenate(found) if found else np.zeros(0, np.int32)
+
+
 @dataclass
 class View:
     """Log-odds of one view, and their calibration."""
@@ -140,22 +161,52 @@ class View:
         return features @ self.weights + self.intercept
 
 
+@dataclass
+class Toxicity:
+    """Evidence of word buckets (in order), and what the strongest of a document say."""
+
+    buckets: np.ndarray
+    evidence: np.ndarray
+    view: View | None = None
+
+    def features(self, offsets: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+        n = len(offsets) - 1
+        out = np.zeros((n, STRONGEST + 1), np.float32)
+        out[:, STRONGEST] = np.log1p(np.diff(offsets))
+        if not len(self.buckets) or not len(buckets):
+            return out
+        at = np.minimum(np.searchsorted(self.buckets, buckets), len(self.buckets) - 1)
+        known = np.flatnonzero(self.buckets[at] == buckets)
+        owner, weight = np.searchsorted(offsets, known, "right") - 1, self.evidence[at[known]]
+        order = np.lexsort((-weight, owner))
+        owner, weight = owner[order], weight[order]
+        place = np.arange(len(owner)) - np.searchsorted(owner, owner)
+        strong = place < STRONGEST
+        out[owner[strong], place[strong]] = weight[strong]
+        return out
+
+    def probability(self, offsets: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.view.log_odds(self.features(offsets, buckets)), -50, 50)))
+
+
 @dataclass
 class Model:
     text: View | None = None
     meta: View | None = None
+    toxic: Toxicity | None = None
     prior: float = 0.0
     spec: CoTraining = field(default_factory=CoTraining)
 
-    def scores(self, text: np.ndarray, meta: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Calibrated probability of good quality by the text view, by the metadata view, and of both."""
+    def scores(self, text: np.ndarray, meta: np.ndarray, offsets: np.ndarray, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Calibrated probability of good quality by the text view, by the metadata view, and of both, the latter times that of not being toxic."""
+        clean = 1 - self.toxic.probability(offsets, buckets) if self.toxic else 1.0
         if self.text is None or self.meta is None:
             one = np.ones(len(text))
-            return one, one, one
+            return one, one, one * clean
         t = self.text.slope * self.text.log_odds(text) + self.text.offset
         m = self.meta.slope * self.meta.log_odds(meta) + self.meta.offset
         p = lambda x: 1 / (1 + np.exp(-np.clip(x, -50, 50)))
-        return p(t), p(m), p(t + m - self.prior)
+        return p(t), p(m), p(t + m - self.prior) * clean
 
 
 def _columns(docs: DataFrame) -> DataFrame:
@@ -165,28 +216,35 @@ def _columns(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", *[(F.col(c) if c in have else F.lit(None)).cast(k).alias(c) for c, k in kinds.items()])
 
 
-def _batch_features(batch: pa.RecordBatch, at: int) -> tuple[np.ndarray, np.ndarray]:
+def _batch_features(batch: pa.RecordBatch, at: int, words: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     text, lang, source, size = (batch.column(at + i).to_pylist() for i in range(4))
-    return text_features([t.encode() if t else b"" for t in text]), meta_features(lang, source, size)
+    raw = [t.encode() if t else b"" for t in text]
+    return text_features(raw), meta_features(lang, source, size), *(word_buckets(raw) if words else (np.zeros(len(raw) + 1, np.int64), np.zeros(0, np.int32)))
 
 
 def _lists(values: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]), pa.array(values.ravel(), pa.float32()))
 
 
-def features(docs: DataFrame) -> DataFrame:
-    """doc_id, text and meta (arrays of the views' features)."""
+def _of_lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    counts = np.asarray(column.value_lengths(), np.int64)
+    return np.append(0, np.cumsum(counts)), np.asarray(column.flatten(), np.int32)
+
+
+def features(docs: DataFrame, words: bool = False) -> DataFrame:
+    """doc_id, text and meta (arrays of the views' features), words (distinct buckets; empty if not asked for)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 1024):
                 part = batch.slice(lo, 1024)
-                text, meta = _batch_features(part, 1)
-                yield pa.RecordBatch.from_arrays([part.column(0), _lists(text), _lists(meta)], names=["doc_id", "text", "meta"])
+                text, meta, offsets, buckets = _batch_features(part, 1, words)
+                listed = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(buckets, pa.int32()))
+                yield pa.RecordBatch.from_arrays([part.column(0), _lists(text), _lists(meta), listed], names=["doc_id", "text", "meta", "words"])
 
     picked = _columns(docs)
     ship(docs.sparkSession)
-    return picked.mapInArrow(run, f"doc_id {picked.schema['doc_id'].dataType.simpleString()}, text array<float>, meta array<float>")
+    return picked.mapInArrow(run, f"doc_id {picked.schema['doc_id'].dataType.simpleString()}, text array<float>, meta array<float>, words array<int>")
 
 
 def _fit(rows: DataFrame, column: str, spec: CoTraining) -> View:
@@ -201,15 +259,42 @@ def _log_odds(view: View, column: str) -> Column:
     return F.aggregate(F.zip_with(column, F.array(*[F.lit(float(x)) for x in view.weights]), lambda a, b: a * b), F.lit(view.intercept), lambda s, x: s + x)
 
 
-def train(table: DataFrame, labels: DataFrame, spec: CoTraining = CoTraining(), label_col: str = "quality") -> Model:
-    """Co-train on written features (see features) and labels (doc_id, label_col 0 or 1)."""
+def _held(spec: CoTraining) -> Column:
+    return F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(spec.held_out)) == 0
+
+
+def train_toxicity(table: DataFrame, labels: DataFrame, spec: CoTraining, label_col: str) -> Toxicity | None:
+    """Evidence of the words of labelled documents (label_col 1: toxic, 0: not), weighed on the held-out ones."""
+    marks = labels.select("doc_id", F.col(label_col).cast("int").alias("good")).filter("good IN (0, 1) AND doc_id IS NOT NULL").distinct()
+    rows = written(table.select("doc_id", "words").join(marks, "doc_id").withColumn("held", _held(spec)), "marked")
+    seen = {(r["held"], r["good"]): r["n"] for r in rows.groupBy("held", "good").agg(F.count("*").alias("n")).collect()}
+    if not all(seen.get((held, good)) for held in (False, True) for good in (0, 1)):
+        return None
+    known = rows.filter(~F.col("held")).select(F.explode("words").alias("word"), "good")
+    counts = known.groupBy("word").agg(F.sum("good").alias("bad"), F.count("*").alias("n")).filter(F.col("bad") >= TOXIC_LEAST)
+    bad, fine = F.col("bad") + 0.5, F.col("n") - F.col("bad") + 0.5
+    evidence = F.log(bad / (seen[False, 1] + 1)) - F.log(fine / (seen[False, 0] + 1)) - F.sqrt(1 / bad + 1 / fine)
+    told = counts.select("word", evidence.cast("float").alias("evidence")).filter("evidence > 1").toArrow().sort_by("word")
+    model = Toxicity(np.asarray(told["word"], np.int32), np.asarray(told["evidence"], np.float32))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([_lists(model.features(*_of_lists(batch.column(0)))), batch.column(1)], names=["strongest", "good"])
+
+    strongest = rows.filter("held").select("words", "good").mapInArrow(run, "strongest array<float>, good int")
+    view = _fit(strongest, "strongest", CoTraining(strength=1e-4, iterations=spec.iterations))
+    return Toxicity(model.buckets, model.evidence, view)
+
+
+def train(table: DataFrame, labels: DataFrame, spec: CoTraining = CoTraining(), label_col: str = "quality", toxic_col: str | None = None) -> Model:
+    """Co-train on written features (see features) and labels (doc_id, label_col 0 or 1, and toxic_col 0 or 1 if toxic documents are to be rejected)."""
+    toxic = train_toxicity(table, labels, spec, toxic_col) if toxic_col else None
     good = labels.select("doc_id", F.col(label_col).cast("int").alias("good")).filter("good IN (0, 1) AND doc_id IS NOT NULL").distinct()
-    held = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(spec.held_out)) == 0
-    rows = written(table.filter("doc_id IS NOT NULL").join(good, "doc_id", "left").withColumn("held", held), "views")
+    rows = written(table.drop("words").filter("doc_id IS NOT NULL").join(good, "doc_id", "left").withColumn("held", _held(spec)), "views")
     labelled, free = rows.filter("good IS NOT NULL"), rows.filter("good IS NULL")
     seen = {(r["held"], r["good"]): r["n"] for r in labelled.groupBy("held", "good").agg(F.count("*").alias("n")).collect()}
     if not (seen.get((False, 0)) and seen.get((False, 1))):
-        return Model(spec=spec)
+        return Model(toxic=toxic, spec=spec)
     known = labelled.filter(~F.col("held"))
     views = {v: _fit(known, v, spec) for v in ("text", "meta")}
     limit = float(np.log(spec.sure / (1 - spec.sure)))
@@ -220,7 +305,7 @@ def train(table: DataFrame, labels: DataFrame, spec: CoTraining = CoTraining(),
             sure = free.withColumn("odds", odds).filter(F.abs("odds") >= limit).select(pupil, (F.col("odds") > 0).cast("int").alias("good"))
             taught[pupil] = _fit(known.select(pupil, "good").unionByName(sure), pupil, spec)
         views = taught
-    model = Model(views["text"], views["meta"], spec=spec)
+    model = Model(views["text"], views["meta"], toxic, spec=spec)
     bad, fine = seen.get((True, 0), 0), seen.get((True, 1), 0)
     if bad and fine:
         model.prior = float(np.log(fine / bad))
@@ -237,28 +322,28 @@ def score(table: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text, meta = (np.asarray(batch.column(c).flatten(), np.float32).reshape(batch.num_rows, -1) for c in (1, 2))
-            t, m, s = model.scores(text, meta) if batch.num_rows else (np.zeros(0),) * 3
+            t, m, s = model.scores(text, meta, *_of_lists(batch.column(3))) if batch.num_rows else (np.zeros(0),) * 3
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(t), pa.array(m), pa.array(s), pa.array(s >= model.spec.accept)], names=["doc_id", "text_score", "meta_score", "score", "accepted"])
 
     kind = table.schema["doc_id"].dataType.simpleString()
-    return table.select("doc_id", "text", "meta").mapInArrow(run, f"doc_id {kind}, text_score double, meta_score double, score double, accepted boolean")
+    return table.select("doc_id", "text", "meta", "words").mapInArrow(run, f"doc_id {kind}, text_score double, meta_score double, score double, accepted boolean")
 
 
-def classify(docs: DataFrame, labels: DataFrame, spec: CoTraining = CoTraining()) -> DataFrame:
-    table = written(features(docs), "features")
-    return score(table, train(table, labels, spec))
+def classify(docs: DataFrame, labels: DataFrame, spec: CoTraining = CoTraining(), toxic_col: str | None = None) -> DataFrame:
+    table = written(features(docs, toxic_col is not None), "features")
+    return score(table, train(table, labels, spec, toxic_col=toxic_col))
 
 
-def accepted(docs: DataFrame, labels: DataFrame, spec: CoTraining = CoTraining()) -> DataFrame:
+def accepted(docs: DataFrame, labels: DataFrame, spec: CoTraining = CoTraining(), toxic_col: str | None = None) -> DataFrame:
     """The rows, with all their columns, that the classifier does not reject. Rows pass through in one scan, without a shuffle."""
-    model = train(written(features(docs), "features"), labels, spec)
+    model = train(written(features(docs, toxic_col is not None), "features"), labels, spec, toxic_col=toxic_col)
     width = len(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 1024):
                 part = batch.slice(lo, 1024)
-                _, _, s = model.scores(*_batch_features(part, width))
+                _, _, s = model.scores(*_batch_features(part, width, model.toxic is not None))
                 yield pa.RecordBatch.from_arrays([part.column(i) for i in range(width)], schema=pa.schema([part.schema.field(i) for i in range(width)])).filter(pa.array(s >= model.spec.accept))
 
     picked = _columns(docs)

@@ -98,4 +98,4 @@ def _(spark, path):
 
 @query("op10_quality")
 def _(spark, path):
-    return quality.classify(read(spark, path, "documents", "doc_id", "text", "lang", "source", "n_chars"), read(spark, path, "labels", "doc_id", "quality"))
+    return quality.classify(read(spark, path, "documents", "doc_id", "text", "lang", "source", "n_chars"), read(spark, path, "labels", "doc_id", "quality", "toxic"), toxic_col="toxic")

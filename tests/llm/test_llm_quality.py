@@ -39,3 +39,27 @@ def test_nothing_to_learn_from(spark, tables):
     for few in (labels.limit(0), labels.filter("quality = 1"), labels.withColumn("quality", F.lit(None).cast("int"))):
         got = quality.classify(docs.limit(20), few).collect()
         assert len(got) == 20 and all(r.accepted and r.score == 1.0 for r in got)
+
+
+def test_toxic_documents_are_rejected(spark, tables):
+    docs, labels = (t.sparkSession.read.parquet(f"/root/testdata/sf0.1/{n}.parquet") for t, n in zip(tables, ("documents", "labels")))
+    unseen = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(3)) == 0
+    scored = quality.classify(docs, labels.filter(~unseen), toxic_col="toxic")
+    both = scored.join(labels.filter(unseen), "doc_id").toPandas()
+    toxic, clean = both[(both.toxic == 1) & (both.quality == 1)], both[(both.toxic == 0) & (both.quality == 1)]
+    print(f"toxic of good quality: {len(toxic)}, {(~toxic.accepted).mean():.3f} rejected; clean ones: {len(clean)}, {clean.accepted.mean():.3f} accepted; toxic of all: {(~both[both.toxic == 1].accepted).mean():.3f}; bad: {(~both[both.quality == 0].accepted).mean():.3f}")
+    assert len(toxic) > 80 and (~toxic.accepted).mean() >= 0.9
+    assert clean.accepted.mean() >= 0.98
+    assert scored.count() == docs.count()
+
+
+def test_registered_quality_and_pipeline_reject_toxic_documents(spark):
+    import corpus_pipeline
+    from revtrellis.llm.queries import spark_queries
+
+    path = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{path}/labels.parquet").filter("toxic = 1 AND quality = 1")
+    scored = spark_queries()["op10_quality"](spark, path).join(labels, "doc_id").toPandas()
+    kept = corpus_pipeline.keep_good(spark, spark.read.parquet(f"{path}/documents.parquet"), path).join(labels, "doc_id")
+    assert len(scored) > 30 and (~scored.accepted).mean() >= 0.6  # few labels here to learn from
+    assert kept.count() == scored.accepted.sum()
