@@ -181,7 +181,7 @@ def _(s):
 
 @query("pipe_partner_team_amer", funnel_sql(AMER))
 def _(s):
-    return reports.partner_team_amer(s, AMER)
+    return reports.partner_team_amer(s, AMER.lead_campaigns, AMER.excluded_accounts, AMER)
 
 
 @query("pipe_partner_team_emea", funnel_sql(EMEA))

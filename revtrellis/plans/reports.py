@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -87,8 +87,11 @@ def internal_retail(source, spec: FunnelSpec = INTERNAL_RETAIL) -> DataFrame:
     return funnel.lead_opportunity_funnel(source, spec)
 
 
-def partner_team_amer(source, spec: FunnelSpec = PARTNER_AMER) -> DataFrame:
-    return funnel.lead_opportunity_funnel(source, spec)
+def partner_team_amer(source, lead_campaigns: tuple[str, ...], excluded_accounts: tuple[str, ...], spec: FunnelSpec = PARTNER_AMER) -> DataFrame:
+    """Without its campaigns the report would drop the leads that come in by them, so they are no part of the default settings."""
+    if not lead_campaigns:
+        raise ValueError("the campaigns whose leads the report takes in are missing")
+    return funnel.lead_opportunity_funnel(source, replace(spec, lead_campaigns=tuple(lead_campaigns), excluded_accounts=tuple(excluded_accounts)))
 
 
 def partner_team_emea(source, spec: FunnelSpec = PARTNER_EMEA) -> DataFrame:
