@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revtrellis.llm import bpe_stream, decontaminate, licenses, minhash, phrase_dedup, pii, quality, suffix_dedup, token_files, topk
+from revtrellis.llm import bpe_stream, decontaminate, filter_audit, licenses, minhash, packing, phrase_dedup, pii, quality, spelling, suffix_dedup, token_files, topk
 from revtrellis.llm.common import read, ship
 from revtrellis.session import ensure_settings
 
@@ -99,3 +99,18 @@ def _(spark, path):
 @query("op10_quality")
 def _(spark, path):
     return quality.classify(read(spark, path, "documents", "doc_id", "text", "lang", "source", "n_chars"), read(spark, path, "labels", "doc_id", "quality", "toxic"), toxic_col="toxic")
+
+
+@query("op11_spelling_variants")
+def _(spark, path):
+    return spelling.variants(read(spark, path, "documents", "doc_id", "text"))
+
+
+@query("op12_filter_audit", filter_audit.SQL)
+def _(spark, path):
+    return filter_audit.filter_interactions(read(spark, path, "documents", "doc_id", "text", "lang"), read(spark, path, "labels", "doc_id", "quality", "toxic"))
+
+
+@query("op13_packing")
+def _(spark, path):
+    return packing.pack(read(spark, path, "documents", "doc_id", "text"), tokenizer_path("byte_bpe_50k.json"), end_id=0)

@@ -2,6 +2,9 @@
 
 import hashlib
 import re
+import zlib
+from collections import Counter
+from itertools import permutations
 
 PUNCTUATED = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 SPACED = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -152,3 +155,72 @@ def top_scores(rows, k, every):
             scores = sorted((-sum(a * b for a, b in zip(v, w)), j) for j, w in good if j != i)[:k]
             out += [(i, r, j, -s) for r, (s, j) in enumerate(scores, 1)]
     return out
+
+
+RUN = re.compile("[A-Za-zÀ-ÿ]+")
+
+
+def spelling(docs, least=5, ratio=5, every=199):
+    """word, form, root, n, n_near, form_n."""
+    counts = Counter()
+    for i, text in docs:
+        for run in RUN.findall(text or ""):
+            run = lower_text(run)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            counts[run[: h % len(run)] + run[h % len(run) + 1 :] if h % every == 0 else run] += 1
+    words = {w: n for w, n in counts.items() if len(w) >= 6 and n >= least}
+    letters = sorted({c for w in words for c in w})
+    rows = {}
+    for w, n in words.items():
+        cuts = {w[:j] + w[j + 1 :] for j in range(len(w))}
+        puts = {w[:j] + c + w[j:] for j in range(len(w) + 1) for c in letters}
+        swaps = {w[:j] + c + w[j + 1 :] for j in range(len(w)) for c in letters}
+        near = sorted((-words[x], x) for x in (cuts | puts | swaps) - {w} if x in words)
+        form = near[0] if near and -near[0][0] >= ratio * n else None
+        rows[w] = (n, len(near), form)
+    out = []
+    for w, (n, n_near, form) in rows.items():
+        root = w
+        while rows[root][2]:
+            root = rows[root][2][1]
+        out.append((w, form[1] if form else None, root, n, n_near, -form[0] if form else None))
+    return out
+
+
+def lower_text(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
+def filter_audit(docs, labels):
+    """docs: id, text, part; labels: id, quality, toxic. Every order is applied filter by filter, document by document."""
+    first = {}
+    for i, text, _ in docs:
+        if i is not None:
+            first[text or ""] = min(i, first.get(text or "", i))
+    good, toxic = {i for i, q, _ in labels if q == 1} - {None}, {i for i, _, t in labels if t == 1} - {None}
+    parts = {}
+    for i, text, part in docs:
+        text = text or ""
+        words = SPACED.findall(text.encode())
+        failed = {
+            "A": len(words) < 200,
+            "B": 100 * len(set(words)) < 50 * len(words),
+            "C": 100 * len(re.findall("[A-Z]", text)) > 3 * len(text),
+            "D": bool(re.search("[#$%&*|]", text)),
+            "E": i is not None and i > first[text],
+        }
+        parts.setdefault(part or "", []).append((i, {x for x, f in failed.items() if f}))
+    out = []
+    for part, rows in parts.items():
+        found, shapley = [], Counter()
+        for order in permutations("ABCDE"):
+            alive = rows
+            for step, x in enumerate(order, 1):
+                gone = [(i, f) for i, f in alive if x in f]
+                alive = [(i, f) for i, f in alive if x not in f]
+                shapley[x] += len(gone)
+                failing = sum(x in f for _, f in rows)
+                only = sum(f == {x} for _, f in rows)
+                found.append((part, "".join(order), step, len(alive), len(gone), failing - len(gone), only, sum(i in good for i, _ in gone), sum(i in toxic for i, _ in gone), x))
+        out += [(*r[:-1], shapley[r[-1]]) for r in found]
+    return out

@@ -25,7 +25,7 @@ def rows(spark, testdata, name, *columns):
 
 
 def test_all_are_registered():
-    assert {n.split("_")[0] for n in QUERIES if n.startswith("op")} == {f"op{i}" for i in range(1, 11)} and "pipeline" in QUERIES
+    assert {n.split("_")[0] for n in QUERIES if n.startswith("op")} == {f"op{i}" for i in range(1, 14)} and "pipeline" in QUERIES
 
 
 def test_op1(spark, testdata, docs):
