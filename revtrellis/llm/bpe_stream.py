@@ -22,6 +22,7 @@ import functools
 import hashlib
 import heapq
 import json
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -33,6 +34,9 @@ from revtrellis.llm.common import ship, slices
 
 #: Fixed value: the pattern by which byte-level BPE cuts texts.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The same for texts within Latin-1, whose letters, numbers and white space are told one by one.
+_LETTERS, _NUMBERS, _BLANKS = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼½¾", "\t-\r \x85\xa0"
+LATIN_PIECES = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[{_NUMBERS}]+| ?[^{_BLANKS}{_LETTERS}{_NUMBERS}]+|[{_BLANKS}]+(?![^{_BLANKS}])|[{_BLANKS}]+"
 SLAB = 1 << 18
 SHORT = 48
 WINDOW = 4096
@@ -85,15 +89,16 @@ def merge_piece(piece: bytes, ranks: dict[tuple[bytes, bytes], int]) -> list[byt
     """Tokens of a whole piece: always the lowest-ranked pair, the leftmost of equals."""
     parts = [piece[i : i + 1] for i in range(len(piece))]
     if len(parts) <= SHORT:
-        while len(parts) > 1:
-            best, at = None, -1
-            for i, pair in enumerate(zip(parts, parts[1:])):
-                rank = ranks.get(pair)
-                if rank is not None and (best is None or rank < best):
-                    best, at = rank, i
-            if at < 0:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        rank, never = ranks.get, len(ranks)
+        found = [rank(pair, never) for pair in zip(parts, parts[1:])]
+        while found and (best := min(found)) < never:
+            i = found.index(best)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del found[i]
+            if i:
+                found[i - 1] = rank((parts[i - 1], parts[i]), never)
+            if i < len(found):
+                found[i] = rank((parts[i], parts[i + 1]), never)
         return parts
     after, before = [*range(1, len(parts)), -1], [*range(-1, len(parts) - 1)]
     heap = [(r, i, p) for i, p in enumerate(zip(parts, parts[1:])) if (r := ranks.get(p)) is not None]
@@ -119,7 +124,7 @@ class Encoder(dict):
         super().__init__()
         self.vocabulary = vocabulary
         self.packed = {token: int(i).to_bytes(4, "little") for token, i in vocabulary.ids.items()}
-        self.find = regex.compile(PIECES).findall
+        self.find, self.find_latin = regex.compile(PIECES).findall, re.compile(LATIN_PIECES).findall
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(vocabulary.specials, key=len, reverse=True))) + ")").split if vocabulary.specials else None
 
     def __missing__(self, piece: str) -> bytes:
@@ -152,7 +157,8 @@ class Encoder(dict):
         """Pieces of a text without special tokens, a slab at a time. The last two of a slab may still grow."""
         at, size = 0, SLAB
         while at < len(text):
-            found = self.find(text[at : at + size])
+            slab = text[at : at + size]
+            found = (self.find_latin if slab.isascii() or max(slab) <= "\xff" else self.find)(slab)
             if at + size < len(text):
                 if len(found) <= 2:
                     size *= 2
@@ -177,7 +183,7 @@ class Decoder:
     """Ids -> text, by an incremental byte-to-text machine."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.bytes = vocabulary.bytes
+        self.bytes = [vocabulary.bytes.get(i, b"") for i in range(max(vocabulary.bytes) + 1)]
 
     def decode(self, packed: Iterable[bytes]) -> Iterator[str]:
         machine = codecs.getincrementaldecoder("utf-8")(errors="replace")

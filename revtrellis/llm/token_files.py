@@ -37,7 +37,8 @@ BLOCK = 256
 SEGMENT = 1 << 16
 PERCENTILE = 90
 MAGIC = b"PFR1"
-KEPT_RUNS = 900_000
+KEPT_PARTS = 500_000
+KEPT_RUNS = 300_000
 #: Fixed value: how the word vocabulary cuts lower-case Latin-1 text; superscripts and fractions are numbers.
 RUNS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\\sa-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
 
@@ -133,11 +134,11 @@ def _packed(ids: list[int]) -> bytes:
 
 
 class WordTokens(dict):
-    """Run of letters, of other characters, or one digit -> its packed ids.
+    """White-space-free part of a text -> its packed ids.
 
-    The vocabulary drops white space and case and encodes each run by itself, so a text's ids are those of its runs, and
-    only runs not met before go to the library. White-space-free parts with characters beyond Latin-1, which may be
-    composed or cut otherwise, stand for themselves.
+    The vocabulary drops white space and case and encodes each run of letters, of other characters, or one digit by
+    itself, so a text's ids are those of its parts, and a part's those of its runs. Only runs not met before go to the
+    library. Parts with characters beyond Latin-1, which may be composed or cut otherwise, stand for themselves.
     """
 
     def __init__(self, path: str):
@@ -150,37 +151,62 @@ class WordTokens(dict):
         specials = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         # Special tokens may hold or adjoin anything; U+001C to U+001F are white space to Python only.
         self.odd = ["\x1c", "\x1d", "\x1e", "\x1f", *specials]
+        self.runs: dict[str, bytes] = {}
+        self.unknown: list[str] = []
 
     def whole(self, text: str) -> bytes:
         return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def runs(self, text: str) -> list[str]:
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            return [r for part in text.split() for r in (RUNS.findall(part.lower()) if part.isascii() or max(part) <= "\xff" else [part])]
-        return RUNS.findall(text.lower())
-
-    def learn(self, texts: list[list[str]]) -> None:
+    def learn_runs(self, runs: set[str]) -> None:
         """Encode the runs not met yet, those within Latin-1 all in one text: the library tells which run a token is of."""
-        if len(self) > KEPT_RUNS:
-            for x in list(self)[KEPT_RUNS // 2 :]:
-                del self[x]
-        new = set().union(*texts).difference(self)
+        new = runs.difference(self.runs)
         plain = [x for x in new if x.isascii() or max(x) <= "\xff"]
         if plain:
             found = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
             raw, edges = _packed(found.ids), np.flatnonzero(np.diff(np.array(found.word_ids), prepend=-1, append=-1)) * 4
-            if len(edges) != len(plain) + 1:
-                raise ValueError("the vocabulary cuts texts otherwise than RUNS")
-            self.update(zip(plain, [raw[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]))
+            if len(edges) == len(plain) + 1:
+                self.runs.update(zip(plain, [raw[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]))
+            else:  # a vocabulary that cuts texts otherwise than RUNS
+                self.runs.update((x, self.whole(x)) for x in plain)
         for x in new.difference(plain):
-            self[x] = self.whole(x)
+            self.runs[x] = self.whole(x)
+
+    def __missing__(self, part: str) -> bytes:
+        self.unknown.append(part)
+        return b""
+
+    def learn(self) -> None:
+        """Encode the parts that were looked up in vain."""
+        for kept, most in ((self, KEPT_PARTS), (self.runs, KEPT_RUNS)):
+            if len(kept) > most:
+                for x in list(kept)[most // 2 :]:
+                    del kept[x]
+        cut = {x: RUNS.findall(x.lower()) if x.isascii() or max(x) <= "\xff" else [x] for x in set(self.unknown)}
+        self.learn_runs({x for r in cut.values() for x in r})
+        run = self.runs.__getitem__
+        self.update((x, run(r[0]) if len(r) == 1 else b"".join(map(run, r))) for x, r in cut.items())
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        runs = [None if any(x in t for x in self.odd) else self.runs(t) for t in texts]
-        self.learn([r for r in runs if r])
-        return [self.whole(t) if r is None else b"".join(map(self.__getitem__, r)) for t, r in zip(texts, runs)]
+        """Packed ids of the texts. Those with parts not met before are looked up once more after these are learned."""
+        ids = self.__getitem__
+        out, again = [], []
+        self.unknown = []
+        for i, text in enumerate(texts):
+            if any(x in text for x in self.odd):
+                out.append(self.whole(text))
+                continue
+            parts, known = text.split(), len(self.unknown)
+            out.append(b"".join(map(ids, parts)))
+            if len(self.unknown) > known:
+                again.append((i, parts))
+        if again:
+            # What is kept is thinned out before anything is learned, so all parts of these texts are looked up anew.
+            if len(self) > KEPT_PARTS or len(self.runs) > KEPT_RUNS:
+                self.unknown = [x for _, parts in again for x in parts]
+            self.learn()
+            for i, parts in again:
+                out[i] = b"".join(map(ids, parts))
+        return out
 
 
 @functools.lru_cache(maxsize=2)
