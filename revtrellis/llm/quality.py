@@ -1,32 +1,38 @@
 """Quality classifier by co-training of a text view and a metadata view.
 
-1. One pass writes the features of all documents: the text view has shares of character classes, lengths, repetition of
-   words and lines, and hashed words; the metadata view has language, source and declared length.
-2. A logistic regression per view is fitted to the labelled documents (all of them, but for the held-out ones).
+1. At most `most_labels` labelled ids, those of the smallest hashes, are sent to the scan of the documents. The scan
+   writes the features of all documents with their labels: the text view has shares of character classes, lengths,
+   repetition of words and lines, and hashed words; the metadata view has language, source and declared length. Only the rows of labelled
+   documents hold their words. So no join is needed, and the plan has one shape at all sizes.
+2. A logistic regression per view is fitted to the labelled documents but for the held-out ones. The fewer they are, the
+   more strongly it is regularised.
 3. In each round every view scores all unlabelled documents; those it is sure of (probability of either class at least
    `sure`) join the training rows of the other view with the class it gives them, and both views are fitted again.
 4. On the held-out labelled documents each view's log-odds are calibrated (Platt); the combined score adds both
-   calibrated log-odds and takes the prior off once.
-5. With labels of toxicity a second target is learned. Each word (a bucket of its hash) of the labelled documents that are
-   not held out has as evidence the log of how much more often it stands in toxic ones, less a standard error. A logistic
-   regression on the held-out ones turns the three strongest words of a document and its number of words into its
-   probability to be toxic; the score is the probability of good quality times that of not being toxic.
-6. All documents are scored; those below `accept` are rejected.
+   calibrated log-odds and takes the prior off once. With fewer than `least_held` held-out documents of a
+   class the views stay as fitted.
+5. With labels of toxicity a second target is learned from the words. Each word (a bucket of its hash) of the labelled
+   documents that are not held out has as evidence the log of how much more often it stands in toxic ones, less a standard
+   error. A logistic regression turns the strongest words of a document, each without what the document itself adds
+   to its evidence, and its number of words into log-odds, which are calibrated on the held-out documents; the score is the probability
+   of good quality times that of not being toxic.
+6. All documents are scored; those below `accept` are rejected. With fewer than `least` labelled documents of a class that are not held out
+   there is too little to go by, and nothing is rejected for that target.
 
 The fits are Spark ML jobs over the written features, so nothing of the corpus's size reaches the driver; of the words those
 with evidence do, at most one for each bucket.
 
 Defined results: a null text counts as empty, null metadata as a value of its own; labels without a document, or null
-ones, are ignored; a document with contradicting labels counts once for each. Without labelled documents of both
-classes there is nothing to learn from, and all documents are accepted with score 1. Without toxic and other documents among
-both the held-out labels and the rest, none counts as toxic.
+ones, are ignored; a document with contradicting labels counts once for each. Without enough labelled documents of both
+classes there is nothing to learn from, and all documents are accepted with score 1; without enough toxic and other ones none
+counts as toxic.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -76,7 +82,11 @@ class CoTraining:
     accept: float = 0.5
     held_out: int = 5  # one labelled document in so many
     strength: float = 1e-3
+    per_row: float = 0.5  # added to the strength, divided by the number of labelled rows
     iterations: int = 15
+    least: int = 20  # labelled documents of a class without which a target is not learned
+    least_held: int = 5  # held-out ones without which it is not calibrated
+    most_labels: int = 20_000
 
 
 def _distinct(owner: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
@@ -163,13 +173,17 @@ class View:
 
 @dataclass
 class Toxicity:
-    """Evidence of word buckets (in order), and what the strongest of a document say."""
+    """In how many toxic and other documents each word bucket (in order) stands, and what the strongest of a document say."""
 
     buckets: np.ndarray
-    evidence: np.ndarray
+    bad: np.ndarray
+    fine: np.ndarray
+    n_bad: int
+    n_fine: int
     view: View | None = None
 
-    def features(self, offsets: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+    def features(self, offsets: np.ndarray, buckets: np.ndarray, own: np.ndarray | None = None) -> np.ndarray:
+        """own: the class (1 toxic, 0 not) of documents that are counted themselves and are left out of their own evidence."""
         n = len(offsets) - 1
         out = np.zeros((n, STRONGEST + 1), np.float32)
         out[:, STRONGEST] = np.log1p(np.diff(offsets))
@@ -177,16 +191,22 @@ class Toxicity:
             return out
         at = np.minimum(np.searchsorted(self.buckets, buckets), len(self.buckets) - 1)
         known = np.flatnonzero(self.buckets[at] == buckets)
-        owner, weight = np.searchsorted(offsets, known, "right") - 1, self.evidence[at[known]]
+        owner = np.searchsorted(offsets, known, "right") - 1
+        mine_bad, mine_fine = (0, 0) if own is None else (own[owner] == 1, own[owner] == 0)
+        bad, fine = self.bad[at[known]] - mine_bad + 0.5, self.fine[at[known]] - mine_fine + 0.5
+        weight = np.log(bad / (self.n_bad - mine_bad + 1)) - np.log(fine / (self.n_fine - mine_fine + 1)) - np.sqrt(1 / bad + 1 / fine)
+        strong = weight > 1
+        owner, weight = owner[strong], weight[strong]
         order = np.lexsort((-weight, owner))
         owner, weight = owner[order], weight[order]
         place = np.arange(len(owner)) - np.searchsorted(owner, owner)
-        strong = place < STRONGEST
-        out[owner[strong], place[strong]] = weight[strong]
+        top = place < STRONGEST
+        out[owner[top], place[top]] = weight[top]
         return out
 
     def probability(self, offsets: np.ndarray, buckets: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.view.log_odds(self.features(offsets, buckets)), -50, 50)))
+        odds = self.view.slope * self.view.log_odds(self.features(offsets, buckets)) + self.view.offset
+        return 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
 
 
 @dataclass
@@ -231,26 +251,41 @@ def _of_lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
     return np.append(0, np.cumsum(counts)), np.asarray(column.flatten(), np.int32)
 
 
-def features(docs: DataFrame, words: bool = False) -> DataFrame:
-    """doc_id, text and meta (arrays of the views' features), words (distinct buckets; empty if not asked for)."""
+def marks(labels: DataFrame, spec: CoTraining, label_col: str, toxic_col: str | None) -> dict:
+    """id -> (classes of quality, classes of toxicity) of at most most_labels labelled ids, those of the smallest hashes."""
+    classes = lambda c: F.array_sort(F.collect_set(F.when(F.col(c).cast("int").isin(0, 1), F.col(c).cast("int"))))
+    per_id = labels.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(classes(label_col).alias("good"), (classes(toxic_col) if toxic_col else F.array().cast("array<int>")).alias("bad"))
+    known = per_id.filter("size(good) + size(bad) > 0").orderBy(F.xxhash64("doc_id", F.lit(9)), "doc_id").limit(spec.most_labels)
+    return {r["doc_id"]: (r["good"], r["bad"]) for r in known.collect()}
+
+
+def features(docs: DataFrame, marked: dict) -> DataFrame:
+    """doc_id, text and meta (arrays of the views' features), good and bad (classes of labelled documents, else empty), words (their distinct buckets)."""
+    context = docs.sparkSession.sparkContext
+    sent = context.broadcast(marked)  # at most most_labels entries
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, none = sent.value, ([], [])
         for batch in batches:
             for lo in range(0, batch.num_rows, 1024):
                 part = batch.slice(lo, 1024)
-                text, meta, offsets, buckets = _batch_features(part, 1, words)
+                text, meta, _, _ = _batch_features(part, 1, False)
+                own = [known.get(i, none) for i in part.column(0).to_pylist()]
+                offsets, buckets = word_buckets([t.encode() if t and m is not none else b"" for t, m in zip(part.column(1).to_pylist(), own)])
                 listed = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(buckets, pa.int32()))
-                yield pa.RecordBatch.from_arrays([part.column(0), _lists(text), _lists(meta), listed], names=["doc_id", "text", "meta", "words"])
+                classes = [pa.array([m[i] for m in own], pa.list_(pa.int32())) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), _lists(text), _lists(meta), *classes, listed], names=["doc_id", "text", "meta", "good", "bad", "words"])
 
     picked = _columns(docs)
     ship(docs.sparkSession)
-    return picked.mapInArrow(run, f"doc_id {picked.schema['doc_id'].dataType.simpleString()}, text array<float>, meta array<float>, words array<int>")
+    kind = picked.schema["doc_id"].dataType.simpleString()
+    return picked.mapInArrow(run, f"doc_id {kind}, text array<float>, meta array<float>, good array<int>, bad array<int>, words array<int>")
 
 
 def _fit(rows: DataFrame, column: str, spec: CoTraining) -> View:
-    """Logistic regression of `good` on an array column."""
+    """Logistic regression of `class` on an array column."""
     fitted = LogisticRegression(featuresCol="x", labelCol="y", maxIter=spec.iterations, regParam=spec.strength).fit(
-        rows.select(array_to_vector(F.col(column)).alias("x"), F.col("good").cast("double").alias("y"))
+        rows.select(array_to_vector(F.col(column)).alias("x"), F.col("class").cast("double").alias("y"))
     )
     return View(np.array(fitted.coefficients.toArray()), float(fitted.intercept))
 
@@ -263,80 +298,101 @@ def _held(spec: CoTraining) -> Column:
     return F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(spec.held_out)) == 0
 
 
-def train_toxicity(table: DataFrame, labels: DataFrame, spec: CoTraining, label_col: str) -> Toxicity | None:
-    """Evidence of the words of labelled documents (label_col 1: toxic, 0: not), weighed on the held-out ones."""
-    marks = labels.select("doc_id", F.col(label_col).cast("int").alias("good")).filter("good IN (0, 1) AND doc_id IS NOT NULL").distinct()
-    rows = written(table.select("doc_id", "words").join(marks, "doc_id").withColumn("held", _held(spec)), "marked")
-    seen = {(r["held"], r["good"]): r["n"] for r in rows.groupBy("held", "good").agg(F.count("*").alias("n")).collect()}
-    if not all(seen.get((held, good)) for held in (False, True) for good in (0, 1)):
-        return None
-    known = rows.filter(~F.col("held")).select(F.explode("words").alias("word"), "good")
-    counts = known.groupBy("word").agg(F.sum("good").alias("bad"), F.count("*").alias("n")).filter(F.col("bad") >= TOXIC_LEAST)
-    bad, fine = F.col("bad") + 0.5, F.col("n") - F.col("bad") + 0.5
-    evidence = F.log(bad / (seen[False, 1] + 1)) - F.log(fine / (seen[False, 0] + 1)) - F.sqrt(1 / bad + 1 / fine)
-    told = counts.select("word", evidence.cast("float").alias("evidence")).filter("evidence > 1").toArrow().sort_by("word")
-    model = Toxicity(np.asarray(told["word"], np.int32), np.asarray(told["evidence"], np.float32))
+def _seen(rows: DataFrame) -> dict[tuple[bool, int], int]:
+    return {(r["held"], r["class"]): r["n"] for r in rows.groupBy("held", "class").agg(F.count("*").alias("n")).collect()}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([_lists(model.features(*_of_lists(batch.column(0)))), batch.column(1)], names=["strongest", "good"])
 
-    strongest = rows.filter("held").select("words", "good").mapInArrow(run, "strongest array<float>, good int")
-    view = _fit(strongest, "strongest", CoTraining(strength=1e-4, iterations=spec.iterations))
-    return Toxicity(model.buckets, model.evidence, view)
+def _calibrate(view: View, rows: DataFrame, column: str, spec: CoTraining) -> None:
+    """Platt's slope and offset from held-out rows with a class."""
+    platt = _fit(rows.select(F.array(_log_odds(view, column)).alias("odds"), "class"), "odds", CoTraining(strength=1e-2, iterations=spec.iterations))
+    view.slope, view.offset = float(platt.weights[0]), platt.intercept
 
 
-def train(table: DataFrame, labels: DataFrame, spec: CoTraining = CoTraining(), label_col: str = "quality", toxic_col: str | None = None) -> Model:
-    """Co-train on written features (see features) and labels (doc_id, label_col 0 or 1, and toxic_col 0 or 1 if toxic documents are to be rejected)."""
-    toxic = train_toxicity(table, labels, spec, toxic_col) if toxic_col else None
-    good = labels.select("doc_id", F.col(label_col).cast("int").alias("good")).filter("good IN (0, 1) AND doc_id IS NOT NULL").distinct()
-    rows = written(table.drop("words").filter("doc_id IS NOT NULL").join(good, "doc_id", "left").withColumn("held", _held(spec)), "views")
-    labelled, free = rows.filter("good IS NOT NULL"), rows.filter("good IS NULL")
-    seen = {(r["held"], r["good"]): r["n"] for r in labelled.groupBy("held", "good").agg(F.count("*").alias("n")).collect()}
-    if not (seen.get((False, 0)) and seen.get((False, 1))):
+def _by_rows(spec: CoTraining, n: int) -> CoTraining:
+    """The same, regularised by the number of labelled rows."""
+    return replace(spec, strength=spec.strength + spec.per_row / max(n, 1))
+
+
+def train_toxicity(table: DataFrame, spec: CoTraining) -> Toxicity | None:
+    """Evidence of the words of labelled documents (class 1: toxic, 0: not), how it adds up, and its calibration."""
+    rows = written(table.filter("size(bad) > 0").select("doc_id", "words", F.explode("bad").alias("class")).withColumn("held", _held(spec)), "marked")
+    seen = _seen(rows)
+    if not all(seen.get((False, c), 0) >= spec.least for c in (0, 1)):
+        return None
+    known = rows.select(F.explode("words").alias("word"), "class", (~F.col("held")).cast("int").alias("fit"))
+    counts = known.groupBy("word").agg(F.sum("class").alias("bad"), F.count("*").alias("n"), F.sum(F.col("class") * F.col("fit")).alias("fit_bad"), F.sum("fit").alias("fit_n"))
+    whole = lambda c: F.expr(c).cast("int").alias(c)
+    told = counts.filter(F.col("bad") >= TOXIC_LEAST).select("word", whole("fit_bad"), whole("fit_n - fit_bad"), whole("bad"), whole("n - bad")).toArrow().sort_by("word")
+    words, fit_bad, fit_fine, bad, fine = (np.asarray(c, np.int32) for c in told.columns)
+    model = Toxicity(words, fit_bad, fit_fine, seen[False, 1], seen[False, 0])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = np.where(np.asarray(batch.column(2).to_pylist(), bool), -1, np.asarray(batch.column(1).to_pylist(), int))
+            yield pa.RecordBatch.from_arrays([_lists(model.features(*_of_lists(batch.column(0)), own)), batch.column(1), batch.column(2)], names=["strongest", "class", "held"])
+
+    strongest = written(rows.select("words", "class", "held").mapInArrow(run, "strongest array<float>, class int, held boolean"), "strongest")
+    model.view = _fit(strongest.filter(~F.col("held")), "strongest", CoTraining(strength=1e-4, iterations=spec.iterations))
+    if all(seen.get((True, c), 0) >= spec.least_held for c in (0, 1)):
+        _calibrate(model.view, strongest.filter("held"), "strongest", spec)
+    # How evidence adds up is known now; the held-out documents add theirs.
+    return Toxicity(words, bad, fine, seen[False, 1] + seen.get((True, 1), 0), seen[False, 0] + seen.get((True, 0), 0), model.view)
+
+
+def train(table: DataFrame, spec: CoTraining = CoTraining()) -> Model:
+    """Co-train on written features (see features)."""
+    toxic = train_toxicity(table, spec)
+    labelled = written(table.filter("size(good) > 0").select("doc_id", "text", "meta", F.explode("good").alias("class")).withColumn("held", _held(spec)), "labelled")
+    free = table.filter("size(good) = 0").select("text", "meta")
+    seen = _seen(labelled)
+    if not all(seen.get((False, c), 0) >= spec.least for c in (0, 1)):
         return Model(toxic=toxic, spec=spec)
     known = labelled.filter(~F.col("held"))
-    views = {v: _fit(known, v, spec) for v in ("text", "meta")}
+    firm = _by_rows(spec, seen[False, 0] + seen[False, 1])
+    views = {v: _fit(known, v, firm) for v in ("text", "meta")}
     limit = float(np.log(spec.sure / (1 - spec.sure)))
     for _ in range(spec.rounds):
         taught = {}
         for teacher, pupil in (("text", "meta"), ("meta", "text")):
             odds = _log_odds(views[teacher], teacher)
-            sure = free.withColumn("odds", odds).filter(F.abs("odds") >= limit).select(pupil, (F.col("odds") > 0).cast("int").alias("good"))
-            taught[pupil] = _fit(known.select(pupil, "good").unionByName(sure), pupil, spec)
+            sure = free.withColumn("odds", odds).filter(F.abs("odds") >= limit).select(pupil, (F.col("odds") > 0).cast("int").alias("class"))
+            taught[pupil] = _fit(known.select(pupil, "class").unionByName(sure), pupil, firm)
         views = taught
     model = Model(views["text"], views["meta"], toxic, spec=spec)
-    bad, fine = seen.get((True, 0), 0), seen.get((True, 1), 0)
-    if bad and fine:
-        model.prior = float(np.log(fine / bad))
+    model.prior = float(np.log((seen[False, 1] + seen.get((True, 1), 0)) / (seen[False, 0] + seen.get((True, 0), 0))))
+    if all(seen.get((True, c), 0) >= spec.least_held for c in (0, 1)):
         for name in ("text", "meta"):
-            own = labelled.filter("held").select(F.array(_log_odds(views[name], name)).alias("odds"), "good")
-            platt = _fit(own, "odds", CoTraining(strength=1e-4, iterations=spec.iterations))
-            views[name].slope, views[name].offset = float(platt.weights[0]), platt.intercept
+            _calibrate(views[name], labelled.filter("held"), name, spec)
     return model
 
 
-def score(table: DataFrame, model: Model) -> DataFrame:
-    """One row per document of written features: doc_id, text_score, meta_score, score, accepted."""
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """One row per document: doc_id, text_score, meta_score, score, accepted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text, meta = (np.asarray(batch.column(c).flatten(), np.float32).reshape(batch.num_rows, -1) for c in (1, 2))
-            t, m, s = model.scores(text, meta, *_of_lists(batch.column(3))) if batch.num_rows else (np.zeros(0),) * 3
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(t), pa.array(m), pa.array(s), pa.array(s >= model.spec.accept)], names=["doc_id", "text_score", "meta_score", "score", "accepted"])
+            for lo in range(0, batch.num_rows, 1024):
+                part = batch.slice(lo, 1024)
+                t, m, s = model.scores(*_batch_features(part, 1, model.toxic is not None))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(t), pa.array(m), pa.array(s), pa.array(s >= model.spec.accept)], names=["doc_id", "text_score", "meta_score", "score", "accepted"])
+
+    ship(docs.sparkSession)
+    picked = _columns(docs)
+    kind = picked.schema["doc_id"].dataType.simpleString()
+    return picked.mapInArrow(run, f"doc_id {kind}, text_score double, meta_score double, score double, accepted boolean")
+
 
-    kind = table.schema["doc_id"].dataType.simpleString()
-    return table.select("doc_id", "text", "meta", "words").mapInArrow(run, f"doc_id {kind}, text_score double, meta_score double, score double, accepted boolean")
+def learn(docs: DataFrame, labels: DataFrame, spec: CoTraining = CoTraining(), label_col: str = "quality", toxic_col: str | None = None) -> Model:
+    return train(written(features(docs, marks(labels, spec, label_col, toxic_col)), "features"), spec)
 
 
 def classify(docs: DataFrame, labels: DataFrame, spec: CoTraining = CoTraining(), toxic_col: str | None = None) -> DataFrame:
-    table = written(features(docs, toxic_col is not None), "features")
-    return score(table, train(table, labels, spec, toxic_col=toxic_col))
+    return score(docs, learn(docs, labels, spec, toxic_col=toxic_col))
 
 
 def accepted(docs: DataFrame, labels: DataFrame, spec: CoTraining = CoTraining(), toxic_col: str | None = None) -> DataFrame:
     """The rows, with all their columns, that the classifier does not reject. Rows pass through in one scan, without a shuffle."""
-    model = train(written(features(docs, toxic_col is not None), "features"), labels, spec, toxic_col=toxic_col)
+    model = learn(docs, labels, spec, toxic_col=toxic_col)
     width = len(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -58,8 +58,29 @@ def test_registered_quality_and_pipeline_reject_toxic_documents(spark):
     from revtrellis.llm.queries import spark_queries
 
     path = "/root/testdata/sf0.01"
-    labels = spark.read.parquet(f"{path}/labels.parquet").filter("toxic = 1 AND quality = 1")
+    labels = spark.read.parquet(f"{path}/labels.parquet")
     scored = spark_queries()["op10_quality"](spark, path).join(labels, "doc_id").toPandas()
     kept = corpus_pipeline.keep_good(spark, spark.read.parquet(f"{path}/documents.parquet"), path).join(labels, "doc_id")
-    assert len(scored) > 30 and (~scored.accepted).mean() >= 0.6  # few labels here to learn from
+    toxic, clean, bad = scored[(scored.toxic == 1) & (scored.quality == 1)], scored[(scored.toxic == 0) & (scored.quality == 1)], scored[scored.quality == 0]
+    assert len(toxic) > 30 and (~toxic.accepted).mean() >= 0.6  # few labels here to learn from
+    assert clean.accepted.mean() >= 0.97 and bad.accepted.mean() <= 0.1
     assert kept.count() == scored.accepted.sum()
+
+
+def test_labels_are_bounded_by_hash_and_counted_once_per_class(spark):
+    docs = spark.createDataFrame([(i, f"word{i % 2} " * 30, "en", "web", 5) for i in range(200)] + [(None, "x", None, None, None)], "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(200)] * 2 + [(3, 0, None), (None, 1, 1), (999, 1, 0), (5, 7, None)], "doc_id long, quality int, toxic int")
+    spec = quality.CoTraining(most_labels=50)
+    few = quality.marks(labels, spec, "quality", "toxic")
+    assert len(few) == 50 and few == {i: quality.marks(labels, quality.CoTraining(), "quality", "toxic")[i] for i in few}
+    assert quality.marks(labels, quality.CoTraining(), "quality", "toxic")[3] == ([0, 1], [1])
+    table = quality.features(docs, few)
+    assert table.filter("size(good) > 0").count() == len([i for i in few if i < 200]) and table.filter("size(words) > 0 AND size(good) = 0").count() == 0
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_too_few_of_a_class_reject_nothing(spark, tables):
+    docs, labels = tables
+    few = labels.filter("quality = 1 AND toxic = 0").unionByName(labels.filter("quality = 0 OR toxic = 1").limit(15))
+    assert quality.classify(docs, few, toxic_col="toxic").filter("NOT accepted").count() == 0

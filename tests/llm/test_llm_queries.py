@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as entry_module
 import corpus_pipeline
-from revtrellis.llm import licenses
+from revtrellis.llm import licenses, quality
 from revtrellis.llm.common import written
 from revtrellis.llm.queries import tokenizer_path
 
@@ -86,9 +86,11 @@ def test_pipeline(spark, testdata, duck):
             assert after_df.columns == docs.columns
             assert all(r.n_chars == len(r.text) for r in after.values())
         if name == "quality":
-            bad = {i for (i,) in duck.execute("SELECT doc_id FROM labels WHERE quality = 0").fetchall()}
-            good = {i for (i,) in duck.execute("SELECT doc_id FROM labels WHERE quality = 1").fetchall()}
-            assert len(bad & set(after)) <= 0.1 * len(bad) and len(good & set(after)) >= 0.97 * len(good)
+            # The smallest tables label 11 bad and 11 toxic documents, too few to reject any document by. What is rejected
+            # where there are more is tested in test_llm_quality.py.
+            for column, value in (("quality", 0), ("toxic", 1)):
+                assert duck.execute(f"SELECT count(*) FROM labels WHERE {column} = {value}").fetchone()[0] < quality.CoTraining().least
+            assert set(after) == set(before)
         elif name == "near_dedup":
             assert set(after) == {i for i, _, _, kept in brute.near_groups(list(before.items())) if kept}
         elif name == "decontaminate":
