@@ -390,7 +390,7 @@ def _(s):
 def _(s):
     tasks = s.table("act_task").select("id", X.first_chars("account_ref", 15).alias("k"), "completed_day")
     spans = s.table("partner_developer_history").withColumn("k", X.first_chars("account_id", 15))
-    rows = joins.interval_join(tasks, spans, ["k"], "completed_day", "start_date", "end_date", unit="year", low=date(1990, 1, 1), high=date(2003, 1, 1))
+    rows = joins.interval_join(tasks, spans, ["k"], "completed_day", "start_date", "end_date")
     return rows.select("id", "account_id", "manager_name")
 
 
@@ -417,7 +417,7 @@ def _(s):
 )
 def _(s):
     rows = s.table("crm_opportunity").select("opportunity_id", "account_id", "created_date")
-    joined = joins.interval_join(rows, s.table("partner_recruiter_history"), ["account_id"], "created_date", "start_date", "end_date", "left", "quarter", date(1994, 1, 1), date(2003, 1, 1), ["opportunity_id"])
+    joined = joins.interval_join(rows, s.table("partner_recruiter_history"), ["account_id"], "created_date", "start_date", "end_date", "left", ["opportunity_id"])
     return joined.select("opportunity_id", "manager_name")
 
 

@@ -281,7 +281,7 @@ def _(s):
 )
 def _(s):
     rows = s.table("crm_lead").select("lead_id", "converted_account_id", "created_date")
-    return partners.type2_asof(rows, s.table("partner_developer_history"), "converted_account_id", "created_date", "developer", AS_OF).select("lead_id", "developer")
+    return partners.type2_asof(rows, s.table("partner_developer_history"), "converted_account_id", "created_date", "developer").select("lead_id", "developer")
 
 
 @query("dom_payment_partner", f"SELECT p.partner_id, CASE WHEN q.partner_id IS NULL THEN 'No' ELSE 'Yes' END AS payment_program FROM partner p LEFT JOIN ({_PAYMENT}) q ON q.partner_id = p.partner_id")

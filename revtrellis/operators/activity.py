@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from revtrellis.functions.dates import OPEN_START, as_date, days_between, today_in, week_number_sunday, week_start_monday
 from revtrellis.functions.numbers import lookup
 from revtrellis.functions.text import first_chars
-from revtrellis.operators.joins import interval_join, left_join_nullable
+from revtrellis.operators.joins import asof_merge, left_join_nullable
 from revtrellis.operators.sets import rename_to, union_all
 from revtrellis.operators.windows import latest_per_key, previous_day
 from revtrellis.params.fixed_values import ACTIVITY_CLASSES
@@ -57,9 +58,10 @@ def activity_class(dialler_type: Column, activity_type: Column) -> Column:
     return lookup(F.lower(F.coalesce(dialler_type, activity_type)), ACTIVITY_CLASSES, "Other")
 
 
-def latest_campaign(members: DataFrame, campaigns: DataFrame, pattern: str) -> DataFrame:
-    """Newest membership per account among the campaigns that match."""
-    wanted = campaigns.filter(F.lower("campaign_name").like(pattern) & ~F.col("is_deleted")).drop("is_deleted")
+def latest_campaign(members: DataFrame, campaigns: DataFrame, pattern: str, campaign_ids: Sequence[object] = ()) -> DataFrame:
+    """Newest membership per account among the campaigns whose name matches or whose id is listed."""
+    named = F.lower("campaign_name").like(pattern)
+    wanted = campaigns.filter((named | F.col("campaign_id").isin(*campaign_ids) if campaign_ids else named) & ~F.col("is_deleted")).drop("is_deleted")
     rows = members.filter(~F.col("is_deleted")).select("account_id", "campaign_id", "joined_date").join(wanted, "campaign_id")
     return latest_per_key(rows, ["account_id"], [F.desc("joined_date"), F.desc("campaign_id")])
 
@@ -72,12 +74,6 @@ def opportunity_intervals(accounts: DataFrame, opportunities: DataFrame) -> Data
     return with_previous.withColumn("interval_start", F.coalesce(F.date_add("previous_close", 1), F.lit(OPEN_START)))
 
 
-def _days(activities: DataFrame, day: str) -> dict[str, Column]:
-    """The first and last day of the activities: intervals are only laid over the years between."""
-    days = activities.select(F.to_date(day).alias("d"))
-    return {"unit": "year", "low": days.agg(F.min("d").alias("d")).scalar(), "high": days.agg(F.max("d").alias("d")).scalar()}
-
-
 def attribute_activities(activities: DataFrame, intervals: DataFrame, day: str) -> DataFrame:
     """Activities with the opportunity of the same account whose interval holds their day.
 
@@ -87,7 +83,7 @@ def attribute_activities(activities: DataFrame, intervals: DataFrame, day: str)
         F.col("account_id").alias("_account"), F.col("opportunity_id").alias("interval_opportunity_id"), "interval_start", F.col("close_date").alias("interval_end")
     )
     acts = activities.withColumn("_account", F.when(F.col("related_id").isNull(), F.col("account_id")))
-    joined = interval_join(acts, spans, ["_account"], day, "interval_start", "interval_end", how="left", spread_on=["task_id"], **_days(activities, day))
+    joined = asof_merge(acts, spans, ["_account"], day, "interval_start", "interval_end", how="left", spread_on=["task_id"])
     return joined.drop("_account", "interval_start", "interval_end")
 
 
@@ -125,7 +121,7 @@ def influence_flag(texts: list[Column], campaign_pattern: str, campaigns: list[C
 def opportunity_meetings(source) -> DataFrame:
     """Calls and meetings whose completion lies in an opportunity's interval of the same account, and their days before its creation.
 
-    Only keys and bounds are laid over the years; the opportunity's columns are joined to the hits.
+    Accounts that share the prefix are merged as a stream each; the opportunity's columns are joined to the hits.
     """
     events = source.table("act_event").filter(~F.col("deleted") & (F.col("type") == "Meeting"))
     acts = unify(events, source.table("act_task"))
@@ -137,9 +133,11 @@ def opportunity_meetings(source) -> DataFrame:
     intervals = opportunity_intervals(source.table("crm_account"), opps)
     acts = acts.withColumn("activity_class", activity_class(F.col("dialler_type"), F.col("activity_type")))
     acts = acts.filter(F.col("activity_class").isin("Call", "Meeting"))
-    spans = intervals.select(first_chars("account_id", 15).alias("_account"), "opportunity_id", "opportunity_created_date", "interval_start", "close_date")
+    spans = intervals.select(
+        first_chars("account_id", 15).alias("_account"), F.col("account_id").alias("_stream"), "opportunity_id", "opportunity_created_date", "interval_start", "close_date"
+    )
     acts = acts.withColumn("_account", first_chars("account_id", 15)).drop("account_id")
-    hits = interval_join(acts, spans, ["_account"], "completed_date", "interval_start", "close_date", **_days(acts, "completed_date"))
+    hits = asof_merge(acts, spans, ["_account"], "completed_date", "interval_start", "close_date", streams=["_stream"])
     details = opps.select(
         F.col("account_id").alias("opportunity_account_id"), "opportunity_id", "opportunity_name", "opportunity_type", "stage_name", "total_revenue", "contract_value",
         "product_profit", "sales_rep_role", "region",
@@ -197,7 +195,9 @@ def outbound_activity(source, as_of: date | None, from_date: date, zone: str = "
     return activity_calendar(rows, keys)
 
 
-def attributed_activities(source, campaign_pattern: str = "incubation-b2b%", flag_pattern: str = "incubation-smb%", marker: str = "%INC%") -> DataFrame:
+def attributed_activities(
+    source, campaign_pattern: str = "incubation-b2b%", flag_pattern: str = "incubation-smb%", marker: str = "%INC%", campaign_ids: Sequence[object] = ()
+) -> DataFrame:
     """Activity rows with opportunity (an explicit link wins), campaign and influence flag.
 
     One pattern picks the account's campaign, another one and the marker make the flag. An opportunity with several
@@ -207,7 +207,7 @@ def attributed_activities(source, campaign_pattern: str = "incubation-b2b%", fla
     intervals = opportunity_intervals(source.table("crm_account"), source.table("crm_opportunity"))
     rows = attribute_activities(acts, intervals, "created_date")
     rows = rows.withColumn("opportunity_id", F.coalesce("related_id", "interval_opportunity_id")).drop("interval_opportunity_id")
-    campaigns = latest_campaign(source.table("crm_campaign_member"), source.table("crm_campaign"), campaign_pattern).select(
+    campaigns = latest_campaign(source.table("crm_campaign_member"), source.table("crm_campaign"), campaign_pattern, campaign_ids).select(
         "account_id", F.col("campaign_name").alias("account_campaign"), "start_date", "end_date"
     )
     rows = rows.join(campaigns, "account_id", "left")

@@ -2,64 +2,85 @@
 
 from __future__ import annotations
 
-from datetime import date
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from revtrellis.functions.dates import OPEN_START
-
 SPREAD = 256
 GLOBAL_COPIES = 64
 
 
-def _bucket(day: Column, unit: str, low: date | Column, high: date | Column) -> Column:
-    """Calendar bucket of a day after clamping to [low, high]; null stays null.
+def _cell(day: Column, width: Column) -> Column:
+    return F.floor(F.unix_date(day) / F.pow(F.lit(2), width)).cast("int")
 
-    Clamping keeps order, so a day inside an interval always lies between the
-    interval's first and last bucket: no match is lost whatever the bounds are.
-    """
-    clamped = F.least(F.greatest(day, F.lit(low)), F.lit(high))  # F.lit leaves columns as they are
-    return F.when(day.isNotNull(), F.trunc(clamped, unit))
-
-
-def interval_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: list[str],
-    point: str,
-    start: str,
-    end: str,
-    how: str = "inner",
-    unit: str = "month",
-    low: date | Column = OPEN_START,
-    high: date | Column = date(2100, 1, 1),
-    spread_on: list[str] | None = None,
-) -> DataFrame:
-    """Rows of ``left`` with every row of ``right`` whose [start, end] holds ``point``.
 
-    Both sides carry a calendar bucket as a further equality key: a hot key is
-    split over its months (or years), and a row meets only the intervals of its own
-    bucket. ``low``/``high`` bound how many buckets an open interval is copied to.
-    Choose them near the range of the data; results do not depend on the choice.
+def interval_hits(left: DataFrame, right: DataFrame, keys: list[str], point: str, start: str, end: str) -> DataFrame:
+    """The distinct (keys, point) days of ``left`` with every row of ``right`` whose [start, end] holds the day.
+
+    An interval is laid on a grid of cells as wide as the power of two above its length, so it covers one cell or two,
+    however long it is. A day looks up its cell of each width that its key has. So nothing grows with the calendar, an open
+    end or a wrong date adds a width to its key, and a hot key is split over its cells.
     """
-    step = {"month": F.expr("INTERVAL 1 MONTH"), "quarter": F.expr("INTERVAL 3 MONTH"), "year": F.expr("INTERVAL 1 YEAR")}[unit]
-    first, last = _bucket(F.col(start), unit, low, high), _bucket(F.col(end), unit, low, high)
-    spans = right.filter(F.col(start) <= F.col(end)).withColumn("_slot", F.explode(F.sequence(first, last, step)))
-    if start in keys or end in keys:
-        raise ValueError("interval bounds cannot be join keys")
-    points = left.withColumn("_slot", _bucket(F.col(point), unit, low, high))
-    on = [*keys, "_slot"]
+    spans = right.filter(F.col(start) <= F.col(end))
+    spans = spans.withColumn("_width", F.ceil(F.log2(F.datediff(end, start) + 1)).cast("int"))
+    spans = spans.withColumn("_cell", F.explode(F.array_distinct(F.array(_cell(F.col(start), F.col("_width")), _cell(F.col(end), F.col("_width"))))))
+    widths = spans.select(*keys, "_width").distinct()
+    days = left.select(*keys, F.col(point).alias("_day")).filter(F.col("_day").isNotNull()).distinct()
+    cells = days.join(widths, keys).withColumn("_cell", _cell(F.col("_day"), F.col("_width")))
+    return cells.join(spans, [*keys, "_width", "_cell"]).filter(F.col("_day").between(F.col(start), F.col(end))).drop("_width", "_cell")
+
+
+def _with_hits(left: DataFrame, hits: DataFrame, keys: list[str], point: str, how: str, spread_on: list[str] | None) -> DataFrame:
+    """Rows of left with the hits of their keys and day. Rows that can match nothing are scattered."""
+    rows, found, on = left.withColumn("_on_day", F.col(point)), hits.withColumnRenamed("_day", "_on_day"), [*keys, "_on_day"]
     if how == "left" and spread_on:
-        points, spans, on = _spread_unmatchable(points, spans, on, spread_on)
-    a, b = points.alias("a"), spans.alias("b")
-    condition = F.col(f"a.{point}").between(F.col(f"b.{start}"), F.col(f"b.{end}"))
+        rows, found, on = _spread_unmatchable(rows, found, on, spread_on)
+    a, b = rows.alias("a"), found.alias("b")
+    condition = F.lit(True)
     for k in on:
         condition = condition & (F.col(f"a.{k}") == F.col(f"b.{k}"))
-    out = a.join(b, condition, how)
-    keep = [F.col(f"a.{c}") for c in left.columns]
-    keep += [F.col(f"b.{c}") for c in right.columns if c not in keys]
-    return out.select(*keep)
+    return a.join(b, condition, how).select(*[F.col(f"a.{c}") for c in left.columns], *[F.col(f"b.{c}") for c in hits.columns if c not in keys and c != "_day"])
+
+
+def interval_join(left: DataFrame, right: DataFrame, keys: list[str], point: str, start: str, end: str, how: str = "inner", spread_on: list[str] | None = None) -> DataFrame:
+    """Rows of ``left`` with every row of ``right`` whose [start, end] holds the day ``point``; intervals may overlap."""
+    if start in keys or end in keys:
+        raise ValueError("interval bounds cannot be join keys")
+    return _with_hits(left, interval_hits(left, right, keys, point, start, end), keys, point, how, spread_on)
+
+
+def interval_minimum(left: DataFrame, right: DataFrame, keys: list[str], point: str, start: str, end: str, value: str, out: str, spread_on: list[str]) -> DataFrame:
+    """Every row of ``left`` once, with the smallest ``value`` of the rows of ``right`` that hold its day.
+
+    The winner is chosen per key and day, before the rows of left are met, so overlapping periods multiply none.
+    """
+    hits = interval_hits(left, right.select(*keys, start, end, value), keys, point, start, end)
+    return _with_hits(left, hits.groupBy(*keys, "_day").agg(F.min(value).alias(out)), keys, point, "left", spread_on)
+
+
+def asof_merge(
+    left: DataFrame, right: DataFrame, keys: list[str], point: str, start: str, end: str, how: str = "inner", spread_on: list[str] | None = None, streams: list[str] | None = None
+) -> DataFrame:
+    """Rows of ``left`` with the row of ``right`` whose [start, end] holds the day ``point``; the intervals of a key must be disjoint.
+
+    An ordered merge: the distinct days of a key and the starts of its intervals are sorted together, and the interval
+    that started last is carried on to the days after it. No interval is copied, and one with a wrong date changes
+    no volume. A key has at most one row per day on either side here, so the sort of a hot key is bounded by
+    the calendar; the rows of left only meet the result, by key and day.
+
+    ``streams`` are further columns of ``right`` if only its intervals of equal keys and streams are disjoint: a day is then
+    merged with each stream of its key, and can have a hit in each.
+    """
+    own = [*keys, *(streams or [])]
+    spans = right.filter(F.col(start) <= F.col(end))
+    payload = F.struct(*[c for c in right.columns if c not in own])
+    starts = spans.select(*own, F.col(start).alias("_day"), payload.alias("_span"))
+    days = left.select(*keys, F.col(point).alias("_day")).filter(F.col("_day").isNotNull()).distinct()
+    days = days.join(spans.select(*own).distinct(), keys)
+    events = starts.unionByName(days.withColumn("_span", F.lit(None).cast(starts.schema["_span"].dataType)))
+    order = Window.partitionBy(*own).orderBy("_day", F.col("_span").isNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carried = events.withColumn("_open", F.last("_span", ignorenulls=True).over(order)).filter(F.col("_span").isNull())
+    hits = carried.filter(F.col("_day") <= F.col(f"_open.{end}")).select(*own, "_day", "_open.*").select(*keys, "_day", *[c for c in right.columns if c not in keys])
+    return _with_hits(left, hits, keys, point, how, spread_on)
 
 
 def _spread_unmatchable(left: DataFrame, right: DataFrame, on: list[str], spread_on: list[str]):

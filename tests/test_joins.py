@@ -6,7 +6,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from revtrellis.operators.joins import anti_join_null_aware, full_outer_nullable, interval_join, join_group_or_global, left_join_nullable, semi_join
+from revtrellis.operators.joins import anti_join_null_aware, asof_merge, full_outer_nullable, interval_hits, interval_join, interval_minimum, join_group_or_global, left_join_nullable, semi_join
 
 
 def _rows(df):
@@ -23,10 +23,10 @@ def _brute(points, spans, how):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("unit", ["month", "quarter", "year"])
+@pytest.mark.parametrize("seed", [7, 8, 9])
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_interval_join_matches_brute_force(spark, unit, how):
-    rng = random.Random(7)
+def test_interval_join_matches_brute_force(spark, seed, how):
+    rng = random.Random(seed)
     start = date(1995, 1, 1)
     # A third of all rows sits on one key; some keys and days are missing, some spans are empty or open.
     key = lambda: "hot" if rng.random() < 0.34 else rng.choice(["a", "b", "c", None])
@@ -39,7 +39,7 @@ def test_interval_join_matches_brute_force(spark, unit, how):
         spans.append((i, key(), a, b))
     left = spark.createDataFrame(points, "pid int, k string, d date")
     right = spark.createDataFrame(spans, "sid int, k string, a date, b date")
-    joined = interval_join(left, right, ["k"], "d", "a", "b", how, unit, date(1996, 1, 1), date(1998, 1, 1), spread_on=["pid"])
+    joined = interval_join(left, right, ["k"], "d", "a", "b", how, spread_on=["pid"])
     assert _rows(joined.select("pid", "sid")) == _brute(points, spans, how)
 
 
@@ -113,11 +113,55 @@ def test_full_outer_join_scatters_null_keys(spark):
     assert max(sizes) < 2 * sum(sizes) / len(sizes)
 
 
-def test_interval_join_with_bounds_from_the_data(spark):
+def _disjoint(rng, key, n):
+    """Periods of a key that do not overlap, some empty, the last one open."""
+    days = sorted(rng.sample(range(1500), 2 * n))
+    base = date(1995, 1, 1)
+    out = [(key, base + timedelta(days=a), base + timedelta(days=b - rng.choice([0, 1]))) for a, b in zip(days[::2], days[1::2])]
+    return out + [(key, base + timedelta(days=700), base + timedelta(days=699)), (key, base + timedelta(days=1501), rng.choice([date(9000, 1, 1), date(9999, 12, 31)])), (key, None, base)]
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_asof_merge_matches_brute_force(spark, how):
+    rng = random.Random(11)
+    spans = [(i, *x) for i, x in enumerate(x for k in ("hot", "a", "b", None) for x in _disjoint(rng, k, 20))]
     start = date(1995, 1, 1)
-    points = [(i, "a" if i % 3 else "b", start + timedelta(days=37 * i % 1500)) for i in range(200)]
-    spans = [(i, "a" if i % 2 else "b", date(1900, 1, 1) if i < 4 else start + timedelta(days=40 * i), start + timedelta(days=60 * i)) for i in range(40)]
-    p, s = spark.createDataFrame(points, "pid long, k string, d date"), spark.createDataFrame(spans, "sid long, k string, a date, b date")
-    low, high = p.agg(F.min("d")).scalar(), p.agg(F.max("d")).scalar()
-    got = _rows(interval_join(p, s, ["k"], "d", "a", "b", unit="year", low=low, high=high).select("pid", "sid"))
-    assert got == _brute(points, spans, "inner")
+    points = [(i, "hot" if rng.random() < 0.34 else rng.choice(["a", "b", "c", None]), None if rng.random() < 0.05 else start + timedelta(days=rng.randrange(1600))) for i in range(500)]
+    points += [(900, "a", date(9000, 1, 1)), (901, "b", date(1, 1, 1))]
+    left, right = spark.createDataFrame(points, "pid int, k string, d date"), spark.createDataFrame(spans, "sid int, k string, a date, b date")
+    got = asof_merge(left, right, ["k"], "d", "a", "b", how, spread_on=["pid"])
+    assert _rows(got.select("pid", "sid")) == _brute(points, spans, how)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "NestedLoop" not in plan
+
+
+def test_asof_merge_with_streams(spark):
+    rng = random.Random(12)
+    base = date(1995, 1, 1)
+    spans = [(i, k, s, a, b) for i, (k, s, (_, a, b)) in enumerate((k, s, x) for k in "xy" for s in "123" for x in _disjoint(rng, k, 10))]
+    points = [(i, rng.choice("xyz"), base + timedelta(days=rng.randrange(1500))) for i in range(200)]
+    left, right = spark.createDataFrame(points, "pid int, k string, d date"), spark.createDataFrame(spans, "sid int, k string, s string, a date, b date")
+    got = asof_merge(left, right, ["k"], "d", "a", "b", streams=["s"])
+    assert got.columns == ["pid", "k", "d", "sid", "s", "a", "b"]
+    assert _rows(got.select("pid", "sid")) == _brute(points, [(i, k, a, b) for i, k, _, a, b in spans], "inner")
+
+
+def test_a_wrong_date_changes_no_volume(spark):
+    """What the interval operators make between scan and result does not depend on how far a date is off."""
+    base = date(1995, 1, 1)
+    points = spark.createDataFrame([(i, "k", base + timedelta(days=i)) for i in range(50)], "pid int, k string, d date")
+    volumes = []
+    for far in (date(1996, 1, 1), date(9000, 1, 1)):
+        spans = spark.createDataFrame([(i, "k", base + timedelta(days=i), base + timedelta(days=i)) for i in range(50)] + [(99, "k", base, far)], "sid int, k string, a date, b date")
+        hits = interval_hits(points, spans, ["k"], "d", "a", "b")
+        volumes.append((hits.count(), interval_join(points, spans, ["k"], "d", "a", "b").count()))
+    assert volumes[0] == volumes[1] == (100, 100)
+
+
+def test_interval_minimum_keeps_one_row(spark):
+    base = date(1995, 1, 1)
+    points = [(1, "a", base), (2, "a", base + timedelta(days=5)), (3, "a", base), (4, None, base), (5, "b", base), (6, "a", None)]
+    spans = [("z", "a", base, date(9999, 12, 31)), ("m", "a", base + timedelta(days=4), base + timedelta(days=6)), (None, "b", base, base)]
+    left, right = spark.createDataFrame(points, "pid int, k string, d date"), spark.createDataFrame(spans, "name string, k string, a date, b date")
+    got = interval_minimum(left, right, ["k"], "d", "a", "b", "name", "owner", ["pid"])
+    assert _rows(got.select("pid", "owner")) == [(1, "z"), (2, "m"), (3, "z"), (4, None), (5, None), (6, None)]
