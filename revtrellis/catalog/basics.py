@@ -14,9 +14,10 @@ from revtrellis.functions import dates as D
 from revtrellis.functions import numbers as N
 from revtrellis.functions import text as X
 from revtrellis.operators import joins, sets, windows
+from revtrellis.params.entity_schemas import entity_schemas
 from revtrellis.session import scratch_path
 from revtrellis.sources import sheets, sinks
-from revtrellis.sources.tables import scan
+from revtrellis.sources.tables import CheckedSource, scan
 
 c = F.col
 
@@ -63,11 +64,37 @@ def _(s):
 def _(s):
     path, name = scratch_path(s.spark, "table"), f"account_counts_{uuid.uuid4().hex}"
     rows = s.table("crm_account").groupBy("market_segment").agg(F.count("*").alias("accounts"))
-    # The second refresh replaces all partitions of the first, also those it has no rows for.
-    sinks.replace_table(rows.withColumn("market_segment", F.concat(F.lit("old "), "market_segment")), name, partition_by=["market_segment"], path=path)
-    sinks.replace_table(rows, name, partition_by=["market_segment"], path=path)
+    old = rows.withColumn("market_segment", F.concat(F.lit("old "), "market_segment"))
+    # The second refresh replaces all partitions of the first and reads the table that it replaces.
+    sinks.replace_table(rows.unionByName(old), name, partition_by=["market_segment"], path=path)
+    kept = s.spark.table(name).filter(~c("market_segment").like("old %"))
+    sinks.replace_table(kept, name, partition_by=["market_segment"], path=path, checks=(sinks.same_columns, sinks.rows_kept(0.5)))
     s.spark.sql(f"DROP TABLE {name}")  # the name; the files stay until the application ends
-    return s.spark.read.schema(rows.schema).parquet(path).select("market_segment", "accounts")
+    return s.spark.read.schema(rows.schema).parquet(f"{path}/v-*").select("market_segment", "accounts")
+
+
+_SHEET_LINES = """SELECT CASE WHEN s_suppkey % 10 = 0 THEN 'Supplier#twice' ELSE s_name END AS metric,
+   CASE WHEN s_suppkey % 7 = 0 THEN 'n/a' WHEN s_suppkey % 7 = 1 THEN '' ELSE CAST(CAST(floor(s_acctbal) AS BIGINT) AS VARCHAR) END AS points FROM supplier"""
+
+
+@query(
+    "src_sheet_rejects",
+    f"""SELECT metric, points, concat_ws('; ', CASE WHEN points = 'n/a' THEN 'points is no double: n/a' END, CASE WHEN n > 1 THEN 'repeated key: ' || metric END) AS reason
+        FROM (SELECT metric, points, count(*) OVER (PARTITION BY metric) AS n FROM ({_SHEET_LINES}) l) x WHERE n > 1 OR points = 'n/a'""",
+)
+def _(s):
+    number = c("s_suppkey") % 7
+    lines = s.table("supplier").select(
+        F.when(c("s_suppkey") % 10 == 0, "Supplier#twice").otherwise(c("s_name")).alias("metric"),
+        F.when(number == 0, "n/a").when(number == 1, "").otherwise(F.floor("s_acctbal").cast("long").cast("string")).alias("points"),
+    )
+    schema = T.StructType([T.StructField("metric", T.StringType()), T.StructField("points", T.DoubleType())])
+    return sheets.check_sheet(lines, schema, key=("metric",), required=("metric",)).rejects
+
+
+@query("src_checked_scan", "SELECT opportunity_id, account_id, stage_name, close_date FROM crm_opportunity")
+def _(s):
+    return CheckedSource(s, entity_schemas()).table("crm_opportunity").select("opportunity_id", "account_id", "stage_name", "close_date")
 
 
 # ---------------------------------------------------------------- projections and filters

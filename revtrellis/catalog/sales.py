@@ -28,10 +28,10 @@ _INTERVALS = """SELECT o.*, lag(o.close_date) OVER (PARTITION BY o.account_id OR
 _SPAN = "coalesce(i.previous_close + 1, DATE '1900-01-01') AND i.close_date"
 
 
-def latest_campaign_sql(pattern: str) -> str:
+def latest_campaign_sql(pattern: str, also: str = "false") -> str:
     return f"""SELECT account_id, campaign_id, joined_date, campaign_name, start_date, end_date FROM (SELECT m.account_id, m.campaign_id, m.joined_date, g.campaign_name, g.start_date, g.end_date,
        row_number() OVER (PARTITION BY m.account_id ORDER BY m.joined_date DESC, m.campaign_id DESC) AS rn FROM crm_campaign_member m
-       JOIN crm_campaign g ON g.campaign_id = m.campaign_id WHERE lower(g.campaign_name) LIKE '{pattern}' AND NOT g.is_deleted AND NOT m.is_deleted) x WHERE rn = 1"""
+       JOIN crm_campaign g ON g.campaign_id = m.campaign_id WHERE (lower(g.campaign_name) LIKE '{pattern}' OR {also}) AND NOT g.is_deleted AND NOT m.is_deleted) x WHERE rn = 1"""
 
 
 @query("dom_activity_unify", _ACTS)
@@ -50,6 +50,11 @@ def _(s):
     return activity.latest_campaign(s.table("crm_campaign_member"), s.table("crm_campaign"), "incubation-b2b%")
 
 
+@query("dom_campaign_latest_listed", latest_campaign_sql("incubation-b2b%", "g.campaign_id IN (1, 2, 3, 5, 8, 13, 21)"))
+def _(s):
+    return activity.latest_campaign(s.table("crm_campaign_member"), s.table("crm_campaign"), "incubation-b2b%", [1, 2, 3, 5, 8, 13, 21])
+
+
 @query(
     "dom_account_allow_flag",
     "SELECT account_id, CASE WHEN left(account_id, 15) IN (SELECT account_prefix FROM account_watchlist) THEN 'Y' ELSE 'N' END AS on_watchlist FROM crm_account",
@@ -88,19 +93,26 @@ def _(s):
     return activity.opportunity_meetings(s).select("task_id", "completed_date", "opportunity_id", "days_before")
 
 
-@query(
-    "dom_influence_flag",
-    f"""SELECT x.task_id, x.created_date, x.attributed_id AS opportunity_id, CASE WHEN lower(k.campaign_name) LIKE 'incubation-b2b%' OR lower(g.campaign_name) LIKE 'incubation-b2b%'
-          OR upper(rc.role) LIKE '%ENTER%' OR upper(ro.role) LIKE '%ENTER%'
-          OR x.attributed_id IN (SELECT opportunity_id FROM fact_metric WHERE opportunity_id IS NOT NULL AND upper(market_segment) LIKE '%ENTER%') THEN 1 END AS incubation_influenced
-        FROM ({_ATTRIBUTED}) x LEFT JOIN ({latest_campaign_sql('incubation-b2b%')}) k ON k.account_id = x.account_id AND x.created_date BETWEEN k.start_date AND k.end_date
+def influence_flag_sql(campaign_pattern: str, flag_pattern: str, marker: str, also: str = "false") -> str:
+    return f"""SELECT x.task_id, x.created_date, x.attributed_id AS opportunity_id, CASE WHEN lower(k.campaign_name) LIKE '{flag_pattern}' OR lower(g.campaign_name) LIKE '{flag_pattern}'
+          OR upper(rc.role) LIKE '{marker}' OR upper(ro.role) LIKE '{marker}'
+          OR x.attributed_id IN (SELECT opportunity_id FROM fact_metric WHERE opportunity_id IS NOT NULL AND upper(market_segment) LIKE '{marker}') THEN 1 END AS incubation_influenced
+        FROM ({_ATTRIBUTED}) x LEFT JOIN ({latest_campaign_sql(campaign_pattern, also)}) k ON k.account_id = x.account_id AND x.created_date BETWEEN k.start_date AND k.end_date
           LEFT JOIN crm_opportunity o ON o.opportunity_id = x.attributed_id LEFT JOIN crm_campaign g ON g.campaign_id = o.campaign_id
-          LEFT JOIN ({_REPS}) rc ON rc.user_id = x.created_by_id LEFT JOIN ({_REPS}) ro ON ro.user_id = x.owner_id""",
-)
+          LEFT JOIN ({_REPS}) rc ON rc.user_id = x.created_by_id LEFT JOIN ({_REPS}) ro ON ro.user_id = x.owner_id"""
+
+
+@query("dom_influence_flag", influence_flag_sql("incubation-b2b%", "incubation-b2b%", "%ENTER%"))
 def _(s):
     return activity.attributed_activities(s, flag_pattern="incubation-b2b%", marker="%ENTER%").select("task_id", "created_date", "opportunity_id", "incubation_influenced")
 
 
+@query("dom_influence_flag_patterns", influence_flag_sql("%anvil", "cold%", "%NOBODY%", "g.campaign_id IN (1, 2, 3, 5, 8, 13, 21)"))
+def _(s):
+    rows = activity.attributed_activities(s, campaign_pattern="%anvil", flag_pattern="cold%", marker="%NOBODY%", campaign_ids=[1, 2, 3, 5, 8, 13, 21])
+    return rows.select("task_id", "created_date", "opportunity_id", "incubation_influenced")
+
+
 @query("dom_rep_attributes", _REPS)
 def _(s):
     return activity.rep_attributes(s)

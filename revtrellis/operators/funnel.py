@@ -37,6 +37,7 @@ class FunnelSpec:
     with_enriched: bool = False
     with_segment: bool = False
     excluded_accounts: tuple[str, ...] = field(default=())
+    needs_campaigns: bool = False  # leads that come in by campaign belong to the team, so its settings are not complete without them
 
 
 def band_midpoint(band: Column) -> Column:
@@ -143,6 +144,7 @@ def enrich_leads(source, spec: FunnelSpec) -> DataFrame:
         leads = leads.filter(wanted)
     accounts = source.table("crm_account").select(F.col("account_id").alias("converted_account_id"), "account_id", "territory_name")
     owners = source.table("crm_user").select(F.col("user_id").alias("owner_id"), F.col("name").alias("lead_owner_name"))
+    # A repeated lead stays here: it makes equal rows, which the funnel drops after its join anyway.
     return (
         leads.join(accounts, "converted_account_id", "left")
         .join(owners, "owner_id", "left")
@@ -167,7 +169,6 @@ def enrich_leads(source, spec: FunnelSpec) -> DataFrame:
             "territory_name",
             "account_id",
         )
-        .distinct()
     )
 
 
@@ -210,4 +211,6 @@ def finish_funnel(joined: DataFrame, spec: FunnelSpec) -> DataFrame:
 
 
 def lead_opportunity_funnel(source, spec: FunnelSpec) -> DataFrame:
+    if spec.needs_campaigns and not spec.lead_campaigns:
+        raise ValueError("these settings need lead_campaigns: leads that come in by campaign would be missing")
     return finish_funnel(lead_opportunity_outer(enrich_leads(source, spec), enrich_opportunities(source, spec), spec), spec)

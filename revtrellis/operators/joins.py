@@ -135,12 +135,14 @@ def anti_join_null_aware(left: DataFrame, right: DataFrame, key: str) -> DataFra
 def join_group_or_global(left: DataFrame, right: DataFrame, key: str, is_group_row: Column) -> DataFrame:
     """Join on ``key`` for group rows of ``right``, and with every left row for its global rows.
 
-    An OR condition would be a nested loop over both sides. The group branch is an equality join. So is the global one:
-    left rows are dealt over salts and the global rows, the parameters that apply to everybody, stand under each salt.
+    An OR condition would be a nested loop over both sides. This is one equality join: a left row stands under its key
+    and under a salt, and the global rows, the parameters that apply to everybody, under each salt.
     """
-    grouped = left.join(right.filter(is_group_row), key)
     values = [c for c in right.columns if c != key]
-    everyone = right.filter(~is_group_row).select(*values).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(GLOBAL_COPIES - 1))))
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(GLOBAL_COPIES)).cast("int"))
-    spread = salted.join(everyone, "_salt").select(*left.columns, *values)
-    return grouped.select(*left.columns, *values).unionByName(spread)
+    salt = F.concat(F.lit("*"), F.pmod(F.xxhash64(*left.columns), F.lit(GLOBAL_COPIES)).cast("string"))
+    own = lambda c: F.concat(F.lit("="), F.col(c).cast("string"))
+    standing = left.withColumn("_under", F.explode(F.array_compact(F.array(own(key), salt))))
+    copies = F.transform(F.sequence(F.lit(0), F.lit(GLOBAL_COPIES - 1)), lambda i: F.concat(F.lit("*"), i.cast("string")))
+    places = F.when(is_group_row, F.array_compact(F.array(own(key)))).otherwise(copies)
+    under = right.select(*values, F.explode(places).alias("_under"))
+    return standing.join(under, "_under").select(*left.columns, *values)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from revtrellis.functions.dates import as_date, days_between, minutes_between, month_end, period_month, quarter_end, quarter_start
 from revtrellis.functions.numbers import count_if, coverage, inverse_mean, lookup, safe_divide, sum_if, zero_if_null
 from revtrellis.functions.text import any_like
-from revtrellis.operators.joins import join_group_or_global
+from revtrellis.operators.joins import join_group_or_global, left_join_nullable
 from revtrellis.operators.sets import union_all
 from revtrellis.operators.windows import latest_per_key
 from revtrellis.params import fixed_values as V
@@ -84,45 +84,105 @@ def to_long(df: DataFrame, metrics: dict[str, str], rep: str = "rep_name", month
     return rows.select("rep_name", "month_date", "_p.*").filter(F.col("value").isNotNull())
 
 
-def _by_sender(rows: DataFrame, users: DataFrame, field: str) -> DataFrame:
-    names = users.select(F.col("user_id").alias("_uid"), F.col("name").alias("rep_name"))
-    return rows.withColumn("_uid", F.col(f"{field}.id")).join(names, "_uid")
+def _tally(rows: DataFrame, who: Column, month: Column, key: str, total: Column | None = None, n: Column | None = None, hits: Column | None = None, opps: Column | None = None) -> DataFrame:
+    """Rows of one activity source per actor and month, in the form of the activity stream."""
+    sums = {"total": (total, "double"), "n": (F.count("*") if n is None else n, "long"), "hits": (hits, "long"), "opps": (opps, "long")}
+    out = rows.groupBy(who.alias("who"), month.alias("month_date"), F.lit(key).alias("key"), F.lit(None).cast("string").alias("guest"))
+    return out.agg(*[(F.lit(None) if v is None else v).cast(kind).alias(name) for name, (v, kind) in sums.items()])
 
 
-def emails(rows: DataFrame, users: DataFrame) -> DataFrame:
-    n = F.count("*")
-    return _by_sender(rows, users, "sender").groupBy(month_end("created_date").alias("month_date"), "rep_name").agg(
-        n.alias("emails_sent"),
-        safe_divide(count_if(F.col("view_tracking")), n).alias("email_open_rate"),
-        safe_divide(count_if(F.col("counts.replies") > 0), n).alias("email_response_rate"),
+def _who(kind: str, value: str) -> Column:
+    return F.concat(F.lit(f"{kind}:"), F.col(value).cast("string"))
+
+
+def email_events(rows: DataFrame) -> DataFrame:
+    return _tally(rows, _who("id", "sender.id"), month_end("created_date"), "email", hits=count_if(F.col("view_tracking")), opps=count_if(F.col("counts.replies") > 0))
+
+
+def call_events(rows: DataFrame) -> DataFrame:
+    connected, interested = count_if(F.col("disposition") == "Connected"), count_if(F.col("sentiment") == "Interested")
+    return _tally(rows, _who("id", "sender.id"), month_end("created_date"), "call", hits=connected, opps=interested)
+
+
+def cadence_events(cadences: DataFrame) -> DataFrame:
+    return _tally(cadences, _who("id", "owner.id"), month_end("created_date"), "cadence", hits=F.sum("counts.meetings_booked"), opps=F.sum("counts.people_acted_on"))
+
+
+def talk_events(conversations: DataFrame) -> DataFrame:
+    return _tally(conversations, _who("guid", "user_guid"), month_end("created_date"), "talk", total=F.sum(F.col("duration_ms") / 60000))
+
+
+def meeting_events(meetings: DataFrame, cadences: DataFrame | None = None, kinds: tuple[str, ...] = ("show", "minutes", "accepted")) -> DataFrame:
+    """Kept meetings by calendar, minutes by the owner of the cadence, and accepted guests: one read of the meetings."""
+    rows = meetings
+    tags = []
+    none = F.lit(None).cast("string")
+
+    def tag(who: Column, month: Column, key: str, guest: Column = none, minutes: Column = F.lit(None).cast("long"), hit: Column = F.lit(None).cast("long")) -> Column:
+        return F.struct(who.alias("who"), month.alias("month_date"), F.lit(key).alias("key"), guest.alias("guest"), minutes.cast("long").alias("minutes"), hit.cast("long").alias("hit"))
+
+    calendar = _who("email", "calendar_id")
+    if "show" in kinds:
+        tags.append(F.array(tag(calendar, month_end("created_date"), "show", hit=F.when(~F.col("no_show"), 1))))
+    if "minutes" in kinds:
+        owners = cadences.select(F.col("id").alias("_cadence"), _who("id", "owner.id").alias("_owner"))
+        rows = rows.withColumn("_cadence", F.col("cadence.id")).join(owners, "_cadence", "left")
+        tags.append(F.array(tag(F.col("_owner"), month_end("start_time"), "minutes", minutes=minutes_between("end_time", "start_time"))))
+    if "accepted" in kinds:
+        accepted = F.filter(F.coalesce("attendees", F.array().cast(meetings.schema["attendees"].dataType)), lambda a: a["status"] == "accepted")
+        tags.append(F.transform(accepted, lambda a: tag(calendar, month_end("start_time"), "accepted", guest=a["email"])))
+    events = rows.select(F.explode(F.concat(*tags)).alias("_e")).select("_e.*").filter(F.col("who").isNotNull())
+    return events.groupBy("who", "month_date", "key", "guest").agg(
+        F.sum("minutes").cast("double").alias("total"), F.when(F.col("key") == "minutes", F.count("minutes")).otherwise(F.count("*")).alias("n"), F.count("hit").alias("hits"), F.lit(None).cast("long").alias("opps")
     )
 
 
+def activity_keys(events: list[DataFrame], users: DataFrame) -> DataFrame:
+    """The activity stream in the form of ``fact_keys``: all sources are reduced per actor, then meet the users once.
+
+    A guest only counts if it is the actor's manager.
+    """
+    stream = union_all(events)
+    names = users.select(
+        F.explode(F.array(_who("id", "user_id"), _who("email", "email"), _who("guid", "guid"))).alias("who"), F.col("name").alias("rep_name"), "manager_name"
+    ).filter(F.col("who").isNotNull())
+    rows = stream.join(names, "who")
+    managers = users.filter(F.col("email").isNotNull()).groupBy(F.col("email").alias("guest"), F.col("name").alias("manager_name")).agg(F.count("*").alias("_managers"))
+    rows = left_join_nullable(rows, managers, ["guest", "manager_name"], ["who", "month_date"])
+    rows = rows.filter((F.col("key") != "accepted") | F.col("_managers").isNotNull()).withColumn("n", F.col("n") * F.coalesce("_managers", F.lit(1)))
+    return rows.groupBy("rep_name", "month_date", "key").agg(*[F.sum(c).alias(c) for c in ("total", "n", "hits", "opps")])
+
+
+def _shown(keys: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    return keys.select("month_date", "rep_name", *[v.alias(k) for k, v in columns.items()])
+
+
+def emails(rows: DataFrame, users: DataFrame) -> DataFrame:
+    n = F.col("n")
+    return _shown(activity_keys([email_events(rows)], users), {"emails_sent": n, "email_open_rate": safe_divide(F.col("hits"), n), "email_response_rate": safe_divide(F.col("opps"), n)})
+
+
 def calls(rows: DataFrame, users: DataFrame) -> DataFrame:
-    n, interested = F.count("*"), count_if(F.col("sentiment") == "Interested")
-    return _by_sender(rows, users, "sender").groupBy(month_end("created_date").alias("month_date"), "rep_name").agg(
-        n.alias("calls_sent"),
-        safe_divide(count_if(F.col("disposition") == "Connected"), n).alias("calls_response_rate"),
-        interested.alias("calls_interested"),
-        safe_divide(interested, n).alias("call_interest_rate"),
-    )
+    n, interested = F.col("n"), F.col("opps")
+    shown = {"calls_sent": n, "calls_response_rate": safe_divide(F.col("hits"), n), "calls_interested": interested, "call_interest_rate": safe_divide(interested, n)}
+    return _shown(activity_keys([call_events(rows)], users), shown)
 
 
 def appointments(cadences: DataFrame, users: DataFrame) -> DataFrame:
-    return _by_sender(cadences, users, "owner").groupBy(month_end("created_date").alias("month_date"), "rep_name").agg(
-        safe_divide(F.sum("counts.meetings_booked"), F.sum("counts.people_acted_on")).alias("value")
-    )
+    return _shown(activity_keys([cadence_events(cadences)], users), {"value": safe_divide(F.col("hits"), F.col("opps"))})
 
 
 def show_rate(meetings: DataFrame, users: DataFrame) -> DataFrame:
-    named = meetings.join(users.select(F.col("email").alias("calendar_id"), F.col("name").alias("rep_name")), "calendar_id")
-    return named.groupBy(month_end("created_date").alias("month_date"), "rep_name").agg(safe_divide(count_if(~F.col("no_show")), F.count("*")).alias("value"))
+    return _shown(activity_keys([meeting_events(meetings, kinds=("show",))], users), {"value": safe_divide(F.col("hits"), F.col("n"))})
 
 
 def meeting_minutes(meetings: DataFrame, cadences: DataFrame, users: DataFrame) -> DataFrame:
-    owners = _by_sender(cadences, users, "owner").select(F.col("id").alias("cadence_id"), "rep_name")
-    rows = meetings.withColumn("cadence_id", F.col("cadence.id")).join(owners, "cadence_id")
-    return rows.groupBy(month_end("start_time").alias("month_date"), "rep_name").agg(F.avg(minutes_between("end_time", "start_time")).alias("value"))
+    return _shown(activity_keys([meeting_events(meetings, cadences, ("minutes",))], users), {"value": safe_divide(F.col("total"), F.col("n"))})
+
+
+def manager_accepted(meetings: DataFrame, users: DataFrame) -> DataFrame:
+    """Meetings whose accepted attendee is the rep's manager."""
+    return _shown(activity_keys([meeting_events(meetings, kinds=("accepted",))], users), {"value": F.col("n")})
 
 
 def actual_facts(fact: DataFrame, metrics: list[str], value_types: list[str], dataset: str = "Actuals") -> DataFrame:
@@ -346,15 +406,6 @@ def product_mix(fact: DataFrame) -> DataFrame:
     return distinct_share(rows, {k: F.col("product_name") == v for k, v in PRODUCTS.items()})
 
 
-def manager_accepted(meetings: DataFrame, users: DataFrame) -> DataFrame:
-    """Meetings whose accepted attendee is the rep's manager."""
-    reps = users.select(F.col("email").alias("calendar_id"), F.col("name").alias("rep_name"), "manager_name")
-    guests = users.select(F.col("email").alias("_email"), F.col("name").alias("manager_name"))
-    rows = meetings.withColumn("_a", F.explode("attendees")).filter(F.col("_a.status") == "accepted").withColumn("_email", F.col("_a.email"))
-    rows = rows.join(reps, "calendar_id").join(guests, ["_email", "manager_name"])
-    return rows.groupBy(month_end("start_time").alias("month_date"), "rep_name").agg(F.count("*").alias("value"))
-
-
 # ---------------------------------------------------------------- one pass over the metric fact
 
 
@@ -396,6 +447,7 @@ def fact_parts(as_of: date) -> dict[str, FactPart]:
         "open_age": FactPart(sal, count, period="qualified", value=days_between(as_date(as_of), "qualified_date")),
         "win_rate": FactPart(("Closed Won", "Closed Lost"), count, hit=F.col("metric") == "Closed Won"),
         "unified": FactPart(won, count, hit=F.col("is_unified")),
+        "partner": FactPart(won, count),
         "contract": FactPart(won, count, value=term),
     }
     for k, v in PRODUCTS.items():
@@ -409,11 +461,12 @@ def fact_parts(as_of: date) -> dict[str, FactPart]:
     return parts
 
 
-def fact_keys(fact: DataFrame, as_of: date, snapshot: date) -> DataFrame:
+def fact_keys(fact: DataFrame, as_of: date, snapshot: date, relationships: DataFrame) -> DataFrame:
     """Sums, means and distinct shares of all keys, from a single read of the metric fact.
 
     A row is expanded to the keys it belongs to and reduced per opportunity first: distinct counts
-    become sums, and an owner with very many rows is spread over many tasks.
+    become sums, and an owner with very many rows is spread over many tasks. The opportunities with a co-selling partner
+    are met after that, by key and opportunity.
     """
     parts = fact_parts(as_of)
     kinds: dict[tuple[str, str, str], list[str]] = {}
@@ -445,13 +498,16 @@ def fact_keys(fact: DataFrame, as_of: date, snapshot: date) -> DataFrame:
         if p.hit is not None:
             hit = F.when(key == k, p.hit.cast("int")).otherwise(hit)
     # Only shares of distinct opportunities need the opportunity; sums shrink to few rows before the shuffle without it.
-    counted = F.when(key.isin(*named(lambda p: p.hit is not None)), F.col("opportunity_id"))
+    counted = F.when(key.isin("partner", *named(lambda p: p.hit is not None)), F.col("opportunity_id"))
     rows = rows.select(
         F.col("opportunity_owner").alias("rep_name"), "key", period.alias("month_date"), value.alias("value"), F.coalesce(hit, F.lit(0)).alias("hit"), counted.alias("opportunity_id")
     )
     per_opp = rows.groupBy("rep_name", "month_date", "key", "opportunity_id").agg(
         F.sum("value").alias("total"), F.count("value").alias("n"), F.max("hit").alias("hit")
     )
+    coselling = relationships.filter("is_coselling").select("opportunity_id").distinct().withColumns({"key": F.lit("partner"), "_partner": F.lit(1)})
+    per_opp = left_join_nullable(per_opp, coselling, ["opportunity_id", "key"], ["rep_name", "month_date", "key"])
+    per_opp = per_opp.withColumn("hit", F.when(key == "partner", F.coalesce("_partner", F.lit(0))).otherwise(F.col("hit")))
     known = F.col("opportunity_id").isNotNull()
     return per_opp.groupBy("rep_name", "month_date", "key").agg(
         F.sum("total").alias("total"), F.sum("n").alias("n"), F.sum(F.when(known, F.col("hit"))).alias("hits"), F.count(F.when(known, 1)).alias("opps")
@@ -473,18 +529,20 @@ def quota_keys(attainment_rows: DataFrame, workers: DataFrame) -> DataFrame:
     return rows.groupBy("rep_name", "month_date", "key").agg(F.sum("quota").alias("total"), none.alias("n"), none.alias("hits"), none.alias("opps"))
 
 
-def talk_keys(conversations: DataFrame, users: DataFrame) -> DataFrame:
-    """Conversation minutes in the form of ``fact_keys``."""
-    names = users.select(F.col("guid").cast("string").alias("user_guid"), F.col("name").alias("rep_name"))
-    none = F.lit(None).cast("long")
-    return conversations.join(names, "user_guid").groupBy("rep_name", month_end("created_date").alias("month_date"), F.lit("talk").alias("key")).agg(
-        F.sum(F.col("duration_ms") / 60000).alias("total"), F.count("*").alias("n"), none.alias("hits"), none.alias("opps")
-    )
-
-
 def _value_forms() -> list[tuple[str, str, str]]:
     """(metric, key or value kind, form) of every metric that comes from the keys."""
     out = [
+        ("1a. Emails Sent", "email", "count"),
+        ("1b. Email Open Rate", "email", "hit_rate"),
+        ("1c. Response Rate - Email", "email", "opp_rate"),
+        ("1a. Calls Sent", "call", "count"),
+        ("1c. Response Rate - Call", "call", "hit_rate"),
+        ("1k. Total Call interested", "call", "opps"),
+        ("1k. Call Interest Rate", "call", "opp_rate"),
+        ("1d. Appointments booked responses", "cadence", "share"),
+        ("1e. Show rate", "show", "hit_rate"),
+        ("1f. Average meeting time (hr)", "minutes", "mean"),
+        ("2i. Meetings Accepted by Manager", "accepted", "count"),
         ("1g. Created Opps", "created", "total"),
         ("2b. Talk-to-Meeting Conversion Rate", "talk", "talk"),
         ("2c. Multi vs Single Yr Deals - Open Pipe", "multi_open", "share"),
@@ -493,6 +551,7 @@ def _value_forms() -> list[tuple[str, str, str]]:
         ("2h. Average Age - Open Pipe", "open_age", "inverse_mean"),
         ("3a. Win Rate", "win_rate", "share"),
         ("3d. Unified Commerce Exposure", "unified", "share"),
+        ("3e. Partner attach", "partner", "share"),
         ("3g. Multi vs Single Yr Deals - Closed Won", "multi_won", "share"),
         ("3h. Contract Length", "contract", "rounded_mean"),
         ("3i. Product Mix Capital", "mix_capital", "share"),
@@ -554,6 +613,11 @@ def fact_values(keys: DataFrame, as_of: date, snapshot: date) -> DataFrame:
     others = {
         "total": e.getField("total"),
         "share": safe_divide(e.getField("hits"), e.getField("opps")),
+        "count": e.getField("n"),
+        "opps": e.getField("opps"),
+        "hit_rate": safe_divide(e.getField("hits"), e.getField("n")),
+        "opp_rate": safe_divide(e.getField("opps"), e.getField("n")),
+        "mean": mean,
         "inverse_mean": inverse_mean(mean),
         "rounded_mean": F.round(mean, 2),
         "talk": safe_divide(e.getField("total"), created_total * e.getField("n")),
@@ -606,21 +670,15 @@ def all_facts(source, as_of: date, snapshot: date, tiers: list[str]) -> DataFram
     """Every metric of the sheet as long rows. One row per (rep, month, metric)."""
     t = source.table
     users, workers, activity = t("crm_user"), t("hr_worker"), t("account_activity")
-    keys = union_all([fact_keys(t("fact_metric"), as_of, snapshot), quota_keys(t("hr_quota"), workers), talk_keys(t("act_conversation"), users)])
+    events = [email_events(t("act_email")), call_events(t("act_call")), cadence_events(t("act_cadence")), talk_events(t("act_conversation")), meeting_events(t("act_meeting"), t("act_cadence"))]
+    keys = union_all([fact_keys(t("fact_metric"), as_of, snapshot, t("partner_relationship")), quota_keys(t("hr_quota"), workers), activity_keys(events, users)])
     parts = [
         fact_values(keys, as_of, snapshot),
-        to_long(emails(t("act_email"), users), {"emails_sent": "1a. Emails Sent", "email_open_rate": "1b. Email Open Rate", "email_response_rate": "1c. Response Rate - Email"}),
-        to_long(calls(t("act_call"), users), {"calls_sent": "1a. Calls Sent", "calls_response_rate": "1c. Response Rate - Call", "calls_interested": "1k. Total Call interested", "call_interest_rate": "1k. Call Interest Rate"}),
-        to_long(appointments(t("act_cadence"), users), {"value": "1d. Appointments booked responses"}),
-        to_long(show_rate(t("act_meeting"), users), {"value": "1e. Show rate"}),
-        to_long(meeting_minutes(t("act_meeting"), t("act_cadence"), users), {"value": "1f. Average meeting time (hr)"}),
         book_values(t("account_snapshot"), t("territory_rep"), activity, tiers),
         to_long(meetings_recorded(t("act_recorded_meeting")), {"recorded": "2a. Total Meetings Recorded", "meetings": "99f. Total Meetings"}),
-        to_long(unified_partner(t("fact_metric"), t("partner_relationship")), {"partner_share": "3e. Partner attach"}),
         to_long(follow_up(activity), {"value": "2e. Follow-Up Rate"}),
         stage_values(t("fact_stage"), t("crm_opportunity")),
-        to_long(manager_accepted(t("act_meeting"), users), {"value": "2i. Meetings Accepted by Manager"}),
-    ]
+    ]
     return union_all(parts)
 
 

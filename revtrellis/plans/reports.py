@@ -43,6 +43,7 @@ PARTNER_AMER = FunnelSpec(
     restate_to=date(2024, 1, 25),
     enriched_after=date(2024, 2, 6),
     with_enriched=True,
+    needs_campaigns=True,
 )
 PARTNER_EMEA = FunnelSpec(
     opportunities_from=date(2024, 1, 1),

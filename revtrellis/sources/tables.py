@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 class TableSource(Protocol):
@@ -48,3 +49,47 @@ def scan(source: TableSource, name: str, *columns: str) -> DataFrame:
     """Read a named table, only the given columns."""
     df = source.table(name)
     return df.select(*columns) if columns else df
+
+
+class SchemaError(ValueError):
+    """A table does not have the columns that are declared for it."""
+
+
+def schema_problems(df: DataFrame, declared: T.StructType) -> list[str]:
+    """Missing and retyped columns. More columns are allowed, and so is a column that never is null where nulls are."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+    out = []
+    for field in declared.fields:
+        if field.name not in have:
+            out.append(f"{field.name} is missing")
+        elif have[field.name].simpleString() != field.dataType.simpleString():
+            out.append(f"{field.name} is {have[field.name].simpleString()}, not {field.dataType.simpleString()}")
+    return out
+
+
+class CheckedSource:
+    """A source whose tables are held against declared schemas when they are opened, before any job runs.
+
+    Only the declared columns are returned, so a report cannot come to depend on others.
+    """
+
+    def __init__(self, source: TableSource, schemas: Mapping[str, T.StructType]):
+        self.spark, self.source, self.schemas = source.spark, source, dict(schemas)
+
+    def table(self, name: str) -> DataFrame:
+        df = self.source.table(name)
+        declared = self.schemas.get(name)
+        if declared is None:
+            return df
+        if problems := schema_problems(df, declared):
+            raise SchemaError(f"{name}: {'; '.join(problems)}")
+        return df.select(*declared.fieldNames())
+
+    def check(self, *names: str) -> None:
+        """All problems of the named tables (of all declared ones by default) at once."""
+        found = {}
+        for name in names or sorted(self.schemas):
+            if problems := schema_problems(self.source.table(name), self.schemas[name]):
+                found[name] = problems
+        if found:
+            raise SchemaError("; ".join(f"{name}: {', '.join(p)}" for name, p in found.items()))
