@@ -5,7 +5,7 @@ a similarity (intersection over union) of at least `similarity` are linked.
 
 1. One pass over the texts gives each document the size and a fingerprint of its set, `bands` keys of `rows` minima
    each, and the signature: the low `BITS` bits of all minima, packed.
-2. Documents with equal sets share a representative. Only representatives go on, so copies cost nothing.
+2. Documents with equal sets share a vertex. Only one row of each goes on, so copies cost nothing.
 3. Documents with a band key in common are candidates. Each bucket ties its documents to its smallest one; the connected
    sets of these ties contain every candidate pair. With 48 bands of 5 minima a pair of similarity 0.75 shares no key
    once in 440,000 times.
@@ -17,8 +17,8 @@ a similarity (intersection over union) of at least `similarity` are linked.
 5. Components of the confirmed links; copies follow their representative.
 
 Defined results: null, empty and blank texts have an empty set, are linked with nothing and are their own component;
-fewer words than a shingle make one shingle; rows with one id are one vertex of the links; a null id has a null
-component and is kept.
+fewer words than a shingle make one shingle; rows with one id and different texts are linked with each other, so the id has
+one component, that of all its texts; a null id has a null component and is kept.
 """
 
 from __future__ import annotations
@@ -42,6 +42,7 @@ BITS = 4
 PART = 128
 CENTRAL = 8
 DEVIATIONS = 6.0
+FRESH = 1 << 62  # names of sets begin here that no id has alone; ids are smaller
 
 _RANDOM = np.random.Generator(np.random.PCG64(77))
 _XOR = _RANDOM.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32)[:, None]
@@ -102,10 +103,17 @@ def estimate_floor(percent: int = PERCENT) -> float:
     return percent / 100 - DEVIATIONS * (p * (1 - p) / (BANDS * ROWS)) ** 0.5 / (1 - chance)
 
 
+_SECOND = np.uint64(0x9FB21C651E98DF25)
+
+
+def fingerprint(shingles: np.ndarray) -> tuple[int, int]:
+    """128 bits of a set."""
+    return int(mix(shingles).sum(dtype=np.uint64).view(np.int64)), int(mix(shingles ^ _SECOND).sum(dtype=np.uint64).view(np.int64))
+
+
 def signatures(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS) -> DataFrame:
     """doc_id, n_shingles, print_a and print_b (fingerprint of the set, null if empty), keys, signature."""
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    second = np.uint64(0x9FB21C651E98DF25)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -114,8 +122,8 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS)
                 sizes.append(len(s))
                 if len(s):
                     low = minima(s)
-                    a.append(int(mix(s).sum(dtype=np.uint64).view(np.int64)))
-                    b.append(int(mix(s ^ second).sum(dtype=np.uint64).view(np.int64)))
+                    for x, half in zip((a, b), fingerprint(s)):
+                        x.append(half)
                     keys.append(band_keys(low).view(np.int64))
                     packed.append(signature(low))
                 else:
@@ -197,15 +205,16 @@ def _confirm(percent: int, floor: float):
 
 
 def _with_sets(docs: DataFrame, words: int) -> DataFrame:
-    """The rows (doc_id, component, signature, text, ...) with their shingle sets instead of texts."""
-    keep = [c for c in docs.columns if c != "text"]
-    at = docs.columns.index("text")
+    """The rows (doc_id, component, signature, print_a, print_b, text, ...) with their shingle sets instead of texts, if the set has that fingerprint."""
+    keep = [c for c in docs.columns if c not in ("text", "print_a", "print_b")]
     schema = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in keep) + ", shingles binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            sets = [s.tobytes() for s in shingle_sets([t.encode() for t in batch.column(at).to_pylist()], words)]
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array(sets, pa.binary())], names=[*keep, "shingles"])
+            prints = list(zip(batch.column("print_a").to_pylist(), batch.column("print_b").to_pylist()))
+            sets = [s if len(s) and fingerprint(s) == p else None for s, p in zip(shingle_sets([t.encode() if t else b"" for t in batch.column("text").to_pylist()], words), prints)]
+            out = pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array([s if s is None else s.tobytes() for s in sets], pa.binary())], names=[*keep, "shingles"])
+            yield out.filter(pa.array([s is not None for s in sets]))
 
     return docs.mapInArrow(run, schema)
 
@@ -216,10 +225,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     signed = written(signatures(picked, "doc_id", "text", words), "signatures")
     full = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    representatives = written(full.groupBy("print_a", "print_b").agg(F.min("doc_id").alias("doc_id")), "representatives")
+    # A set is a vertex, named by the smallest id that has no other set. Sets whose ids all have others get a name of their own
+    # beyond the ids, and ids with several sets are tied to each of them.
+    prints = ["print_a", "print_b"]
+    own = F.struct(*prints)
+    forked = written(full.groupBy("doc_id").agg(F.min(own).alias("low"), F.max(own).alias("high")).filter("low <> high").select("doc_id"), "forked")
+    single = full.join(forked, "doc_id", "left_anti")
+    several = full.join(forked, "doc_id", "left_semi").select("doc_id", "n_shingles", *prints, "keys", "signature")
+    named = single.select("doc_id", *prints).unionByName(several.select(F.lit(None).cast("bigint").alias("doc_id"), *prints))
+    fresh = F.lit(FRESH) + F.pmod(F.xxhash64(*prints), F.lit(FRESH - 1))
+    representatives = written(named.groupBy(*prints).agg(F.min("doc_id").alias("doc_id")).select(*prints, F.coalesce("doc_id", fresh).alias("doc_id"), F.col("doc_id").isNull().alias("fresh")), "representatives")
+    vertex = F.col("doc_id").alias("vertex")
+    nameless = several.join(representatives.filter("fresh").select(*prints, vertex), prints)
+    vertices = single.join(representatives, ["doc_id", *prints], "left_semi").select(vertex, F.col("doc_id").alias("source"), *prints, "keys", "signature").unionByName(
+        nameless.select("vertex", F.col("doc_id").alias("source"), *prints, "keys", "signature")
+    )
+    tied = several.join(representatives.select(*prints, vertex), prints).select(F.col("doc_id").alias("a"), F.col("vertex").alias("b")).distinct()
 
     # Candidates: ties of the documents of a bucket to its smallest.
-    chosen = full.join(representatives, ["doc_id", "print_a", "print_b"], "left_semi").select("doc_id", F.explode("keys").alias("key"))
+    chosen = vertices.select(F.col("vertex").alias("doc_id"), F.explode("keys").alias("key"))
     shared = written(chosen.groupBy("key").agg(F.min("doc_id").alias("smallest"), F.count("*").alias("n"), F.max("doc_id").alias("largest")).filter("smallest < largest"), "buckets")
     ties = written(chosen.join(shared, "key").groupBy("doc_id", "smallest").agg(F.sum("n").alias("weight")), "ties")
     # A document is tied to the lowest of its smallest ones and these to each other: the latter ties are few, as near
@@ -232,13 +256,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sizes = candidates.groupBy("component").agg(F.count("*").alias("size")).withColumn("parts", F.ceil(F.col("size") / part).cast("int"))
     weights = ties.groupBy("doc_id").agg(F.sum("weight").alias("weight"))
     placed = candidates.withColumnRenamed("id", "doc_id").join(sizes, "component").join(weights, "doc_id", "left")
-    signs = full.join(representatives, ["doc_id", "print_a", "print_b"], "left_semi").groupBy("doc_id").agg(F.first("signature").alias("signature"))
+    # Rows of one set have one signature; any of their ids leads to a text with that set.
+    signs = vertices.groupBy(F.col("vertex").alias("doc_id"), *prints).agg(F.min("signature").alias("signature"), F.min("source").alias("source"))
     described = placed.join(signs, "doc_id")
-    texts = picked.filter(F.col("doc_id").isNotNull())
-    # Rows with one id may have several texts; the first with a set stands for the vertex.
-    sets = written(
-        _with_sets(described.join(texts, "doc_id").filter(F.trim(F.col("text")) != ""), words).filter(F.length("shingles") > 0).dropDuplicates(["doc_id"]), "sets"
-    )
+    texts = picked.filter(F.col("doc_id").isNotNull()).withColumnRenamed("doc_id", "source")
+    sets = written(_with_sets(described.join(texts, "source").drop("source"), words).dropDuplicates(["doc_id"]), "sets")
     n = 4 * partitions(spark)
     of_part = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("parts")).cast("int")
 
@@ -275,9 +297,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         hosts = large.join(rounds, "component").withColumn("part", of_part).withColumn("guest", F.lit(False))
         links = links.unionByName(written(confirmed(hosts.select(*columns).unionByName(visitors.select(*columns))), "links"))
 
-    labels = components(links)
+    labels = components(links.unionByName(tied))
     of_print = representatives.join(labels, representatives.doc_id == labels.id, "left").select("print_a", "print_b", F.coalesce("component", "doc_id").alias("component"))
-    # An id with several texts is one vertex: its component is the smallest of them.
     of_print = written(of_print, "components")
     with_set = full.select("doc_id", "n_shingles", "print_a", "print_b").join(of_print, ["print_a", "print_b"]).select("doc_id", "n_shingles", F.col("component").alias("component_id"))
     without = signed.filter("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))

@@ -248,3 +248,78 @@ def test_op13(spark, testdata, duck):
     docs = duck.execute("SELECT doc_id, text FROM documents").fetchall()
     sequences, total = check_packing(QUERIES["op13_packing"](spark, testdata).collect(), docs, 2048, 0)
     assert sequences <= 1.01 * total / 2048 + 1
+
+
+# ---------------------------------------------------------------- near-duplicates and pipeline with repeated ids
+
+
+def near_by_rows(rows, percent=75):
+    """(id, set size, component) per row: rows are linked by their sets, and by a common id."""
+    sets = [brute.shingles(t) for _, t in rows]
+    up = list(range(len(rows)))
+
+    def top(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i, (a, s) in enumerate(rows):
+        for j in range(i):
+            both = len(s_ := sets[i] & sets[j])
+            near = both and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both)
+            if a is not None and rows[j][0] is not None and sets[i] and sets[j] and (near or a == rows[j][0]):
+                up[top(i)] = top(j)
+    least = {}
+    for i, (a, _) in enumerate(rows):
+        if a is not None:
+            least[top(i)] = min(a, least.get(top(i), a))
+    return [(a, len(sets[i]), least[top(i)] if a is not None else None) for i, (a, _) in enumerate(rows)]
+
+
+def text_of(rng, n=40):
+    return [rng.choice("abcdefghijklmnopqrstuvwxyz") * rng.randint(1, 3) for _ in range(n)]
+
+
+def test_rows_of_one_id_are_linked(spark):
+    from revtrellis.llm import minhash
+
+    rng = random.Random(6)
+    a, b = text_of(rng), text_of(rng)
+    near = lambda w: [*w[:-1], "changed"]
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, " ".join(near(a))), (3, " ".join(near(b)))]
+    assert {r.component_id for r in minhash.near_duplicates(table(spark, rows)).collect()} == {1}
+    base = [text_of(rng) for _ in range(12)]
+    many = []
+    for _ in range(160):
+        words = list(rng.choice(base))
+        for _ in range(rng.randint(0, 2)):
+            words[rng.randrange(len(words))] = "new" + str(rng.randint(0, 5))
+        many.append((rng.randint(0, 90), " ".join(words)))
+    many += [(200, None), (200, " ".join(base[0])), (201, ""), (201, ""), (None, " ".join(base[1])), (5, many[3][1])]
+    got = minhash.near_duplicates(table(spark, many), part=8).select("doc_id", "n_shingles", "component_id").collect()
+    expected = near_by_rows(many)
+    # Rows without a set have no links, but stand under their id's component only if alone; compare those with a set.
+    same([r for r in got if r.n_shingles], [r for r in expected if r[1]])
+
+
+def test_pipeline_on_odd_rows(spark, tmp_path):
+    """Null, repeated and clashing rows through all stages."""
+    import corpus_pipeline
+    from revtrellis.llm.common import written
+
+    rng = random.Random(8)
+    clean = [(i, " ".join(text_of(rng)), "en", "web", 5) for i in range(30)]
+    odd = [(None, "no id " * 9, None, None, None), (None, "no id " * 9, None, None, None), (50, None, "en", "web", 0), (50, " ".join(text_of(rng)), "en", "web", 1), (50, " ".join(text_of(rng)), "en", "web", 1)]
+    odd += [clean[0], clean[0], (60, "", "en", "web", 0), (61, "mail me at someone@example.org", "en", "web", 9), (62, clean[1][1], "en", "web", 9)]
+    docs = spark.createDataFrame(clean + odd, "doc_id long, text string, lang string, source string, n_chars long").withColumns({"score": F.lit("x"), "component": F.lit(1), "n_tokens": F.lit(None).cast("int")})
+    folder = str(tmp_path)
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([("i", "ten words that no document here holds in this very order")], "item_id string, text string").write.parquet(f"{folder}/benchmark.parquet")
+    counts = []
+    for name, stage in corpus_pipeline.STAGES:
+        docs = written(stage(spark, docs, folder), f"odd-{name}")
+        counts.append((name, docs.count()))
+    ids = Counter(r.doc_id for r in docs.collect())
+    # Equal rows of an id stay once and a copy under another id goes; two texts of one id and a null one stay.
+    assert counts[0] == ("quality", 40) and counts[-1][1] == 37
+    assert ids[None] == 2 and ids[50] == 3 and ids[0] == 1 and ids[1] == 1 and 62 not in ids and ids[60] == ids[61] == 1
