@@ -4,7 +4,8 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written a
 the last return the columns they got; where a stage changes a text, n_chars follows.
 
 Defined results: rows with a null id go through all stages on their own merits and are never taken for copies; of rows
-with one id the first by text stays; columns beyond those of documents are carried along.
+with one id and equal texts one stays, rows with one id and different texts all stay or go; columns beyond those of
+documents are carried along.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from revtrellis.llm.common import read, ship, written
 from revtrellis.llm.queries import tokenizer_path
 from revtrellis.session import ensure_settings
 
-ORACLE_SQL = None  # no stage but the fourth can be told in SQL
+ORACLE_SQL = None  # the first stage is a trained model, the last one a tokenizer: SQL can express neither
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -34,7 +35,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     copies = written(minhash.near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct(), "copies")
     named = docs.filter(F.col("doc_id").isNotNull()).join(copies, "doc_id", "left_anti").select(*docs.columns)
     place = "_place_of_row"
-    once = named.withColumn(place, F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).filter(F.col(place) == 1).drop(place)
+    once = named.withColumn(place, F.row_number().over(Window.partitionBy("doc_id", "text").orderBy("doc_id"))).filter(F.col(place) == 1).drop(place)
     return once.unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
