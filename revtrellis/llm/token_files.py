@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -152,7 +153,6 @@ class WordTokens(dict):
         # Special tokens may hold or adjoin anything; U+001C to U+001F are white space to Python only.
         self.odd = ["\x1c", "\x1d", "\x1e", "\x1f", *specials]
         self.runs: dict[str, bytes] = {}
-        self.unknown: list[str] = []
 
     def whole(self, text: str) -> bytes:
         return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -171,42 +171,31 @@ class WordTokens(dict):
         for x in new.difference(plain):
             self.runs[x] = self.whole(x)
 
-    def __missing__(self, part: str) -> bytes:
-        self.unknown.append(part)
-        return b""
-
-    def learn(self) -> None:
-        """Encode the parts that were looked up in vain."""
-        for kept, most in ((self, KEPT_PARTS), (self.runs, KEPT_RUNS)):
-            if len(kept) > most:
-                for x in list(kept)[most // 2 :]:
-                    del kept[x]
-        cut = {x: RUNS.findall(x.lower()) if x.isascii() or max(x) <= "\xff" else [x] for x in set(self.unknown)}
+    def learn(self, parts: list[str]) -> None:
+        cut = {x: RUNS.findall(x.lower()) if x.isascii() or max(x) <= "\xff" else [x] for x in parts}
         self.learn_runs({x for r in cut.values() for x in r})
         run = self.runs.__getitem__
         self.update((x, run(r[0]) if len(r) == 1 else b"".join(map(run, r))) for x, r in cut.items())
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Packed ids of the texts. Those with parts not met before are looked up once more after these are learned."""
-        ids = self.__getitem__
-        out, again = [], []
-        self.unknown = []
-        for i, text in enumerate(texts):
-            if any(x in text for x in self.odd):
-                out.append(self.whole(text))
-                continue
-            parts, known = text.split(), len(self.unknown)
-            out.append(b"".join(map(ids, parts)))
-            if len(self.unknown) > known:
-                again.append((i, parts))
-        if again:
-            # What is kept is thinned out before anything is learned, so all parts of these texts are looked up anew.
-            if len(self) > KEPT_PARTS or len(self.runs) > KEPT_RUNS:
-                self.unknown = [x for _, parts in again for x in parts]
-            self.learn()
-            for i, parts in again:
-                out[i] = b"".join(map(ids, parts))
-        return out
+        """Packed ids of the texts. Each part of the batch is looked up once; the ids are put together by its number."""
+        for kept, most in ((self, KEPT_PARTS), (self.runs, KEPT_RUNS)):
+            if len(kept) > most:
+                for x in list(kept)[most // 2 :]:
+                    del kept[x]
+        odd = {i: self.whole(t) for i, t in enumerate(texts) if any(x in t for x in self.odd)}
+        parts = pc.utf8_split_whitespace(pa.array(["" if i in odd else t for i, t in enumerate(texts)], pa.large_string()))
+        coded = parts.flatten().dictionary_encode()
+        words, numbers = coded.dictionary.to_pylist(), np.asarray(coded.indices)
+        self.learn([x for x in words if x not in self])
+        packed = [self[x] for x in words]
+        ids, sizes = np.frombuffer(b"".join(packed), "<u4"), np.array([len(x) // 4 for x in packed], np.int64)
+        starts = np.cumsum(sizes) - sizes
+        n = sizes[numbers]
+        ends = np.append(0, np.cumsum(n))
+        raw = ids[np.repeat(starts[numbers] - ends[:-1], n) + np.arange(ends[-1])].tobytes() if ends[-1] else b""
+        edges = ends[np.asarray(parts.offsets) - parts.offsets[0].as_py()] * 4
+        return [odd[i] if i in odd else raw[a:b] for i, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist()))]
 
 
 @functools.lru_cache(maxsize=2)
