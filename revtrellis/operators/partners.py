@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from revtrellis.functions.dates import as_date, days_between
 from revtrellis.functions.numbers import zero_if_null
 from revtrellis.functions.text import extract_or_null
-from revtrellis.operators.joins import interval_join, interval_minimum, left_join_nullable
+from revtrellis.operators.joins import calendar_interval_join, left_join_nullable
 from revtrellis.operators.sets import union_distinct
 from revtrellis.operators.windows import latest_per_key
 from revtrellis.params import fixed_values as V
@@ -98,16 +98,12 @@ def manager_asof(daily: DataFrame) -> DataFrame:
     return rows.groupBy("partner_id", "on_date").agg(F.coalesce(*per_kind).alias("programme_manager"), (plus == 1).alias("in_plus_programme"))
 
 
-def type2_asof(df: DataFrame, history: DataFrame, key: str, day: str, out: str) -> DataFrame:
+def type2_asof(df: DataFrame, history: DataFrame, key: str, day: str, out: str, as_of: date) -> DataFrame:
     """Attribute valid on a row's day; unmatched rows stay, overlapping periods multiply."""
     spans = history.select(F.col("account_id").alias(key), F.col("manager_name").alias(out), "start_date", "end_date")
-    return interval_join(df, spans, [key], day, "start_date", "end_date", how="left", spread_on=["lead_id"]).drop("start_date", "end_date")
-
-
-def type2_first(df: DataFrame, history: DataFrame, key: str, day: str, out: str) -> DataFrame:
-    """Attribute valid on a row's day, of overlapping periods the first in order; no row is multiplied."""
-    spans = history.select(F.col("account_id").alias(key), "manager_name", "start_date", "end_date")
-    return interval_minimum(df, spans, [key], day, "start_date", "end_date", "manager_name", out, spread_on=["lead_id"])
+    low, high = date(as_of.year - 10, 1, 1), date(as_of.year + 1, 12, 31)
+    joined = calendar_interval_join(df, spans, [key], day, "start_date", "end_date", how="left", unit="year", low=low, high=high, spread_on=["lead_id"])
+    return joined.drop("start_date", "end_date")
 
 
 def payment_partners(partners: DataFrame, pattern: str = "%payment%") -> DataFrame:
@@ -239,7 +235,7 @@ def lead_partner_report(rows: DataFrame, source, as_of: date, bounded: bool = Tr
     """Type-2 owners, programme flags and outcomes; one row per lead and partner.
 
     The row is picked before the histories are joined, because they depend on the lead and partner only;
-    of several overlapping periods the first name in order is chosen per account and day.
+    of several overlapping periods the first name in order is kept.
     """
     one_per = ["lead_id", "partner_id"]
     rows = latest_per_key(rows, one_per, [F.asc_nulls_last("referral_index"), F.asc_nulls_last("shop_id")])
@@ -251,7 +247,8 @@ def lead_partner_report(rows: DataFrame, source, as_of: date, bounded: bool = Tr
     always = {"start_date": F.lit(date(1900, 1, 1)), "end_date": F.lit(date(9999, 12, 31))}
     for table, out in (("partner_developer_history", "_developer"), ("partner_recruiter_history", "_recruiter")):
         history = source.table(table) if bounded else source.table(table).withColumns(always)
-        rows = type2_first(rows, history, "partner_account_id", "created_date", out)
+        rows = type2_asof(rows, history, "partner_account_id", "created_date", out, as_of)
+        rows = latest_per_key(rows, one_per, [F.asc_nulls_last(out)])
     return rows.withColumns(
         {
             "metric_name": F.when(F.col("_through"), "PQL").otherwise("MQL"),
