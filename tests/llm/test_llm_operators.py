@@ -317,6 +317,32 @@ def test_top_k_large_components(spark):
     same([tuple(r) for r in got], expected)
 
 
+def test_top_k_of_unequal_lengths_and_repeats(spark, monkeypatch):
+    monkeypatch.setattr(topk, "QUERY_ROWS", 3)
+    monkeypatch.setattr(topk, "CANDIDATE_ROWS", 5)
+    monkeypatch.setattr(topk, "PAIRS", 7)
+    rng = random.Random(5)
+    rows = [(i, [rng.choice([-2.0, 0.5, 1.0, 4.0]) for _ in range(rng.randint(0, 5))]) for i in range(90)]
+    rows += [(10, [4.0] * 9), (20, [1.0, 1.0]), (20, [1.0, 1.0]), (30, rows[30][1]), (7, rows[7][1])]
+    vectors = topk.integer_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).repartition(3)
+    expected = []
+    for q in sorted({i for i, _ in rows if i % 10 == 0}):
+        pairs = [(-sum(int(256 * a) * int(256 * b) for a, b in zip(v, w)), j) for i, v in rows if i == q for j, w in rows if j != q]
+        expected += [(q, r, j, -s) for r, (s, j) in enumerate(sorted(pairs)[:4], 1)]
+    for chunk_bytes in (topk.CHUNK_BYTES, 700):
+        got, _ = topk.search(vectors, F.col("vec_id") % 10 == 0, k=4, chunk_bytes=chunk_bytes)
+        same([tuple(r) for r in got.collect()], expected)
+
+
+def test_top_k_scores_few_pairs_in_full(spark):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(20, 32))
+    rows = [(i, (centres[i % 20] + 0.05 * rng.normal(size=32)).tolist()) for i in range(2000)]
+    vectors = topk.integer_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).repartition(2)
+    _, share = topk.search(vectors, F.col("vec_id") % 50 == 0)
+    assert 0 < share < 0.2
+
+
 def test_empty_tables(spark):
     empty = table(spark, [])
     items = spark.createDataFrame([], "item_id long, text string")
