@@ -10,10 +10,12 @@ match ended), and repeats do not give back. They match what the plain forms woul
 
 Base kinds and plain forms: email `[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+`; ip, four numbers of at most 255;
 card, 12 to 19 digits with single spaces or dashes between, passing Luhn; phone `\\+[0-9][ ().0-9-]+[0-9]`, 9 to 15 digits.
-Further kind: iban, as long as its country's numbers are (where a code has no length, up to the end of the run of capitals
+Further kinds. secret: a run of 20 or more letters, digits and `_+/=-` with letters, digits and eight different characters at
+least; such a run may be any identifier, so only words before it (token, key, password and the like) lift its score above the
+threshold. key: runs that begin like the access keys of known services. iban, as long as its country's numbers are (where a code has no length, up to the end of the run of capitals
 and digits or the next number), so that what follows a number is not taken for a part of it. Its spans are looked ahead at:
 every start of a word is tried, whatever the words before it look like. Of iban spans that overlap the first stays. Base
-spans are never dropped; of the further ones only those that their checksum confirms stay.
+spans are never dropped; of the further ones only those stay that their validator confirms and that score MIN_SCORE or more.
 
 Defined results: a null text counts as empty and has no spans; repeated rows are scanned each.
 """
@@ -40,6 +42,8 @@ class Kind:
     prior: float
     #: characters a match takes if its span is looked ahead at, as group 1
     takes: int | None = None
+    #: a cheaper pattern that every text with a match holds
+    asks: str = "[0-9]"
 
 
 #: Characters of an account number by country: the IBAN registry, and countries that use the form without being in it.
@@ -68,6 +72,8 @@ _IBAN_CODES = "|".join(_IBAN_LENGTHS.values()).replace(" ", "|")
 #: Codes without a length; the run ends where a number of a country starts.
 _IBAN_OTHERS = f"(?!{_IBAN_CODES})[A-Z]{{2}}[0-9]{{2}}(?:(?: (?!(?:{_IBAN_CODES})[0-9]{{2}}))?[A-Z0-9]){{11,30}}+"
 
+#: A character of a secret.
+_RUN = "[A-Za-z0-9_+/=-]"
 
 KINDS = (
     Kind("email", rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@", True, ("mail", "contact", "write"), 0.8),
@@ -75,9 +81,13 @@ KINDS = (
     Kind("card", r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){11,18}+(?![ -]?[0-9])", "", True, ("card", "visa", "credit", "payment"), 0.6),
     Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", "+", True, ("phone", "tel", "call", "mobile"), 0.7),
     Kind("iban", rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?=((?:{'|'.join([*_IBAN_FORMS, _IBAN_OTHERS])})(?![A-Za-z0-9])))[A-Z]{{2}}", "", False, ("iban", "account", "bank", "transfer"), 0.8, 2),
+    Kind("secret", rf"(?<!{_RUN}){_RUN}{{20,}}+", "", False, ("token", "secret", "passw", "api[ _-]?key", "key", "bearer", "credential"), 0.45, asks=f"{_RUN}{{20}}"),
+    Kind("key", r"(?<![A-Za-z0-9_])(?:AKIA[0-9A-Z]{16}|ghp_[A-Za-z0-9]{36}|xox[abp]-[A-Za-z0-9-]{10,}+)(?![A-Za-z0-9_])", "", False, ("key", "token", "secret"), 0.8, asks="AKIA|ghp_|xox[abp]-"),
 )
 CONTEXT_WINDOW = 48
 CONTEXT_GAIN = 0.15
+#: Spans of the further kinds that score less are left out.
+MIN_SCORE = 0.5
 
 
 def digits(text: Column) -> Column:
@@ -117,11 +127,11 @@ def _valid(kind: str, match: Column) -> Column:
         return F.length(digits(match)).between(9, 15)
     if kind == "iban":
         return F.length(F.regexp_replace(match, " ", "")).between(15, 34) & mod97(match)
+    if kind == "secret":
+        return match.rlike("[0-9]") & match.rlike("[A-Za-z]") & (F.size(F.array_distinct(F.split(match, ""))) >= 8)
     return F.lit(True)
 
 
-
-
 def spans_of(text: Column, kind: Kind) -> Column:
     """Array of (start, end, kind, rank, score) of one kind, in text order; null text: null."""
     ahead = kind.takes is not None
@@ -154,21 +164,21 @@ def spans_of(text: Column, kind: Kind) -> Column:
 
     found = F.transform(placed, span)
     empty = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string,score:double>>")
-    candidate = text.contains(kind.needs) if kind.needs else text.rlike("[0-9]")
+    candidate = text.contains(kind.needs) if kind.needs else text.rlike(kind.asks)
     return F.when(candidate, found).otherwise(empty)
 
 
-def find_spans(docs: DataFrame, text_col: str = "text", out: str = "spans", min_score: float = 0.0) -> DataFrame:
+def find_spans(docs: DataFrame, text_col: str = "text", out: str = "spans", min_score: float = MIN_SCORE) -> DataFrame:
     """The rows with their spans of all kinds, by start and then kind; further kinds below min_score are left out."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     parts = [spans_of(text, k) if k.base else F.filter(spans_of(text, k), lambda s: s["score"] >= min_score) for k in KINDS]
     return docs.withColumn(out, F.array_sort(F.concat(*parts)))
 
 
-def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def redact(docs: DataFrame, text_col: str = "text", min_score: float = MIN_SCORE) -> DataFrame:
     """The rows with every span replaced by its kind in angle brackets. Overlapping spans are merged and take the first one's kind."""
     text = F.col(text_col)
-    found = find_spans(docs, text_col, "_spans")
+    found = find_spans(docs, text_col, "_spans", min_score)
     start = F.struct(F.lit("").alias("text"), F.lit(0).alias("at"))
     joined = F.aggregate(
         F.col("_spans"),
@@ -182,15 +192,16 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return found.withColumn(text_col, F.when(F.size("_spans") > 0, joined).otherwise(text)).drop("_spans")
 
 
-def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: counts per base kind, SHA-256 of the base spans, and all spans, each as kind:start:end."""
+def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_score: float = MIN_SCORE) -> DataFrame:
+    """Per document: counts per base kind, SHA-256 of the base spans, all spans, each as kind:start:end, and their scores in the same order."""
     base = [k.name for k in KINDS if k.base]
     told = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
-    found = find_spans(docs.select(F.col(id_col), F.col(text_col)), text_col, "_found")
+    found = find_spans(docs.select(F.col(id_col), F.col(text_col)), text_col, "_found", min_score)
     count = lambda name: F.size(F.filter("_found", lambda s: s["kind"] == name)).cast("long").alias(f"n_{name}")
     return found.select(
         id_col,
         *[count(name) for name in base],
         F.sha2(told(F.filter("_found", lambda s: s["kind"].isin(base))).cast("binary"), 256).alias("base_sha256"),
         told(F.col("_found")).alias("spans"),
+        F.transform("_found", lambda s: s["score"]).alias("scores"),
     )
