@@ -18,17 +18,22 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revtrellis.llm.common import bucket, ship, slices
 from revtrellis.llm.suffix_automaton import ItemIndex
-from revtrellis.llm.wordhash import LOWER, PUNCTUATION, words_of
+from revtrellis.llm.wordhash import LOWER, PUNCTUATION, Words, words_of
 
 WINDOW = 10
 SHARD_WORDS = 500_000
 MAX_COVERAGE = 0.5
+#: automata a worker keeps between batches
+KEPT = 4
+#: text that is held for one walk through the shards where they are more than that
+GROUP_BYTES = 16 << 20
 
 
 class TestItems:
@@ -67,7 +72,7 @@ class TestItems:
         return any(item[j : j + len(words)] == words for j in range(len(item) - len(words) + 1))
 
 
-@functools.lru_cache(maxsize=4)
+@functools.lru_cache(maxsize=KEPT)
 def _built(shard: Broadcast, window: int) -> TestItems:
     return TestItems(shard.value, window)
 
@@ -93,25 +98,33 @@ class Found:
     spans: list[list[int]]
 
 
+def _add_hits(w: Words, mine: TestItems, difference: np.ndarray, met: dict[int, set[str]]) -> None:
+    """Add the hits of one shard to the words' differences and the documents' items."""
+    ids, starts, stops = mine.index.stretches(w)
+    checked: dict[tuple[int, ...], bool] = {}
+    for a, b in zip(starts.tolist(), stops.tolist()):
+        part = ids[a:b].tolist()
+        for first, last, k in mine.hits(part):
+            key = (k, *part[first:last])
+            if key not in checked:
+                checked[key] = mine.confirmed(k, [w.data[s:e].tobytes() for s, e in zip(w.starts[a + first : a + last], w.ends[a + first : a + last])])
+            if checked[key]:
+                difference[a + first] += 1
+                difference[a + last] -= 1
+                doc = int(np.searchsorted(w.first, a, "right")) - 1
+                met.setdefault(doc, set()).add(mine.names[k])
+
+
 def _find(texts: list[bytes], shards: list[Broadcast], window: int) -> Iterator[Found]:
-    for w in words_of(texts, PUNCTUATION, LOWER):
-        difference = np.zeros(len(w.hashes) + 1, np.int64)
-        met: dict[int, set[str]] = {}
-        for shard in shards:
-            mine = _built(shard, window)
-            ids, starts, stops = mine.index.stretches(w)
-            checked: dict[tuple[int, ...], bool] = {}
-            for a, b in zip(starts.tolist(), stops.tolist()):
-                part = ids[a:b].tolist()
-                for first, last, k in mine.hits(part):
-                    key = (k, *part[first:last])
-                    if key not in checked:
-                        checked[key] = mine.confirmed(k, [w.data[s:e].tobytes() for s, e in zip(w.starts[a + first : a + last], w.ends[a + first : a + last])])
-                    if checked[key]:
-                        difference[a + first] += 1
-                        difference[a + last] -= 1
-                        doc = int(np.searchsorted(w.first, a, "right")) - 1
-                        met.setdefault(doc, set()).add(mine.names[k])
+    groups = list(words_of(texts, PUNCTUATION, LOWER))
+    differences = [np.zeros(len(w.hashes) + 1, np.int64) for w in groups]
+    items: list[dict[int, set[str]]] = [{} for _ in groups]
+    # Shards outermost: each is built once for all the texts, however many there are.
+    for shard in shards:
+        mine = _built(shard, window)
+        for w, difference, met in zip(groups, differences, items):
+            _add_hits(w, mine, difference, met)
+    for w, difference, met in zip(groups, differences, items):
         hit = np.cumsum(difference[:-1]) > 0
         sums = np.append(0, np.cumsum(hit))
         hits = np.diff(sums[w.first]).tolist()
@@ -124,6 +137,23 @@ def _find(texts: list[bytes], shards: list[Broadcast], window: int) -> Iterator[
             yield Found(n_words, hits[i], sorted(x for x in met.get(i, ()) if x is not None), spans)
 
 
+def _groups(batches: Iterator[pa.RecordBatch], text: int, shards: int) -> Iterator[pa.RecordBatch]:
+    """Small batches where a worker keeps the automata of all shards, else groups of about GROUP_BYTES of text, as each group builds them again."""
+    if shards <= KEPT:
+        yield from slices(batches)
+        return
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in slices(batches):
+        held.append(batch)
+        size += pc.sum(pc.binary_length(batch.column(text))).as_py() or 0
+        if size >= GROUP_BYTES:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def scan(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """One row per document: id, n_words, n_hit, `items` (ids of the items with occurring windows, sorted) and `spans` (maximal hit runs as [first byte, last byte) in UTF-8)."""
     ship(docs.sparkSession)
@@ -132,7 +162,7 @@ def scan(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
     kind = picked.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in _groups(batches, 1, len(shards)):
             found = list(_find([t.encode() if t else b"" for t in batch.column(1).to_pylist()], shards, window))
             columns = [pa.array([getattr(f, c) for f in found], t) for c, t in (("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("spans", pa.list_(pa.list_(pa.int64()))))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=[id_col, "n_words", "n_hit", "items", "spans"])
@@ -147,7 +177,7 @@ def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", window: int
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in _groups(batches, at, len(shards)):
             raw = [None if t is None else t.encode() for t in batch.column(at).to_pylist()]
             texts, stay = [], []
             for text, found in zip(raw, _find([t or b"" for t in raw], shards, window)):

@@ -5,6 +5,7 @@ import zlib
 
 import brute_force as brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -136,6 +137,27 @@ def test_benchmark_in_shards(spark, monkeypatch):
     same(decontaminate.digests(table(spark, rows), frame).collect(), brute.benchmark_hits(rows, items))
 
 
+def test_benchmark_shards_are_built_once_a_group(monkeypatch):
+    built = []
+
+    class Sent:
+        def __init__(self, rows):
+            self.value = rows
+
+    class Counted(decontaminate.TestItems):
+        def __init__(self, rows, window):
+            built.append(rows)
+            super().__init__(rows, window)
+
+    monkeypatch.setattr(decontaminate, "TestItems", Counted)
+    shards = [Sent([(i, f"the of x {'the ' * i} of")]) for i in range(decontaminate.KEPT + 3)]
+    texts = pa.table({"text": [t for _, t in random_texts(9, ["the", "of", "x"])] * 40})
+    groups = list(decontaminate._groups(iter(texts.to_batches(max_chunksize=600)), 0, len(shards)))
+    assert len(groups) == 1 and groups[0].num_rows == texts.num_rows > 1200
+    found = list(decontaminate._find([(t or "").encode() for t in groups[0].column(0).to_pylist()], shards, 10))
+    assert len(built) == len(shards) and len(found) == texts.num_rows
+
+
 def test_benchmark_clean(spark):
     item = "one two three four five six seven eight nine ten"
     long = "begin " + "word " * 30
