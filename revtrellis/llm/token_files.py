@@ -28,7 +28,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,6 +42,14 @@ KEPT_PARTS = 500_000
 KEPT_RUNS = 300_000
 #: Fixed value: how the word vocabulary cuts lower-case Latin-1 text; superscripts and fractions are numbers.
 RUNS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\\sa-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
+#: Byte-level vocabularies write the bytes without a visible sign in Latin-1 as the characters from U+0100 on, in their order.
+SIGNS = {byte: 256 + i for i, byte in enumerate([*range(33), *range(127, 161), 173])}
+#: Every character of Latin-1 but white space alone, between letters, and in a row; common endings and numbers.
+PROBES = [
+    *[x for c in map(chr, range(256)) if not c.isspace() for x in (c, f"a{c}b")],
+    "".join(c for c in map(chr, range(256)) if not c.isspace()),
+    *["it's", "I'LL", "they're've", "12x34", "--(a)--", "déjà-vu"],
+]
 
 
 # ---------------------------------------------------------------- blocks
@@ -140,7 +147,8 @@ class WordTokens(dict):
 
     The vocabulary drops white space and case and encodes each run of letters, of other characters, or one digit by
     itself, so a text's ids are those of its parts, and a part's those of its runs. Only runs not met before go to the
-    library. Parts with characters beyond Latin-1, which may be composed or cut otherwise, stand for themselves.
+    library, straight to its model. Parts with characters beyond Latin-1, which may be composed or cut otherwise, are
+    encoded whole; so are all parts if the vocabulary does not cut all of Latin-1 as RUNS does.
     """
 
     def __init__(self, path: str):
@@ -150,64 +158,46 @@ class WordTokens(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
         specials = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         # Special tokens may hold or adjoin anything; U+001C to U+001F are white space to Python only.
         self.odd = ["\x1c", "\x1d", "\x1e", "\x1f", *specials]
         self.runs: dict[str, bytes] = {}
+        self.cuts = True
+        self.cuts = all(self._by_runs(x) == self.whole(x) for x in PROBES)
 
     def whole(self, text: str) -> bytes:
         return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def learn_runs(self, runs: set[str]) -> None:
-        """Encode the runs not met yet, those within Latin-1 all in one text: the library tells which run a token is of."""
-        new = runs.difference(self.runs)
-        plain = [x for x in new if x.isascii() or max(x) <= "\xff"]
-        if plain:
-            found = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
-            raw, edges = _packed(found.ids), np.flatnonzero(np.diff(np.array(found.word_ids), prepend=-1, append=-1)) * 4
-            if len(edges) == len(plain) + 1:
-                self.runs.update(zip(plain, [raw[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]))
-            else:  # a vocabulary that cuts texts otherwise than RUNS
-                self.runs.update((x, self.whole(x)) for x in plain)
-        for x in new.difference(plain):
-            self.runs[x] = self.whole(x)
-
-    def learn(self, parts: list[str]) -> None:
-        cut = {x: RUNS.findall(x.lower()) if x.isascii() or max(x) <= "\xff" else [x] for x in parts}
-        self.learn_runs({x for r in cut.values() for x in r})
-        run = self.runs.__getitem__
-        self.update((x, run(r[0]) if len(r) == 1 else b"".join(map(run, r))) for x, r in cut.items())
+    def _run(self, run: str) -> bytes:
+        packed = self.runs.get(run)
+        if packed is None:
+            signs = run if run.isascii() and run.isprintable() else run.encode().decode("latin-1").translate(SIGNS)
+            packed = self.runs[run] = _packed([x.id for x in self.model.tokenize(signs)])
+        return packed
+
+    def _by_runs(self, part: str) -> bytes:
+        runs = RUNS.findall(part.lower())
+        return self._run(runs[0]) if len(runs) == 1 else b"".join(map(self._run, runs))
+
+    def __missing__(self, part: str) -> bytes:
+        packed = self[part] = self._by_runs(part) if self.cuts and (part.isascii() or max(part) <= "\xff") else self.whole(part)
+        return packed
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of the texts. The collector of reference cycles rests meanwhile: there are none, and it would walk all kept parts again and again."""
+        for kept, most in ((self, KEPT_PARTS), (self.runs, KEPT_RUNS)):
+            if len(kept) > most:
+                for x in list(kept)[most // 2 :]:
+                    del kept[x]
         collecting = gc.isenabled()
         gc.disable()
         try:
-            return self._encode(texts)
+            return [self.whole(t) if any(x in t for x in self.odd) else b"".join(map(self.__getitem__, t.split())) for t in texts]
         finally:
             if collecting:
                 gc.enable()
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        """Each part of the batch is looked up once; the ids are put together by its number."""
-        for kept, most in ((self, KEPT_PARTS), (self.runs, KEPT_RUNS)):
-            if len(kept) > most:
-                for x in list(kept)[most // 2 :]:
-                    del kept[x]
-        odd = {i: self.whole(t) for i, t in enumerate(texts) if any(x in t for x in self.odd)}
-        parts = pc.utf8_split_whitespace(pa.array(["" if i in odd else t for i, t in enumerate(texts)], pa.large_string()))
-        coded = parts.flatten().dictionary_encode()
-        words, numbers = coded.dictionary.to_pylist(), np.asarray(coded.indices)
-        self.learn([x for x in words if x not in self])
-        packed = [self[x] for x in words]
-        ids, sizes = np.frombuffer(b"".join(packed), "<u4"), np.array([len(x) // 4 for x in packed], np.int64)
-        starts = np.cumsum(sizes) - sizes
-        n = sizes[numbers]
-        ends = np.append(0, np.cumsum(n))
-        raw = ids[np.repeat(starts[numbers] - ends[:-1], n) + np.arange(ends[-1])].tobytes() if ends[-1] else b""
-        edges = ends[np.asarray(parts.offsets) - parts.offsets[0].as_py()] * 4
-        return [odd[i] if i in odd else raw[a:b] for i, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist()))]
-
 
 @functools.lru_cache(maxsize=2)
 def _tokens(path: str) -> WordTokens:

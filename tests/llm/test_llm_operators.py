@@ -342,6 +342,22 @@ def test_token_files(spark, monkeypatch):
     assert whole[(5, expected[[e[0] for e in expected].index(5)][1])] == [1]
 
 
+def test_word_tokens_as_the_library(monkeypatch):
+    path = tokenizer_path("word_bpe_49k.json")
+    library, rng = tokenizers.Tokenizer.from_file(path), random.Random(3)
+    signs = [chr(c) for c in range(256)] + list(" \t'sdAZ19") * 8 + list("\u0301\u200b\u3000漢ßİ")
+    texts = ["".join(rng.choices(signs, k=rng.randint(0, 40))) for _ in range(3000)] + BPE_TEXTS
+    expected = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    monkeypatch.setattr(token_files, "KEPT_PARTS", 500)
+    monkeypatch.setattr(token_files, "KEPT_RUNS", 300)
+    tokens = token_files.WordTokens(path)
+    assert tokens.cuts
+    assert [x for lo in range(0, len(texts), 100) for x in tokens.encode(texts[lo : lo + 100])] == expected
+    tokens.clear()
+    tokens.cuts = False  # as for a vocabulary with other rules
+    assert tokens.encode(texts) == expected
+
+
 def test_top_k(spark):
     rng = random.Random(2)
     rows = [(i, [rng.choice([-1.5, 0.25, 0.26, 3.0]) for _ in range(6)]) for i in range(120)]
