@@ -157,7 +157,7 @@ _CA = campaign_sql(
 
 @query("dom_campaign_accounts", _CAA)
 def _(s):
-    return activity.campaign_accounts(s, joined_from=date(1998, 1, 1))
+    return activity.campaign_accounts(s, joined_from=date(1998, 1, 1), split_heavy=True)
 
 
 @query("pipe_campaign_accounts_all", _CAA)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from revtrellis.functions.dates import OPEN_START, as_date, days_between, today_in, week_number_sunday, week_start_monday
 from revtrellis.functions.numbers import lookup
 from revtrellis.functions.text import first_chars
+from revtrellis.operators.heavy import Side, left_product
 from revtrellis.operators.joins import asof_merge, left_join_nullable
 from revtrellis.operators.sets import rename_to, union_all
 from revtrellis.operators.windows import latest_per_key, previous_day
@@ -229,10 +230,12 @@ def attributed_activities(
     return rows.withColumn("incubation_influenced", flag)
 
 
-def campaign_accounts(source, joined_from: date | None = None, campaign_ids: list[str] | None = None, fact_campaigns: list[str] | None = None) -> DataFrame:
+def campaign_accounts(source, joined_from: date | None = None, campaign_ids: list[str] | None = None, fact_campaigns: list[str] | None = None, split_heavy: bool = False) -> DataFrame:
     """Distinct campaign account × opportunity facts × tasks.
 
-    Each side is reduced to its distinct output columns per account before the joins.
+    Each side is reduced to its distinct output columns per account before the joins, so the product needs no DISTINCT.
+    ``split_heavy`` counts the rows of each account first and deals the product of one that has very many over many tasks, at the
+    price of reading the account columns once more; without it a hot account is left to adaptive execution.
     """
     members = source.table("crm_campaign_member")
     if joined_from is not None:
@@ -249,16 +252,18 @@ def campaign_accounts(source, joined_from: date | None = None, campaign_ids: lis
             "current_stage", "verified_online_revenue", "annual_revenue", "created_by_function", "created_by", "sales_owner_role", "account_name", "account_campaign",
             "opportunity_url", "opportunity_name", "fact_product_name",
         ]
-    members = members.select("account_id", "campaign_id", "joined_date").distinct()
-    accounts = source.table("crm_account").select("account_id", "name", "named_account_code", "platform_group")
+    member_cols = ["account_id", "campaign_id"] if campaign_ids is not None else ["account_id", "campaign_id", "joined_date"]
+    members = members.select(*member_cols).distinct()
+    accounts = source.table("crm_account").select("account_id", "name", "named_account_code", "platform_group").distinct()
     facts = facts.select("account_id", *fact_cols).distinct()
     tasks = source.table("act_task").select(
         F.col("account_ref").alias("account_id"), F.col("type").alias("task_type"), F.col("activity_day").alias("task_date"), F.col("subject").alias("task_subject"),
         F.col("unique_click_count").alias("task_click_count"), F.col("cadence_name").alias("task_cadence"), F.col("description").alias("task_description"),
     ).distinct()
-    rows = members.join(accounts, "account_id", "left").join(facts, "account_id", "left").join(tasks, "account_id", "left")
+    if split_heavy:
+        rows = left_product([Side(members), Side(accounts, unique=True), Side(facts), Side(tasks)], "account_id")
+    else:
+        rows = members.join(accounts, "account_id", "left").join(facts, "account_id", "left").join(tasks, "account_id", "left")
     if campaign_ids is None:
         rows = rows.withColumns({"joined_year": F.year("joined_date"), "joined_month": F.month("joined_date")})
-    else:
-        rows = rows.drop("joined_date").distinct()
     return rows

@@ -115,12 +115,12 @@ def leads(source, as_of: date) -> DataFrame:
     return partners.leads_with_role(source, as_of)
 
 
-def campaign_accounts_all(source, joined_from: date = date(2023, 1, 1)) -> DataFrame:
-    return activity.campaign_accounts(source, joined_from=joined_from)
+def campaign_accounts_all(source, joined_from: date = date(2023, 1, 1), split_heavy: bool = False) -> DataFrame:
+    return activity.campaign_accounts(source, joined_from=joined_from, split_heavy=split_heavy)
 
 
-def campaign_accounts(source, campaign_ids: list[str], fact_campaigns: list[str]) -> DataFrame:
-    return activity.campaign_accounts(source, campaign_ids=campaign_ids, fact_campaigns=fact_campaigns)
+def campaign_accounts(source, campaign_ids: list[str], fact_campaigns: list[str], split_heavy: bool = False) -> DataFrame:
+    return activity.campaign_accounts(source, campaign_ids=campaign_ids, fact_campaigns=fact_campaigns, split_heavy=split_heavy)
 
 
 def outbound_activity(source, as_of: date | None, from_date: date = date(2023, 1, 1)) -> DataFrame:
