@@ -51,13 +51,16 @@ def left_product(sides: list[Side], key: str, share: int = SHARE, least: int = L
     each side is shuffled once. Cells of a heavy dimension that got none of its rows are dropped: the key has rows there, so
     a row without a partner belongs to no result. Rows whose key is null match nothing and are scattered.
     """
-    # Fewer rows than the number of sides times `share`, by definition of a heavy key.
-    heavy = F.broadcast(heavy_parts(sides, key, share, least))
     names = [f"_parts{i}" for i in range(len(sides))]
+    # One value for the whole plan; by definition of a heavy key it has fewer entries than the number of sides times `share`.
+    entries = F.collect_list(F.struct(key, F.array(*names)))
+    heavy = heavy_parts(sides, key, share, least).agg(F.map_from_entries(entries)).scalar()
+    once = F.array(*[F.lit(1).cast("bigint")] * len(sides))
 
     def dealt(i: int) -> DataFrame:
         side = sides[i]
-        rows = side.rows.join(heavy, key, "left").fillna(1, names)
+        rows = side.rows.withColumn("_parts", F.coalesce(F.try_element_at(heavy, F.col(key)), once))
+        rows = rows.withColumns({n: F.col("_parts")[j] for j, n in enumerate(names)})
         own = F.pmod(F.xxhash64(*(side.spread_on or side.rows.columns)), F.col(names[i]))
         below = reduce(Column.__mul__, [F.col(n) for n in names[:i]], F.lit(1).cast("bigint"))
         above = reduce(Column.__mul__, [F.col(n) for n in names[i + 1 :]], F.lit(1).cast("bigint"))
