@@ -165,3 +165,27 @@ def test_interval_minimum_keeps_one_row(spark):
     left, right = spark.createDataFrame(points, "pid int, k string, d date"), spark.createDataFrame(spans, "name string, k string, a date, b date")
     got = interval_minimum(left, right, ["k"], "d", "a", "b", "name", "owner", ["pid"])
     assert _rows(got.select("pid", "owner")) == [(1, "z"), (2, "m"), (3, "z"), (4, None), (5, None), (6, None)]
+
+
+@pytest.mark.parametrize("outer", ["left", "full"])
+def test_null_keys_are_dealt_over_many_tasks(spark, outer):
+    """The salt is a key of the shuffle: rows without a key do not meet in one task."""
+    left = spark.range(400).select(F.when(F.col("id") % 10 == 0, F.col("id")).alias("k"), F.col("id").alias("i"))
+    right = spark.range(0, 400, 5).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    held = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        if outer == "left":
+            joined = left_join_nullable(left, right, ["k"], ["i"])
+        else:
+            joined = full_outer_nullable(left, right.withColumnRenamed("k", "rk"), "k", "rk", ["i"], ["v"])
+        places = joined.filter(F.col("k").isNull() & F.col("i").isNotNull()).select("i", F.spark_partition_id().alias("p")).collect()
+        met = joined.filter("v IS NOT NULL AND i IS NOT NULL").count()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    counts = [sum(r.p == p for r in places) for p in {r.p for r in places}]
+    assert sum(counts) == 360 and met == 40
+    assert len(counts) == 8 and max(counts) < 120
