@@ -216,9 +216,18 @@ def _territory_days(snapshots: DataFrame, activity: DataFrame) -> DataFrame:
     return rows.join(contacted.withColumn("_hit", F.lit(1)), ["account_id", "month_date"], "left")
 
 
-def _book(snapshots: DataFrame, territory_reps: DataFrame, activity: DataFrame) -> DataFrame:
-    """The same for each rep's territory."""
-    return _territory_days(snapshots, activity).join(_territory_reps(territory_reps), ["_territory", "_quarter"])
+def _rep_days(rows: DataFrame, territory_reps: DataFrame) -> DataFrame:
+    """Accounts of each rep's territories on each snapshot day, and how many of them were contacted.
+
+    Accounts are counted per set of territories they are in on a day, most often one territory, before the reps are joined: a territory
+    of many accounts is not multiplied by its reps, and an account in two territories of a rep counts once.
+    """
+    day = ["_quarter", "month_date", "snapshot_date"]
+    per_account = rows.groupBy(*day, "account_id").agg(F.array_sort(F.collect_set("_territory")).alias("_held"), F.max("_hit").alias("hit"))
+    counts = per_account.groupBy(*day, "_held").agg(F.count("account_id").alias("accounts"), F.count("hit").alias("hits"))
+    of_rep = counts.withColumn("_territory", F.explode("_held")).join(_territory_reps(territory_reps), ["_territory", "_quarter"])
+    of_rep = of_rep.select("rep_name", *day, "_held", "accounts", "hits").distinct()
+    return of_rep.groupBy("rep_name", "month_date", "snapshot_date").agg(F.sum("accounts").alias("accounts"), F.sum("hits").alias("hits"))
 
 
 def _last_snapshot(counts: DataFrame) -> DataFrame:
@@ -227,25 +236,25 @@ def _last_snapshot(counts: DataFrame) -> DataFrame:
 
 def book_contacted(snapshots: DataFrame, territory_reps: DataFrame, activity: DataFrame, tiers: list[str]) -> DataFrame:
     """Share of the book contacted, on the last snapshot of the month."""
-    rows = _book(snapshots.filter(F.col("tier").isin(*tiers)), territory_reps, activity)
-    per_account = rows.groupBy("rep_name", "month_date", "snapshot_date", "account_id").agg(F.max("_hit").alias("hit"))
-    counts = per_account.groupBy("rep_name", "month_date", "snapshot_date").agg(safe_divide(F.count("hit"), F.count("account_id")).alias("value"))
-    return _last_snapshot(counts)
+    counts = _rep_days(_territory_days(snapshots.filter(F.col("tier").isin(*tiers)), activity), territory_reps)
+    return _last_snapshot(counts.withColumn("value", safe_divide(F.col("hits"), F.col("accounts"))))
 
 
 def accounts_contacted(snapshots: DataFrame, territory_reps: DataFrame, activity: DataFrame) -> DataFrame:
     """Contacted accounts on the last snapshot of the month that has any."""
-    rows = _book(snapshots, territory_reps, activity).filter(F.col("_hit") == 1)
-    counts = rows.groupBy("rep_name", "month_date", "snapshot_date").agg(F.countDistinct("account_id").alias("value"))
-    return _last_snapshot(counts)
+    counts = _rep_days(_territory_days(snapshots, activity).filter(F.col("_hit") == 1), territory_reps)
+    return _last_snapshot(counts.withColumnRenamed("accounts", "value"))
 
 
 def quotas(attainment: DataFrame, workers: DataFrame, quarterly: bool = True) -> DataFrame:
-    """Three quotas per worker and month or quarter."""
+    """Three quotas per worker and month or quarter.
+
+    There is about a group per worker and period, which no task may hold alone: the rows are dealt by worker before they are summed.
+    """
     names = workers.select(F.col("worker_id").alias("payee_id"), F.col("worker_name").alias("rep_name")).filter(F.col("rep_name").isNotNull())
     first = period_month("period")
     kinds = {"profit_quota": V.QUOTA_PROFIT, "revenue_quota": V.QUOTA_REVENUE, "activations_quota": V.QUOTA_ACTIVATIONS}
-    rows = attainment.filter(F.col("attribute_id").isin(*kinds.values())).join(names, "payee_id")
+    rows = attainment.filter(F.col("attribute_id").isin(*kinds.values())).repartition("payee_id").join(names, "payee_id")
     return rows.groupBy("rep_name", (quarter_end(first) if quarterly else F.last_day(first)).alias("month_date")).agg(
         *[sum_if(F.col("attribute_id") == v, F.col("quota")).alias(k) for k, v in kinds.items()]
     )
