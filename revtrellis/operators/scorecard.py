@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from revtrellis.functions.dates import as_date, days_between, minutes_between, month_end, period_month, quarter_end, quarter_start
 from revtrellis.functions.numbers import count_if, coverage, inverse_mean, lookup, safe_divide, sum_if, zero_if_null
 from revtrellis.functions.text import any_like
-from revtrellis.operators.joins import join_group_or_global, left_join_nullable
+from revtrellis.operators.joins import join_group_or_global, left_join_nullable, semi_join
 from revtrellis.operators.sets import union_all
 from revtrellis.operators.windows import latest_per_key
 from revtrellis.params import fixed_values as V
@@ -523,16 +523,18 @@ def fact_keys(fact: DataFrame, as_of: date, snapshot: date, relationships: DataF
     )
 
 
-def quota_keys(attainment_rows: DataFrame, workers: DataFrame) -> DataFrame:
-    """Quotas by month and by quarter in the form of ``fact_keys``."""
+def quota_keys(attainment_rows: DataFrame, workers: DataFrame, reps: DataFrame | None = None) -> DataFrame:
+    """Quotas by month and by quarter in the form of ``fact_keys``; of all workers, or of the ``reps`` (rep_name) only."""
     names = workers.select(F.col("worker_id").alias("payee_id"), F.col("worker_name").alias("rep_name")).filter(F.col("rep_name").isNotNull())
+    if reps is not None:
+        names = semi_join(names, reps, ["rep_name"])
     kinds = {V.QUOTA_PROFIT: "profit", V.QUOTA_REVENUE: "revenue", V.QUOTA_ACTIVATIONS: "activations"}
     first, kind = period_month("period"), lookup(F.col("attribute_id"), kinds)
     both = F.array(
         F.struct(F.last_day(first).alias("month_date"), F.concat(F.lit("quota_month_"), kind).alias("key")),
         F.struct(quarter_end(first).alias("month_date"), F.concat(F.lit("quota_"), kind).alias("key")),
     )
-    rows = attainment_rows.filter(F.col("attribute_id").isin(*kinds)).join(names, "payee_id")
+    rows = attainment_rows.filter(F.col("attribute_id").isin(*kinds)).repartition("payee_id").join(names, "payee_id")
     rows = rows.select("rep_name", "quota", F.explode(both).alias("_k")).select("rep_name", "quota", "_k.*")
     none = F.lit(None).cast("long")
     return rows.groupBy("rep_name", "month_date", "key").agg(F.sum("quota").alias("total"), none.alias("n"), none.alias("hits"), none.alias("opps"))
@@ -675,12 +677,20 @@ def book_values(snapshots: DataFrame, territory_reps: DataFrame, activity: DataF
     return to_long(wide, {"share": "1h. % Book Contacted", "contacted": "1i. # Accounts Contacted"})
 
 
-def all_facts(source, as_of: date, snapshot: date, tiers: list[str]) -> DataFrame:
-    """Every metric of the sheet as long rows. One row per (rep, month, metric)."""
+def daily_reps(daily: DataFrame, from_date: date) -> DataFrame:
+    """Names that can stand on the grid: those of the daily worker rows since a day."""
+    return daily.filter(F.col("effective_on") >= F.lit(from_date)).select(F.col("worker_name").alias("rep_name")).distinct()
+
+
+def all_facts(source, as_of: date, snapshot: date, tiers: list[str], reps: DataFrame | None = None) -> DataFrame:
+    """Every metric of the sheet as long rows. One row per (rep, month, metric).
+
+    ``reps`` are the names the caller goes on with; quotas of other workers, which have a row for every month, are left out.
+    """
     t = source.table
     users, workers, activity = t("crm_user"), t("hr_worker"), t("account_activity")
     events = [email_events(t("act_email")), call_events(t("act_call")), cadence_events(t("act_cadence")), talk_events(t("act_conversation")), meeting_events(t("act_meeting"), t("act_cadence"))]
-    keys = union_all([fact_keys(t("fact_metric"), as_of, snapshot, t("partner_relationship")), quota_keys(t("hr_quota"), workers), activity_keys(events, users)])
+    keys = union_all([fact_keys(t("fact_metric"), as_of, snapshot, t("partner_relationship")), quota_keys(t("hr_quota"), workers, reps), activity_keys(events, users)])
     parts = [
         fact_values(keys, as_of, snapshot),
         book_values(t("account_snapshot"), t("territory_rep"), activity, tiers),
@@ -750,10 +760,11 @@ def group_totals(final: DataFrame, sheet: DataFrame) -> DataFrame:
 
 
 def scorecard_rows(source, as_of: date, from_date: date, snapshot: date, tiers: list[str]) -> DataFrame:
-    months = worker_month(source.table("hr_worker_daily"), source.table("hr_worker"), source.table("crm_user"), from_date)
+    daily = source.table("hr_worker_daily")
+    months = worker_month(daily, source.table("hr_worker"), source.table("crm_user"), from_date)
     current = worker_current(source.table("hr_worker"), source.table("crm_user"), as_of)
     grid = metric_grid(months, current, source.table("scorecard_metric"))
-    return assemble(grid, all_facts(source, as_of, snapshot, tiers))
+    return assemble(grid, all_facts(source, as_of, snapshot, tiers, daily_reps(daily, from_date)))
 
 
 def scorecard(source, as_of: date, from_date: date, snapshot: date, tiers: list[str]) -> DataFrame:

@@ -121,3 +121,35 @@ def test_sheet_and_sink_round_trip(spark, tmp_path):
     replace_table(df, "sheet_copy", path=str(tmp_path / "table"))
     assert spark.table("sheet_copy").count() == 1
     spark.sql("DROP TABLE sheet_copy")
+
+
+def test_accounts_are_counted_before_the_reps_are_joined(spark):
+    """An account in two territories of a rep counts once; a territory's accounts are not multiplied by its reps."""
+    day = date(2024, 3, 30)
+    snapshots = spark.createDataFrame(
+        [("a1", day, "east", "Tier 1"), ("a1", day, "west", "Tier 1"), ("a2", day, "east", "Tier 2"), ("a3", day, "west", "Tier 4"), ("a4", date(2024, 3, 1), "east", "Tier 1")],
+        "account_id string, snapshot_date date, territory_name string, tier string",
+    )
+    reps = spark.createDataFrame([("both", "East", date(2024, 3, 31)), ("both", "West", date(2024, 3, 31)), ("west", "WEST", date(2024, 3, 31))], "rep_name string, territory_name string, quarter_end date")
+    acts = spark.createDataFrame([("a1", date(2024, 3, 2), "Sales"), ("a3", date(2024, 3, 2), "Sales"), ("a2", date(2024, 3, 2), "Support")], "account_id string, activity_date date, activity_group string")
+    book = scorecard.book_contacted(snapshots, reps, acts, ["Tier 1", "Tier 2"])
+    contacted = scorecard.accounts_contacted(snapshots, reps, acts)
+    assert {(r["rep_name"], r["value"], r["snapshot_date"]) for r in book.collect()} == {("both", 0.5, day), ("west", 1.0, day)}
+    assert {(r["rep_name"], r["value"], r["snapshot_date"]) for r in contacted.collect()} == {("both", 2, day), ("west", 2, day)}
+    for df in (book, contacted):
+        lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        joined = next(i for i, x in enumerate(lines) if "Join Inner" in x)
+        assert not [x for x in lines[:joined] if "Aggregate [" in x and "account_id" in x]
+
+
+def test_quotas_are_dealt_by_worker(spark):
+    quota = spark.createDataFrame(
+        [(w, f"P:2024:{m:02d}", f"{kind} : PERIODIC : QUOTA", 10.0 * w) for w in (1, 2) for m in (1, 2, 4) for kind in ("INCREMENTAL PRODUCT PROFIT", "TOTAL REVENUE")],
+        "payee_id int, period string, attribute_id string, quota double",
+    )
+    workers = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "worker_id int, worker_name string")
+    assert "REPARTITION_BY_COL" in scorecard.quotas(quota, workers)._jdf.queryExecution().executedPlan().toString()
+    every = scorecard.quota_keys(quota, workers)
+    one = scorecard.quota_keys(quota, workers, spark.createDataFrame([("a",), ("z",)], "rep_name string"))
+    wanted = sorted(map(str, every.filter("rep_name = 'a'").collect()))
+    assert sorted(map(str, one.collect())) == wanted and len(wanted) == 10
