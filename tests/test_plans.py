@@ -44,3 +44,21 @@ def test_date_bounds_reach_the_scan(spark, testdata):
     df = orders.filter(whole_months_window(orders.o_orderdate, date(1998, 6, 17), 14, 3)).select("o_orderkey")
     plan = _plan(df)
     assert "GreaterThanOrEqual(o_orderdate" in plan and "o_totalprice" not in plan
+
+
+def test_accounts_are_counted_before_the_watch_list_is_joined(spark, testdata):
+    """The stage of the watch list's join holds one aggregate above it, not the three of a distinct count."""
+    held = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        plan = _plan(QUERIES["pipe_outbound_activity"](spark, testdata)).splitlines()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    join = next(i for i, line in enumerate(plan) if "SortMergeJoin [account_id" in line and "LeftOuter" in line)
+    above = next(i for i in range(join, -1, -1) if "Exchange" in plan[i])
+    below = next(i for i in range(join, len(plan)) if "Exchange" in plan[i])
+    assert sum("HashAggregate" in line for line in plan[above:join]) == 1
+    assert not any("HashAggregate" in line for line in plan[join:below])
