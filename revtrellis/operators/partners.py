@@ -33,7 +33,8 @@ def consolidated_ids(leads: DataFrame, referrals: DataFrame) -> DataFrame:
 def partner_lead_latest(partner_leads: DataFrame, ids: DataFrame) -> DataFrame:
     """Newest partner record per lead and membership."""
     rows = partner_leads.filter(F.col("reference_object") == "Lead").withColumnRenamed("reference_id", "lead_id")
-    rows = rows.join(ids, "lead_id", "left_semi")
+    # Dealt by both keys, else the sorts and aggregates of these rows would hold their memory in the task that joins them by lead.
+    rows = rows.join(ids, "lead_id", "left_semi").repartition("lead_id", "membership_id")
     return latest_per_key(rows, ["lead_id", "membership_id"], [F.desc("updated_on"), F.desc("shop_id"), F.desc("partner_id")])
 
 
@@ -131,7 +132,9 @@ def closed_won_dates(facts: DataFrame) -> DataFrame:
 def lead_campaigns(source) -> DataFrame:
     """First campaign by name per lead: reports keep one row per lead and partner."""
     names = source.table("crm_campaign").select("campaign_id", "campaign_name")
-    members = source.table("crm_campaign_member").select("lead_id", "campaign_id")
+    # Dealt by campaign even if the names are small enough for a broadcast: members that come dealt by lead would otherwise stay
+    # in the task that joins everything by lead, with all the operators that made them.
+    members = source.table("crm_campaign_member").select("lead_id", "campaign_id").repartition("campaign_id")
     return members.join(names, "campaign_id").groupBy("lead_id").agg(F.min("campaign_name").alias("campaign_name"))
 
 
@@ -172,6 +175,12 @@ def _by_partner() -> Column:
     return F.coalesce(F.col("lead_source_original").isin(*V.PARTNER_LEAD_SOURCES), F.lit(False))
 
 
+def _join_through(rows: DataFrame, more: DataFrame) -> DataFrame:
+    """Left join by lead for the rows that came through a partner; the others meet nothing."""
+    more = more.withColumnRenamed("lead_id", "_of_lead")
+    return rows.join(more, (F.col("lead_id") == F.col("_of_lead")) & F.col("_through"), "left").drop("_of_lead")
+
+
 def lead_rows(source, leads: DataFrame, through_partner: Column) -> DataFrame:
     """Enriched rows of both kinds of leads in one chain of joins.
 
@@ -195,9 +204,8 @@ def lead_rows(source, leads: DataFrame, through_partner: Column) -> DataFrame:
     )
     accounts = source.table("crm_account").select(F.col("account_id").alias("_segment_key"), "market_segment")
     rows = leads.withColumn("_through", through_partner)
-    through = rows.filter("_through").select("lead_id").distinct()
     # All joins by lead follow each other, so the rows are dealt by lead once.
-    rows = rows.join(records.join(through, "lead_id", "left_semi"), "lead_id", "left").join(referrals.join(through, "lead_id", "left_semi"), "lead_id", "left")
+    rows = _join_through(_join_through(rows, records), referrals)
     rows = _common_columns(source, rows)
     rows = rows.withColumn("partner_id", F.coalesce("_referred", "_recorded", "winning_partner"))
     rows = rows.withColumn("_pid", F.when(F.col("_through"), F.col("partner_id")))

@@ -62,3 +62,32 @@ def test_accounts_are_counted_before_the_watch_list_is_joined(spark, testdata):
     below = next(i for i in range(join, len(plan)) if "Exchange" in plan[i])
     assert sum("HashAggregate" in line for line in plan[above:join]) == 1
     assert not any("HashAggregate" in line for line in plan[join:below])
+
+
+def _held_at_once(node, here):
+    """Sorts and aggregates per stage; each holds a page of memory at least, all of a stage in the same task."""
+    name = node.nodeName()
+    if "Exchange" in name:
+        here = []
+        yield here
+    elif name == "Sort" or name.endswith("Aggregate"):
+        here.append(name)
+    children = node.children()
+    for i in range(children.size()):
+        yield from _held_at_once(children.apply(i), here)
+
+
+@pytest.mark.parametrize("name", ["dom_partner_lead_rows", "pipe_leads"])
+def test_no_stage_of_the_lead_rows_holds_many_operators(spark, testdata, name):
+    held = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        plan = QUERIES[name](spark, testdata)._jdf.queryExecution().executedPlan()
+        last = []
+        stages = [last, *_held_at_once(plan, last)]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert max(len(s) for s in stages) <= 12
