@@ -1,5 +1,7 @@
 """Physical plans stay free of nested loops, row-at-a-time Python and unbounded single tasks."""
 
+import re
+
 import pytest
 
 from revtrellis.catalog.registry import spark_queries
@@ -91,3 +93,18 @@ def test_no_stage_of_the_lead_rows_holds_many_operators(spark, testdata, name):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert max(len(s) for s in stages) <= 12
+
+
+@pytest.mark.parametrize("name", ["dom_influence_flag", "dom_influence_flag_patterns"])
+def test_activities_without_an_opportunity_are_dealt_by_their_salt(spark, testdata, name):
+    held = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        plan = _plan(QUERIES[name](spark, testdata))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    keys = [k for k in re.findall(r"SortMergeJoin \[([^\]]*)\], [^\n]*LeftOuter", plan) if re.match("opportunity_id|_account", k)]
+    assert len(keys) == 3 and all("_spread" in k for k in keys)
