@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from revtrellis.functions.dates import as_date, days_between, minutes_between, month_end, period_month, quarter_end, quarter_start
 from revtrellis.functions.numbers import count_if, coverage, inverse_mean, lookup, safe_divide, sum_if, zero_if_null
 from revtrellis.functions.text import any_like
-from revtrellis.operators.joins import join_group_or_global, left_join_nullable, semi_join
+from revtrellis.operators.joins import join_group_or_global, left_join_nullable, measured_join, semi_join
 from revtrellis.operators.sets import union_all
 from revtrellis.operators.windows import latest_per_key
 from revtrellis.params import fixed_values as V
@@ -47,10 +47,14 @@ def _sales_users(users: DataFrame) -> DataFrame:
 
 
 def worker_month(daily: DataFrame, workers: DataFrame, users: DataFrame, from_date: date) -> DataFrame:
-    """Last snapshot of each worker in each month, for workers with an active manager."""
+    """Last snapshot of each worker in each month, for workers with an active manager.
+
+    Manager and role depend on the ids of a row only, so the last row of each pair of ids is picked before they are joined.
+    """
     managers = workers.filter("is_active").select(F.col("worker_id").alias("manager_id"))
-    rows = daily.filter(F.col("effective_on") >= F.lit(from_date)).join(managers, "manager_id", "left_semi")
-    rows = rows.withColumn("month_date", month_end("effective_on")).join(_sales_users(users), "worker_id")
+    rows = daily.filter(F.col("effective_on") >= F.lit(from_date)).withColumn("month_date", month_end("effective_on"))
+    rows = latest_per_key(rows, ["worker_name", "month_date", "worker_id", "manager_id"], [F.desc("effective_on"), F.asc("team")])
+    rows = measured_join(measured_join(rows, managers, ["manager_id"], "left_semi"), _sales_users(users), ["worker_id"])
     picked = latest_per_key(rows, ["worker_name", "month_date"], [F.desc("effective_on"), F.asc("user_role"), F.asc("team")])
     return picked.select(
         F.col("worker_name").alias("rep_name"), "month_date", "discipline", "subdiscipline", "team", team_group(F.col("team"), F.col("user_role")).alias("team_group")
@@ -60,7 +64,8 @@ def worker_month(daily: DataFrame, workers: DataFrame, users: DataFrame, from_da
 def worker_current(workers: DataFrame, users: DataFrame, as_of) -> DataFrame:
     """Active worker with manager name, region and start date from tenure."""
     managers = workers.select(F.col("worker_id").alias("manager_id"), F.col("worker_name").alias("manager_name"))
-    rows = workers.filter("is_active").join(managers, "manager_id", "left").join(_sales_users(users), "worker_id")
+    rows = left_join_nullable(workers.filter("is_active"), managers, ["manager_id"], ["worker_id"], measured=True)
+    rows = measured_join(rows, _sales_users(users), ["worker_id"])
     role = F.col("user_role")
     region = F.when(role.like("%AMER%"), "AMER").when(role.like("%EMEA%"), "EMEA").when(role.like("%APAC%"), "APAC").when(role.like("%LATA%"), "LATAM")
     return rows.select(
@@ -140,15 +145,15 @@ def meeting_events(meetings: DataFrame, cadences: DataFrame | None = None, kinds
 def activity_keys(events: list[DataFrame], users: DataFrame) -> DataFrame:
     """The activity stream in the form of ``fact_keys``: all sources are reduced per actor, then meet the users once.
 
-    A guest only counts if it is the actor's manager.
+    A guest only counts if it is the actor's manager. Users stand there once per kind of name, which Spark's estimate of their size leaves out.
     """
     stream = union_all(events)
     names = users.select(
         F.explode(F.array(_who("id", "user_id"), _who("email", "email"), _who("guid", "guid"))).alias("who"), F.col("name").alias("rep_name"), "manager_name"
     ).filter(F.col("who").isNotNull())
-    rows = stream.join(names, "who")
+    rows = measured_join(stream, names, ["who"])
     managers = users.filter(F.col("email").isNotNull()).groupBy(F.col("email").alias("guest"), F.col("name").alias("manager_name")).agg(F.count("*").alias("_managers"))
-    rows = left_join_nullable(rows, managers, ["guest", "manager_name"], ["who", "month_date"])
+    rows = left_join_nullable(rows, managers, ["guest", "manager_name"], ["who", "month_date"], measured=True)
     rows = rows.filter((F.col("key") != "accepted") | F.col("_managers").isNotNull()).withColumn("n", F.col("n") * F.coalesce("_managers", F.lit(1)))
     return rows.groupBy("rep_name", "month_date", "key").agg(*[F.sum(c).alias(c) for c in ("total", "n", "hits", "opps")])
 
@@ -254,7 +259,7 @@ def quotas(attainment: DataFrame, workers: DataFrame, quarterly: bool = True) ->
     names = workers.select(F.col("worker_id").alias("payee_id"), F.col("worker_name").alias("rep_name")).filter(F.col("rep_name").isNotNull())
     first = period_month("period")
     kinds = {"profit_quota": V.QUOTA_PROFIT, "revenue_quota": V.QUOTA_REVENUE, "activations_quota": V.QUOTA_ACTIVATIONS}
-    rows = attainment.filter(F.col("attribute_id").isin(*kinds.values())).repartition("payee_id").join(names, "payee_id")
+    rows = measured_join(attainment.filter(F.col("attribute_id").isin(*kinds.values())), names, ["payee_id"])
     return rows.groupBy("rep_name", (quarter_end(first) if quarterly else F.last_day(first)).alias("month_date")).agg(
         *[sum_if(F.col("attribute_id") == v, F.col("quota")).alias(k) for k, v in kinds.items()]
     )
@@ -534,7 +539,7 @@ def quota_keys(attainment_rows: DataFrame, workers: DataFrame, reps: DataFrame |
         F.struct(F.last_day(first).alias("month_date"), F.concat(F.lit("quota_month_"), kind).alias("key")),
         F.struct(quarter_end(first).alias("month_date"), F.concat(F.lit("quota_"), kind).alias("key")),
     )
-    rows = attainment_rows.filter(F.col("attribute_id").isin(*kinds)).repartition("payee_id").join(names, "payee_id")
+    rows = measured_join(attainment_rows.filter(F.col("attribute_id").isin(*kinds)), names, ["payee_id"])
     rows = rows.select("rep_name", "quota", F.explode(both).alias("_k")).select("rep_name", "quota", "_k.*")
     none = F.lit(None).cast("long")
     return rows.groupBy("rep_name", "month_date", "key").agg(F.sum("quota").alias("total"), none.alias("n"), none.alias("hits"), none.alias("opps"))

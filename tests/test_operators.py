@@ -153,3 +153,33 @@ def test_quotas_are_dealt_by_worker(spark):
     one = scorecard.quota_keys(quota, workers, spark.createDataFrame([("a",), ("z",)], "rep_name string"))
     wanted = sorted(map(str, every.filter("rep_name = 'a'").collect()))
     assert sorted(map(str, one.collect())) == wanted and len(wanted) == 10
+
+
+def test_last_snapshot_of_a_month_is_picked_among_rows_with_a_manager_and_a_role(spark):
+    """The last row of each pair of ids is picked before managers and roles are joined; a later row without them must not hide an earlier one."""
+    days = [date(2024, 1, d) for d in (3, 9, 20, 25, 31)]
+    daily = spark.createDataFrame(
+        [
+            (1, "a", days[0], "Sales", "Field", "old", 10),
+            (1, "a", days[1], "Sales", "Field", "kept", 10),
+            (1, "a", days[2], "Sales", "Field", "manager left", 11),
+            (1, "a", days[3], "Sales", "Field", "no manager", None),
+            (2, "a", days[4], "Sales", "Field", "no role", 10),
+            (None, "a", days[4], "Sales", "Field", "no id", 10),
+            (3, "b", days[1], "Sales", "Field", "z", 10),
+            (3, "b", days[1], "Sales", "Field", "y", 10),
+            (4, "b", days[1], "Sales", "Field", "x", 10),
+        ],
+        "worker_id int, worker_name string, effective_on date, discipline string, subdiscipline string, team string, manager_id int",
+    )
+    workers = spark.createDataFrame([(10, True), (11, False), (10, True)], "worker_id int, is_active boolean")
+    users = spark.createDataFrame([(1, "AMER-1", "Main"), (1, "EMEA-1", "Main"), (2, "none", "Main"), (3, "AMER-1", "Main"), (4, "EMEA-1", "Main")], "employee_id int, user_role string, source_system string")
+    got = scorecard.worker_month(daily, workers, users, date(2024, 1, 1)).collect()
+    assert sorted((r["rep_name"], r["team"]) for r in got) == [("a", "kept"), ("b", "y")]
+
+
+def test_workers_without_a_manager_stay(spark):
+    workers = spark.createDataFrame([(1, "a", "C1", "5", None, True), (2, "b", "C1", "5", 1, True), (3, "c", "C1", "5", 9, True), (4, "d", "C1", "5", 1, False)], "worker_id int, worker_name string, country string, tenure_days string, manager_id int, is_active boolean")
+    users = spark.createDataFrame([(i, "AMER-1", "Main") for i in (1, 2, 3, 4)], "employee_id int, user_role string, source_system string")
+    got = scorecard.worker_current(workers, users, date(2024, 1, 31)).collect()
+    assert sorted((r["rep_name"], r["manager_name"]) for r in got) == [("a", None), ("b", "a"), ("c", None)]

@@ -1,10 +1,12 @@
 """Physical plans stay free of nested loops, row-at-a-time Python and unbounded single tasks."""
 
 import re
+from datetime import date
 
 import pytest
 
 from revtrellis.catalog.registry import spark_queries
+from revtrellis.operators import scorecard
 
 QUERIES = spark_queries()
 REPORTS = sorted(n for n in QUERIES if n.startswith("pipe_"))
@@ -40,7 +42,6 @@ def test_reviews_read_the_fact_once(plans):
 
 def test_date_bounds_reach_the_scan(spark, testdata):
     from revtrellis.functions.dates import whole_months_window
-    from datetime import date
 
     orders = spark.read.parquet(f"{testdata}/orders.parquet")
     df = orders.filter(whole_months_window(orders.o_orderdate, date(1998, 6, 17), 14, 3)).select("o_orderkey")
@@ -108,3 +109,44 @@ def test_activities_without_an_opportunity_are_dealt_by_their_salt(spark, testda
             spark.conf.set(k, v)
     keys = [k for k in re.findall(r"SortMergeJoin \[([^\]]*)\], [^\n]*LeftOuter", plan) if re.match("opportunity_id|_account", k)]
     assert len(keys) == 3 and all("_spread" in k for k in keys)
+
+
+def _broadcast_rows(node):
+    """Rows of each table that a finished run has broadcast."""
+    name = node.nodeName()
+    if name == "BroadcastExchange":
+        yield node.metrics().apply("numOutputRows").value()
+    below = [node.children().apply(i) for i in range(node.children().size())]
+    below += [node.executedPlan()] if name == "AdaptiveSparkPlan" else [node.plan()] if name.endswith("QueryStage") else []
+    for child in below:
+        yield from _broadcast_rows(child)
+
+
+def test_users_and_workers_are_not_broadcast_by_the_size_of_their_files(spark, tmp_path):
+    """Files of sequential keys and names are small, their rows are not, and an explode is not in the estimate."""
+    n, name, boss = 20_000, "'Rep ' || id", "id - id % 10"
+    texts = {
+        "user": f"id AS user_id, {name} AS name, 'rep' || id || '@x' AS email, id AS guid, id AS employee_id, 'AMER-1' AS user_role, 'Main' AS source_system, 'Rep ' || ({boss}) AS manager_name",
+        "worker": f"id AS worker_id, {name} AS worker_name, 'C1' AS country, '10' AS tenure_days, {boss} AS manager_id, true AS is_active",
+        "daily": f"id AS worker_id, {name} AS worker_name, DATE'2024-01-31' AS effective_on, 'Sales' AS discipline, 'Field' AS subdiscipline, 'Sales SMB' AS team, {boss} AS manager_id",
+        "quota": "id AS payee_id, 'P:2024:01' AS period, explode(array('TOTAL REVENUE : PERIODIC : QUOTA', 'SOLUTION ACTIVATIONS : PERIODIC : QUOTA')) AS attribute_id, 1e0 AS quota",
+        "call": "id, DATE'2024-01-31' AS created_date, struct(id AS id) AS sender, 'Connected' AS disposition, 'Interested' AS sentiment",
+    }
+    for t, text in texts.items():
+        spark.sql(f"SELECT {text} FROM range(0, {n}, 1, 1)").write.parquet(str(tmp_path / t))
+    users, workers, daily, quota, calls = (spark.read.parquet(str(tmp_path / t)) for t in texts)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "300k")
+    try:
+        found = {
+            "activity_keys": scorecard.activity_keys([scorecard.call_events(calls)], users),
+            "worker_month": scorecard.worker_month(daily, workers, users, date(2024, 1, 1)),
+            "worker_current": scorecard.worker_current(workers, users, date(2024, 1, 31)),
+            "quotas": scorecard.quotas(quota, workers),
+            "quota_keys": scorecard.quota_keys(quota, workers),
+        }
+        rows = {k: len(df.collect()) for k, df in found.items()}
+        sent = {k: max(_broadcast_rows(df._jdf.queryExecution().executedPlan()), default=0) for k, df in found.items()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows == {"activity_keys": n, "worker_month": n, "worker_current": n, "quotas": n, "quota_keys": 4 * n}
+    assert max(sent.values()) < n // 10, sent
